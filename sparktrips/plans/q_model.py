@@ -1 +1,218 @@
-"""Queries (filled in below)."""
+"""Queries: fitting, scoring, metrics, persistence and parity (F2-F16, A22,
+D4, S3-S7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES
+from sparktrips.operators import clean, model, split, validate as V
+from sparktrips.plans.catalog import register
+from sparktrips.plans.q_features import _HASH_SPLIT_SQL
+from sparktrips.plans.q_validate import KEYS, _K, _VALIDATED_CTE, _field_value_sql
+from sparktrips.plans.sqlviews import with_clean, with_requests
+from sparktrips.session import scratch_path
+from sparktrips.sources import views
+
+# Query-time forest: small enough for a smoke/bench run; the published
+# 100-tree setting is DEFAULT_SETTINGS (used by the training job).
+QUERY_FOREST = DEFAULT_SETTINGS.with_(n_estimators=5, max_depth=8, max_bins=64)
+
+_FITTED: dict = {}
+
+
+def _table(spark, sf_dir):
+    labelled = split.hash_split(clean.clean_trips(views.trips(spark, sf_dir)))
+    return model.training_frame(labelled, "trip_id", extra=[split.SPLIT])
+
+
+def _part(spark, sf_dir, name):
+    return _table(spark, sf_dir).filter(F.col(split.SPLIT) == name)
+
+
+def _fit(spark, sf_dir, kind: str):
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FITTED:
+        s = QUERY_FOREST
+        est = model.create_model(kind, s)
+        _FITTED[key] = model.train_pipeline(_part(spark, sf_dir, "train"), est, s)
+    return _FITTED[key]
+
+
+# ------------------------------------------------------- SQL-checkable models
+
+@register("fit_linear_univariate", with_clean(f"""
+select count(*) as rows, round(regr_slope(trip_duration, trip_distance), 6) as slope,
+  round(regr_intercept(trip_duration, trip_distance), 6) as intercept,
+  round(regr_r2(trip_duration, trip_distance), 6) as r2
+from cleaned where {_HASH_SPLIT_SQL} = 'train'"""))
+def fit_linear_univariate(spark, sf_dir):
+    """closed-form OLS on distance, fitted on the train split."""
+    t = _part(spark, sf_dir, "train")
+    y, x = F.col("trip_duration"), F.col("trip_distance")
+    return t.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                 F.round(F.regr_slope(y, x), 6).alias("slope"), F.round(F.regr_intercept(y, x), 6).alias("intercept"),
+                 F.round(F.regr_r2(y, x), 6).alias("r2"))
+
+
+@register("score_linear_sql", with_clean("""
+select trip_id, 3.0 * trip_distance + 5.0 as prediction from cleaned"""))
+def score_linear_sql(spark, sf_dir):
+    """scoring with known linear weights (prediction = 3 * distance + 5)."""
+    df = clean.clean_trips(views.trips(spark, sf_dir))
+    return df.select("trip_id", (F.lit(3.0) * F.col("trip_distance") + F.lit(5.0)).alias("prediction"))
+
+
+@register("regression_metrics", with_clean(f"""
+, sp as (select *, {_HASH_SPLIT_SQL} as split from cleaned),
+fit as (select regr_slope(trip_duration, trip_distance) as b, regr_intercept(trip_duration, trip_distance) as a
+        from sp where split = 'train'),
+pred as (select trip_duration as y, a + b * trip_distance as p from sp, fit where split = 'val')
+select count(*) as rows, round(avg(abs(y - p)), 6) as mae, round(sqrt(avg((y - p) * (y - p))), 6) as rmse,
+  round(1.0 - sum((y - p) * (y - p)) / nullif(sum((y - (select avg(y) from pred)) * (y - (select avg(y) from pred))), 0), 6) as r2
+from pred"""))
+def regression_metrics(spark, sf_dir):
+    """MAE / RMSE / R^2 on the validation split for the distance-only OLS
+    fitted on the train split (coefficients as a scalar subquery)."""
+    t = _table(spark, sf_dir)
+    y, x = F.col("trip_duration"), F.col("trip_distance")
+    coef = t.filter(F.col(split.SPLIT) == "train").agg(
+        F.struct(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a"))).scalar()
+    pred = t.filter(F.col(split.SPLIT) == "val").select(y, (coef["a"] + coef["b"] * x).alias("prediction"))
+    return model.regression_metrics(pred)
+
+
+@register("score_sink", with_requests(f"""
+select {_K}, 3.0 * trip_distance + 5.0 as prediction, '{DEFAULT_SETTINGS.model_version}' as model_version,
+  request_id as correlation_id
+from (select {_K}, {_field_value_sql("trip_distance", None, True)}
+      from validated join requests using ({_K}, payload) where n_errors = 0) t""", _VALIDATED_CTE))
+def score_sink(spark, sf_dir):
+    """S3: response rows (prediction, model_version, correlation_id) for the
+    accepted requests, scored with the known linear weights; ``write_scores``
+    persists them."""
+    ok = V.apply_defaults(V.validate_records(views.requests(spark, sf_dir)).filter("accepted"))
+    return ok.select(*KEYS, (F.lit(3.0) * F.col("trip_distance") + F.lit(5.0)).alias("prediction"),
+                     F.lit(DEFAULT_SETTINGS.model_version).alias("model_version"),
+                     V.correlation_id("request_id").alias("correlation_id"))
+
+
+def write_scores(scored, path: str, mode: str = "append"):
+    """S3 sink: parquet partitioned by model version."""
+    scored.write.mode(mode).partitionBy("model_version").parquet(path)
+
+
+# --------------------------------------------------------- Spark ML models
+
+@register("fit_linear")
+def fit_linear(spark, sf_dir):
+    """OLS on the nine features; coefficients and intercept."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    lr = m.stages[-1]
+    rows = [(n, float(c)) for n, c in zip(ORDERED_FEATURE_NAMES, lr.coefficients.toArray())]
+    rows.append(("intercept", float(lr.intercept)))
+    return spark.createDataFrame(rows, "term string, value double")
+
+
+@register("fit_forest")
+def fit_forest(spark, sf_dir):
+    """random forest (all features per split, seed fixed); importances."""
+    return model.importances_frame(spark, _fit(spark, sf_dir, "random_forest"))
+
+
+@register("train_pipeline")
+def train_pipeline(spark, sf_dir):
+    """default pipeline (assembler + forest) fitted on canonicalised
+    rows; validation metrics."""
+    m = _fit(spark, sf_dir, "random_forest")
+    return model.regression_metrics(model.score(m, _part(spark, sf_dir, "val")))
+
+
+@register("score_batch")
+def score_batch(spark, sf_dir):
+    """predictions for every validation row, key kept."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    return model.score(m, _part(spark, sf_dir, "val")).select("trip_id", "prediction")
+
+
+@register("score_one")
+def score_one(spark, sf_dir):
+    """one request record scored through the full record path."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    first = V.validate_records(views.requests(spark, sf_dir)).filter("accepted").orderBy(*KEYS).limit(1)
+    norm = model.feature_columns(V.apply_defaults(first))
+    return model.score(m, norm).select(*KEYS, "prediction",
+                                       V.out_of_range().alias("out_of_training_range"))
+
+
+@register("model_comparison")
+def model_comparison(spark, sf_dir):
+    """linear vs forest on the same validation rows."""
+    val = _part(spark, sf_dir, "val")
+    parts = [model.score(_fit(spark, sf_dir, k), val).select(F.lit(k).alias("model"), "trip_duration", "prediction")
+             for k in ("linear_regression", "random_forest")]
+    return model.regression_metrics(parts[0].unionByName(parts[1]), group="model")
+
+
+@register("top_coefficients")
+def top_coefficients(spark, sf_dir):
+    """Linear coefficients by absolute size."""
+    return model.coefficients_frame(spark, _fit(spark, sf_dir, "linear_regression"))
+
+
+def _saved(spark, sf_dir, kind="random_forest"):
+    key = (spark.sparkContext.applicationId, sf_dir, kind, "saved")
+    if key not in _FITTED:
+        path = scratch_path(spark, f"model-{kind}")
+        model.save_model(_fit(spark, sf_dir, kind), path)
+        _FITTED[key] = path
+    return _FITTED[key]
+
+
+@register("save_model")
+def save_model(spark, sf_dir):
+    """Persist the fitted pipeline; the files written."""
+    return model.artifact_manifest(spark, _saved(spark, sf_dir)).select("relative_path", "length")
+
+
+@register("load_model")
+def load_model(spark, sf_dir):
+    """Reload the saved pipeline and score the validation rows."""
+    m = model.load_model(_saved(spark, sf_dir))
+    return model.score(m, _part(spark, sf_dir, "val")).select("trip_id", "prediction")
+
+
+@register("reload_parity")
+def reload_parity(spark, sf_dir):
+    """in-memory vs reloaded model on the validation rows; max |diff|."""
+    a = _fit(spark, sf_dir, "random_forest")
+    b = model.load_model(_saved(spark, sf_dir))
+    return model.parity(_part(spark, sf_dir, "val"), a, b)
+
+
+@register("linear_parity")
+def linear_parity(spark, sf_dir):
+    """Spark ML linear model vs the same model as a column expression."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    return model.parity(_part(spark, sf_dir, "val"), m, b_expr=model.linear_expression(m))
+
+
+@register("artifact_manifest")
+def artifact_manifest(spark, sf_dir):
+    """SHA-256 per artifact file."""
+    return model.artifact_manifest(spark, _saved(spark, sf_dir))
+
+
+@register("model_registry")
+def model_registry(spark, sf_dir):
+    """One registry row for the saved model."""
+    return model.model_registry_row(spark, _saved(spark, sf_dir))
+
+
+@register("run_training")
+def run_training(spark, sf_dir):
+    """the whole training job (linear model); validation metrics."""
+    from sparktrips.train_job import run_training as job
+    s = QUERY_FOREST.with_(model_type="linear_regression")
+    _, metrics = job(spark, views.trips(spark, sf_dir), s, scratch_path(spark, "run-training-model"))
+    return metrics
