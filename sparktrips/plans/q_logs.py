@@ -1 +1,105 @@
-"""Queries (filled in below)."""
+"""Queries: service logs and streaming."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparktrips.operators import logs
+from sparktrips.plans.catalog import register
+from sparktrips.plans.sqlviews import with_log
+from sparktrips.sources import views
+from sparktrips.streaming import jobs
+
+_PARSED_CTE = """parsed as (
+  select ts, line, json_extract_string(line, '$.timestamp') as timestamp, json_extract_string(line, '$.level') as level,
+    json_extract_string(line, '$.logger') as logger, json_extract_string(line, '$.message') as message,
+    json_extract_string(line, '$.correlation_id') as correlation_id, json_extract_string(line, '$.exception') as exception,
+    coalesce(json_valid(line) and json_type(line) = 'OBJECT' and json_extract_string(line, '$.level') is not null, false)
+      as parsed_ok
+  from service_log)"""
+
+
+def _rx(name: str) -> str:
+    return "'" + getattr(logs, name) + "'"
+
+
+_LAT_CTE = f"""lat as (
+  select ts, message,
+    case when regexp_matches(message, {_rx('RE_PREDICTION')}) then 'prediction'
+         when regexp_matches(message, {_rx('RE_REQUEST')}) then 'request'
+         when regexp_matches(message, {_rx('RE_TIMED')}) then 'timed' end as kind,
+    case when regexp_matches(message, {_rx('RE_REQUEST')}) then regexp_extract(message, {_rx('RE_REQUEST')}, 1) end as method,
+    case when regexp_matches(message, {_rx('RE_REQUEST')}) then regexp_extract(message, {_rx('RE_REQUEST')}, 2)
+         when regexp_matches(message, {_rx('RE_TIMED')}) then regexp_extract(message, {_rx('RE_TIMED')}, 1) end as path,
+    case when regexp_matches(message, {_rx('RE_REQUEST')}) then try_cast(regexp_extract(message, {_rx('RE_REQUEST')}, 3) as int) end as status,
+    case when regexp_matches(message, {_rx('RE_PREDICTION')}) then try_cast(regexp_extract(message, {_rx('RE_PREDICTION')}, 2) as double)
+         when regexp_matches(message, {_rx('RE_REQUEST')}) then try_cast(regexp_extract(message, {_rx('RE_REQUEST')}, 4) as double)
+         when regexp_matches(message, {_rx('RE_TIMED')}) then try_cast(regexp_extract(message, {_rx('RE_TIMED')}, 2) as double) end
+      as latency_ms
+  from parsed)"""
+
+
+def _parsed(spark, sf_dir):
+    return logs.parse_log_lines(views.service_log(spark, sf_dir))
+
+
+def _lat(spark, sf_dir):
+    return logs.extract_latency(_parsed(spark, sf_dir))
+
+
+@register("parse_log_lines", with_log("""
+select ts, timestamp, level, logger, message, correlation_id, exception, parsed_ok from parsed""", _PARSED_CTE))
+def parse_log_lines(spark, sf_dir):
+    return _parsed(spark, sf_dir).drop("line")
+
+
+@register("extract_latency", with_log("select ts, kind, method, path, status, latency_ms from lat",
+                                      _PARSED_CTE + ",\n" + _LAT_CTE))
+def extract_latency(spark, sf_dir):
+    return _lat(spark, sf_dir).select("ts", "kind", "method", "path", "status", "latency_ms")
+
+
+@register("latency_summary", with_log("""
+select kind, path, count(*) as calls, round(avg(latency_ms), 6) as mean_ms,
+  round(quantile_cont(latency_ms, 0.95), 6) as p95_ms,
+  round(avg(latency_ms) / min(avg(latency_ms)) over (), 6) as ratio_to_fastest
+from lat where latency_ms is not null group by kind, path""", _PARSED_CTE + ",\n" + _LAT_CTE))
+def latency_summary(spark, sf_dir):
+    return logs.latency_summary(_lat(spark, sf_dir), ["kind", "path"])
+
+
+@register("log_level_counts", with_log("""
+select level, logger, count(*) as lines from parsed where parsed_ok group by level, logger""", _PARSED_CTE))
+def log_level_counts(spark, sf_dir):
+    return logs.level_counts(_parsed(spark, sf_dir))
+
+
+@register("errors_by_correlation", with_log("""
+select correlation_id, count(*) as errors from parsed where level = 'ERROR' group by correlation_id""", _PARSED_CTE))
+def errors_by_correlation(spark, sf_dir):
+    return logs.errors_by_correlation(_parsed(spark, sf_dir))
+
+
+@register("latency_windows", with_log("""
+select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval '1' hour as window_end,
+  count(*) as calls, round(avg(latency_ms), 6) as mean_ms
+from lat where latency_ms is not null group by 1, 2""", _PARSED_CTE + ",\n" + _LAT_CTE))
+def latency_windows(spark, sf_dir):
+    """L5 batch form: hourly tumbling windows (the stream's reference result)."""
+    return logs.latency_windows(_lat(spark, sf_dir), "ts", "1 hour")
+
+
+@register("stream_latency_windows")
+def stream_latency_windows(spark, sf_dir):
+    """The same windows from a Structured Streaming query with a watermark;
+    append mode emits closed windows only."""
+    return spark.read.parquet(jobs.stream_latency_windows(spark, sf_dir))
+
+
+@register("stream_score")
+def stream_score(spark, sf_dir):
+    """Requests stream -> validate -> score -> predictions table."""
+    scorer = lambda df: df.withColumn("prediction", F.lit(3.0) * F.col("trip_distance") + F.lit(5.0))
+    paths = jobs.stream_score(spark, sf_dir, scorer)
+    return spark.read.parquet(paths["predictions"]).select(
+        "request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", "prediction", "out_of_training_range")
