@@ -133,7 +133,8 @@ def record_tokens(df: DataFrame, numeric: list[str], categorical: list[str]) ->
     """Feature names of each record: a numeric key is its own name, a string
     value becomes ``key=value``."""
     toks = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in categorical]
-    return df.withColumn("_tokens", F.filter(F.array(*toks), lambda t: t.isNotNull()))
+    empty = F.array().cast("array<string>")
+    return df.withColumn("_tokens", F.concat(*[F.when(t.isNotNull(), F.array(t)).otherwise(empty) for t in toks]))
 
 
 def fit_vocabulary(df: DataFrame, numeric: list[str], categorical: list[str]) -> list[str]:
@@ -189,10 +190,11 @@ def vectorize_long(df: DataFrame, key: str, numeric: list[str], categorical: lis
                    vocab: DataFrame) -> DataFrame:
     """Checkable long form of the vectorizer: (key, name, value) for every
     non-zero entry whose name is in the vocabulary (inner join on name)."""
-    toks = record_tokens(df, numeric, categorical)
-    entries = F.array(
-        *[F.struct(F.lit(n).alias("name"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"))
-          for n in numeric])
-    cat_entries = F.transform(F.col("_tokens"), lambda t: F.struct(t.alias("name"), F.lit(1.0).alias("value")))
-    long = toks.select(key, F.explode(F.concat(entries, cat_entries)).alias("e")).select(key, "e.name", "e.value")
+    entries = [F.struct(F.lit(n).alias("name"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"))
+               for n in numeric]
+    entries += [F.when(F.col(c).isNotNull(), F.struct(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("name"),
+                                                      F.lit(1.0).alias("value")))
+                for c in categorical]
+    long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
+              .filter(F.col("e").isNotNull()).select(key, "e.name", "e.value"))
     return long.filter(F.col("value") != 0).join(vocab, "name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES
+from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES, REQUEST_FIELDS
 from sparktrips.operators import clean, model, split, validate as V
 from sparktrips.plans.catalog import register
 from sparktrips.plans.q_features import _HASH_SPLIT_SQL
@@ -91,10 +91,10 @@ def score_sink(spark, sf_dir):
     """S3: response rows (prediction, model_version, correlation_id) for the
     accepted requests, scored with the known linear weights; ``write_scores``
     persists them."""
-    ok = V.apply_defaults(V.validate_records(views.requests(spark, sf_dir)).filter("accepted"))
-    return ok.select(*KEYS, (F.lit(3.0) * F.col("trip_distance") + F.lit(5.0)).alias("prediction"),
-                     F.lit(DEFAULT_SETTINGS.model_version).alias("model_version"),
-                     V.correlation_id("request_id").alias("correlation_id"))
+    val = V.validate_records(views.requests(spark, sf_dir), with_values=True)
+    return V.route(val, True, [*KEYS, (F.lit(3.0) * F.col("trip_distance") + F.lit(5.0)).alias("prediction"),
+                               F.lit(DEFAULT_SETTINGS.model_version).alias("model_version"),
+                               V.correlation_id("request_id").alias("correlation_id")])
 
 
 def write_scores(scored, path: str, mode: str = "append"):
@@ -139,8 +139,10 @@ def score_batch(spark, sf_dir):
 def score_one(spark, sf_dir):
     """one request record scored through the full record path."""
     m = _fit(spark, sf_dir, "linear_regression")
-    first = V.validate_records(views.requests(spark, sf_dir)).filter("accepted").orderBy(*KEYS).limit(1)
-    norm = model.feature_columns(V.apply_defaults(first))
+    val = V.validate_records(views.requests(spark, sf_dir), with_values=True)
+    first = V.route(val, True, [*KEYS, *[n for n, *_ in REQUEST_FIELDS]]).orderBy(*KEYS).limit(1)
+    norm = model.feature_columns(first.withColumn(
+        "store_and_fwd_flag_encoded", F.when(F.upper(F.col("store_and_fwd_flag")) == "Y", 1).otherwise(0)))
     return model.score(m, norm).select(*KEYS, "prediction",
                                        V.out_of_range().alias("out_of_training_range"))
 

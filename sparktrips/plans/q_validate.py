@@ -116,8 +116,8 @@ select {_K}, {", ".join(_field_value_sql(n, d, True) for n, d, *_ in REQUEST_FIE
 from validated join requests using ({_K}, payload) where n_errors = 0""", _VALIDATED_CTE))
 def apply_defaults(spark, sf_dir):
     """V2: accepted records as typed requests with defaults filled."""
-    ok = _validated(spark, sf_dir).filter("accepted").drop("errors", "accepted")
-    return V.apply_defaults(ok).drop("payload")
+    val = V.validate_records(_requests(spark, sf_dir), with_values=True)
+    return V.route(val, True, [*KEYS, *[n for n, *_ in REQUEST_FIELDS]])
 
 
 _FLAG_ERR = _err_sql(*[f for f in REQUEST_FIELDS if f[0] == "store_and_fwd_flag"][0])
@@ -188,8 +188,8 @@ select {_K}, {_num('trip_distance')} as trip_distance,
 from validated join requests using ({_K}, payload) where n_errors = 0""", _VALIDATED_CTE))
 def out_of_range_flag(spark, sf_dir):
     """Accepted trips beyond the training distance are flagged, not dropped."""
-    ok = V.apply_defaults(_validated(spark, sf_dir).filter("accepted"))
-    return ok.select(*KEYS, "trip_distance", V.out_of_range().alias("out_of_training_range"))
+    val = V.validate_records(_requests(spark, sf_dir), with_values=True)
+    return V.route(val, True, [*KEYS, "trip_distance", V.out_of_range().alias("out_of_training_range")])
 
 
 @register("correlation_id", with_requests(f"""

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktrips.operators import logs, validate as V
+from sparktrips.functions.columns import encode_flag_string
 from sparktrips.operators.features import feature_columns
 from sparktrips.session import scratch_path
 from sparktrips.sources.views import requests_from_lineitem, service_log_from_events
@@ -41,7 +42,8 @@ def _run(query_builder, checkpoint: str):
 
 def score_requests(validated: DataFrame, scorer) -> DataFrame:
     """Accepted records with defaults applied, scored; keys and flags kept."""
-    ok = V.apply_defaults(validated.filter("accepted")).drop("errors", "accepted")
+    ok = validated.filter("accepted").drop("errors", "accepted")
+    ok = ok.withColumn("store_and_fwd_flag_encoded", encode_flag_string("store_and_fwd_flag"))
     return scorer(feature_columns(ok)).withColumn("out_of_training_range", V.out_of_range())
 
 
@@ -51,15 +53,22 @@ def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = Non
     out = out or scratch_path(spark, "stream-score")
     preds_path, rejects_path = f"{out}/predictions", f"{out}/rejects"
     requests = requests_from_lineitem(table_stream(spark, sf_dir, "lineitem"))
-    validated = V.validate_records(requests).withColumn("correlation_id", V.correlation_id("request_id"))
+    validated = V.validate_records(requests, with_values=True).withColumn(
+        "correlation_id", V.correlation_id("request_id"))
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        scored = score_requests(batch, scorer).withColumn("epoch", F.lit(epoch))
-        scored.drop("features").write.mode("append").parquet(preds_path)
-        (batch.filter(~F.col("accepted"))
-              .select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id",
-                      V.error_message().alias("message"), F.lit(epoch).alias("epoch"))
-              .write.mode("append").parquet(rejects_path))
+        # One micro-batch (bounded by maxFilesPerTrigger) feeds two outputs:
+        # decode it once, then route accepted and rejected rows.
+        batch.persist()
+        try:
+            scored = score_requests(batch, scorer).withColumn("epoch", F.lit(epoch))
+            scored.drop("features").write.mode("append").parquet(preds_path)
+            (batch.filter(~F.col("accepted"))
+                  .select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id",
+                          V.error_message().alias("message"), F.lit(epoch).alias("epoch"))
+                  .write.mode("append").parquet(rejects_path))
+        finally:
+            batch.unpersist()
 
     _run(validated.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint")
     return {"predictions": preds_path, "rejects": rejects_path}
