@@ -63,9 +63,20 @@ def training_frame(df: DataFrame, key: str = "trip_id", names: list[str] = ORDER
 
 def train_pipeline(train: DataFrame, estimator=None, s: TripSettings = DEFAULT_SETTINGS,
                    key: str = "trip_id") -> PipelineModel:
-    """default estimator is the forest; rows canonicalised before the fit."""
+    """default estimator is the forest; rows canonicalised before the fit.
+
+    Estimators make several passes over their input (summary statistics, then
+    the solver / split search), so the canonical training frame is persisted
+    (memory, spilling to disk) for the fit and released afterwards; without
+    it every pass would recompute cleaning and the shuffle.
+    """
+    from pyspark import StorageLevel
     est = estimator if estimator is not None else create_model("random_forest", s)
-    return build_pipeline(est).fit(canonical(train, key, s.fit_partitions))
+    data = canonical(train, key, s.fit_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return build_pipeline(est).fit(data)
+    finally:
+        data.unpersist()
 
 
 def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION,

@@ -193,58 +193,88 @@ def numeric_columns(df: DataFrame, exclude: list[str] = CORRELATION_EXCLUDED,
     return cols
 
 
+def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation per pair over rows where both are present.
+
+    Each row builds one array of its column values and expands into
+    ``len(pairs)`` (pair id, x, y) entries by index lookup, so the generated
+    code has constant size in the number of pairs (a wide struct array or a
+    single aggregate with hundreds of buffers produces methods too long for
+    the JIT). ``groupBy(pair)`` then runs covar_samp / stddev_samp with
+    map-side partial aggregation: at most len(pairs) groups.
+    """
+    cols = list(dict.fromkeys([c for p in pairs for c in p]))
+    pos = {c: i + 1 for i, c in enumerate(cols)}
+    ia = F.array(*[F.lit(pos[a]) for a, _ in pairs])
+    ib = F.array(*[F.lit(pos[b]) for _, b in pairs])
+    vals = F.array(*[F.col(c).cast("double") for c in cols])
+    k = F.col("k")
+    long = (df.select(vals.alias("_v"), F.explode(F.sequence(F.lit(1), F.lit(len(pairs)))).alias("k"))
+              .select(k, F.element_at("_v", F.element_at(ia, k)).alias("x"),
+                      F.element_at("_v", F.element_at(ib, k)).alias("y"))
+              .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    g = long.groupBy("k").agg(F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"),
+                              F.stddev_samp("y").alias("sy"))
+    names_a = F.array(*[F.lit(a) for a, _ in pairs])
+    names_b = F.array(*[F.lit(b) for _, b in pairs])
+    return g.select(F.element_at(names_a, k).alias("column_a"), F.element_at(names_b, k).alias("column_b"),
+                    F.round(F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")), 6).alias("corr"))
+
+
 def corr_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pearson correlation (pairwise-complete) for the given pairs, one pass."""
-    one = df.agg(*[safe_corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    return _inline(one, [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                  F.round(F.col(f"_{i}"), 6).alias("corr"))
-                         for i, (a, b) in enumerate(pairs)])
+    """Correlations for the given pairs (long form)."""
+    return _pair_corr(df, pairs)
 
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Full matrix in long form. Only i <= j is aggregated; the mirror
-    half is produced from the one-row result."""
+    half is produced from the small result."""
     cols = columns or numeric_columns(df)
-    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[safe_corr(a, b).alias(f"_{k}") for k, (a, b) in enumerate(upper)])
-    structs = []
-    for k, (a, b) in enumerate(upper):
-        structs.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                F.round(F.col(f"_{k}"), 6).alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
-                                    F.round(F.col(f"_{k}"), 6).alias("corr")))
-    return _inline(one, structs)
+    upper = _pair_corr(df, [(a, b) for i, a in enumerate(cols) for b in cols[i:]])
+    both = upper.select(F.explode(F.array(
+        F.struct(F.col("column_a").alias("a"), F.col("column_b").alias("b"), "corr"),
+        F.when(F.col("column_a") != F.col("column_b"),
+               F.struct(F.col("column_b").alias("a"), F.col("column_a").alias("b"), "corr")))).alias("e"))
+    return both.filter(F.col("e").isNotNull()).select(F.col("e.a").alias("column_a"), F.col("e.b").alias("column_b"),
+                                                      F.col("e.corr").alias("corr"))
 
 
 # --------------------------------------------------------------- histograms
 
 def histogram(df: DataFrame, items: list[tuple[str, Column, int]]) -> DataFrame:
     """Equal-width histograms (last bin closed) for several labelled
-    expressions. Bounds come from one struct-valued scalar subquery; each row
-    is expanded to at most ``len(items)`` (label, bin) pairs and counted with a
-    partially aggregated groupBy (at most sum(bins) groups).
+    expressions, in one pass over the data after one bounds aggregate.
+
+    The bounds are one row (min and max per item), fetched once and used as
+    literals: referencing a scalar subquery in every bin expression would plan
+    one subquery (one pass over the input) per reference. Each row then
+    carries an int array with its bin per item (NULL when missing/excluded),
+    ``posexplode`` turns it into (item, bin) and a partially aggregated
+    groupBy counts at most sum(bins) groups.
     """
-    bounds = df.agg(F.struct(*[f for i, (_, x, _) in enumerate(items)
-                               for f in (F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))])).scalar()
-    entries = []
+    row = df.agg(*[f for i, (_, x, _) in enumerate(items)
+                   for f in (F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
+    edges = []
     for i, (name, x, bins) in enumerate(items):
-        lo0, hi0 = bounds[f"lo{i}"], bounds[f"hi{i}"]
-        # A constant column gets the range (v - 0.5, v + 0.5), like numpy.
-        lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
-        hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
-        b = F.least(F.floor((x - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
-        entries.append(F.when(x.isNotNull(), F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("column_name"),
-                                                      b.alias("bin"), lo.alias("lo"), hi.alias("hi"),
-                                                      F.lit(bins).alias("bins"))))
-    exploded = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
-    g = exploded.groupBy("e.ordinal", "e.column_name", "e.bin", "e.lo", "e.hi", "e.bins").agg(
-        F.count(F.lit(1)).cast("bigint").alias("count"))
-    width = (F.col("hi") - F.col("lo")) / F.col("bins")
-    return g.select("ordinal", "column_name", "bin",
-                    F.round(F.col("lo") + F.col("bin") * width, 6).alias("bin_lower"),
-                    F.round(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("bin_upper"),
-                    "count")
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is not None and lo == hi:  # a constant column gets (v - 0.5, v + 0.5), like numpy
+            lo, hi = lo - 0.5, hi + 0.5
+        edges.append((name, x, bins, lo, hi))
+    per_row = F.array(*[
+        (F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) * bins / F.lit(hi - lo)), F.lit(bins - 1)).cast("int"))
+         if lo is not None else F.lit(None).cast("int"))
+        for _, x, bins, lo, hi in edges])
+    counted = (df.select(F.posexplode(per_row).alias("item", "bin")).filter(F.col("bin").isNotNull())
+                 .groupBy("item", "bin").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+    item = F.col("item") + 1
+    lo = F.element_at(F.array(*[F.lit(e[3]).cast("double") for e in edges]), item)
+    hi = F.element_at(F.array(*[F.lit(e[4]).cast("double") for e in edges]), item)
+    nb = F.element_at(F.array(*[F.lit(e[2]) for e in edges]), item)
+    width = (hi - lo) / nb
+    return counted.select(F.col("item").alias("ordinal"),
+                          F.element_at(F.array(*[F.lit(e[0]) for e in edges]), item).alias("column_name"),
+                          "bin", F.round(lo + F.col("bin") * width, 6).alias("bin_lower"),
+                          F.round(lo + (F.col("bin") + 1) * width, 6).alias("bin_upper"), "count")
 
 
 # ------------------------------------------------------------------ box plots
