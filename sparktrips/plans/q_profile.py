@@ -374,3 +374,19 @@ order by md5(concat_ws(':', trip_id, '42')), trip_id limit 10000"""))
 def sample_trips(spark, sf_dir):
     df = _cleaned(spark, sf_dir).select("trip_id", "trip_distance", "trip_duration", "fare_amount", "total_amount")
     return profile.sample_rows(df, 10000, "trip_id", 42)
+
+
+@register("density_curve", with_clean("""
+, st as (select count(trip_duration) as n, stddev_samp(trip_duration) as sd, min(trip_duration) as lo,
+                max(trip_duration) as hi from dur_ok),
+hb as (select cast(least(floor((trip_duration - lo) * 50 / (hi - lo)), 49) as int) as bin, count(*) as cnt
+       from dur_ok, st where trip_duration is not null group by 1),
+grid as (select cast(range as int) as g from range(200))
+select g as grid_index, round(lo + g * ((hi - lo) / 199), 6) as x,
+  round(sum(cnt * exp(-0.5 * ((lo + g * ((hi - lo) / 199) - (lo + (bin + 0.5) * ((hi - lo) / 50))) / (sd * pow(n, -0.2)))
+                          * ((lo + g * ((hi - lo) / 199) - (lo + (bin + 0.5) * ((hi - lo) / 50))) / (sd * pow(n, -0.2)))))
+        / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 6) as density
+from hb, grid, st group by g, lo, hi, n, sd"""))
+def density_curve(spark, sf_dir):
+    """A21 (optional in the source): binned Gaussian KDE of duration."""
+    return profile.density_curve(_dur_ok(spark, sf_dir), "trip_duration")
