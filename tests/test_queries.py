@@ -14,7 +14,7 @@ from sparktrips.sources.tables import TABLES
 FAST = ["load_trips", "clean_trips", "retention_report", "avg_duration_by_hour", "describe_duration",
         "financial_summary", "corr_matrix", "histogram_money", "box_by_ratecode", "encode_features",
         "normalize_record", "exact_split", "validate_ranges", "rejects_by_rule", "latency_summary",
-        "averages_by_code", "regression_metrics", "score_sink"]
+        "averages_by_code", "regression_metrics", "score_sink", "density_curve"]
 
 
 def _canon(v):
