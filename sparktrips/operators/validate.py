@@ -23,20 +23,10 @@ ROOT = "root"
 ERRORS = "errors"
 VARIANT = "_v"
 
-_NUMERIC_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL")
-
-
 def _num_txt(x: float) -> str:
     return f"{x:g}"
 
 
-def _is_numeric_type(t: Column) -> Column:
-    c = F.lit(False)
-    for p in _NUMERIC_TYPES:
-        c = c | t.startswith(p)
-    return c
-
-
 def with_variant(df: DataFrame, payload: str = "payload") -> DataFrame:
     return df.withColumn(VARIANT, F.try_parse_json(F.col(payload)))
 
@@ -68,54 +58,69 @@ def _parts_col(name: str) -> str:
     return f"_f_{name}"
 
 
+# JSON kind of a member, decoded once per field.
+K_MISSING, K_NULL, K_NUMBER, K_STRING, K_BOOL, K_OTHER = range(6)
+_NUMERIC_RE = "^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
+
+
+def _kind(present: Column, jtype: Column) -> Column:
+    return (F.when(~present, K_MISSING).when(jtype == "VOID", K_NULL).when(jtype == "STRING", K_STRING)
+             .when(jtype == "BOOLEAN", K_BOOL).when(jtype.rlike(_NUMERIC_RE), K_NUMBER).otherwise(K_OTHER))
+
+
 def with_field_parts(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One struct column per request field holding (present, jtype, num, txt),
-    decoded from the member map once per projection; the rules read these
-    columns instead of decoding again."""
+    """One struct column per request field holding (kind, num, txt), decoded
+    from the member map once; the rules read these small columns (an int
+    kind, a double, a string) instead of decoding again."""
     d = with_members(df, payload)
     m = F.col(MEMBERS)
     cols = []
     for name, *_ in REQUEST_FIELDS:
         x = m[name]
-        cols.append(F.struct(F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False)).alias("present"),
-                             F.schema_of_variant(x).alias("jtype"),
+        present = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
+        cols.append(F.struct(_kind(present, F.schema_of_variant(x)).alias("kind"),
                              F.try_variant_get(x, "$", "double").alias("num"),
                              F.try_variant_get(x, "$", "string").alias("txt")).alias(_parts_col(name)))
     keep = [c for c in d.columns if c != MEMBERS]
     return d.select(*keep, m.isNotNull().alias("_is_object"), *cols)
 
 
-def field_error(v: Column | None, name: str, default, gt, ge, lt, prefix: Column | None = None,
-                parts: Column | None = None) -> Column:
-    """Error struct for one field, or NULL. One error per field, first failing
+def field_message(name: str, default, gt, ge, lt, parts: Column) -> Column:
+    """Message for one field, or NULL. One error per field, first failing
     rule wins: missing/required, null, type, then bounds (lt, ge, gt)."""
-    if parts is not None:
-        present, jtype, num, txt = parts["present"], parts["jtype"], parts["num"], parts["txt"]
-    else:
-        present, jtype, num = field_parts(v, name)
-        txt = F.try_variant_get(v, f"$.{name}", "string")
-    fname = F.lit(name) if prefix is None else F.concat(prefix, F.lit(name))
-    err = lambda msg: F.struct(fname.alias("field"), F.lit(msg).alias("message"))
-    missing = err(MSG_REQUIRED) if default is None else F.lit(None)
+    kind, num, txt = parts["kind"], parts["num"], parts["txt"]
+    missing = F.lit(MSG_REQUIRED) if default is None else F.lit(None).cast("string")
     if name == "store_and_fwd_flag":
-        return (F.when(~present, missing)
-                 .when(jtype != "STRING", err(MSG_STRING))
-                 .when(~txt.isin("Y", "N", "y", "n"), err(MSG_PATTERN.format(FLAG_PATTERN))))
-    bad_num = F.isnull(num)
-    out = (F.when(~present, missing)
-            .when(jtype == "VOID", err(MSG_NUMBER))
-            .when((jtype == "STRING") & bad_num, err(MSG_NUMBER_PARSE))
-            .when(~(_is_numeric_type(jtype) | (jtype == "STRING") | (jtype == "BOOLEAN")) | bad_num, err(MSG_NUMBER)))
+        return (F.when(kind == K_MISSING, missing)
+                 .when(kind != K_STRING, F.lit(MSG_STRING))
+                 .when(~txt.isin("Y", "N", "y", "n"), F.lit(MSG_PATTERN.format(FLAG_PATTERN))))
+    out = (F.when(kind == K_MISSING, missing)
+            .when(kind == K_NULL, F.lit(MSG_NUMBER))
+            .when((kind == K_STRING) & num.isNull(), F.lit(MSG_NUMBER_PARSE))
+            .when((kind == K_OTHER) | num.isNull(), F.lit(MSG_NUMBER)))
     nan = F.isnan(num)
     if lt is not None:
-        out = out.when(nan | ~(num < F.lit(lt)), err(MSG_LT.format(_num_txt(lt))))
+        out = out.when(nan | ~(num < F.lit(lt)), F.lit(MSG_LT.format(_num_txt(lt))))
     if ge is not None:
-        out = out.when(nan | ~(num >= F.lit(ge)), err(MSG_GE.format(_num_txt(ge))))
+        out = out.when(nan | ~(num >= F.lit(ge)), F.lit(MSG_GE.format(_num_txt(ge))))
     if gt is not None:
-        out = out.when(nan | ~(num > F.lit(gt)), err(MSG_GT.format(_num_txt(gt))))
+        out = out.when(nan | ~(num > F.lit(gt)), F.lit(MSG_GT.format(_num_txt(gt))))
     return out
 
 
+def field_error(v: Column | None, name: str, default, gt, ge, lt, prefix: Column | None = None,
+                parts: Column | None = None) -> Column:
+    """Error struct ``{field, message}`` for one field, or NULL. Without
+    ``parts`` the member is decoded from the variant ``v``."""
+    if parts is None:
+        present, jtype, num = field_parts(v, name)
+        parts = F.struct(_kind(present, jtype).alias("kind"), num.alias("num"),
+                         F.try_variant_get(v, f"$.{name}", "string").alias("txt"))
+    msg = field_message(name, default, gt, ge, lt, parts)
+    fname = F.lit(name) if prefix is None else F.concat(prefix, F.lit(name))
+    return F.when(msg.isNotNull(), F.struct(fname.alias("field"), msg.alias("message")))
+
+
 ERROR_TYPE = "array<struct<field:string,message:string>>"
 
 
@@ -131,17 +136,20 @@ def _msg_col(name: str) -> str:
 
 
 def with_field_errors(d: DataFrame, prefix: Column | None = None) -> DataFrame:
-    """Per-field error structs as columns (NULL when the field is fine)."""
-    errs = [field_error(None, n, dflt, gt, ge, lt, prefix, parts=F.col(_parts_col(n))).alias(_msg_col(n))
+    """Per-field messages as string columns (NULL when the field is fine)."""
+    msgs = [field_message(n, dflt, gt, ge, lt, F.col(_parts_col(n))).alias(_msg_col(n))
             for n, dflt, gt, ge, lt in REQUEST_FIELDS]
-    return d.select("*", *errs)
+    return d.select("*", *msgs)
 
 
 def errors_from_parts(prefix: Column | None = None) -> Column:
     """All field errors of one record, in field declaration order (built from
     the per-field columns of ``with_field_errors``)."""
     root = F.lit(ROOT) if prefix is None else F.regexp_replace(prefix, r"\.$", "")
-    per_field = compact([F.col(_msg_col(n)) for n, *_ in REQUEST_FIELDS])
+    def err(n):
+        fname = F.lit(n) if prefix is None else F.concat(prefix, F.lit(n))
+        return F.when(F.col(_msg_col(n)).isNotNull(), F.struct(fname.alias("field"), F.col(_msg_col(n)).alias("message")))
+    per_field = compact([err(n) for n, *_ in REQUEST_FIELDS])
     return F.when(F.col("_is_object"), per_field).otherwise(
         F.array(F.struct(root.alias("field"), F.lit(MSG_NOT_OBJECT).alias("message"))))
 
@@ -158,10 +166,10 @@ def typed_values(parts_of=lambda n: F.col(_parts_col(n))) -> list[Column]:
     for name, default, *_ in REQUEST_FIELDS:
         p = parts_of(name)
         if name == "store_and_fwd_flag":
-            cols.append(F.when(~p["present"], F.lit(default)).otherwise(p["txt"]).alias(name))
+            cols.append(F.when(p["kind"] == K_MISSING, F.lit(default)).otherwise(p["txt"]).alias(name))
         else:
             dflt = F.lit(None).cast("double") if default is None else F.lit(float(default))
-            cols.append(F.when(~p["present"], dflt).otherwise(p["num"]).alias(name))
+            cols.append(F.when(p["kind"] == K_MISSING, dflt).otherwise(p["num"]).alias(name))
     return cols
 
 
