@@ -42,6 +42,8 @@ def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "_rank") -
     4. offsets = running sum of per-partition counts, one row per partition
        (a size bound that does not grow with data), broadcast and joined.
     """
+    from sparktrips.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.orderBy(*order_cols)
     indexed = (ordered.withColumn("_pid", F.spark_partition_id())
                       .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
