@@ -196,6 +196,10 @@ class TripSettings:
     feature_names: list[str] = field(default_factory=lambda: list(ORDERED_FEATURE_NAMES))
     # Fixed partition count used to canonicalise rows before a fit (see model.py).
     fit_partitions: int = 8
+    # None: exact, linearly interpolated quantile (the default, same as the
+    # reference). An integer: percentile_approx with this accuracy, for
+    # continuous columns whose distinct values are unbounded.
+    quantile_accuracy: int | None = None
 
     def with_(self, **kw) -> "TripSettings":
         return replace(self, **kw)

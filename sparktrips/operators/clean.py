@@ -37,19 +37,23 @@ def drop_null_block(df: DataFrame, columns: list[str] = NULL_BLOCK_COLUMNS) -> D
     return df.dropna(how="any", subset=present) if present else df
 
 
-def quantile_scalar(df: DataFrame, column: str, q: float) -> Column:
-    """Exact, linearly interpolated quantile as a scalar-subquery column.
-
-    ``percentile`` aggregates map-side into value->count maps, so its memory
-    and shuffle grow with the number of *distinct* values (durations at
-    1-second resolution), not with rows.
+def quantile_scalar(df: DataFrame, column: str, q: float, accuracy: int | None = None) -> Column:
+    """Quantile as a scalar-subquery column.
+
+    Default: exact, linearly interpolated ``percentile``. It aggregates
+    map-side into value->count maps, so its memory and shuffle grow with the
+    number of *distinct* values (durations at 1-second resolution), not with
+    rows. With ``accuracy``: ``percentile_approx`` (bounded sketch, relative
+    rank error 1/accuracy) for columns with unbounded distinct values.
     """
+    if accuracy:
+        return df.agg(F.percentile_approx(F.col(column), q, accuracy)).scalar()
     return df.agg(F.percentile(F.col(column), F.lit(q))).scalar()
 
 
 def duration_quantile_filter(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Keep ``min < duration <= quantile(q)``."""
-    upper = quantile_scalar(df, s.target_col, s.duration_max_quantile)
+    upper = quantile_scalar(df, s.target_col, s.duration_max_quantile, s.quantile_accuracy)
     d = F.col(s.target_col)
     return df.filter((d > F.lit(s.duration_min)) & (d <= upper))
 
@@ -78,7 +82,7 @@ def blocked_trips(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataFram
 def retention_report(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Rows kept after each cleaning stage, in one pass over the input.
 
-    Each row gets stage flags; a single aggregate counts them; ``stack`` turns
+    Each row gets stage flags; a single aggregate counts them; ``inline`` turns
     the one-row result into (stage, rows, pct_of_raw).
     """
     d = with_trip_duration(df, s)
@@ -86,7 +90,7 @@ def retention_report(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataF
     ok_block = F.lit(True)
     for c in present:
         ok_block = ok_block & F.col(c).isNotNull()
-    upper = quantile_scalar(drop_null_block(d), s.target_col, s.duration_max_quantile)
+    upper = quantile_scalar(drop_null_block(d), s.target_col, s.duration_max_quantile, s.quantile_accuracy)
     dur = F.col(s.target_col)
     ok_dur = ok_block & (dur > F.lit(s.duration_min)) & (dur <= upper)
     ok_dist = ok_dur & (F.col("trip_distance") > F.lit(s.distance_min)) if "trip_distance" in d.columns else ok_dur

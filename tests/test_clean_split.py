@@ -83,3 +83,11 @@ def test_exact_split_sizes(spark):
     df = spark.range(37535).withColumn("trip_id", F.col("id").cast("string"))
     sizes = {r["split"]: r["rows"] for r in split.split_sizes(split.exact_split(df)).collect()}
     assert sizes == {"train": 22521, "val": 7507, "test": 7507}
+
+
+def test_approximate_quantile_option(spark, sf_small):
+    from sparktrips.config import DEFAULT_SETTINGS
+    trips = views.trips(spark, sf_small)
+    exact = clean.clean_trips(trips).count()
+    approx = clean.clean_trips(trips, DEFAULT_SETTINGS.with_(quantile_accuracy=100000)).count()
+    assert abs(exact - approx) <= 5
