@@ -78,9 +78,13 @@ def with_field_parts(df: DataFrame, payload: str = "payload") -> DataFrame:
     for name, *_ in REQUEST_FIELDS:
         x = m[name]
         present = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
-        cols.append(F.struct(_kind(present, F.schema_of_variant(x)).alias("kind"),
-                             F.try_variant_get(x, "$", "double").alias("num"),
-                             F.try_variant_get(x, "$", "string").alias("txt")).alias(_parts_col(name)))
+        # Text is only read by the flag rule; numeric fields skip that decode.
+        txt = (F.try_variant_get(x, "$", "string") if name == "store_and_fwd_flag"
+               else F.lit(None).cast("string"))
+        num = (F.lit(None).cast("double") if name == "store_and_fwd_flag"
+               else F.try_variant_get(x, "$", "double"))
+        cols.append(F.struct(_kind(present, F.schema_of_variant(x)).alias("kind"), num.alias("num"),
+                             txt.alias("txt")).alias(_parts_col(name)))
     keep = [c for c in d.columns if c != MEMBERS]
     return d.select(*keep, m.isNotNull().alias("_is_object"), *cols)
 

@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole-stage codegen can emit methods above HotSpot's 8000-byte JIT
+    # limit (wide projections, JSON decoding); without this flag such methods
+    # stay in the bytecode interpreter. Pass the same on spark-submit.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
