@@ -189,7 +189,7 @@ def vocabulary_frame(df: DataFrame, numeric: list[str], categorical: list[str])
 def vectorize_long(df: DataFrame, key: str, numeric: list[str], categorical: list[str],
                    vocab: DataFrame) -> DataFrame:
     """Checkable long form of the vectorizer: (key, name, value) for every
-    non-zero entry whose name is in the vocabulary (inner join on name)."""
+    non-zero entry whose name is in the vocabulary (semi-join on name)."""
     entries = [F.struct(F.lit(n).alias("name"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"))
                for n in numeric]
     entries += [F.when(F.col(c).isNotNull(), F.struct(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("name"),
@@ -197,4 +197,7 @@ def vectorize_long(df: DataFrame, key: str, numeric: list[str], categorical: lis
                 for c in categorical]
     long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
               .filter(F.col("e").isNotNull()).select(key, "e.name", "e.value"))
-    return long.filter(F.col("value") != 0).join(vocab, "name")
+    # Keep entries whose name is in the vocabulary (unseen categories drop
+    # out). The vocabulary is bounded by the category domains; AQE broadcasts
+    # it after measuring its size, else the shuffle join splits hot names.
+    return long.filter(F.col("value") != 0).join(vocab.select("name"), "name", "left_semi")
