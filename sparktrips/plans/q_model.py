@@ -120,8 +120,8 @@ def fit_forest(spark, sf_dir):
     return model.importances_frame(spark, _fit(spark, sf_dir, "random_forest"))
 
 
-@register("train_pipeline")
-def train_pipeline(spark, sf_dir):
+@register("fit_default_model")
+def fit_default_model(spark, sf_dir):
     """default pipeline (assembler + forest) fitted on canonicalised
     rows; validation metrics."""
     m = _fit(spark, sf_dir, "random_forest")
