@@ -61,7 +61,9 @@ def exact_split(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS, key: str | No
     """Exact split sizes, rows ordered by md5(key:seed) then key."""
     k = key or s.key_col
     ranked = global_rank(df.withColumn("_h", _order_key(k, s.random_state)), ["_h", k])
-    n = df.agg(F.count(F.lit(1))).scalar()
+    # Count from the checkpointed table, not the input: no second pass over
+    # whatever produced ``df``.
+    n = ranked.agg(F.count(F.lit(1))).scalar()
     n_test = F.ceil(n * F.lit(s.test_size))
     n_val = F.ceil((n - n_test) * F.lit(s.val_size))
     r = F.col("_rank")
