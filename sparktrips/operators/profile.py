@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktrips.config import CORRELATION_EXCLUDED, FARE_COMPONENTS, MONETARY_COLUMNS
-from sparktrips.functions.columns import row_sum_skip_null, safe_corr
+from sparktrips.functions.columns import row_sum_skip_null
 
 DESCRIBE_PCTS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 

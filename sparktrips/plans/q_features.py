@@ -3,7 +3,6 @@ splits (P7-P11, F1, F8, D1-D3, D5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES, RECORD_NUMERIC_KEYS
 from sparktrips.functions.columns import pu_do

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from sparktrips.operators import logs
 from sparktrips.plans.catalog import register
@@ -98,8 +97,11 @@ def stream_latency_windows(spark, sf_dir):
 
 @register("stream_score")
 def stream_score(spark, sf_dir):
-    """Requests stream -> validate -> score -> predictions table."""
-    scorer = lambda df: df.withColumn("prediction", F.lit(3.0) * F.col("trip_distance") + F.lit(5.0))
+    """Requests stream -> validate -> score with the fitted linear
+    pipeline (Spark ML ``transform`` inside ``foreachBatch``) -> predictions."""
+    from sparktrips.plans.q_model import _fit
+    fitted = _fit(spark, sf_dir, "linear_regression")
+    scorer = lambda df: fitted.transform(df).drop("features")
     paths = jobs.stream_score(spark, sf_dir, scorer)
     return spark.read.parquet(paths["predictions"]).select(
         "request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", "prediction", "out_of_training_range")
