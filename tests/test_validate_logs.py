@@ -141,3 +141,24 @@ def test_stream_score_matches_batch(spark, sf_small):
     val = V.validate_records(views.requests(spark, sf_small))
     assert preds.count() == val.filter("accepted").count()
     assert rejects.count() == val.filter("not accepted").count()
+
+
+def test_stream_score_with_pipeline_equals_batch(spark, sf_small):
+    from sparktrips.config import DEFAULT_SETTINGS
+    from sparktrips.operators import clean, model
+    from sparktrips.sources import views
+    s = DEFAULT_SETTINGS.with_(fit_partitions=4)
+    train = model.training_frame(clean.clean_trips(views.trips(spark, sf_small)))
+    fitted = model.train_pipeline(train, model.create_model("linear_regression", s), s)
+    scorer = lambda d: fitted.transform(d).drop("features")
+    paths = jobs.stream_score(spark, sf_small, scorer, out=scratch_path(spark, "t-score-ml"))
+    # (request_id, pos, partkey, suppkey) is not unique at sf0.001; the
+    # payload fixes the prediction, so duplicates pair up identically.
+    keys = ["request_id", "pos", "l_partkey", "l_suppkey", "payload"]
+    stream = (spark.read.parquet(paths["predictions"]).select(*keys, F.col("prediction").alias("p_stream"))
+                   .dropDuplicates(keys))
+    batch = jobs.score_requests(V.validate_records(views.requests(spark, sf_small), with_values=True), scorer)
+    batch = batch.select(*keys, F.col("prediction").alias("p_batch")).dropDuplicates(keys)
+    both = stream.join(batch, keys, "full_outer")
+    assert both.filter(F.col("p_stream").isNull() | F.col("p_batch").isNull()).count() == 0
+    assert both.agg(F.max(F.abs(F.col("p_stream") - F.col("p_batch")))).first()[0] == 0.0
