@@ -78,12 +78,17 @@ def describe_many(df: DataFrame, items: list[tuple[str, Column]], pcts: list[flo
     Conditional inputs (``when(cond, x)``) give per-stage statistics from the
     same pass, since every aggregate skips NULL.
     """
+    # Each item is computed once in a projection; the aggregates read plain
+    # columns (an item holding a scalar subquery is not copied into each of
+    # its six aggregates).
+    xs = df.select(*[x.alias(f"_x{i}") for i, (_, x) in enumerate(items)])
     aggs = []
-    for i, (_, x) in enumerate(items):
+    for i in range(len(items)):
+        x = F.col(f"_x{i}")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                  F.percentile(x, F.array(*[F.lit(p) for p in pcts])).alias(f"q{i}")]
-    one = df.agg(*aggs)
+    one = xs.agg(*aggs)
     structs = []
     for i, (name, _) in enumerate(items):
         fields = [F.lit(i).alias("ordinal"), F.lit(name).alias(label),

@@ -78,7 +78,8 @@ def regression_metrics(spark, sf_dir):
     y, x = F.col("trip_duration"), F.col("trip_distance")
     coef = t.filter(F.col(split.SPLIT) == "train").agg(
         F.struct(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a"))).scalar()
-    pred = t.filter(F.col(split.SPLIT) == "val").select(y, (coef["a"] + coef["b"] * x).alias("prediction"))
+    val = t.filter(F.col(split.SPLIT) == "val").select(y, x, coef.alias("_c"))
+    pred = val.select(y, (F.col("_c.a") + F.col("_c.b") * x).alias("prediction"))
     return model.regression_metrics(pred)
 
 
