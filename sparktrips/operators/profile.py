@@ -175,15 +175,19 @@ def fare_discrepancies(df: DataFrame, tolerance: float = 0.01, n: int = 5, key:
 
 
 def discrepancy_rate(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Count and share of discrepant rows, with a describe of the difference."""
-    fc = fare_consistency(df)
-    d = F.col("total_amount_difference")
-    stats = describe_many(fc, [("total_amount_difference", d)], pcts=[0.25, 0.5, 0.75])
-    rate = fc.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(d) > tolerance).alias("discrepant"))
-    return (stats.drop("ordinal", "name")
-                 .withColumn("discrepant", F.lit(rate.select(F.col("discrepant").cast("bigint")).scalar()))
-                 .withColumn("pct_discrepant",
-                             F.round(rate.select(F.try_divide(F.col("discrepant") * 100.0, F.col("rows"))).scalar(), 6)))
+    """Count and share of discrepant rows with a describe of the
+    difference: one aggregate pass."""
+    d = F.col("_d")
+    one = (fare_consistency(df).select(F.col("total_amount_difference").alias("_d"))
+           .agg(F.count(d).cast("bigint").alias("count"), F.avg(d).alias("mean"), F.stddev_samp(d).alias("std"),
+                F.min(d).cast("double").alias("min"),
+                F.percentile(d, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
+                F.max(d).cast("double").alias("max"), F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.abs(d) > tolerance).cast("bigint").alias("discrepant")))
+    return one.select("count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
+                      *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
+                      "max", "discrepant",
+                      F.round(F.try_divide(F.col("discrepant") * 100.0, F.col("rows")), 6).alias("pct_discrepant"))
 
 
 # ------------------------------------------------------------- correlations
@@ -328,21 +332,26 @@ def box_stats(df: DataFrame, value: str, group: str | Column | None = None, grou
 def duration_flags(df: DataFrame, column: str = "trip_duration") -> DataFrame:
     """Non-positive, under one minute, and above-p99 durations."""
     p99 = df.agg(F.percentile(F.col(column), F.lit(0.99))).scalar()
-    d = F.col(column)
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                  F.count_if(d <= 0).cast("bigint").alias("non_positive"),
-                  F.count_if((d > 0) & (d < 1)).cast("bigint").alias("under_1_min"),
-                  F.count_if(d > p99).cast("bigint").alias("above_p99")).withColumn("p99", F.round(p99, 6))
+    d, p = F.col("_v"), F.col("_p")
+    # p99 enters as one projected column, so the subquery is planned once.
+    return (df.select(F.col(column).alias("_v"), p99.alias("_p"))
+              .agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                   F.count_if(d <= 0).cast("bigint").alias("non_positive"),
+                   F.count_if((d > 0) & (d < 1)).cast("bigint").alias("under_1_min"),
+                   F.count_if(d > p).cast("bigint").alias("above_p99"),
+                   F.round(F.max(p), 6).alias("p99")))
 
 
 def distance_flags(df: DataFrame, column: str = "trip_distance") -> DataFrame:
     """Zero, negative and above-p99 distances."""
     p99 = df.agg(F.percentile(F.col(column), F.lit(0.99))).scalar()
-    d = F.col(column)
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                  F.count_if(d == 0).cast("bigint").alias("zero"),
-                  F.count_if(d < 0).cast("bigint").alias("negative"),
-                  F.count_if(d > p99).cast("bigint").alias("above_p99")).withColumn("p99", F.round(p99, 6))
+    d, p = F.col("_v"), F.col("_p")
+    return (df.select(F.col(column).alias("_v"), p99.alias("_p"))
+              .agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                   F.count_if(d == 0).cast("bigint").alias("zero"),
+                   F.count_if(d < 0).cast("bigint").alias("negative"),
+                   F.count_if(d > p).cast("bigint").alias("above_p99"),
+                   F.round(F.max(p), 6).alias("p99")))
 
 
 def passenger_flags(df: DataFrame, column: str = "passenger_count") -> DataFrame:
