@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
+import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -26,11 +30,13 @@ DEFAULT_CONF = {
 def build_session(master: str | None = None, app: str = "sparktrips",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests. On a cluster, spark-submit supplies the
-    master and the shared ``spark.checkpoint.dir``; we only fill what is unset."""
+    master, the options and the shared ``spark.checkpoint.dir``; ``DEFAULT_CONF``
+    only fills options that spark-submit left unset."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    submitted = SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not submitted.contains(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -45,14 +51,17 @@ def build_session(master: str | None = None, app: str = "sparktrips",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set by the cluster; only when it is unset (local tests) we fall back to a
-    folder under the system temp dir.
+    Where it is unset, a ``local[...]`` master (tests) gets a fresh temporary
+    folder, removed at exit; any other master is refused, since a folder on
+    one machine is not seen by the other executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = os.path.join(os.environ.get("TMPDIR", "/tmp"), "sparktrips-checkpoints")
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is unset on {master}: name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="sparktrips-checkpoints-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
