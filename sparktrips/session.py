@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -35,6 +36,8 @@ def build_session(master: str | None = None, app: str = "sparktrips",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # under spark-submit its options are in the JVM
+        SparkContext._ensure_initialized()
     submitted = SparkConf()
     conf = {k: v for k, v in DEFAULT_CONF.items() if not submitted.contains(k)}
     if shuffle_partitions:
