@@ -7,19 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktrips.llm import token_counts
+from sparktrips.llm import secret_scan, token_counts, url_filters
 from sparktrips.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(read_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, QueryFn]:
-    return {"op2_token_counts": op2_token_counts}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_secret_scan": secret_scan.oracle()}
