@@ -228,7 +228,8 @@ def _named(spans: Column, rules: tuple[SecretRule, ...]) -> Column:
 def digest(scanned: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id") -> DataFrame:
     """Per row of ``scan``: a count per base kind, the hash of the base spans and all spans as text."""
     base = [i for i, r in enumerate(rules) if r.base]
-    counts = [F.size(F.filter("found", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{rules[i].kind}") for i in base]
+    count = lambda place: F.size(F.filter("found", lambda s: s["kind"] == place)).cast("bigint")
+    counts = [count(i).alias(f"n_{rules[i].kind}") for i in base]
     base_spans = F.filter("found", lambda s: s["kind"].isin(base))
     return scanned.select(id_col, *counts, F.sha2(_named(base_spans, rules), 256).alias("base_sha256"), _named(F.col("found"), rules).alias("spans"))
 
