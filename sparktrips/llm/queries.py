@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktrips.llm import secret_scan, token_counts, url_filters
+from sparktrips.llm import language_id, packing, secret_scan, token_counts, url_filters
 from sparktrips.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,12 +21,20 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op10_url_filters)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_packing, op9_language_id, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
