@@ -53,15 +53,17 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows of at most ``most_bytes`` of text
-    (a single longer text is a run of its own)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 21,
+           most_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of at most ``most_rows`` rows and ``most_bytes`` of
+    text (a single longer text is a run of its own)."""
     for batch in batches:
         sizes = _byte_ends(batch.column(column))
         at = 0
         while at < batch.num_rows:
             base = sizes[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(sizes, base + most_bytes, side="right")))
+            to = min(to, at + most_rows)
             yield batch.slice(at, to - at)
             at = to
 
@@ -123,14 +125,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of several texts, A-Z lower-cased, as
     64-bit hashes. ``hashes`` are in text order; text i owns
-    ``hashes[ends[i-1]:ends[i]]`` (``first[i]`` to ``first[i+1]``)."""
+    ``hashes[first[i]:first[i + 1]]``. Other bytes may separate words, by a
+    table of 256 flags."""
 
-    def __init__(self, texts: list[bytes], lower: bool = True):
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        if lower:
-            data = _LOWER[data]
+    def __init__(self, texts: list[bytes], separator: np.ndarray = _IS_SEPARATOR):
+        data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)]) if texts else np.zeros(1, np.int64)
-        inside = ~_IS_SEPARATOR[data]
+        inside = ~separator[data]
         bound = np.zeros(len(data) + 1, bool)
         bound[offsets] = True
         after_gap = np.concatenate([[True], ~inside[:-1]]) if len(data) else np.zeros(0, bool)
@@ -170,19 +171,6 @@ class Words:
         return out
 
 
-def shingle_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``n`` words of one text, and the text of each."""
-    owner = words.owner()
-    if len(words) < n:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    last = len(words) - n + 1
-    h = words.hashes[:last].copy()
-    for k in range(1, n):
-        h = mix(h * _U(3) + words.hashes[k:k + last])
-    whole = owner[:last] == owner[n - 1:]
-    return h[whole], owner[:last][whole]
-
-
 def crc_mod(column, modulus: int):
     """crc32 of a column's text, modulo ``modulus`` (null: of the empty text)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktrips.llm import language_id, packing, secret_scan, token_counts, url_filters
+from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, secret_scan, token_counts, url_filters
 from sparktrips.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
@@ -34,7 +47,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_packing, op9_language_id, op10_url_filters)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_packing, op6_lm_scoring, op7_jaccard_join,
+                                    op8_decontaminate, op9_language_id, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
