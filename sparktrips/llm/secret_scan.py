@@ -203,11 +203,13 @@ def _spans(rule: SecretRule, place: int) -> Column:
     return F.aggregate(zipped, zero, step, lambda s: s["spans"])
 
 
-def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
-         keep_text: bool = False) -> DataFrame:
-    """Per row: the id and ``found``, all spans by start and then kind as listed:
-    array<struct<start, kind (place in ``rules``), end>>; with ``text`` if kept."""
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``id``, ``text`` (empty for null), ``rest`` (a struct of the other
+    columns) and ``found``, all spans by start and then kind as listed:
+    array<struct<start, kind (place in ``rules``), end>>."""
+    others = [c for c in docs.columns if c != text_col]
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest"))
     queries = {r.kind: q for r in rules if (q := trigram_query(r.regex))}
     none = F.array().cast(f"array<{SPAN}>")
     flagged = docs
@@ -216,8 +218,7 @@ def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "
         chosen = candidates(postings(docs, trigrams), trigrams, queries)
         flagged = docs.withColumn("key", _key()).join(chosen, "key", "left")
     each = [F.when(F.col(r.kind), _spans(r, i)).otherwise(none) if r.kind in queries else _spans(r, i) for i, r in enumerate(rules)]
-    found = F.array_sort(F.concat(*each))
-    return flagged.select(F.col("id").alias(id_col), *([F.col("text").alias(text_col)] if keep_text else []), found.alias("found"))
+    return flagged.select("id", "text", "rest", F.array_sort(F.concat(*each)).alias("found"))
 
 
 def _named(spans: Column, rules: tuple[SecretRule, ...]) -> Column:
@@ -231,15 +232,16 @@ def digest(scanned: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: st
     count = lambda place: F.size(F.filter("found", lambda s: s["kind"] == place)).cast("bigint")
     counts = [count(i).alias(f"n_{rules[i].kind}") for i in base]
     base_spans = F.filter("found", lambda s: s["kind"].isin(base))
-    return scanned.select(id_col, *counts, F.sha2(_named(base_spans, rules), 256).alias("base_sha256"), _named(F.col("found"), rules).alias("spans"))
+    return scanned.select(F.col("id").alias(id_col), *counts, F.sha2(_named(base_spans, rules), 256).alias("base_sha256"),
+                          _named(F.col("found"), rules).alias("spans"))
 
 
 def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, mark: str = "[REDACTED]",
            text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``scan`` with the text kept and each span in it replaced by ``mark``; spans
-    that overlap are replaced as one. Text without spans is left as it is."""
-    rows = scan(docs, rules, id_col, text_col, keep_text=True)
-    text = F.col(text_col)
+    """The rows with each span in their text replaced by ``mark``; spans that overlap
+    are replaced as one. Text without spans stays (null becomes empty), and so do
+    the other columns."""
+    rows, text = scan(docs, rules, id_col, text_col), F.col("text")
 
     def step(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
@@ -249,7 +251,8 @@ def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, mark: str = "
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     whole = F.aggregate("found", zero, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text) - s["at"])))
-    return rows.withColumn(text_col, F.when(F.size("found") > 0, whole).otherwise(text))
+    clean = F.when(F.size("found") > 0, whole).otherwise(text)
+    return rows.select(*[(clean if c == text_col else F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def oracle(rules: tuple[SecretRule, ...] = RULES) -> str:
