@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from sparktrips.config import DAY_NAMES
 
 MICROS_PER_MINUTE = 60_000_000.0
+#: What Python's ``str.strip`` takes off, up to U+00A0.
+WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 
 
 def col_(c: str | Column) -> Column:
@@ -31,8 +33,8 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def encode_flag_string(c: str | Column) -> Column:
-    """'Y' (any case, surrounding blanks ignored) -> 1, anything else (incl. null) -> 0."""
-    return F.when(F.upper(F.trim(col_(c))) == "Y", 1).otherwise(0).cast("int")
+    """'Y' (any case, surrounding white space ignored) -> 1, anything else (incl. null) -> 0."""
+    return F.when(F.upper(F.btrim(col_(c), F.lit(WHITE_SPACE))) == "Y", 1).otherwise(0).cast("int")
 
 
 def encode_flag(c: str | Column, dtype: T.DataType | None = None) -> Column:
@@ -80,18 +82,6 @@ def tip_percentage(tip: str | Column = "tip_amount", fare: str | Column = "fare_
     return F.when(col_(fare) > 0, col_(tip) * 100.0 / col_(fare))
 
 
-def safe_corr(x: str, y: str) -> Column:
-    """Pearson correlation over rows where both are present.
-
-    ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode; this
-    form returns NULL there and equals ``corr`` elsewhere.
-    """
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xs = F.when(both, F.col(x))
-    ys = F.when(both, F.col(y))
-    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
-
-
 def unit_hash(key: Column, seed: int) -> Column:
     """Deterministic uniform number in [0, 1) from a row key and a seed.
 
@@ -101,6 +91,3 @@ def unit_hash(key: Column, seed: int) -> Column:
     h = F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 8), 16, 10)
     return h.cast("bigint").cast("double") / 4294967296.0
 
-
-def round6(c: Column) -> Column:
-    return F.round(c, 6)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, NULL_BLOCK_COLUMNS, TripSettings
 from sparktrips.functions.columns import duration_minutes
+from sparktrips.operators import quantiles
 
 
 def with_trip_duration(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataFrame:
@@ -40,15 +41,13 @@ def drop_null_block(df: DataFrame, columns: list[str] = NULL_BLOCK_COLUMNS) -> D
 def quantile_scalar(df: DataFrame, column: str, q: float, accuracy: int | None = None) -> Column:
     """Quantile as a scalar-subquery column.
 
-    Default: exact, linearly interpolated ``percentile``. It aggregates
-    map-side into value->count maps, so its memory and shuffle grow with the
-    number of *distinct* values (durations at 1-second resolution), not with
-    rows. With ``accuracy``: ``percentile_approx`` (bounded sketch, relative
-    rank error 1/accuracy) for columns with unbounded distinct values.
+    Default: exact and linearly interpolated, from counts of distinct values
+    (``quantiles``). With ``accuracy``: ``percentile_approx`` (bounded sketch,
+    relative rank error 1/accuracy) for columns with unbounded distinct values.
     """
     if accuracy:
         return df.agg(F.percentile_approx(F.col(column), q, accuracy)).scalar()
-    return df.agg(F.percentile(F.col(column), F.lit(q))).scalar()
+    return quantiles.quantile(df, F.col(column), q).scalar()
 
 
 def duration_quantile_filter(df: DataFrame, s: TripSettings = DEFAULT_SETTINGS) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparktrips.operators import quantiles
+
 # Log record layout: fixed keys plus an optional exception text.
 LOG_SCHEMA = ("timestamp STRING, level STRING, logger STRING, message STRING, "
               "correlation_id STRING, exception STRING")
@@ -59,14 +61,13 @@ def extract_latency(parsed: DataFrame, message: str = "message") -> DataFrame:
 
 def latency_summary(lat: DataFrame, keys: list[str] = ("kind", "path")) -> DataFrame:
     """L3: mean and P95 (linear interpolation) latency per group, and each
-    group's mean relative to the fastest group's mean (window over the small
-    grouped result)."""
-    g = (lat.filter(F.col("latency_ms").isNotNull()).groupBy(*keys)
-            .agg(F.count(F.lit(1)).cast("bigint").alias("calls"), F.avg("latency_ms").alias("mean_ms"),
-                 F.percentile("latency_ms", F.lit(0.95)).alias("p95_ms")))
-    return g.select(*keys, "calls", F.round("mean_ms", 6).alias("mean_ms"), F.round("p95_ms", 6).alias("p95_ms"),
-                    F.round(F.col("mean_ms") / F.min("mean_ms").over(Window.partitionBy()), 6)
-                     .alias("ratio_to_fastest"))
+    group's mean relative to the fastest group's mean (null where that is 0; a
+    window over the small grouped result)."""
+    counts = quantiles.value_counts(lat, F.col("latency_ms"), {k: F.col(k) for k in keys})
+    g = quantiles.statistics(counts, [0.95], list(keys))
+    return g.select(*keys, F.col("count").cast("bigint").alias("calls"), F.round("mean", 6).alias("mean_ms"),
+                    F.round(F.col("q")[0], 6).alias("p95_ms"),
+                    F.round(F.try_divide(F.col("mean"), F.min("mean").over(Window.partitionBy())), 6).alias("ratio_to_fastest"))
 
 
 def level_counts(parsed: DataFrame) -> DataFrame:

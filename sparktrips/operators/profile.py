@@ -5,6 +5,7 @@ Design rules used throughout:
 
 * one pass per study: several statistics for several columns are computed in
   a single ``agg`` (conditional aggregates instead of one job per column);
+* exact quantiles come from counts of distinct values (``quantiles``);
 * wide -> long with ``inline(array(struct...))`` on the one-row result, never
   on the input;
 * grouped statistics use ``groupBy`` (map-side partial aggregation, so a hot
@@ -14,12 +15,15 @@ Design rules used throughout:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktrips.config import CORRELATION_EXCLUDED, FARE_COMPONENTS, MONETARY_COLUMNS
 from sparktrips.functions.columns import row_sum_skip_null
+from sparktrips.operators import quantiles
 
 DESCRIBE_PCTS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -73,37 +77,26 @@ def null_cooccurrence(df: DataFrame, cols: list[str]) -> DataFrame:
 def describe_many(df: DataFrame, items: list[tuple[str, Column]], pcts: list[float] = DESCRIBE_PCTS,
                   label: str = "name") -> DataFrame:
     """count, mean, std (sample), min, percentiles (exact, linear), max for each
-    labelled expression, all in ONE aggregate; one output row per label.
+    labelled expression; one output row per label.
 
-    Conditional inputs (``when(cond, x)``) give per-stage statistics from the
-    same pass, since every aggregate skips NULL.
+    Each row becomes one (item, value) entry per item, counted per distinct value
+    before the shuffle; everything follows from the counts. Conditional inputs
+    (``when(cond, x)``) give per-stage statistics from the same pass, since null
+    values are left out.
     """
-    # Each item is computed once in a projection; the aggregates read plain
-    # columns (an item holding a scalar subquery is not copied into each of
-    # its six aggregates).
-    xs = df.select(*[x.alias(f"_x{i}") for i, (_, x) in enumerate(items)])
-    aggs = []
-    for i in range(len(items)):
-        x = F.col(f"_x{i}")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile(x, F.array(*[F.lit(p) for p in pcts])).alias(f"q{i}")]
-    one = xs.agg(*aggs)
-    structs = []
-    for i, (name, _) in enumerate(items):
-        fields = [F.lit(i).alias("ordinal"), F.lit(name).alias(label),
-                  F.col(f"n{i}").cast("bigint").alias("count"),
-                  F.round(F.col(f"m{i}"), 6).alias("mean"), F.round(F.col(f"s{i}"), 6).alias("std"),
-                  F.col(f"lo{i}").cast("double").alias("min")]
-        fields += [F.round(F.col(f"q{i}")[j], 6).alias(_pname(p)) for j, p in enumerate(pcts)]
-        fields += [F.col(f"hi{i}").cast("double").alias("max")]
-        structs.append(F.struct(*fields))
-    return _inline(one, structs)
+    entries = F.array(*[F.struct(F.lit(i).alias("ordinal"), x.cast("double").alias("x")) for i, (_, x) in enumerate(items)])
+    long = df.select(F.explode(entries).alias("e")).select("e.ordinal", "e.x")
+    found = quantiles.statistics(quantiles.value_counts(long, F.col("x"), {"ordinal": F.col("ordinal")}), pcts, ["ordinal"])
+    names = df.sparkSession.createDataFrame([(i, name) for i, (name, _) in enumerate(items)], f"ordinal int, {label} string")
+    return names.join(found, "ordinal", "left").select(
+        "ordinal", label, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), F.round("mean", 6).alias("mean"),
+        F.round("std", 6).alias("std"), "min",
+        *[F.round(F.col("q")[j], 6).alias(_pname(p)) for j, p in enumerate(pcts)], "max")
 
 
 def iqr_bounds(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
     """Q1, Q3, IQR and the 1.5*IQR fences."""
-    q = df.agg(F.percentile(F.col(column), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = quantiles.statistics(quantiles.value_counts(df, F.col(column)), [0.25, 0.75])
     return q.select(
         F.round(F.col("q")[0], 6).alias("q1"), F.round(F.col("q")[1], 6).alias("q3"),
         F.round(F.col("q")[1] - F.col("q")[0], 6).alias("iqr"),
@@ -176,17 +169,15 @@ def fare_discrepancies(df: DataFrame, tolerance: float = 0.01, n: int = 5, key:
 
 def discrepancy_rate(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Count and share of discrepant rows with a describe of the
-    difference: one aggregate pass."""
-    d = F.col("_d")
-    one = (fare_consistency(df).select(F.col("total_amount_difference").alias("_d"))
-           .agg(F.count(d).cast("bigint").alias("count"), F.avg(d).alias("mean"), F.stddev_samp(d).alias("std"),
-                F.min(d).cast("double").alias("min"),
-                F.percentile(d, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-                F.max(d).cast("double").alias("max"), F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.abs(d) > tolerance).cast("bigint").alias("discrepant")))
-    return one.select("count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
+    difference, all from the counts of distinct differences."""
+    rows = fare_consistency(df)
+    counts = quantiles.value_counts(rows, F.col("total_amount_difference"))
+    far = F.coalesce(F.sum(F.when(F.abs(F.col("v")) > tolerance, F.col("n"))), F.lit(0))
+    discrepant, total = counts.agg(far).scalar(), rows.agg(F.count(F.lit(1))).scalar()
+    one = quantiles.statistics(counts, [0.25, 0.5, 0.75]).select("*", discrepant.alias("discrepant"), total.alias("rows"))
+    return one.select(F.col("count").cast("bigint").alias("count"), F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
                       *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
-                      "max", "discrepant",
+                      "max", F.col("discrepant").cast("bigint").alias("discrepant"),
                       F.round(F.try_divide(F.col("discrepant") * 100.0, F.col("rows")), 6).alias("pct_discrepant"))
 
 
@@ -293,65 +284,47 @@ def box_stats(df: DataFrame, value: str, group: str | Column | None = None, grou
     """Quartiles, whiskers (furthest points inside the 1.5*IQR fences)
     and outlier counts, overall or per group.
 
-    Step 1 is a grouped exact percentile (partial aggregation). Step 2 joins
-    the per-group quartiles back on the group key and aggregates again. The
-    quartile table has one row per group; AQE broadcasts it when its measured
-    size is under the broadcast threshold, otherwise it is a shuffle join
-    whose hot partitions AQE splits.
+    One pass counts the rows per (group, value); quartiles, fences, whiskers and
+    outliers follow from the counts, so no row is joined with its group.
     """
-    x = F.col(value)
-    if group is None:
-        q = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).scalar()
-        base = df.select(x.alias("v"), q.alias("q"))
-        keys = []
-    else:
-        g = F.col(group) if isinstance(group, str) else group
-        base0 = df.filter(g.isNotNull()).select(g.alias(group_name), x.alias("v"))
-        qs = base0.groupBy(group_name).agg(
-            F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-        base = base0.join(qs, group_name)
-        keys = [group_name]
+    keys = {} if group is None else {group_name: F.col(group) if isinstance(group, str) else group}
+    rows = df.where(keys[group_name].isNotNull()) if keys else df
+    key = F.col(group_name) if keys else F.lit(0)
+    counts = quantiles.value_counts(rows, F.col(value), keys)
+    quartiles = quantiles.statistics(counts, [0.25, 0.5, 0.75], list(keys)).select(key.alias("_k"), "count", "q")
     iqr = F.col("q")[2] - F.col("q")[0]
-    lo_f = F.col("q")[0] - whisker * iqr
-    hi_f = F.col("q")[2] + whisker * iqr
-    v = F.col("v")
-    agg = (base.groupBy(*keys) if keys else base.groupBy()).agg(
-        F.count(v).cast("bigint").alias("count"),
-        F.first(F.col("q")[0]).alias("q1"), F.first(F.col("q")[1]).alias("median"),
-        F.first(F.col("q")[2]).alias("q3"),
+    lo_f, hi_f, v = F.col("q")[0] - whisker * iqr, F.col("q")[2] + whisker * iqr, F.col("v")
+    agg = counts.withColumn("_k", key).join(quartiles, "_k").groupBy(*keys, "count", "q").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"), F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
-        F.count_if((v < lo_f) | (v > hi_f)).cast("bigint").alias("outliers"))
-    return agg.select(*keys, "count", *[F.round(F.col(c), 6).alias(c) for c in ("q1", "median", "q3")],
-                      F.round(F.col("q3") - F.col("q1"), 6).alias("iqr"),
-                      F.round(F.col("whisker_low"), 6).alias("whisker_low"),
+        F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), F.col("n"))), F.lit(0)).cast("bigint").alias("outliers"))
+    return agg.select(*keys, F.col("count").cast("bigint").alias("count"),
+                      *[F.round(F.col("q")[i], 6).alias(c) for i, c in enumerate(("q1", "median", "q3"))],
+                      F.round(iqr, 6).alias("iqr"), F.round(F.col("whisker_low"), 6).alias("whisker_low"),
                       F.round(F.col("whisker_high"), 6).alias("whisker_high"), "outliers")
 
 
 # ---------------------------------------------------------------- flag studies
 
+def _flag_counts(df: DataFrame, column: str, flags: dict[str, Column]) -> DataFrame:
+    """Rows in all, rows per flag (a condition on ``v`` and ``quantile``, the 99th
+    percentile) and that percentile, from the counts of distinct values."""
+    counted = quantiles.with_quantile(quantiles.value_counts(df, F.col(column)), 0.99)
+    total = df.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    rows = counted.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("bigint").alias(k) for k, c in flags.items()],
+                       F.round(F.max("quantile"), 6).alias("p99"))
+    return rows.select(total.alias("rows"), *flags, "p99")
+
+
 def duration_flags(df: DataFrame, column: str = "trip_duration") -> DataFrame:
     """Non-positive, under one minute, and above-p99 durations."""
-    p99 = df.agg(F.percentile(F.col(column), F.lit(0.99))).scalar()
-    d, p = F.col("_v"), F.col("_p")
-    # p99 enters as one projected column, so the subquery is planned once.
-    return (df.select(F.col(column).alias("_v"), p99.alias("_p"))
-              .agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                   F.count_if(d <= 0).cast("bigint").alias("non_positive"),
-                   F.count_if((d > 0) & (d < 1)).cast("bigint").alias("under_1_min"),
-                   F.count_if(d > p).cast("bigint").alias("above_p99"),
-                   F.round(F.max(p), 6).alias("p99")))
+    v = F.col("v")
+    return _flag_counts(df, column, {"non_positive": v <= 0, "under_1_min": (v > 0) & (v < 1), "above_p99": v > F.col("quantile")})
 
 
 def distance_flags(df: DataFrame, column: str = "trip_distance") -> DataFrame:
     """Zero, negative and above-p99 distances."""
-    p99 = df.agg(F.percentile(F.col(column), F.lit(0.99))).scalar()
-    d, p = F.col("_v"), F.col("_p")
-    return (df.select(F.col(column).alias("_v"), p99.alias("_p"))
-              .agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                   F.count_if(d == 0).cast("bigint").alias("zero"),
-                   F.count_if(d < 0).cast("bigint").alias("negative"),
-                   F.count_if(d > p).cast("bigint").alias("above_p99"),
-                   F.round(F.max(p), 6).alias("p99")))
+    v = F.col("v")
+    return _flag_counts(df, column, {"zero": v == 0, "negative": v < 0, "above_p99": v > F.col("quantile")})
 
 
 def passenger_flags(df: DataFrame, column: str = "passenger_count") -> DataFrame:
@@ -364,21 +337,34 @@ def passenger_flags(df: DataFrame, column: str = "passenger_count") -> DataFrame
 
 def sample_rows(df: DataFrame, n: int, key: str = "trip_id", seed: int = 42) -> DataFrame:
     """Deterministic sample of ``n`` rows: the n smallest md5(key:seed).
-    A top-n (TakeOrderedAndProject): each task keeps n rows, the final merge
-    sees n x tasks rows."""
+
+    First a cut on the hash leaves about 4n rows (all, if there are fewer), so the
+    top-n merge sees a few times n rows however many tasks there are; where chance
+    leaves fewer than n, the whole table is sorted."""
     h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    hashed = df.withColumn("_h", h)
+    total = df.count()
+    if total > 4 * n:
+        cut = hashed.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < int(4 * n / total * 2**32))
+        if cut.count() >= n:
+            hashed = cut
+    return hashed.orderBy("_h", key).limit(n).drop("_h")
 
 
 # ------------------------------------------------------------- density curve
 
-def density_curve(df: DataFrame, column: str, bins: int = 50, grid: int = 200) -> DataFrame:
+#: Bins of a density curve per bandwidth: narrow enough that binning is not seen.
+BINS_PER_BANDWIDTH = 8
+
+
+def density_curve(df: DataFrame, column: str, grid: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max], binned.
 
-    The data are binned first (the A19 histogram, one pass); each bin centre
-    then contributes ``count * N(x_g; centre, h)`` to every grid point, so the
-    work is grid x bins, independent of the row count (exact KDE would be
-    grid x rows). Bandwidth: Scott's rule, ``h = std * n^(-1/5)``.
+    The data are binned first (one pass); each bin centre then contributes
+    ``count * N(x_g; centre, h)`` to every grid point, so the work is grid x bins
+    (exact KDE would be grid x rows). Bandwidth: Scott's rule, ``h = std * n^(-1/5)``;
+    it shrinks as rows are added, and the bins with it, a fixed number to each
+    bandwidth.
     """
     x = F.col(column)
     st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"),
@@ -387,6 +373,7 @@ def density_curve(df: DataFrame, column: str, bins: int = 50, grid: int = 200) -
     if not n or sd is None or sd == 0 or lo == hi:
         return df.sparkSession.createDataFrame([], "grid_index int, x double, density double")
     bw = sd * n ** (-0.2)
+    bins = math.ceil((hi - lo) * BINS_PER_BANDWIDTH / bw)
     width = (hi - lo) / bins
     h = (df.select(F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) * bins / F.lit(hi - lo)),
                                                  F.lit(bins - 1)).cast("int")).alias("bin"))

@@ -61,7 +61,7 @@ def extract_latency(spark, sf_dir):
 @register("latency_summary", with_log("""
 select kind, path, count(*) as calls, round(avg(latency_ms), 6) as mean_ms,
   round(quantile_cont(latency_ms, 0.95), 6) as p95_ms,
-  round(avg(latency_ms) / min(avg(latency_ms)) over (), 6) as ratio_to_fastest
+  round(avg(latency_ms) / nullif(min(avg(latency_ms)) over (), 0), 6) as ratio_to_fastest
 from lat where latency_ms is not null group by kind, path""", _PARSED_CTE + ",\n" + _LAT_CTE))
 def latency_summary(spark, sf_dir):
     return logs.latency_summary(_lat(spark, sf_dir), ["kind", "path"])

@@ -319,6 +319,11 @@ def box_stats(spark, sf_dir):
     return profile.box_stats(_dur_ok(spark, sf_dir), "trip_duration")
 
 
+@register("box_distance", with_clean(_box_sql("trip_distance", "dur_ok")))
+def box_distance(spark, sf_dir):
+    return profile.box_stats(_dur_ok(spark, sf_dir), "trip_distance")
+
+
 @register("box_by_passenger", with_clean(_box_sql("trip_duration", "dur_ok", "passenger_count", "passenger_count")))
 def box_by_passenger(spark, sf_dir):
     return profile.box_stats(_dur_ok(spark, sf_dir), "trip_duration", "passenger_count", "passenger_count")
@@ -376,17 +381,36 @@ def sample_trips(spark, sf_dir):
     return profile.sample_rows(df, 10000, "trip_id", 42)
 
 
-@register("density_curve", with_clean("""
-, st as (select count(trip_duration) as n, stddev_samp(trip_duration) as sd, min(trip_duration) as lo,
-                max(trip_duration) as hi from dur_ok),
-hb as (select cast(least(floor((trip_duration - lo) * 50 / (hi - lo)), 49) as int) as bin, count(*) as cnt
-       from dur_ok, st where trip_duration is not null group by 1),
+def _density_sql(column: str, src: str) -> str:
+    return with_clean(f"""
+, st as (select *, sd * pow(n, -0.2) as bw, ceil((hi - lo) * 8 / (sd * pow(n, -0.2))) as bins from (
+         select count({column}) as n, stddev_samp({column}) as sd, min({column}) as lo, max({column}) as hi from {src})
+         where sd > 0 and hi > lo),
+hb as (select least(floor(({column} - lo) * bins / (hi - lo)), bins - 1) as bin, count(*) as cnt
+       from {src}, st where {column} is not null group by 1),
 grid as (select cast(range as int) as g from range(200))
 select g as grid_index, round(lo + g * ((hi - lo) / 199), 6) as x,
-  round(sum(cnt * exp(-0.5 * ((lo + g * ((hi - lo) / 199) - (lo + (bin + 0.5) * ((hi - lo) / 50))) / (sd * pow(n, -0.2)))
-                          * ((lo + g * ((hi - lo) / 199) - (lo + (bin + 0.5) * ((hi - lo) / 50))) / (sd * pow(n, -0.2)))))
-        / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 6) as density
-from hb, grid, st group by g, lo, hi, n, sd"""))
-def density_curve(spark, sf_dir):
-    """A21 (optional in the source): binned Gaussian KDE of duration."""
-    return profile.density_curve(_dur_ok(spark, sf_dir), "trip_duration")
+  round(sum(cnt * exp(-0.5 * pow((lo + g * ((hi - lo) / 199) - (lo + (bin + 0.5) * ((hi - lo) / bins))) / bw, 2)))
+        / (n * bw * sqrt(2 * pi())), 6) as density
+from hb, grid, st group by g, lo, hi, n, bw""")
+
+
+#: Query, column, rows, and the same rows in SQL.
+_CURVES = [
+    ("density_curve", "trip_duration", _dur_ok, "dur_ok"),
+    ("density_distance", "trip_distance", _dur_ok, "dur_ok"),
+    ("density_fare", "fare_amount", _cleaned, "cleaned"),
+    ("density_total", "total_amount", _cleaned, "cleaned"),
+    ("density_tip", "tip_amount", lambda s, d: _cleaned(s, d).where("tip_amount > 0"), "(select * from cleaned where tip_amount > 0)"),
+    ("density_tolls", "tolls_amount", _cleaned, "cleaned"),
+]
+
+
+def _register_curve(name, column, rows, src):
+    @register(name, _density_sql(column, src))
+    def curve(spark, sf_dir):
+        return profile.density_curve(rows(spark, sf_dir), column)
+
+
+for _curve in _CURVES:
+    _register_curve(*_curve)
