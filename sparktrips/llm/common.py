@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import sparktrips
 from sparktrips.session import ensure_checkpoint_dir, scratch_path
 
 #: Bytes that separate words: blank and the control characters 9 to 13.
@@ -19,6 +24,30 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _U = np.uint64
 
 
+# --- the package on the executors -------------------------------------------
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that their
+    Python workers can import it wherever they were started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(sparktrips.__file__).parent
+    folder = tempfile.mkdtemp(prefix="sparktrips-package-")  # the driver serves the archive from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{folder}/sparktrips-package", "zip", root.parent, root.name))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 # --- scratch data -----------------------------------------------------------
 
 def cut(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sparktrips.llm.common import _IS_SEPARATOR, Words, mix, slices, text_bytes
+from sparktrips.llm.common import _IS_SEPARATOR, map_arrow, mix, slices, text_bytes, Words
 
 #: A window counts as a copy up to this word edit distance, as a share of the item.
 MAX_EDIT_SHARE = 0.2
@@ -253,5 +253,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([owner, pa.array(values[0], item_type), *[pa.array(v, pa.int64()) for v in values[1:]]],
                                                  [id_col, item_id_col, "distance", "item_words", "start_word"])
 
-        out = out.unionAll(docs.mapInArrow(find, schema))
+        out = out.unionAll(map_arrow(docs, find, schema))
     return out

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import _LOWER, lower_ascii, mix, shared_table, slices, text_bytes
+from sparktrips.llm.common import _LOWER, lower_ascii, map_arrow, mix, shared_table, slices, text_bytes
 
 MIN_SHARE = 0.01
 BUCKETS = 1 << 13
@@ -73,7 +73,7 @@ def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(total[cell], pa.int64())], ["cell", "n"])
 
-    counted = rows.select("declared", "text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = map_arrow(rows.select("declared", "text"), count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     n = np.zeros((len(languages), BUCKETS))
     for cell, k in counted.collect():  # at most languages x buckets
         n[divmod(cell, BUCKETS)] = k
@@ -98,7 +98,7 @@ def with_text_likelihood(rows: DataFrame, table: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(n, pa.int64()), values],
                                              [*(f.name for f in kept), "n_trigrams", "likelihood"])
 
-    return rows.mapInArrow(score, schema)
+    return map_arrow(rows, score, schema)
 
 
 def _argmax(values: Column) -> Column:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import Words, crc_mod, shared_table, slices, text_bytes
+from sparktrips.llm.common import crc_mod, map_arrow, shared_table, slices, text_bytes, Words
 
 WORD_SHARE, GRAM_SHARE, ORDER = 1e-6, 2e-5, 3
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 7, 2
@@ -67,7 +67,7 @@ def word_counts(train: DataFrame) -> DataFrame:
             word, n = np.unique(tokens(text_bytes(part.column("text")))[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([signed(word), pa.array(n, pa.int64())], ["word", "n"])
 
-    return train.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_arrow(train.select("text"), count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -128,7 +128,7 @@ def gram_counts(train: DataFrame, grams: Grams, order: int) -> DataFrame:
             code, n = np.unique(code[code >= 0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
 
-    return train.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    return map_arrow(train.select("text"), count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _columns(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
@@ -305,7 +305,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                 ["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "hot_score", "rare", "times"])
             row += part.num_rows
 
-    texts = shared_table(rows.mapInArrow(
+    texts = shared_table(map_arrow(rows,
         traverse, f"row bigint, id {kind}, held_out boolean, n_tokens bigint, hot_known bigint, hot_base double, "
                   "hot_score double, rare array<bigint>, times array<int>"), "traversed")
     each = (texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))

@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import Memo, slices, text_bytes
+from sparktrips.llm.common import map_arrow, Memo, slices, text_bytes
 from sparktrips.llm.token_counts import byte_level
 
 WINDOW = 2048
@@ -284,5 +284,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield from flush()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.mapInArrow(run, f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+    return map_arrow(docs, run, f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
                                 f"sequence_id bigint, offset bigint" + ", ids array<int>" * keep_ids)

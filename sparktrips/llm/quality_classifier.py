@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import _IS_SEPARATOR, cut, shared_table, slices, text_bytes
+from sparktrips.llm.common import _IS_SEPARATOR, cut, map_arrow, shared_table, slices, text_bytes
 
 ORDER, BITS = 4, 5
 SYMBOLS = 1 << BITS
@@ -77,7 +77,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(total[code], pa.int64())], ["code", "c"])
 
-    return texts.select("text").mapInArrow(count, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
+    return map_arrow(texts.select("text"), count, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -140,7 +140,7 @@ def with_entropy(rows: DataFrame, table: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("lang"), pa.array(sizes, pa.int64()),
                                               pa.array(bits, pa.float64(), mask=sizes == 0)], ["id", "lang", "n_symbols", "bits"])
 
-    return rows.mapInArrow(score, f"id {kinds['id']}, lang string, n_symbols bigint, bits double")
+    return map_arrow(rows, score, f"id {kinds['id']}, lang string, n_symbols bigint, bits double")
 
 
 def quantiles(trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:

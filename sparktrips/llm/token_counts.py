@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import Memo, slices, text_bytes
+from sparktrips.llm.common import map_arrow, Memo, slices, text_bytes
 
 #: Entries of the frequent table, and of each task's summary.
 FREQUENT = 1 << 14
@@ -125,7 +125,7 @@ def frequent_words(docs: DataFrame, text_col: str = "text", keep: int = FREQUENT
     def merge(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_summary_batch(0, _merged(table, keep))])
 
-    found = (docs.select(text_col).mapInArrow(summarise, _SUMMARY)
+    found = (map_arrow(docs.select(text_col), summarise, _SUMMARY)
              .groupBy("slot").applyInArrow(merge, _SUMMARY)
              .groupBy("slot").applyInArrow(merge, _SUMMARY).collect())
     return [bytes(w) for w in found[0].words] if found else []
@@ -162,4 +162,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                                              [id_col, "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.mapInArrow(count, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return map_arrow(docs, count, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
