@@ -14,9 +14,10 @@ each similar pair meets.
 Keys that two or more classes share give pairs: all of them where few classes
 share a key; else each class with the first and with its neighbours, which is
 linear. A parity bit sketch of the whole set, whose Hamming distance is again a
-lower bound, and the sizes drop most pairs; the rest are verified on the sets.
-Then only keys with many classes are open whose classes are still in different
-components. There, classes that must share other keys as well, since they have
+lower bound, and the sizes drop most pairs; the rest are verified on the sets,
+first each class with the partner that it shares most keys with, then what still
+lies in different components. Then only keys with many classes are open whose
+classes are still in different components. There, classes that must share other keys as well, since they have
 more agreeing keys than crowded ones, need no further test; among the others,
 pairs in different components that pass sizes and sketch are verified too. So no
 link that joins components is lost, no list of a group is ever built, and only
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import Words, cut, mix, shared_table, slices, text_bytes
+from sparktrips.llm.common import cut, map_arrow, mix, shared_table, slices, text_bytes, Words
 
 SHINGLE = 5
 #: Similarity of at least 3/4. With it, |a| and |b| differ by at most 4/3, and the
@@ -53,11 +54,12 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: are in the same or in an adjoining band.
 BAND_RATIO = 1.78
 #: Keys beyond D + 1, as a share of D: as many more keys are sure to be shared.
-SLACK = 0.15
+SLACK = 0.1
 #: Neighbours that a class is paired with under a key: groups of up to
 #: ``NEIGHBOURS + 2`` classes are paired completely.
 NEIGHBOURS = 4
-SKETCH_WORDS = 16
+#: 64-bit words of the short bit sketch; the long one has 4 to 8 bits per element.
+SHORT_WORDS, ELEMENTS_PER_WORD = 16, 16
 _LOW = np.uint64((1 << 48) - 1)
 _U = np.uint64
 
@@ -100,14 +102,24 @@ class Sets:
         a, b = self.first[:-1], self.first[1:]
         return mix((total[b] - total[a]) * _U(3) + mix(twice[b] - twice[a] + self.sizes.astype(_U)))
 
-    def bit_sketches(self) -> np.ndarray:
-        """Per text ``SKETCH_WORDS`` 64-bit words of parities: each shingle flips one
-        bit, so two sketches differ in at most as many bits as the sets in elements."""
-        m = mix(self.hashes + _U(0xB175))
-        place = np.repeat(np.arange(len(self.sizes)), self.sizes) * SKETCH_WORDS + (m % _U(SKETCH_WORDS)).astype(np.int64)
-        out = np.zeros(len(self.sizes) * SKETCH_WORDS, _U)
-        np.bitwise_xor.at(out, place, _U(1) << (m >> _U(32)) % _U(64))
-        return out.reshape(-1, SKETCH_WORDS)
+    def bit_sketches(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per text a parity sketch of so many 64-bit words (powers of two), and where
+        each ends: an element flips one bit, so two sketches differ in at most as
+        many bits as the sets in elements. Folding a sketch's halves by XOR gives
+        the sketch of half the size."""
+        ends = np.cumsum(words)
+        bit = (mix(self.hashes + _U(0xB175)) & np.repeat(words * 64 - 1, self.sizes).astype(_U)).astype(np.int64)
+        flips = np.bincount(np.repeat((ends - words) * 64, self.sizes) + bit, minlength=int(words.sum()) * 64)
+        return np.packbits((flips & 1).astype(np.uint8), bitorder="little").view("<u8"), ends
+
+
+def folded(bits: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
+    """The sketches folded to ``words`` words each."""
+    size = np.diff(ends, prepend=0)
+    text = np.repeat(np.arange(len(ends)), size)
+    out = np.zeros(len(ends) * words, _U)
+    np.bitwise_xor.at(out, text * words + (np.arange(len(bits)) - (ends - size)[text]) % words, bits)
+    return out
 
 
 def band_edges(largest: int) -> np.ndarray:
@@ -123,27 +135,35 @@ def blocks_of(largest: int) -> int:
     return 1 << 40 if largest < 64 else largest if largest < 256 else -(-largest // 2)
 
 
-def most_difference(size: np.ndarray) -> np.ndarray:
-    """D of a set and any similar one: that may have 4/3 as many elements."""
-    return (size + size * DENOMINATOR // NUMERATOR) // 7
+def most_difference(size, partner):
+    """D of two similar sets, of at most these sizes."""
+    return (size + partner) // 7
+
 
+def sure_keys(size: np.ndarray) -> np.ndarray:
+    """Keys that a set is sure to share with each similar one (1 at least)."""
+    return 1 + np.ceil(SLACK * most_difference(size, size * DENOMINATOR // NUMERATOR)).astype(np.int64)
 
-def block_keys(sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the chosen texts: keys, the text of each, and per text how many keys
-    any similar set is sure to share under each layout (the least)."""
+
+def block_keys(sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the chosen texts, and the text of each. Similar sets agree in all but
+    D occupied blocks; of the first D + k block values in one order they share k
+    at least."""
     edges = band_edges(int(sets.sizes.max(initial=1)) * 2)
     band = np.searchsorted(edges, sets.sizes, side="right") - 1
     layout = np.array([blocks_of(int(e) - 1) for e in edges[1:]], np.int64)  # blocks of each band
     own = band[chosen]
     below = chosen[(own > 0) & (sets.sizes[chosen] * NUMERATOR <= (edges[own] - 1) * DENOMINATOR) & (layout[own] != layout[own - 1])]
-    sure = np.full(len(sets.sizes), np.iinfo(np.int64).max)
+    size = sets.sizes
+    # in its own band a set may meet larger ones of the next; in the band below only that band's
+    partners = size * DENOMINATOR // NUMERATOR, edges[band] - 1
     keys, owners = [], []
-    for texts, bands in ((chosen, band[chosen]), (below, band[below] - 1)):
+    for texts, bands, partner in ((chosen, own, partners[0]), (below, band[below] - 1, partners[1])):
         if not len(texts):
             continue
-        size = sets.sizes[texts]
-        at = np.repeat(sets.first[texts] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        h, of = sets.hashes[at], np.repeat(np.arange(len(texts)), size)
+        n = size[texts]
+        at = np.repeat(sets.first[texts] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        h, of = sets.hashes[at], np.repeat(np.arange(len(texts)), n)
         blocks = layout[bands].astype(_U)
         small = blocks >= _U(1 << 40)
         # hashes are sorted, so a block (a range of hashes) is a run
@@ -153,15 +173,13 @@ def block_keys(sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         key = mix(parity + mix(block[begin] + blocks[of[begin]] * _U(0x9E3779B97F4A7C15)))
         of = of[begin]
         occupied = np.bincount(of, minlength=len(texts))
-        d = most_difference(size)
-        wanted = np.minimum(occupied, d + 1 + np.ceil(SLACK * d).astype(np.int64))
+        wanted = np.minimum(occupied, most_difference(n, partner[texts]) + sure_keys(n))
         order = np.lexsort((key, of))
         rank = np.arange(len(key)) - np.repeat(np.concatenate([[0], np.cumsum(occupied)[:-1]]), occupied)
         taken = rank < wanted[of]
         keys.append(key[order][taken])
         owners.append(texts[of[taken]])
-        np.minimum.at(sure, texts, wanted - d)
-    return (np.concatenate(keys), np.concatenate(owners), sure) if keys else (np.zeros(0, _U), np.zeros(0, np.int64), sure)
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -169,20 +187,23 @@ def _long(values: np.ndarray) -> pa.Array:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """Per ``(id, text)`` row: id, ``size`` and ``class`` of its set, the bit sketch
-    and ``sure``, how many keys a similar set must share with it."""
+    """Per ``(id, text)`` row: id, ``size`` and ``class`` of its set, the ``short`` and
+    the long bit ``sketch``, and ``sure``, how many keys a similar set must share
+    with it."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", most_rows=5_000):
             sets = Sets(text_bytes(part.column("text")))
-            sure = block_keys(sets, np.flatnonzero(sets.sizes))[2]
-            sketch = pa.FixedSizeListArray.from_arrays(_long(sets.bit_sketches().ravel()), SKETCH_WORDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sets.sizes, pa.int64()), _long(sets.classes()), sketch, pa.array(sure, pa.int64())],
-                ["id", "size", "class", "sketch", "sure"])
+            least = np.maximum(SHORT_WORDS, sets.sizes / ELEMENTS_PER_WORD)
+            bits, ends = sets.bit_sketches(1 << np.ceil(np.log2(least)).astype(np.int64))
+            columns = [part.column("id"), pa.array(sets.sizes, pa.int64()), _long(sets.classes())]
+            for values, to in ((folded(bits, ends, SHORT_WORDS), np.arange(1, len(ends) + 1) * SHORT_WORDS), (bits, ends)):
+                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]), pa.int32()), _long(values)))
+            columns.append(pa.array(sure_keys(sets.sizes), pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "size", "class", "short", "sketch", "sure"])
 
-    return rows.mapInArrow(sign, f"id {kind}, size bigint, class bigint, sketch array<bigint>, sure bigint")
+    return map_arrow(rows, sign, f"id {kind}, size bigint, class bigint, short array<bigint>, sketch array<bigint>, sure bigint")
 
 
 def keys(rows: DataFrame) -> DataFrame:
@@ -199,18 +220,18 @@ def keys(rows: DataFrame) -> DataFrame:
             chosen = full[np.sort(once)]
             chosen = chosen[~np.isin(name[chosen], seen)]
             seen = np.concatenate([seen, name[chosen]])
-            key, owner, _ = block_keys(sets, chosen)
+            key, owner = block_keys(sets, chosen)
             yield pa.RecordBatch.from_arrays([_long(key), _long(name[owner])], ["key", "class"])
 
-    return rows.select("text").mapInArrow(emit, "key bigint, class bigint")
+    return map_arrow(rows.select("text"), emit, "key bigint, class bigint")
 
 
 # --- candidate pairs --------------------------------------------------------
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
-    """From ``(key, class)``, distinct rows of two kinds: pairs of classes ``(a, b)``
-    as described above and, where ``crowded``, ``(key, class)`` of the keys that more
-    classes share than are paired completely."""
+    """From ``(key, class)``, distinct rows ``(crowded, a, b)`` of two kinds with their
+    number ``n``: pairs of classes as described above and, where ``crowded``, a key
+    that more classes share than are paired completely, and a class."""
     ordered = W.partitionBy("key").orderBy("class")
     running = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
     lags = [F.lag("class", k).over(ordered).alias(f"lag{k}") for k in range(1, NEIGHBOURS + 1)]
@@ -220,24 +241,37 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     linked = [F.when(F.col(f"lag{k}") != F.col("class"), F.struct(F.lit(False).alias("crowded"), F.col(f"lag{k}").alias("a"), F.col("class").alias("b")))
               for k in range(NEIGHBOURS + 1)]
     crowded = F.when(F.col("n") > NEIGHBOURS + 2, F.struct(F.lit(True).alias("crowded"), F.col("key").alias("a"), F.col("class").alias("b")))
-    return rows.select(F.explode(F.array_compact(F.array(*linked, crowded))).alias("x")).select("x.*").distinct()
+    entries = rows.select(F.explode(F.array_compact(F.array(*linked, crowded))).alias("x")).select("x.*")
+    return entries.groupBy("crowded", "a", "b").agg(F.count("*").alias("n"))
 
 
 def _similar_sizes(a: Column, b: Column) -> Column:
     return (a * NUMERATOR <= b * DENOMINATOR) & (b * NUMERATOR <= a * DENOMINATOR)
 
 
-def _hamming(a: Column, b: Column) -> Column:
-    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)])
+def _short_hamming(a: Column, b: Column) -> Column:
+    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SHORT_WORDS)])
+
+
+def _long_hamming(a: Column, b: Column) -> Column:
+    """Of sketches that differ in size by a factor of two at most: similar sizes do."""
+    n = F.least(F.size(a), F.size(b))
+    folded = lambda x: F.when(F.size(x) == n, x).otherwise(
+        F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q)))
+    return F.aggregate(F.zip_with(folded(a), folded(b), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose sizes and bit sketches allow a link."""
+    """The pairs ``(a, b, n)`` whose sizes and bit sketches allow a link."""
     side = lambda x: classes.select(F.col("class").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     fits = _similar_sizes(F.col("a_size"), F.col("b_size")) & \
-        (_hamming(F.col("a_sketch"), F.col("b_sketch")) * 7 <= F.col("a_size") + F.col("b_size"))
-    return sized.where(fits).select("a", "b")
+        (_long_hamming(F.col("a_sketch"), F.col("b_sketch")) * 7 <= F.col("a_size") + F.col("b_size"))
+    return sized.where(fits).select("a", "b", "n")
+
+
+#: Bytes of an element of a set.
+ELEMENT = 6
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -248,31 +282,39 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("a_set"), batch.column("b_set")):
-                x, y = np.frombuffer(x.as_buffer(), "<i8"), np.frombuffer(y.as_buffer(), "<i8")
+                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set").mapInArrow(compare, "a bigint, b bigint")
+    return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), compare, "a bigint, b bigint").distinct()
+
+
+def _packed(elements: np.ndarray) -> bytes:
+    return elements.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT].tobytes()
+
+
+def _unpacked(data) -> np.ndarray:
+    out = np.zeros((len(data) // ELEMENT, 8), np.uint8)
+    out[:, :ELEMENT] = np.frombuffer(data, np.uint8).reshape(-1, ELEMENT)
+    return out.view("<u8").ravel()
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(class, set)`` of the wanted ``(id, class)``; the set as sorted 64-bit
-    integers. Only the texts of the wanted ids are read as words."""
+    """``(class, set)`` of the texts with the wanted ids; the set as sorted 48-bit
+    elements. The ids are written first, so that the planner knows their size: it
+    broadcasts them where they are small, and the texts are then not shuffled."""
+    ids = shared_table(wanted.select(F.col("id").alias("wanted_id")).distinct(), "wanted-ids")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = Sets(text_bytes(part.column("text")))
-            name = sets.classes().view(np.int64)
-            data = sets.hashes.astype("<i8")
-            own = np.flatnonzero(name == part.column("class").to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name[own], pa.int64()), pa.array([data[sets.first[i]:sets.first[i + 1]].tobytes() for i in own], pa.binary())],
-                ["class", "set"])
+            data = [_packed(sets.hashes[a:b]) for a, b in zip(sets.first, sets.first[1:])]
+            yield pa.RecordBatch.from_arrays([_long(sets.classes()), pa.array(data, pa.binary())], ["class", "set"])
 
-    chosen = rows.join(wanted.withColumnRenamed("id", "wanted_id"), F.col("id").eqNullSafe(F.col("wanted_id"))).select("class", "text")
-    return chosen.mapInArrow(build, "class bigint, set binary").dropDuplicates(["class"])
+    chosen = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    return map_arrow(chosen, build, "class bigint, set binary")
 
 
 # --- components -------------------------------------------------------------
@@ -282,18 +324,18 @@ def components(edges: DataFrame) -> DataFrame:
     reach. Alternates the large-star and small-star steps, each one grouped minimum
     and one join; rounds grow with the logarithm of the path lengths."""
     state = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    while True:
+    mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+    seen, before = mark(state), None
+    while seen != before:
+        before = seen
         both = state.unionAll(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
         # small star: every node and its smaller neighbours point to the least of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("l"), F.explode(F.array("a", "b")).alias("b"))
-        after = cut(small.where("l <> b").select(F.col("l").alias("a"), "b").distinct())
-        changed = after.exceptAll(state).limit(1).count() or state.exceptAll(after).limit(1).count()
-        state = after
-        if not changed:
-            break
+        state = cut(small.where("l <> b").select(F.col("l").alias("a"), "b").distinct())
+        seen = mark(state)
     return state.select(F.col("b").alias("node"), F.col("a").alias("component")).unionAll(
         state.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
@@ -306,25 +348,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = shared_table(signatures(rows), "signatures")
     classes = signed.where("size > 0").groupBy("class").agg(
-        F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("sure").alias("sure"))
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("size", "short", "sketch", "sure")])
     classes = shared_table(classes, "classes")
 
     shared = shared_table(shared_keys(keys(rows)), "shared-keys")
-    pairs = cut(plausible(shared.where(~F.col("crowded")).select("a", "b"), classes))
-    crowded = shared.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("class"))
-
-    named = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = lambda pairs: classes.select("id", "class").join(named(pairs), "class")
-    sets = shared_table(sets_of(rows, wanted(pairs)), "sets")
-    links = cut(verified(pairs, sets))
+    pairs = cut(plausible(shared.where(~F.col("crowded")).select("a", "b", "n"), classes))
+    links = linked(pairs, rows, classes)
     found = components(links)
-
-    open_pairs = cut(still_open(crowded, classes, found))
+    crowded = shared.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("class"))
+    open_pairs = cut(plausible(still_open(crowded, classes, found).withColumn("n", F.lit(1)), classes))
     if open_pairs.limit(1).count():
-        fresh = wanted(open_pairs).join(sets.select("class"), "class", "left_anti")
-        more = shared_table(sets_of(rows, fresh), "more-sets")
-        late = verified(open_pairs, sets.unionAll(more))
-        found = components(links.unionAll(late))
+        found = components(links.unionAll(linked(open_pairs, rows, classes)))
 
     # the component's id: the least id of its classes; classes without links are their own
     labelled = classes.select("class", "id").join(found.withColumnRenamed("node", "class"), "class", "left")
@@ -336,20 +370,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links among the pairs ``(a, b, n)``, enough of them for the components: each
+    class is compared with the partner that it shares most keys with; then the
+    pairs that still lie in different components are."""
+    sets = lambda p: sets_of(rows, classes.join(p.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class", "left_semi"))
+    both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    best = both.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = cut(verified(best, sets(best)))
+    place = components(first)
+    at = lambda x: place.select(F.col("node").alias(x), F.col("component").alias(f"{x}_component"))
+    placed = pairs.join(best, ["a", "b"], "left_anti").join(at("a"), "a", "left").join(at("b"), "b", "left")
+    apart = cut(placed.where(F.coalesce("a_component", "a") != F.coalesce("b_component", "b")).select("a", "b"))
+    return cut(first.unionAll(verified(apart, sets(apart)))) if apart.limit(1).count() else first
+
+
 def still_open(crowded: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of classes in different components that meet only under crowded keys
     and that sizes and sketches allow."""
     many = crowded.groupBy("class").agg(F.count("*").alias("n_crowded"))
-    placed = many.join(classes.drop("id"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
+    placed = many.join(classes.select("class", "size", "short", "sure"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
     met = crowded.join(placed, "class")
     mixed = met.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     met = met.join(mixed, "key")
-    a, b = (met.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("class", "size", "sketch", "component", "n_crowded", "sure")]) for x in "ab")
+    a, b = (met.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("class", "size", "short", "component", "n_crowded", "sure")]) for x in "ab")
     # similar classes share at least the lesser ``sure`` of keys; with fewer crowded ones they met
     # elsewhere. One of an open pair thus has as many crowded keys as sure ones.
     a = a.where("a_n_crowded >= a_sure")
     fits = (F.col("a_component") != F.col("b_component")) & _similar_sizes(F.col("a_size"), F.col("b_size")) & \
         (F.least("a_n_crowded", "b_n_crowded") >= F.least("a_sure", "b_sure")) & \
-        (_hamming(F.col("a_sketch"), F.col("b_sketch")) * 7 <= F.col("a_size") + F.col("b_size"))
+        (_short_hamming(F.col("a_short"), F.col("b_short")) * 7 <= F.col("a_size") + F.col("b_size"))
     return a.join(b, "key").where(fits).select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()

@@ -86,10 +86,15 @@ def test_sketch_bounds_the_difference():
     texts = [" ".join(edited(rng, [f"w{i}" for i in range(n)], e)).encode() for n in (30, 90, 300) for e in (0, 1, 2, 5)]
     sets = jaccard_join.Sets(texts)
     own = [set(sets.hashes[a:b].tolist()) for a, b in zip(sets.first, sets.first[1:])]
-    sketches = sets.bit_sketches()
-    for i, a in enumerate(own):
-        for j, b in enumerate(own):
-            assert sum(int(x).bit_count() for x in sketches[i] ^ sketches[j]) <= len(a ^ b)
+    for words in (2, 16, 64):
+        bits, ends = sets.bit_sketches(np.full(len(texts), words))
+        sketches = bits.reshape(-1, words)
+        half = sets.bit_sketches(np.full(len(texts), words // 2))[0].reshape(-1, words // 2)
+        assert ends[-1] == len(bits) and (jaccard_join.folded(bits, ends, max(1, words // 4)).reshape(len(texts), -1).shape[1] == max(1, words // 4))
+        assert (half == sketches[:, :words // 2] ^ sketches[:, words // 2:]).all()
+        for i, a in enumerate(own):
+            for j, b in enumerate(own):
+                assert sum(int(x).bit_count() for x in sketches[i] ^ sketches[j]) <= len(a ^ b)
 
 
 def test_long_paths_are_one_component(spark):
