@@ -194,8 +194,13 @@ class TripSettings:
     max_bins: int = 256
     model_version: str = "0.1.0"
     feature_names: list[str] = field(default_factory=lambda: list(ORDERED_FEATURE_NAMES))
-    # Fixed partition count used to canonicalise rows before a fit (see model.py).
-    fit_partitions: int = 8
+    # Rows per partition of a fit; the partition count follows the row count, so
+    # the same data give the same partitions (see model.py). ``fit_partitions``
+    # overrides it.
+    rows_per_fit_partition: int = 50_000
+    fit_partitions: int | None = None
+    # Where the trips are read from unless a path is given.
+    data_path: str = "data/trips.parquet"
     # None: exact, linearly interpolated quantile (the default, same as the
     # reference). An integer: percentile_approx with this accuracy, for
     # continuous columns whose distinct values are unbounded.

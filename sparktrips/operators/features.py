@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sparktrips.config import EXCLUDED_COLUMNS, ORDERED_FEATURE_NAMES, RECORD_NUMERIC_KEYS
 from sparktrips.functions.columns import encode_flag, encode_flag_string
+from sparktrips.operators.validate import ERRORS, number_of
 
 FLAG = "store_and_fwd_flag"
 FLAG_ENC = "store_and_fwd_flag_encoded"
@@ -58,6 +59,22 @@ def _has(m: Column, k: str) -> Column:
     return F.coalesce(F.map_contains_key(m, F.lit(k)), F.lit(False))
 
 
+def _number(text: Column) -> Column:
+    """A member's text as a number; JSON true and false are 1 and 0."""
+    return F.coalesce(number_of(text), F.when(text == "true", 1.0).when(text == "false", 0.0))
+
+
+def _whole(text: Column) -> Column:
+    return _number(text).try_cast("int")
+
+
+def record_errors(m: Column) -> Column:
+    """Keys of a record whose value is there but is no number (junk, null, nested):
+    such a record is refused, not scored as 0."""
+    bad = [F.when(_has(m, k) & _number(m[k]).isNull(), F.lit(k)) for k in [*RECORD_NUMERIC_KEYS, FLAG_ENC]]
+    return F.array_compact(F.array(*bad))
+
+
 def record_flag_encoded(m: Column, jtype: Column | None) -> Column:
     """Explicit encoded value wins; else encode the flag by its JSON type
     (string -> 'Y' test; number / boolean -> truthy; null -> 0); else 0."""
@@ -72,7 +89,7 @@ def record_flag_encoded(m: Column, jtype: Column | None) -> Column:
                     .when(jtype.startswith("BIGINT") | jtype.startswith("DOUBLE") | jtype.startswith("DECIMAL")
                           | jtype.startswith("INT") | jtype.startswith("FLOAT"), truthy_num)
                     .otherwise(0))
-    explicit = m[FLAG_ENC].try_cast("double").try_cast("int")
+    explicit = _whole(m[FLAG_ENC])
     return (F.when(_has(m, FLAG_ENC), explicit)
              .when(_has(m, FLAG), by_type)
              .otherwise(F.lit(0))).cast("int")
@@ -88,24 +105,28 @@ def record_pu_do(m: Column) -> Column:
 
 def normalize_records(df: DataFrame) -> DataFrame:
     """The record's feature columns: the 8 numerics (double, NULL when
-    absent or unparsable), the encoded flag, and ``PU_DO``. Unknown keys are
-    dropped by projection."""
+    absent), the encoded flag, ``PU_DO``, and ``errors``, the keys whose values are
+    unusable. Unknown keys are dropped by projection."""
     m = F.col(RECORD_MAP)
     jtype = F.col(FLAG_JSON_TYPE) if FLAG_JSON_TYPE in df.columns else None
     keep = [c for c in df.columns if c not in (RECORD_MAP, FLAG_JSON_TYPE)]
-    return df.select(*keep,
-                     *[m[k].try_cast("double").alias(k) for k in RECORD_NUMERIC_KEYS],
-                     record_flag_encoded(m, jtype).alias(FLAG_ENC),
-                     record_pu_do(m).alias("PU_DO"))
+    return df.select(*keep, *[_number(m[k]).alias(k) for k in RECORD_NUMERIC_KEYS],
+                     record_flag_encoded(m, jtype).alias(FLAG_ENC), record_pu_do(m).alias("PU_DO"), record_errors(m).alias(ERRORS))
+
+
+def usable(records: DataFrame) -> DataFrame:
+    """The records without errors, ready to be scored."""
+    return records.where(F.size(ERRORS) == 0).drop(ERRORS)
 
 
 def prepare_features(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One entry point for both shapes. A frame with a JSON ``payload``
-    column is a set of records; any other frame is a trip table."""
+    column is a set of records, of which only usable ones are returned; any other
+    frame is a trip table."""
     if payload in df.columns:
-        return normalize_records(parse_records(df, payload))
+        return usable(normalize_records(parse_records(df, payload)))
     if RECORD_MAP in df.columns:
-        return normalize_records(df)
+        return usable(normalize_records(df))
     return encode_features(df)
 
 
@@ -129,46 +150,57 @@ def assemble_features(df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -
 
 # ------------------------------------------------------ vocabulary (F8)
 
-def record_tokens(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Feature names of each record: a numeric key is its own name, a string
-    value becomes ``key=value``."""
-    toks = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in categorical]
-    empty = F.array().cast("array<string>")
-    return df.withColumn("_tokens", F.concat(*[F.when(t.isNotNull(), F.array(t)).otherwise(empty) for t in toks]))
+def record_tokens(df: DataFrame, categorical: list[str]) -> DataFrame:
+    """``_tokens``: the ``key=value`` names of each record's string values."""
+    tokens = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in categorical]
+    return df.withColumn("_tokens", F.array_compact(F.array(*tokens)) if tokens else F.array().cast("array<string>"))
 
 
-def fit_vocabulary(df: DataFrame, numeric: list[str], categorical: list[str]) -> list[str]:
-    """Sorted feature names seen in ``df``. The vocabulary becomes a model
-    parameter, so it is brought to the driver; its size is bounded by the
-    category domains (e.g. zone pairs), not by rows. Distinct runs as a
-    partially aggregated shuffle."""
-    cats = (record_tokens(df, numeric, categorical)
-            .select(F.explode("_tokens").alias("name")).distinct())
-    names = [r["name"] for r in cats.collect()]
-    return sorted(set(names) | set(numeric))
+def vocabulary_frame(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """The vocabulary as a table (name): distinct ``key=value`` tokens, and the
+    numeric keys of which some record has a value."""
+    tokens = record_tokens(df, categorical).select(F.explode("_tokens").alias("name")).distinct()
+    if not numeric:
+        return tokens
+    seen = df.agg(*[F.count(c).alias(c) for c in numeric])
+    names = seen.select(F.explode(F.array_compact(F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in numeric]))).alias("name"))
+    return tokens.unionByName(names)
+
+
+def fit_vocabulary(df: DataFrame, numeric: list[str], categorical: list[str], most: int | None = 1 << 20) -> list[str]:
+    """Sorted feature names seen in ``df``. The vocabulary is a parameter of the
+    model, so the driver holds it; more than ``most`` names are refused (a column
+    of free text is no category), before any of them are brought to the driver."""
+    names = vocabulary_frame(df, numeric, categorical).persist()
+    try:
+        if most is not None and (n := names.count()) > most:
+            raise ValueError(f"{n} feature names; at most {most} make a vocabulary")
+        return sorted(r["name"] for r in names.collect())
+    finally:
+        names.unpersist()
 
 
 class DictVectorizerModel:
     """Vectorises records with a fixed vocabulary, using only Spark ML stages:
     categorical tokens -> CountVectorizerModel (unseen tokens ignored),
-    numerics -> VectorAssembler, then VectorSlicer puts names in sorted order."""
+    numerics -> VectorAssembler, then VectorSlicer puts names in sorted order.
+    Numeric keys that are not in the vocabulary are left out."""
 
     def __init__(self, vocabulary: list[str], numeric: list[str], categorical: list[str], output: str = "features"):
         self.vocabulary = list(vocabulary)
-        self.numeric = list(numeric)
+        self.numeric = [n for n in numeric if n in set(vocabulary)]
         self.categorical = list(categorical)
         self.output = output
-        cat_vocab = [v for v in self.vocabulary if v not in set(self.numeric)]
-        self._cv = CountVectorizerModel.from_vocabulary(cat_vocab, inputCol="_tokens", outputCol="_cat", binary=True)
-        # Assembled layout: [numeric..., categorical...]; slice it into sorted order.
-        layout = list(self.numeric) + cat_vocab
-        pos = {n: i for i, n in enumerate(layout)}
-        self._asm = VectorAssembler(inputCols=list(self.numeric) + ["_cat"], outputCol="_raw", handleInvalid="keep")
-        self._slicer = VectorSlicer(inputCol="_raw", outputCol=output, indices=[pos[n] for n in self.vocabulary])
-        self.pipeline = PipelineModel(stages=[self._cv, self._asm, self._slicer])
+        categories = [v for v in self.vocabulary if v not in set(self.numeric)]
+        layout = self.numeric + categories  # of the assembled vector; sliced into sorted order
+        place = {n: i for i, n in enumerate(layout)}
+        stages = [CountVectorizerModel.from_vocabulary(categories, inputCol="_tokens", outputCol="_cat", binary=True)] if categories else []
+        stages.append(VectorAssembler(inputCols=self.numeric + ["_cat"] * bool(categories), outputCol="_raw", handleInvalid="keep"))
+        stages.append(VectorSlicer(inputCol="_raw", outputCol=output, indices=[place[n] for n in self.vocabulary]))
+        self.pipeline = PipelineModel(stages=stages)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        d = record_tokens(df, self.numeric, self.categorical)
+        d = record_tokens(df, self.categorical)
         d = d.select(*[c for c in d.columns if c not in self.numeric],
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.numeric])
         return self.pipeline.transform(d).drop("_tokens", "_cat", "_raw")
@@ -178,26 +210,16 @@ def fit_dict_vectorizer(df: DataFrame, numeric: list[str], categorical: list[str
     return DictVectorizerModel(fit_vocabulary(df, numeric, categorical), numeric, categorical)
 
 
-def vocabulary_frame(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """The vocabulary as a table (name), computed distributed: numeric names
-    present plus distinct ``key=value`` tokens."""
-    cats = (record_tokens(df, numeric, categorical).select(F.explode("_tokens").alias("name")))
-    nums = df.select(F.explode(F.array(*[F.lit(n) for n in numeric])).alias("name"))
-    return cats.unionByName(nums).distinct()
-
-
 def vectorize_long(df: DataFrame, key: str, numeric: list[str], categorical: list[str],
                    vocab: DataFrame) -> DataFrame:
     """Checkable long form of the vectorizer: (key, name, value) for every
-    non-zero entry whose name is in the vocabulary (semi-join on name)."""
-    entries = [F.struct(F.lit(n).alias("name"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"))
-               for n in numeric]
-    entries += [F.when(F.col(c).isNotNull(), F.struct(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("name"),
-                                                      F.lit(1.0).alias("value")))
-                for c in categorical]
-    long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
-              .filter(F.col("e").isNotNull()).select(key, "e.name", "e.value"))
-    # Keep entries whose name is in the vocabulary (unseen categories drop
-    # out). The vocabulary is bounded by the category domains; AQE broadcasts
-    # it after measuring its size, else the shuffle join splits hot names.
-    return long.filter(F.col("value") != 0).join(vocab.select("name"), "name", "left_semi")
+    non-zero entry whose name is in the vocabulary. Numeric names need no join
+    (one without any value has no non-zero entry); only category tokens are
+    looked up."""
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in numeric])
+    long = df.select(key, F.explode(entries).alias("e")).where("e.value <> 0").select(key, "e.name", "e.value") if numeric else None
+    if not categorical:
+        return long
+    tokens = record_tokens(df, categorical).select(key, F.explode("_tokens").alias("name"))
+    known = tokens.join(vocab.select("name"), "name", "left_semi").select(key, "name", F.lit(1.0).alias("value"))
+    return known if long is None else long.unionByName(known)

@@ -1,11 +1,12 @@
 """Models: build, fit, evaluate, score, persist and verify trip-duration
 regressors with Spark ML.
 
-* Features come from ``features.assemble_features`` (fixed order, missing ->
-  0.0); the fitted object is a ``PipelineModel`` [VectorAssembler, regressor].
+* The fitted object is a ``PipelineModel`` [SQLTransformer (missing -> 0.0),
+  VectorAssembler (fixed order), regressor], so a loaded model treats missing
+  values like the one that was fitted.
 * A fit depends on row order and partitioning, so training rows are
-  canonicalised first (fixed partition count, hash of a unique key, sorted
-  within partitions): the same data and seed give the same model.
+  canonicalised first (partition count by the row count, hash of a unique key,
+  sorted within partitions): the same data and seed give the same model.
 * Metrics are one aggregate over the scored rows (plus the label mean as a
   scalar subquery); parity checks score both models in the same projection,
   so they need no join.
@@ -13,16 +14,17 @@ regressors with Spark ML.
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparktrips.config import DEFAULT_SETTINGS, MODEL_TYPES, ORDERED_FEATURE_NAMES, TripSettings
-from sparktrips.operators.features import assembler, encode_features, feature_columns
+from sparktrips.operators.features import FLAG, FLAG_ENC, assembler, encode_features, encode_flag_column, feature_columns
 
 LABEL = "trip_duration"
 PREDICTION = "prediction"
@@ -43,17 +45,31 @@ def create_model(model_type: str = "random_forest", s: TripSettings = DEFAULT_SE
     raise ValueError(f"Unsupported model_type '{model_type}'. Expected one of: {', '.join(MODEL_TYPES)}")
 
 
+def _input(name: str) -> str:
+    return f"_in_{name}"
+
+
 def build_pipeline(estimator, names: list[str] = ORDERED_FEATURE_NAMES) -> Pipeline:
-    """feature vector + estimator."""
-    return Pipeline(stages=[assembler(names), estimator])
+    """F2: missing values as 0.0, feature vector, estimator."""
+    filled = ", ".join(f"coalesce(cast(`{n}` as double), 0.0D) as `{_input(n)}`" for n in names)
+    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+                            assembler([_input(n) for n in names]), estimator])
+
+
+def _predicted(model: PipelineModel, df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
+    return model.transform(df).drop("features", *map(_input, names))
 
 
 def canonical(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Fixed partitioning and order, so a refit sees the same rows in the same
+    """Partitions and order by the key, so a refit sees the same rows in the same
     places (forest bagging and binning depend on it)."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def fit_partitions(rows: int, s: TripSettings = DEFAULT_SETTINGS) -> int:
+    return s.fit_partitions or max(1, -(-rows // s.rows_per_fit_partition))
+
+
 def training_frame(df: DataFrame, key: str = "trip_id", names: list[str] = ORDERED_FEATURE_NAMES,
                    extra: list[str] | None = None) -> DataFrame:
     """Trip table -> key, ordered feature columns, label (+ ``extra`` columns)."""
@@ -66,17 +82,18 @@ def train_pipeline(train: DataFrame, estimator=None, s: TripSettings = DEFAULT_S
     """default estimator is the forest; rows canonicalised before the fit.
 
     Estimators make several passes over their input (summary statistics, then
-    the solver / split search), so the canonical training frame is persisted
-    (memory, spilling to disk) for the fit and released afterwards; without
-    it every pass would recompute cleaning and the shuffle.
+    the solver / split search), so the training rows are persisted (memory,
+    spilling to disk) for the fit and released afterwards.
     """
     from pyspark import StorageLevel
     est = estimator if estimator is not None else create_model("random_forest", s)
-    data = canonical(train, key, s.fit_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.persist(StorageLevel.MEMORY_AND_DISK)
+    data = canonical(rows, key, fit_partitions(rows.count(), s)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return build_pipeline(est).fit(data)
     finally:
         data.unpersist()
+        rows.unpersist()
 
 
 def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION,
@@ -95,21 +112,27 @@ def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PR
 
 
 def score(model: PipelineModel, df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
-    """predictions for a table or normalised records (order kept by keys)."""
-    return model.transform(feature_columns(df, names)).drop("features")
+    """predictions for a trip table or normalised records (order kept by keys).
+    A raw trip table's flag is encoded first; a frame without any of the features
+    is refused."""
+    if FLAG in df.columns and FLAG_ENC not in df.columns:
+        df = encode_flag_column(df)
+    if not any(n in df.columns for n in names):
+        raise ValueError(f"none of the features {', '.join(names)} is a column")
+    return _predicted(model, feature_columns(df, names), names)
 
 
 def score_one(model: PipelineModel, spark: SparkSession, record: dict) -> float:
-    """one record -> float; ValueError for input that is not an object
-    or has an unparsable distance. Re-aimed as a one-row DataFrame."""
+    """one record -> float; ValueError for input that is not an object or
+    holds a value that is no number. Re-aimed as a one-row DataFrame."""
     from sparktrips.operators.features import normalize_records, parse_records
-    import json
     if not isinstance(record, dict):
         raise ValueError("Input must be a dictionary of features")
     df = spark.createDataFrame([(json.dumps(record),)], "payload string")
     norm = normalize_records(parse_records(df))
-    if "trip_distance" in record and norm.select("trip_distance").first()[0] is None:
-        raise ValueError("Invalid trip_distance value")
+    errors = norm.first()["errors"]
+    if errors:
+        raise ValueError(f"Invalid {', '.join(errors)} value")
     return float(score(model, norm).select(PREDICTION).first()[0])
 
 
@@ -127,9 +150,9 @@ def parity(df: DataFrame, a: PipelineModel | None, b: PipelineModel | None = Non
     """score the same rows two ways in one projection; report the
     largest absolute difference and whether it is within tolerance."""
     x = feature_columns(df)
-    pa = a.transform(x).withColumnRenamed(PREDICTION, "_pa").drop("features")
+    pa = _predicted(a, x).withColumnRenamed(PREDICTION, "_pa")
     if b is not None:
-        both = b.transform(pa).withColumnRenamed(PREDICTION, "_pb").drop("features")
+        both = _predicted(b, pa).withColumnRenamed(PREDICTION, "_pb")
     else:
         both = pa.withColumn("_pb", b_expr)
     return both.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
@@ -172,25 +195,30 @@ def load_model(path: str) -> PipelineModel:
 
 
 def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file of a saved model, plus one digest over the
-    sorted ``relative_path:hash`` lines. Files are hashed in parallel by the
-    executors (``binaryFile``); the file list of a model is small."""
+    """SHA-256 of every file of a saved model, by path below ``path`` (whatever
+    the file system or location). Files are hashed in parallel by the executors
+    (``binaryFile``); the file list of a model is small. One row that says so
+    where there is nothing at that path."""
     try:
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                  .select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256")))
-    except Exception:  # noqa: BLE001 - no artifact at that path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([("artifact-not-found", None, None, "artifact-not-found")],
                                      "relative_path string, length bigint, modificationTime timestamp, sha256 string")
-    root = path.rstrip("/").split("://")[-1]
-    rel = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:", ""), "^" + root + "/?", "")
-    return files.select(rel.alias("relative_path"), "length", "modificationTime", "sha256")
+    below = F.substring_index("path", path.rstrip("/").split("://")[-1].strip("/") + "/", -1)
+    return files.select(below.alias("relative_path"), "length", "modificationTime", "sha256")
 
 
 def artifact_digest(manifest: DataFrame, data_only: bool = False) -> DataFrame:
-    """One digest over the sorted manifest lines (``data/`` only: a content
-    digest that ignores the save timestamp in ``metadata/``)."""
-    m = manifest.filter(F.col("relative_path").contains("data/")) if data_only else manifest
-    lines = F.sort_array(F.collect_list(F.concat_ws(":", "relative_path", "sha256")))
+    """One digest over the sorted manifest lines. ``data_only``: over the files in
+    ``data`` folders, by folder and content; the names of part files are random
+    and the ``metadata`` holds the time of saving, so this digest is equal for two
+    saves of one model."""
+    name = F.col("relative_path")
+    m = manifest.filter(F.concat(F.lit("/"), name).contains("/data/")) if data_only else manifest
+    lines = F.sort_array(F.collect_list(F.concat_ws(":", F.regexp_replace(name, "[^/]+$", "") if data_only else name, "sha256")))
     return m.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("artifact_hash"),
                  F.count(F.lit(1)).cast("bigint").alias("files"),
                  F.max("modificationTime").alias("newest_file_time"))
@@ -198,19 +226,21 @@ def artifact_digest(manifest: DataFrame, data_only: bool = False) -> DataFrame:
 
 def model_registry_row(spark: SparkSession, path: str, s: TripSettings = DEFAULT_SETTINGS,
                        names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
-    """Version, training date (newest file time, UTC ISO), features,
-    framework and artifact hash, as one row to append to a registry table."""
+    """Version, training date (newest file time, UTC ISO), features, settings,
+    framework and artifact hash, as one row of the registry table."""
     import pyspark
     dig = artifact_digest(artifact_manifest(spark, path))
-    return (dig.select(F.lit(s.model_version).alias("model_version"),
-                       F.date_format(F.col("newest_file_time"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("training_date"),
-                       F.array(*[F.lit(n) for n in names]).alias("feature_names"),
-                       F.lit(f"pyspark.ml {pyspark.__version__}").alias("framework"),
-                       "artifact_hash", "files"))
-
-
-def now_utc_iso() -> str:
-    return dt.datetime.now(dt.timezone.utc).isoformat()
-
-
-PREDICTION_SCHEMA = T.StructType([T.StructField(PREDICTION, T.DoubleType())])
+    utc = F.convert_timezone(None, F.lit("UTC"), F.col("newest_file_time").cast("timestamp_ntz"))
+    settings = {"n_estimators": s.n_estimators, "max_depth": s.max_depth, "max_bins": s.max_bins,
+                "rows_per_fit_partition": s.rows_per_fit_partition, "random_state": s.random_state}
+    return dig.select(F.lit(s.model_version).alias("model_version"),
+                      F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("training_date"),
+                      F.array(*[F.lit(n) for n in names]).alias("feature_names"),
+                      F.lit(json.dumps(settings)).alias("settings"),
+                      F.lit(f"pyspark.ml {pyspark.__version__}").alias("framework"), "artifact_hash", "files")
+
+
+def append_registry(row: DataFrame, path: str) -> DataFrame:
+    """Appends the row to the registry table and returns the table."""
+    row.write.mode("append").parquet(path)
+    return row.sparkSession.read.parquet(path)

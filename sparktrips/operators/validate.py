@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from sparktrips.config import (BATCH_MAX_TRIPS, BATCH_MIN_TRIPS, FLAG_PATTERN, MSG_GE, MSG_GT, MSG_LIST_MAX,
                                MSG_LIST_MIN, MSG_LT, MSG_NUMBER, MSG_NUMBER_PARSE, MSG_PATTERN, MSG_REQUIRED,
                                MSG_STRING, OUT_OF_RANGE_DISTANCE, REQUEST_FIELDS)
+from sparktrips.functions.columns import WHITE_SPACE
 
 # Fixed value: message for a body that is not a JSON object.
 MSG_NOT_OBJECT = "Input should be a valid dictionary or object to extract fields from"
+MSG_LIST = "Input should be a valid list"
 ROOT = "root"
 ERRORS = "errors"
 VARIANT = "_v"
@@ -31,16 +33,11 @@ def with_variant(df: DataFrame, payload: str = "payload") -> DataFrame:
     return df.withColumn(VARIANT, F.try_parse_json(F.col(payload)))
 
 
+#: The record as a map of texts: a missing member is absent, an explicit null is
+#: present; null where the body is not an object.
 MEMBERS = "_members"
 
 
-def with_members(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """JSON object -> ``MAP<STRING,VARIANT>`` (NULL when the body is not an
-    object). Each member keeps its JSON type; a missing member is absent from
-    the map while an explicit null is present as a variant null."""
-    return df.withColumn(MEMBERS, F.from_json(F.col(payload), "MAP<STRING,VARIANT>"))
-
-
 def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
@@ -68,23 +65,39 @@ def _kind(present: Column, jtype: Column) -> Column:
              .when(jtype == "BOOLEAN", K_BOOL).when(jtype.rlike(_NUMERIC_RE), K_NUMBER).otherwise(K_OTHER))
 
 
+#: Text that Python reads as a number: digits may be grouped by single underscores.
+_DIGITS = "[0-9]+(_[0-9]+)*"
+NUMBER_TEXT = rf"^\s*[+-]?({_DIGITS}(\.({_DIGITS})?)?([eE][+-]?{_DIGITS})?|\.{_DIGITS}([eE][+-]?{_DIGITS})?|(?i:nan|inf|infinity))\s*$"
+
+
+def number_of(text: Column) -> Column:
+    """A JSON number or numeric string as double; null for any other text."""
+    return F.when(text.rlike(NUMBER_TEXT), F.replace(F.btrim(text, F.lit(WHITE_SPACE)), F.lit("_")).try_cast("double"))
+
+
 def with_field_parts(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One struct column per request field holding (kind, num, txt), decoded
-    from the member map once; the rules read these small columns (an int
-    kind, a double, a string) instead of decoding again."""
-    d = with_members(df, payload)
+    """One struct column per request field holding (kind, num, txt).
+
+    The record is parsed once, to a map of texts. A text that reads as a number
+    settles its field; only for the others (null, junk, Boolean, nested) is the
+    record parsed again with its JSON types to tell them apart."""
+    d = df.withColumn(MEMBERS, F.from_json(F.col(payload), "MAP<STRING,STRING>"))
     m = F.col(MEMBERS)
+    typed = F.try_parse_json(F.col(payload))
     cols = []
     for name, *_ in REQUEST_FIELDS:
-        x = m[name]
+        txt = m[name]
         present = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
-        # Text is only read by the flag rule; numeric fields skip that decode.
-        txt = (F.try_variant_get(x, "$", "string") if name == "store_and_fwd_flag"
-               else F.lit(None).cast("string"))
-        num = (F.lit(None).cast("double") if name == "store_and_fwd_flag"
-               else F.try_variant_get(x, "$", "double"))
-        cols.append(F.struct(_kind(present, F.schema_of_variant(x)).alias("kind"), num.alias("num"),
-                             txt.alias("txt")).alias(_parts_col(name)))
+        by_type = _kind(F.lit(True), F.schema_of_variant(F.try_variant_get(typed, f"$.{name}", "variant")))
+        if name == "store_and_fwd_flag":
+            kind = F.when(~present, K_MISSING).when(txt.isin("Y", "N", "y", "n"), K_STRING).otherwise(by_type)
+            num = F.lit(None).cast("double")
+        else:
+            num = number_of(txt)
+            kind = F.when(~present, K_MISSING).when(num.isNotNull(), K_NUMBER).otherwise(by_type)
+            num = F.coalesce(num, F.when(txt.isin("true", "false") & (kind == K_BOOL), (txt == "true").cast("double")))
+            txt = F.lit(None).cast("string")
+        cols.append(F.struct(kind.alias("kind"), num.alias("num"), txt.alias("txt")).alias(_parts_col(name)))
     keep = [c for c in d.columns if c != MEMBERS]
     return d.select(*keep, m.isNotNull().alias("_is_object"), *cols)
 
@@ -187,12 +200,6 @@ def validate_records(df: DataFrame, payload: str = "payload", with_values: bool
     return _drop_parts(d)
 
 
-def apply_defaults(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """V2 on raw records: typed fields with defaults."""
-    d = with_field_parts(df, payload)
-    return _drop_parts(d.select(*df.columns, "_is_object", *typed_values()))
-
-
 def route(validated: DataFrame, accepted: bool, cols: list[str | Column]) -> DataFrame:
     """Rows with the given verdict, projected to ``cols``.
 
@@ -207,6 +214,16 @@ def route(validated: DataFrame, accepted: bool, cols: list[str | Column]) -> Dat
     return picked.filter(F.col("_r").isNotNull()).select("_r.*")
 
 
+def malformed(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """V8: bodies that are no objects, and objects whose distance is there but no
+    number (junk text, null, array, object), with the ``reason``."""
+    d = with_field_parts(df, payload)
+    distance = F.col(_parts_col("trip_distance"))
+    bad = (distance["kind"] != K_MISSING) & distance["num"].isNull()
+    reason = F.when(~F.col("_is_object"), "not_object").when(bad, "unparsable_trip_distance")
+    return _drop_parts(d.withColumn("reason", reason)).where(F.col("reason").isNotNull())
+
+
 def error_message(errors: str = ERRORS) -> Column:
     """V4: ``field: message`` pairs joined by '; '."""
     return F.array_join(F.transform(F.col(errors), lambda e: F.concat(e["field"], F.lit(": "), e["message"])), "; ")
@@ -257,30 +274,76 @@ def out_of_range(col: str = "trip_distance") -> Column:
     return F.coalesce(F.col(col) > F.lit(OUT_OF_RANGE_DISTANCE), F.lit(False))
 
 
-def correlation_id(request_col: str | None, payload: str = "payload", pos: str | None = "pos") -> Column:
-    """caller's id, else a replay-stable id derived from the content."""
-    parts = [F.col(payload)] + ([F.col(pos).cast("string")] if pos else [])
+def correlation_id(request_col: str | None, payload: str = "payload", pos: str | None = "pos",
+                   source: str | None = None) -> Column:
+    """caller's id, else one derived from file, position and body, so that a
+    replay gives the same id and two equal requests get two."""
+    parts = [F.col(c).cast("string") for c in (source, pos) if c] + [F.col(payload)]
     derived = F.sha2(F.concat_ws("|", *parts), 256)
     return derived if request_col is None else F.coalesce(F.col(request_col), derived)
 
 
+#: Errors of a batch body without a usable list of trips.
+TRIPS = "trips"
+
+
 def read_trip_requests(spark, path: str, batch: bool = False) -> DataFrame:
     """JSON-lines requests. One trip object per line, or (``batch``) one
     ``{"trips": [...]}`` object per line, exploded with its position kept; the
-    field names of batch errors become ``trips.<i>.<field>``."""
+    field names of batch errors become ``trips.<i>.<field>``.
+
+    ``request_id`` is derived from file, position and body (one for all trips of
+    a line). A body without trips is one row with a null ``trip_index``."""
     lines = spark.read.text(path).withColumnRenamed("value", "payload")
-    lines = lines.withColumn("source_file", F.input_file_name())
+    lines = lines.select("payload", F.col("_metadata.file_name").alias("source_file"),
+                         F.monotonically_increasing_id().alias("position"))
+    lines = lines.withColumn("request_id", correlation_id(None, "payload", "position", "source_file"))
     if not batch:
         return lines
     v = F.try_parse_json(F.col("payload"))
-    trips = F.try_variant_get(v, "$.trips", "array<variant>")
-    return (lines.select("source_file", F.col("payload").alias("request_payload"),
-                         F.posexplode_outer(trips).alias("trip_index", "trip"))
-                 .withColumn("payload", F.to_json(F.col("trip"))).drop("trip"))
+    trips = F.try_variant_get(v, f"$.{TRIPS}", "array<variant>")
+    listed = lines.withColumn("_trips", trips).withColumn("_named", F.try_variant_get(v, f"$.{TRIPS}", "variant").isNotNull())
+    return (listed.select("request_id", "source_file", F.col("payload").alias("request_payload"), is_object(v).alias("body_is_object"),
+                          F.col("_named").alias("has_trips"), F.size("_trips").alias("n_listed"),
+                          F.posexplode_outer("_trips").alias("trip_index", "trip"))
+                  .withColumn("payload", F.to_json(F.col("trip"))).drop("trip"))
 
 
-def validate_batch(df: DataFrame) -> DataFrame:
-    """Validation of exploded batch rows: field paths ``trips.<i>.<field>``."""
-    prefix = F.concat(F.lit("trips."), F.col("trip_index").cast("string"), F.lit("."))
+def _batch_error() -> Column:
+    """The error of a whole batch body, or NULL where it has trips."""
+    def of(field: str, message: Column) -> Column:
+        return F.array(F.struct(F.lit(field).alias("field"), message.alias("message")))
+
+    few = F.lit(MSG_LIST_MIN.replace("{}", str(BATCH_MIN_TRIPS), 1).replace("{}", "0", 1))
+    return (F.when(~F.col("body_is_object"), of(ROOT, F.lit(MSG_NOT_OBJECT)))
+             .when(~F.col("has_trips"), of(TRIPS, F.lit(MSG_REQUIRED)))
+             .when(F.col("trip_index").isNull(), F.when(F.col("n_listed") == 0, of(TRIPS, few)).otherwise(of(TRIPS, F.lit(MSG_LIST)))))
+
+
+def validate_batch(df: DataFrame, with_values: bool = False) -> DataFrame:
+    """Validation of exploded batch rows: field paths ``trips.<i>.<field>``; a body
+    without trips has an error for the body."""
+    prefix = F.concat(F.lit(f"{TRIPS}."), F.col("trip_index").cast("string"), F.lit("."))
     d = with_field_errors(with_field_parts(df, "payload"), prefix)
-    return _drop_parts(d.withColumn(ERRORS, errors_from_parts(prefix)).withColumn("accepted", F.size(ERRORS) == 0))
+    d = d.withColumn(ERRORS, F.coalesce(_batch_error(), errors_from_parts(prefix))).withColumn("accepted", F.size(ERRORS) == 0)
+    return _drop_parts(d.select("*", *typed_values()) if with_values else d)
+
+
+def batch_verdicts(validated: DataFrame) -> DataFrame:
+    """V6 and V7 per batch request: trips, whether their number is allowed, and
+    whether the whole request is accepted."""
+    g = validated.groupBy("request_id").agg(F.count("trip_index").cast("bigint").alias("n_trips"),
+                                            F.count_if(~F.col("accepted")).cast("bigint").alias("n_bad"))
+    n = F.col("n_trips")
+    g = g.withColumn("size_ok", (n >= BATCH_MIN_TRIPS) & (n <= BATCH_MAX_TRIPS))
+    return g.withColumn("accepted", F.col("size_ok") & (F.col("n_bad") == 0))
+
+
+def batch_responses(scored: DataFrame, model_version: str) -> DataFrame:
+    """S3: per accepted request its predictions in the order of its trips, their
+    ``count``, the model's version and the correlation id. A request has at most
+    ``BATCH_MAX_TRIPS`` trips, so its list is bounded."""
+    ordered = F.sort_array(F.collect_list(F.struct("trip_index", "prediction")))
+    g = scored.groupBy("request_id").agg(F.transform(ordered, lambda x: x["prediction"]).alias("predictions"),
+                                         F.count(F.lit(1)).cast("bigint").alias("count"))
+    return g.select("predictions", "count", F.lit(model_version).alias("model_version"), F.col("request_id").alias("correlation_id"))

@@ -8,6 +8,7 @@ from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES, RECORD_NU
 from sparktrips.functions.columns import pu_do
 from sparktrips.operators import clean, features, split
 from sparktrips.plans.catalog import register
+from sparktrips.plans.q_validate import _num as _number_sql
 from sparktrips.plans.sqlviews import with_clean, with_requests, with_trips
 from sparktrips.sources import views
 
@@ -34,15 +35,26 @@ def encode_features(spark, sf_dir):
 
 
 # Record path in SQL: JSON member presence, text and type.
+def _value(k):
+    return _number_sql(k)
+
+
 def _num(k):
-    return f"try_cast(json_extract_string(payload, '$.{k}') as double) as {k}"
+    return f"{_value(k)} as {k}"
+
+
+def _bad(k):
+    return f"case when json_extract(payload, '$.{k}') is not null and {_value(k)} is null then '{k}' end"
+
+
+_ERRORS_SQL = "list_filter([" + ", ".join(_bad(k) for k in [*RECORD_NUMERIC_KEYS, "store_and_fwd_flag_encoded"]) + "], lambda x: x is not null)"
 
 
 _FLAG_TXT = "json_extract_string(payload, '$.store_and_fwd_flag')"
 _FLAG_TYPE = "json_type(payload, '$.store_and_fwd_flag')"
 _REC_FLAG_SQL = f"""cast(case
   when json_extract(payload, '$.store_and_fwd_flag_encoded') is not null
-    then try_cast(try_cast(json_extract_string(payload, '$.store_and_fwd_flag_encoded') as double) as int)
+    then try_cast(trunc({_number_sql('store_and_fwd_flag_encoded')}) as int)
   when json_extract(payload, '$.store_and_fwd_flag') is not null then case
     when {_FLAG_TYPE} = 'VARCHAR' then (case when upper(trim({_FLAG_TXT})) = 'Y' then 1 else 0 end)
     when {_FLAG_TYPE} = 'BOOLEAN' then (case when {_FLAG_TXT} = 'true' then 1 else 0 end)
@@ -59,7 +71,7 @@ _REC_PUDO_SQL = """case
 
 @register("normalize_record", with_requests(f"""
 select request_id, pos, l_partkey, l_suppkey, payload, {", ".join(_num(k) for k in RECORD_NUMERIC_KEYS)},
-  {_REC_FLAG_SQL} as store_and_fwd_flag_encoded, {_REC_PUDO_SQL} as PU_DO
+  {_REC_FLAG_SQL} as store_and_fwd_flag_encoded, {_REC_PUDO_SQL} as PU_DO, {_ERRORS_SQL} as errors
 from requests"""))
 def normalize_record(spark, sf_dir):
     return features.normalize_records(features.parse_records(views.requests(spark, sf_dir)))
@@ -73,13 +85,14 @@ def pu_do_pair(spark, sf_dir):
 
 
 _ORDERED_RECORD_SQL = ", ".join(
-    f"coalesce(try_cast(json_extract_string(payload, '$.{n}') as double), 0.0) as {n}"
+    f"coalesce({_value(n)}, 0.0) as {n}"
     if n != "store_and_fwd_flag_encoded" else f"cast({_REC_FLAG_SQL} as double) as {n}"
     for n in ORDERED_FEATURE_NAMES)
 
 
 @register("prepare_features", with_requests(f"""
-select request_id, pos, l_partkey, l_suppkey, payload, {_REC_PUDO_SQL} as PU_DO, {_ORDERED_RECORD_SQL} from requests"""))
+select request_id, pos, l_partkey, l_suppkey, payload, {_REC_PUDO_SQL} as PU_DO, {_ORDERED_RECORD_SQL} from requests
+where len({_ERRORS_SQL}) = 0"""))
 def prepare_features(spark, sf_dir):
     """P11 + F1 on the record path: records -> fixed-order model inputs."""
     return features.feature_columns(features.prepare_features(views.requests(spark, sf_dir)))

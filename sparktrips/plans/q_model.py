@@ -85,9 +85,9 @@ def regression_metrics(spark, sf_dir):
 
 @register("score_sink", with_requests(f"""
 select {_K}, 3.0 * trip_distance + 5.0 as prediction, '{DEFAULT_SETTINGS.model_version}' as model_version,
-  request_id as correlation_id
-from (select {_K}, {_field_value_sql("trip_distance", None, True)}
-      from validated join requests using ({_K}, payload) where n_errors = 0) t""", _VALIDATED_CTE))
+  coalesce(request_id, sha256(concat_ws('|', cast(pos as varchar), payload))) as correlation_id
+from (select {_K}, payload, {_field_value_sql("trip_distance", None, True)}
+      from validated where n_errors = 0) t""", _VALIDATED_CTE))
 def score_sink(spark, sf_dir):
     """S3: response rows (prediction, model_version, correlation_id) for the
     accepted requests, scored with the known linear weights; ``write_scores``
@@ -209,7 +209,8 @@ def artifact_manifest(spark, sf_dir):
 @register("model_registry")
 def model_registry(spark, sf_dir):
     """One registry row for the saved model."""
-    return model.model_registry_row(spark, _saved(spark, sf_dir))
+    row = model.model_registry_row(spark, _saved(spark, sf_dir), QUERY_FOREST)
+    return model.append_registry(row, scratch_path(spark, "registry"))
 
 
 @register("run_training")

@@ -37,9 +37,13 @@ def _jt(n):
     return f"json_type(payload, '$.{n}')"
 
 
+_NUMBER_SQL = "'^[+-]?([0-9]+(_[0-9]+)*(\\.([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+)?|\\.[0-9]+([eE][+-]?[0-9]+)?)$'"
+
+
 def _num(n):
+    txt = f"trim(json_extract_string(payload, '$.{n}'))"
     return (f"(case when {_jt(n)} = 'BOOLEAN' then (case when json_extract_string(payload, '$.{n}') = 'true' "
-            f"then 1.0 else 0.0 end) else try_cast(json_extract_string(payload, '$.{n}') as double) end)")
+            f"then 1.0 else 0.0 end) when regexp_matches({txt}, {_NUMBER_SQL}) then try_cast(replace({txt}, '_', '') as double) end)")
 
 
 def _err_sql(n, default, gt, ge, lt):
@@ -93,15 +97,9 @@ select {_K}, {_IS_OBJ} as is_object, {", ".join(_field_value_sql(n, d, False) fo
 from requests"""))
 def read_trip_requests(spark, sf_dir):
     """Request records parsed to typed fields (no defaults yet)."""
-    d = V.with_variant(_requests(spark, sf_dir))
-    v = F.col(V.VARIANT)
-    cols = []
-    for n, *_ in REQUEST_FIELDS:
-        if n == "store_and_fwd_flag":
-            cols.append(F.try_variant_get(v, f"$.{n}", "string").alias(n))
-        else:
-            cols.append(V.field_parts(v, n)[2].alias(n))
-    return d.select(*KEYS, V.is_object(v).alias("is_object"), *cols)
+    d = V.with_field_parts(_requests(spark, sf_dir))
+    part = lambda n: F.col(V._parts_col(n))["txt" if n == "store_and_fwd_flag" else "num"].alias(n)
+    return d.select(*KEYS, F.col("_is_object").alias("is_object"), *[part(n) for n, *_ in REQUEST_FIELDS])
 
 
 @register("validate_ranges", with_requests(f"""
@@ -113,7 +111,7 @@ def validate_ranges(spark, sf_dir):
 
 @register("apply_defaults", with_requests(f"""
 select {_K}, {", ".join(_field_value_sql(n, d, True) for n, d, *_ in REQUEST_FIELDS)}
-from validated join requests using ({_K}, payload) where n_errors = 0""", _VALIDATED_CTE))
+from (select * from validated where n_errors = 0) v""", _VALIDATED_CTE))
 def apply_defaults(spark, sf_dir):
     """V2: accepted records as typed requests with defaults filled."""
     val = V.validate_records(_requests(spark, sf_dir), with_values=True)
@@ -144,7 +142,8 @@ def validation_report(spark, sf_dir):
 
 @register("rejects_by_rule", with_requests(f"""
 select split_part(m, ': ', 1) as field, substr(m, strpos(m, ': ') + 2) as message, count(*) as rejections
-from (select unnest(list_filter([{", ".join(_ERRS)}], lambda x: x is not null)) as m from requests) t
+from (select unnest(case when {_IS_OBJ} then list_filter([{", ".join(_ERRS)}], lambda x: x is not null) else [{_ROOT_MSG}] end) as m
+      from requests) t
 group by 1, 2"""))
 def rejects_by_rule(spark, sf_dir):
     """V5: rejection counts per failing field and message."""
@@ -154,10 +153,10 @@ def rejects_by_rule(spark, sf_dir):
 @register("batch_size_rule", with_requests(f"""
 select request_id, count(*) as n_trips, count(*) between 1 and 1000 as size_ok,
   case when count(*) > 1000 then concat('trips: List should have at most 1000 items after validation, not ', count(*)) end as message
-from requests group by request_id"""))
+from requests where request_id is not null group by request_id"""))
 def batch_size_rule(spark, sf_dir):
-    """V6: 1..1000 trips per request."""
-    return V.batch_size_rule(_requests(spark, sf_dir))
+    """V6: 1..1000 trips per request (trips of the caller's requests)."""
+    return V.batch_size_rule(_requests(spark, sf_dir).where("request_id is not null"))
 
 
 @register("reject_whole_request", with_requests(f"""
@@ -171,21 +170,18 @@ def reject_whole_request(spark, sf_dir):
 
 @register("reject_malformed", with_requests(f"""
 select {_K}, case when not {_IS_OBJ} then 'not_object' else 'unparsable_trip_distance' end as reason from requests
-where not {_IS_OBJ} or (json_type(payload, '$.trip_distance') = 'VARCHAR' and {_num('trip_distance')} is null)"""))
+where not {_IS_OBJ} or (json_extract(payload, '$.trip_distance') is not null and (
+  {_jt('trip_distance')} in ('NULL', 'ARRAY', 'OBJECT') or {_jt('trip_distance')} = 'VARCHAR'
+  and not regexp_matches(trim(json_extract_string(payload, '$.trip_distance')), {_NUMBER_SQL})))"""))
 def reject_malformed(spark, sf_dir):
-    """V8: bodies that are not objects, or whose distance cannot be parsed."""
-    d = V.with_variant(_requests(spark, sf_dir))
-    v = F.col(V.VARIANT)
-    _, jt, num = V.field_parts(v, "trip_distance")
-    bad_dist = (jt == "STRING") & num.isNull()
-    return (d.filter(~V.is_object(v) | F.coalesce(bad_dist, F.lit(False)))
-             .select(*KEYS, F.when(~V.is_object(v), "not_object").otherwise("unparsable_trip_distance").alias("reason")))
+    """V8: bodies that are not objects, or whose distance is no number."""
+    return V.malformed(_requests(spark, sf_dir)).select(*KEYS, "reason")
 
 
 @register("out_of_range_flag", with_requests(f"""
 select {_K}, {_num('trip_distance')} as trip_distance,
   coalesce({_num('trip_distance')} > {OUT_OF_RANGE_DISTANCE!r}, false) as out_of_training_range
-from validated join requests using ({_K}, payload) where n_errors = 0""", _VALIDATED_CTE))
+from (select * from validated where n_errors = 0) v""", _VALIDATED_CTE))
 def out_of_range_flag(spark, sf_dir):
     """Accepted trips beyond the training distance are flagged, not dropped."""
     val = V.validate_records(_requests(spark, sf_dir), with_values=True)
@@ -193,8 +189,8 @@ def out_of_range_flag(spark, sf_dir):
 
 
 @register("correlation_id", with_requests(f"""
-select {_K}, coalesce(request_id, sha256(concat_ws('|', payload, cast(pos as varchar)))) as correlation_id
+select {_K}, coalesce(request_id, sha256(concat_ws('|', cast(pos as varchar), payload))) as correlation_id
 from requests"""))
 def correlation_id(spark, sf_dir):
-    """Caller id, else a replay-stable content hash."""
+    """Caller id, else one derived from position and content."""
     return _requests(spark, sf_dir).select(*KEYS, V.correlation_id("request_id").alias("correlation_id"))

@@ -40,18 +40,37 @@ from lineitem
 """
 
 REQUESTS_SQL = """
-select concat('r', l_orderkey % 500) as request_id, l_linenumber as pos, l_partkey, l_suppkey,
- concat('{"trip_distance": ', cast(case when l_partkey % 31 = 0 then -5 when l_partkey % 37 = 0 then 250 when l_partkey % 41 = 0 then 150 else cast(l_quantity as int) end as varchar(20)),
-   case when l_partkey % 43 = 0 then '' else concat(', "fare_amount": ', cast(cast(floor(l_extendedprice/1000) as int) as varchar(20))) end,
+select case when l_orderkey % 97 = 0 then null when l_orderkey % 5000 < 400 then concat('b', l_orderkey // 5000)
+            else concat('r', l_orderkey) end as request_id,
+ l_linenumber as pos, l_partkey, l_suppkey,
+ case when l_partkey % 83 = 0 then '[1, 2]' when l_partkey % 89 = 0 then '"text"' else
+ concat('{"trip_distance": ', case
+     when l_partkey % 59 = 0 then '"3.5d"' when l_partkey % 61 = 0 then '" 7.5 "' when l_partkey % 67 = 0 then 'null'
+     when l_partkey % 71 = 0 then '[1]' when l_partkey % 73 = 0 then '{"a": 1}' when l_partkey % 79 = 0 then 'true'
+     when l_partkey % 31 = 0 then '-5' when l_partkey % 37 = 0 then '250' when l_partkey % 41 = 0 then '150'
+     when l_partkey % 103 = 0 then '"1_0"' else cast(cast(l_quantity as int) as varchar(20)) end,
+   case when l_partkey % 43 = 0 then '' when l_partkey % 107 = 0 then ', "fare_amount": "abc"'
+        else concat(', "fare_amount": ', cast(cast(floor(l_extendedprice/1000) as int) as varchar(20))) end,
    ', "total_amount": ', cast(cast(floor(l_extendedprice/1000) as int) + 3 as varchar(20)),
-   case when l_partkey % 47 = 0 then ', "store_and_fwd_flag": "X"' when l_partkey % 2 = 0 then ', "store_and_fwd_flag": "y"' else '' end,
-   case when l_partkey % 53 = 0 then ', "tip_amount": null' else '' end, '}') as payload
+   case when l_partkey % 47 = 0 then ', "store_and_fwd_flag": "X"' when l_partkey % 19 = 0 then ', "store_and_fwd_flag": true'
+        when l_partkey % 17 = 0 then ', "store_and_fwd_flag": 1' when l_partkey % 2 = 0 then ', "store_and_fwd_flag": "y"' else '' end,
+   case when l_partkey % 53 = 0 then ', "tip_amount": null' else '' end,
+   case when l_partkey % 23 = 0 then ', "PU_DO": "7_8"' when l_partkey % 29 = 0 then ', "PULocationID": 10, "DOLocationID": 20' else '' end,
+   case when l_partkey % 109 = 0 then ', "store_and_fwd_flag_encoded": 1' else '' end, '}') end as payload
 from lineitem
 """
 
-SERVICE_LOG_SQL = """
-select cast(ts as timestamp) as ts, concat('{"timestamp": "2024-01-01T00:00:00+00:00", "level": "', case when event_type = 'error' then 'ERROR' else 'INFO' end,
-  '", "logger": "svc.api", "message": "Request POST /', event_type, ' completed with status ', case when event_type = 'error' then '500' else '200' end, ' in ', cast(cast(floor(value * 100) as int) as varchar(20)), ' ms", "correlation_id": ', case when user_id % 10 = 0 then 'null' else concat('"c', user_id, '"') end, '}') as line
+_LATENCY_SQL = """case when user_id % 50 = 0 then '0' else concat(cast(floor(value * 100) as bigint) // 100, '.',
+  lpad(cast(cast(floor(value * 100) as bigint) % 100 as varchar), 2, '0')) end"""
+SERVICE_LOG_SQL = f"""
+select cast(ts as timestamp) as ts, concat('{{"timestamp": "2024-01-01T00:00:00+00:00", "level": "', case when event_type = 'error' then 'ERROR' else 'INFO' end,
+  '", "logger": "svc.api", "message": "', case
+    when user_id % 3 = 0 then concat('Prediction served: 12.50 minutes with latency ', {_LATENCY_SQL}, ' ms')
+    when user_id % 7 = 0 then concat(event_type, ' executed in ', {_LATENCY_SQL}, ' ms')
+    when user_id % 11 = 0 then 'Model loaded'
+    else concat('Request POST /', event_type, ' completed with status ', case when event_type = 'error' then '500' else '200' end,
+                ' in ', {_LATENCY_SQL}, ' ms') end,
+  '", "correlation_id": ', case when user_id % 10 = 0 then 'null' else concat('"c', user_id, '"') end, '}}') as line
 from events
 """
 

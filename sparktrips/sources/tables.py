@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparktrips.config import DEFAULT_SETTINGS, TripSettings
 from sparktrips.functions.columns import nan_to_null
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -19,7 +21,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-# Declared schema of a raw green-taxi trip file. Nothing is inferred at read.
+# Columns of a raw trip file and the types they are read as.
 TRIP_SCHEMA = T.StructType([
     T.StructField("VendorID", T.IntegerType()),
     T.StructField("lpep_pickup_datetime", T.TimestampNTZType()),
@@ -54,12 +56,42 @@ def normalize_nan(df: DataFrame) -> DataFrame:
     return df.select(*[nan_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
 
 
-def load_trips(spark: SparkSession, path: str | None = None, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
-    """Read trip parquet with a declared schema.
+#: Columns without which there is no trip duration.
+REQUIRED_TRIP_COLUMNS = ("lpep_pickup_datetime", "lpep_dropoff_datetime")
 
-    A missing path raises (``PATH_NOT_FOUND`` analysis error) when the scan is
-    planned, like a missing file on a local read.
+
+def load_trips(spark: SparkSession, path: str | None = None, s: TripSettings = DEFAULT_SETTINGS) -> DataFrame:
+    """Trip parquet with the file's own columns: known ones are cast to the types of
+    ``TRIP_SCHEMA`` (files store codes as integers or doubles), unknown ones are
+    kept, and absent ones stay absent, since cleaning looks at present columns
+    only. Rows get a key of file name and row index where the file has none.
+
+    A missing path raises ``FileNotFoundError``, a file without pickup or dropoff
+    time ``ValueError``.
     """
-    if path is None:
-        raise FileNotFoundError("no trip data path given")
-    return normalize_nan(spark.read.schema(schema).parquet(path))
+    path = s.data_path if path is None else path
+    try:
+        raw = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"Dataset not found at {path}") from e
+        raise
+    missing = [c for c in REQUIRED_TRIP_COLUMNS if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    known = {f.name: f.dataType for f in TRIP_SCHEMA}
+    columns = [F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in raw.columns]
+    if s.key_col not in raw.columns:
+        columns.append(F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias(s.key_col))
+    return normalize_nan(raw.select(*columns))
+
+
+def with_row_key(df: DataFrame, key: str) -> DataFrame:
+    """A key for rows of any origin: a hash of all columns and, for equal rows, their
+    number. Equal rows are interchangeable, so the keys are the same each time."""
+    if key in df.columns:
+        return df
+    whole = F.sha2(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), 256)
+    numbered = df.withColumn("_row", whole)
+    number = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))
+    return numbered.withColumn(key, F.concat_ws(":", "_row", number.cast("string"))).drop("_row")

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from sparktrips.sources.tables import read_table
 
-# Scale of the fixture rules, as written in FIXTURES.md (fixed values).
-REQUEST_GROUPS = 500
-
-
 def _d(x: float):
     return F.lit(float(x))
 
@@ -70,38 +66,52 @@ def trips_from_lineitem(li: DataFrame) -> DataFrame:
 
 
 def requests_from_lineitem(li: DataFrame) -> DataFrame:
-    """One JSON request record per lineitem row, grouped into requests."""
-    pk = F.col("l_partkey")
+    """One JSON request record per lineitem row. An order is a request of a few
+    trips; of each 5,000 orders, 400 make one request of over 1,000 trips, and
+    one order in 97 gives no request id. The records hold every kind of value
+    that validation tells apart (FIXTURES.md)."""
+    pk, ok = F.col("l_partkey"), F.col("l_orderkey")
     fare_i = F.floor(F.col("l_extendedprice") / 1000).cast("int")
-    dist = (F.when(pk % 31 == 0, F.lit(-5)).when(pk % 37 == 0, F.lit(250))
-            .when(pk % 41 == 0, F.lit(150)).otherwise(F.col("l_quantity").cast("int")))
-    payload = F.concat(
-        F.lit('{"trip_distance": '), dist.cast("string"),
-        F.when(pk % 43 == 0, F.lit("")).otherwise(F.concat(F.lit(', "fare_amount": '), fare_i.cast("string"))),
-        F.lit(', "total_amount": '), (fare_i + 3).cast("string"),
-        F.when(pk % 47 == 0, F.lit(', "store_and_fwd_flag": "X"'))
-         .when(pk % 2 == 0, F.lit(', "store_and_fwd_flag": "y"')).otherwise(F.lit("")),
+    odd = {59: '"3.5d"', 61: '" 7.5 "', 67: "null", 71: "[1]", 73: '{"a": 1}', 79: "true", 31: "-5", 37: "250", 41: "150", 103: '"1_0"'}
+    dist = F.lit(None).cast("string")
+    for k, text in reversed(odd.items()):
+        dist = F.when(pk % k == 0, F.lit(text)).otherwise(dist)
+    dist = F.coalesce(dist, F.col("l_quantity").cast("int").cast("string"))
+    flag = (F.when(pk % 47 == 0, ', "store_and_fwd_flag": "X"').when(pk % 19 == 0, ', "store_and_fwd_flag": true')
+             .when(pk % 17 == 0, ', "store_and_fwd_flag": 1').when(pk % 2 == 0, ', "store_and_fwd_flag": "y"').otherwise(""))
+    body = F.concat(
+        F.lit('{"trip_distance": '), dist,
+        F.when(pk % 43 == 0, F.lit("")).when(pk % 107 == 0, F.lit(', "fare_amount": "abc"'))
+         .otherwise(F.concat(F.lit(', "fare_amount": '), fare_i.cast("string"))),
+        F.lit(', "total_amount": '), (fare_i + 3).cast("string"), flag,
         F.when(pk % 53 == 0, F.lit(', "tip_amount": null')).otherwise(F.lit("")),
+        F.when(pk % 23 == 0, F.lit(', "PU_DO": "7_8"')).when(pk % 29 == 0, F.lit(', "PULocationID": 10, "DOLocationID": 20')).otherwise(F.lit("")),
+        F.when(pk % 109 == 0, F.lit(', "store_and_fwd_flag_encoded": 1')).otherwise(F.lit("")),
         F.lit("}"),
     )
-    return li.select(
-        F.concat(F.lit("r"), (F.col("l_orderkey") % REQUEST_GROUPS).cast("string")).alias("request_id"),
-        F.col("l_linenumber").alias("pos"),
-        "l_partkey", "l_suppkey",
-        payload.alias("payload"),
-    )
+    payload = F.when(pk % 83 == 0, F.lit("[1, 2]")).when(pk % 89 == 0, F.lit('"text"')).otherwise(body)
+    request = (F.when(ok % 97 == 0, F.lit(None).cast("string"))
+                .when(ok % 5000 < 400, F.concat(F.lit("b"), F.floor(ok / 5000).cast("string")))
+                .otherwise(F.concat(F.lit("r"), ok.cast("string"))))
+    return li.select(request.alias("request_id"), F.col("l_linenumber").alias("pos"), "l_partkey", "l_suppkey", payload.alias("payload"))
 
 
 def service_log_from_events(ev: DataFrame) -> DataFrame:
     """JSON service-log lines, one per event; ``ts`` is the event time."""
     is_err = F.col("event_type") == "error"
+    hundredths = F.floor(F.col("value") * 100)
+    # two decimals written out: engines print doubles differently
+    ms = F.when(F.col("user_id") % 50 == 0, F.lit("0")).otherwise(F.concat(
+        F.floor(hundredths / 100).cast("int").cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("int").cast("string"), 2, "0")))
+    message = (F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("Prediction served: 12.50 minutes with latency "), ms, F.lit(" ms")))
+                .when(F.col("user_id") % 7 == 0, F.concat(F.col("event_type"), F.lit(" executed in "), ms, F.lit(" ms")))
+                .when(F.col("user_id") % 11 == 0, F.lit("Model loaded"))
+                .otherwise(F.concat(F.lit("Request POST /"), F.col("event_type"), F.lit(" completed with status "),
+                                    F.when(is_err, F.lit("500")).otherwise(F.lit("200")), F.lit(" in "), ms, F.lit(" ms"))))
     line = F.concat(
         F.lit('{"timestamp": "2024-01-01T00:00:00+00:00", "level": "'),
         F.when(is_err, F.lit("ERROR")).otherwise(F.lit("INFO")),
-        F.lit('", "logger": "svc.api", "message": "Request POST /'), F.col("event_type"),
-        F.lit(" completed with status "), F.when(is_err, F.lit("500")).otherwise(F.lit("200")),
-        F.lit(" in "), F.floor(F.col("value") * 100).cast("int").cast("string"),
-        F.lit(' ms", "correlation_id": '),
+        F.lit('", "logger": "svc.api", "message": "'), message, F.lit('", "correlation_id": '),
         F.when(F.col("user_id") % 10 == 0, F.lit("null"))
          .otherwise(F.concat(F.lit('"c'), F.col("user_id").cast("string"), F.lit('"'))),
         F.lit("}"),

@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from sparktrips.config import DEFAULT_SETTINGS, MODEL_TYPES, TripSettings
 from sparktrips.operators import clean, model, split
 from sparktrips.session import scratch_path
+from sparktrips.sources.tables import load_trips, with_row_key
 
 
 def prepare_training_table(spark: SparkSession, trips: DataFrame, s: TripSettings, path: str | None = None) -> DataFrame:
     """Clean, label the split and build model inputs; write the result once to
     the shared checkpoint folder so the fit and the metrics read a fixed table
     (lineage is cut: a lost executor later does not recompute the cleaning)."""
-    labelled = split.hash_split(clean.clean_trips(trips, s), s)
+    labelled = split.hash_split(clean.clean_trips(with_row_key(trips, s.key_col), s), s)
     table = model.training_frame(labelled, s.key_col, s.feature_names, extra=[split.SPLIT])
     out = path or scratch_path(spark, "training-table")
     table.write.mode("overwrite").partitionBy(split.SPLIT).parquet(out)
@@ -46,7 +47,7 @@ def run_training(spark: SparkSession, trips: DataFrame, s: TripSettings = DEFAUL
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Train a trip-duration model with Spark ML")
-    p.add_argument("--data-path", required=True, help="trip parquet file or folder")
+    p.add_argument("--data-path", default=DEFAULT_SETTINGS.data_path, help="trip parquet file or folder")
     p.add_argument("--model-path", required=True, help="where the fitted PipelineModel is saved")
     p.add_argument("--model-type", default=DEFAULT_SETTINGS.model_type, choices=list(MODEL_TYPES))
     p.add_argument("--n-estimators", type=int, default=DEFAULT_SETTINGS.n_estimators)
@@ -55,7 +56,6 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> dict:
     from sparktrips.session import build_session
-    from sparktrips.sources.tables import load_trips
     args = parse_args(argv)
     s = DEFAULT_SETTINGS.with_(model_type=args.model_type, n_estimators=args.n_estimators)
     spark = build_session()
