@@ -94,14 +94,18 @@ def base_features(rows: DataFrame) -> DataFrame:
 
 # --- the ratio --------------------------------------------------------------
 
-def log_ratios(hashed: DataFrame) -> np.ndarray:
-    """Of rows ``(n, hashes, trusted)``: log of the bucket's probability in trusted
-    texts over that in all texts. Sums are taken before the shuffle, per bucket."""
-    grams = hashed.select("trusted", F.explode(F.concat(buckets("word"), buckets("pair"))).alias("bucket"))
-    counted = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("trusted").alias("n_trusted"))
-    n = np.zeros((2, BUCKETS))
-    for row in counted.collect():  # at most BUCKETS rows
-        n[:, row.bucket] = row.n, row.n_trusted
+def bucket_counts(hashed: DataFrame) -> np.ndarray:
+    """N-grams per bucket of rows ``(n, hashes)``; partial sums before the shuffle."""
+    grams = hashed.select(F.explode(F.concat(buckets("word"), buckets("pair"))).alias("bucket"))
+    n = np.zeros(BUCKETS)
+    for row in grams.groupBy("bucket").agg(F.count("*").alias("n")).collect():  # at most BUCKETS rows
+        n[row.bucket] = row.n
+    return n
+
+
+def log_ratios(everything: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """Log of each bucket's probability in the trusted texts over that in all."""
+    n = np.stack([bucket_counts(everything), bucket_counts(trusted)])
     if not n[1].sum():
         return np.zeros(BUCKETS)
     share = (n + SMOOTHING) / (n + SMOOTHING).sum(axis=1, keepdims=True)
@@ -139,11 +143,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     graded = labels.select(F.col(id_col).alias("label_id"), F.col(quality_col).alias("quality")).where("label_id is not null") \
         .groupBy("label_id").agg(F.max("quality").alias("quality"))
-    labelled = rows.join(graded, rows["id"] == F.col("label_id"), "left")
-    # half of the trusted texts are the target, the other half sets the threshold
+    # half of the trusted texts are the target, the other half sets the threshold: only texts of
+    # the first half need their label, so only those are shuffled (labels grow with the texts,
+    # so they are never broadcast)
     target = crc_mod(F.col("id"), 2) == 0
-    trusted = F.coalesce((F.col("quality") == 1) & target, F.lit(False))
-    ratios = log_ratios(with_hashes(labelled.select("text", trusted.alias("trusted"))))
+    good_ids = graded.where("quality = 1").select(F.col("label_id").alias("id")).hint("merge")
+    targets = rows.where(target).join(good_ids, "id", "left_semi")
+    ratios = log_ratios(with_hashes(rows), with_hashes(targets))
 
     base = base_features(with_hashes(rows))
     failed = (F.col("n") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n").cast("bigint") * MAX_REPEAT_PERCENT)

@@ -175,6 +175,8 @@ def test_kneser_ney_is_a_distribution_and_matches_the_formula(spark, documents,
 def test_classifier_perplexity_and_quantiles(spark, documents, nothing, awkward):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    import zlib
+    good = {k for k in good if zlib.crc32(str(k).encode()) % 2 == 0}
     table = quality_classifier.conditional_table(documents.where(F.col("doc_id").isin(list(good))).select("text"))
     rows = {r.doc_id: r for r in quality_classifier.classify(documents, labels).collect()}
     for r in documents.collect():
