@@ -1,6 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model, trained on
 trusted text, gives each text's perplexity; language-specific quantiles of the
-trusted texts' perplexities are the thresholds.
+perplexities of other trusted texts are the thresholds. Half of the trusted
+texts train, the other half calibrates, by a hash of the id.
 
 The n-grams are of symbols, not words: 32 classes (letters a-z in either case,
 separators, digits, punctuation, other ASCII, leading and continuation bytes of
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import _IS_SEPARATOR, cut, map_arrow, shared_table, slices, text_bytes
+from sparktrips.llm.common import _IS_SEPARATOR, crc_mod, cut, map_arrow, shared_table, slices, text_bytes
 
 ORDER, BITS = 4, 5
 SYMBOLS = 1 << BITS
@@ -160,9 +161,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Per row: id, ``lang``, ``n_symbols``, ``perplexity`` (per symbol),
     ``max_perplexity`` of its language and ``kept``."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    good = labels.where(F.col(quality_col) == 1).select(F.col(id_col).alias("id")).distinct()
-    scored = shared_table(with_entropy(rows, conditional_table(rows.select("id", "text").join(good, "id", "left_semi"))), "entropy")
-    levels = cut(quantiles(scored.join(good, "id", "left_semi"), quantile))
+    # half of the trusted texts train the model, the other half gives the quantiles. Only texts of
+    # the first half are joined with the labels, which grow with the texts and are not broadcast.
+    good = labels.where(F.col(quality_col) == 1).select(F.col(id_col).alias("id")).distinct().hint("merge")
+    training = crc_mod(F.col("id"), 2) == 0
+    table = conditional_table(rows.where(training).select("id", "text").join(good, "id", "left_semi"))
+    scored = shared_table(with_entropy(rows, table), "entropy")
+    levels = cut(quantiles(scored.where(~training).join(good, "id", "left_semi"), quantile))
     overall = levels.where("lang is null").first()
     fallback = F.lit(overall.most_bits if overall else float(BITS))
     known = levels.where("lang is not null")
