@@ -354,7 +354,7 @@ def sample_rows(df: DataFrame, n: int, key: str = "trip_id", seed: int = 42) ->
 # ------------------------------------------------------------- density curve
 
 #: Bins of a density curve per bandwidth: narrow enough that binning is not seen.
-BINS_PER_BANDWIDTH = 8
+BINS_PER_BANDWIDTH = 16
 
 
 def density_curve(df: DataFrame, column: str, grid: int = 200) -> DataFrame:

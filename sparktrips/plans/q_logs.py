@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from sparktrips.operators import logs
 from sparktrips.plans.catalog import register
-from sparktrips.plans.sqlviews import with_log
+from sparktrips.plans.q_validate import _K, _VALIDATED_CTE, _num as _number_sql
+from sparktrips.plans.sqlviews import with_log, with_requests
 from sparktrips.sources import views
 from sparktrips.streaming import jobs
 
@@ -79,20 +82,25 @@ def errors_by_correlation(spark, sf_dir):
     return logs.errors_by_correlation(_parsed(spark, sf_dir))
 
 
-@register("latency_windows", with_log("""
+_WINDOWS_SQL = with_log("""
 select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval '1' hour as window_end,
   count(*) as calls, round(avg(latency_ms), 6) as mean_ms
-from lat where latency_ms is not null group by 1, 2""", _PARSED_CTE + ",\n" + _LAT_CTE))
+from lat where latency_ms is not null group by 1, 2""", _PARSED_CTE + ",\n" + _LAT_CTE)
+
+
+@register("latency_windows", _WINDOWS_SQL)
 def latency_windows(spark, sf_dir):
     """L5 batch form: hourly tumbling windows (the stream's reference result)."""
     return logs.latency_windows(_lat(spark, sf_dir), "ts", "1 hour")
 
 
-@register("stream_latency_windows")
+@register("stream_latency_windows", _WINDOWS_SQL)
 def stream_latency_windows(spark, sf_dir):
-    """The same windows from a Structured Streaming query with a watermark;
-    append mode emits closed windows only."""
-    return spark.read.parquet(jobs.stream_latency_windows(spark, sf_dir))
+    """The same windows from a Structured Streaming query with a watermark."""
+    return jobs.stream_latency_windows(spark, sf_dir)
+
+
+_SCORED = ["request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", "prediction", "out_of_training_range"]
 
 
 @register("stream_score")
@@ -102,6 +110,15 @@ def stream_score(spark, sf_dir):
     from sparktrips.plans.q_model import _fit
     fitted = _fit(spark, sf_dir, "linear_regression")
     scorer = lambda df: fitted.transform(df).drop("features")
-    paths = jobs.stream_score(spark, sf_dir, scorer)
-    return spark.read.parquet(paths["predictions"]).select(
-        "request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", "prediction", "out_of_training_range")
+    return spark.read.parquet(jobs.stream_score(spark, sf_dir, scorer)["predictions"]).select(*_SCORED)
+
+
+@register("stream_score_known_weights", with_requests(f"""
+, judged as (select *, coalesce(request_id, sha256(concat_ws('|', cast(pos as varchar), payload))) as correlation_id from validated),
+whole as (select correlation_id from judged group by 1 having count(*) filter (where n_errors > 0) = 0 and count(*) between 1 and 1000)
+select {_K}, correlation_id, 3.0 * d + 5.0 as prediction, d > 100 as out_of_training_range
+from (select *, {_number_sql('trip_distance')} as d from judged where correlation_id in (select correlation_id from whole)) t""", _VALIDATED_CTE))
+def stream_score_known_weights(spark, sf_dir):
+    """T1 with the weights of ``score_linear_sql``: whole requests only."""
+    scorer = lambda df: df.withColumn("prediction", F.lit(3.0) * F.col("trip_distance") + F.lit(5.0))
+    return spark.read.parquet(jobs.stream_score(spark, sf_dir, scorer)["predictions"]).select(*_SCORED)

@@ -105,6 +105,23 @@ def write_scores(scored, path: str, mode: str = "append"):
 
 # --------------------------------------------------------- Spark ML models
 
+_VAL_ROWS = with_clean(f"select count(*) as rows, 0.0 as max_abs_diff, true as within_tolerance from cleaned where {_HASH_SPLIT_SQL} = 'val'")
+_MOMENTS = ["intercept", *ORDERED_FEATURE_NAMES]
+
+
+@register("linear_normal_equations", with_clean("\nunion all\n".join(
+    f"select '{t}' as term, count(*) as rows, 0.0 as mean_moment from cleaned where {_HASH_SPLIT_SQL} = 'train'" for t in _MOMENTS)))
+def linear_normal_equations(spark, sf_dir):
+    """F3 checked: over the training rows the residuals of a least-squares fit have
+    mean 0, also times each feature."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    rows = model.score(m, _part(spark, sf_dir, "train")).withColumn("_r", F.col("trip_duration") - F.col("prediction"))
+    means = rows.agg(F.count(F.lit(1)).alias("n"), *[
+        F.avg(F.col("_r") * (F.lit(1.0) if t == "intercept" else F.col(t))).alias(t) for t in _MOMENTS])
+    return means.select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("term"), F.col("n").alias("rows"), (F.round(t, 6) + F.lit(0.0)).alias("mean_moment")) for t in _MOMENTS])))
+
+
 @register("fit_linear")
 def fit_linear(spark, sf_dir):
     """OLS on the nine features; coefficients and intercept."""
@@ -150,11 +167,13 @@ def score_one(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    """linear vs forest on the same validation rows."""
-    val = _part(spark, sf_dir, "val")
-    parts = [model.score(_fit(spark, sf_dir, k), val).select(F.lit(k).alias("model"), "trip_duration", "prediction")
-             for k in ("linear_regression", "random_forest")]
-    return model.regression_metrics(parts[0].unionByName(parts[1]), group="model")
+    """linear vs forest on the same validation rows, scored in one pass."""
+    kinds = ("linear_regression", "random_forest")
+    rows = _part(spark, sf_dir, "val")
+    for k in kinds:
+        rows = model.score(_fit(spark, sf_dir, k), rows).withColumnRenamed("prediction", k)
+    long = rows.select("trip_duration", F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.col(k).alias("prediction")) for k in kinds])).alias("p"))
+    return model.regression_metrics(long.select("trip_duration", "p.*"), group="model")
 
 
 @register("top_coefficients")
@@ -185,7 +204,7 @@ def load_model(spark, sf_dir):
     return model.score(m, _part(spark, sf_dir, "val")).select("trip_id", "prediction")
 
 
-@register("reload_parity")
+@register("reload_parity", _VAL_ROWS)
 def reload_parity(spark, sf_dir):
     """in-memory vs reloaded model on the validation rows; max |diff|."""
     a = _fit(spark, sf_dir, "random_forest")
@@ -193,11 +212,12 @@ def reload_parity(spark, sf_dir):
     return model.parity(_part(spark, sf_dir, "val"), a, b)
 
 
-@register("linear_parity")
+@register("linear_parity", _VAL_ROWS)
 def linear_parity(spark, sf_dir):
     """Spark ML linear model vs the same model as a column expression."""
     m = _fit(spark, sf_dir, "linear_regression")
-    return model.parity(_part(spark, sf_dir, "val"), m, b_expr=model.linear_expression(m))
+    same = model.parity(_part(spark, sf_dir, "val"), m, b_expr=model.linear_expression(m))
+    return same.withColumn("max_abs_diff", F.round("max_abs_diff", 9))
 
 
 @register("artifact_manifest")

@@ -383,7 +383,7 @@ def sample_trips(spark, sf_dir):
 
 def _density_sql(column: str, src: str) -> str:
     return with_clean(f"""
-, st as (select *, sd * pow(n, -0.2) as bw, ceil((hi - lo) * 8 / (sd * pow(n, -0.2))) as bins from (
+, st as (select *, sd * pow(n, -0.2) as bw, ceil((hi - lo) * 16 / (sd * pow(n, -0.2))) as bins from (
          select count({column}) as n, stddev_samp({column}) as sd, min({column}) as lo, max({column}) as hi from {src})
          where sd > 0 and hi > lo),
 hb as (select least(floor(({column} - lo) * bins / (hi - lo)), bins - 1) as bin, count(*) as cnt

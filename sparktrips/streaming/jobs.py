@@ -1,16 +1,19 @@
 """Structured Streaming jobs.
 
-* ``stream_score`` (T1): request records arrive as files -> validate ->
-  score -> ``foreachBatch`` writes predictions and rejects as two parquet
-  tables. Stateless, so it scales with the input partitions; the checkpoint
-  makes restarts exactly-once per batch.
+* ``stream_score`` (T1): request records arrive as files -> validate -> score ->
+  ``foreachBatch`` writes predictions and rejects as two parquet tables. A
+  request is scored whole or rejected whole; its rows come in one file, so in
+  one micro-batch.
 * ``stream_latency_windows`` (L5): service-log lines -> parse -> latency ->
-  event-time tumbling windows with a watermark (late lines dropped) ->
-  append-mode output of closed windows.
-
-Both run with ``trigger(availableNow=True)`` here (process what exists, then
-stop); on a cluster the same query runs with a processing-time trigger.
-Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
+  event-time tumbling windows with a watermark (late lines dropped, state of
+  closed windows freed) -> the windows that each micro-batch changed, also the
+  last ones, which no later line closes.
+
+Each micro-batch overwrites the folder of its epoch, so a batch that is run
+again after a failure replaces what it wrote. Both run with
+``trigger(availableNow=True)`` here (process what exists, then stop); on a
+cluster the same query runs with a processing-time trigger. Checkpoints and
+sinks live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparktrips.config import DEFAULT_SETTINGS
 from sparktrips.operators import logs, validate as V
 from sparktrips.functions.columns import encode_flag_string
 from sparktrips.operators.features import feature_columns
@@ -40,14 +44,15 @@ def _run(query_builder, checkpoint: str):
     return q
 
 
-def score_requests(validated: DataFrame, scorer) -> DataFrame:
+def score_requests(accepted: DataFrame, scorer) -> DataFrame:
     """Accepted records with defaults applied, scored; keys and flags kept."""
-    ok = validated.filter("accepted").drop("errors", "accepted")
+    ok = accepted.drop("errors", "accepted")
     ok = ok.withColumn("store_and_fwd_flag_encoded", encode_flag_string("store_and_fwd_flag"))
     return scorer(feature_columns(ok)).withColumn("out_of_training_range", V.out_of_range())
 
 
-def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = None) -> dict[str, str]:
+def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = None,
+                 model_version: str = DEFAULT_SETTINGS.model_version) -> dict[str, str]:
     """T1. ``scorer`` maps a DataFrame of ordered feature columns to one with a
     ``prediction`` column (a PipelineModel's transform, or an expression)."""
     out = out or scratch_path(spark, "stream-score")
@@ -61,12 +66,14 @@ def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = Non
         # decode it once, then route accepted and rejected rows.
         batch.persist()
         try:
-            scored = score_requests(batch, scorer).withColumn("epoch", F.lit(epoch))
-            scored.drop("features").write.mode("append").parquet(preds_path)
-            (batch.filter(~F.col("accepted"))
-                  .select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id",
-                          V.error_message().alias("message"), F.lit(epoch).alias("epoch"))
-                  .write.mode("append").parquet(rejects_path))
+            judged = V.reject_whole_request(batch, "correlation_id")
+            scored = score_requests(judged.where("request_accepted").drop("request_accepted"), scorer)
+            (scored.drop("features").withColumn("model_version", F.lit(model_version))
+                   .write.mode("overwrite").parquet(f"{preds_path}/epoch={epoch}"))
+            message = F.when(F.size("errors") > 0, V.error_message()).otherwise("request: rejected with its other trips")
+            (judged.where(~F.col("request_accepted"))
+                   .select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", message.alias("message"))
+                   .write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch}"))
         finally:
             batch.unpersist()
 
@@ -75,9 +82,10 @@ def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = Non
 
 
 def stream_latency_windows(spark: SparkSession, sf_dir: str, width: str = "1 hour", delay: str = "10 minutes",
-                           out: str | None = None) -> str:
+                           out: str | None = None) -> DataFrame:
     """L5. Event time is ``ts`` (TIMESTAMP_NTZ in the table); watermarks need
-    TIMESTAMP, so it is cast (the session time zone should be UTC)."""
+    TIMESTAMP, so it is cast (the session time zone should be UTC). Returns the
+    latest state of every window."""
     out = out or scratch_path(spark, "stream-latency")
     lines = service_log_from_events(table_stream(spark, sf_dir, "events"))
     lat = logs.extract_latency(logs.parse_log_lines(lines))
@@ -89,6 +97,11 @@ def stream_latency_windows(spark: SparkSession, sf_dir: str, width: str = "1 hou
                   .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                           F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                           "calls", F.round("mean_ms", 6).alias("mean_ms")))
-    sink = f"{out}/windows"
-    _run(windows.writeStream.outputMode("append").format("parquet").option("path", sink), f"{out}/_checkpoint")
-    return sink
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/windows/epoch={epoch}")
+
+    _run(windows.writeStream.outputMode("update").foreachBatch(write_batch), f"{out}/_checkpoint")
+    states = spark.read.parquet(f"{out}/windows")
+    latest = F.max_by(F.struct("window_end", "calls", "mean_ms"), "epoch").alias("s")
+    return states.groupBy("window_start").agg(latest).select("window_start", "s.*")

@@ -33,10 +33,39 @@ def test_empty_input_passes(spark, raw_trips):
 
 def test_missing_path_raises(spark, tmp_path):
     import pytest
-    with pytest.raises(Exception):
-        load_trips(spark, str(tmp_path / "nope.parquet")).count()
     with pytest.raises(FileNotFoundError):
-        load_trips(spark, None)
+        load_trips(spark, str(tmp_path / "nope.parquet"))
+    with pytest.raises(FileNotFoundError):
+        load_trips(spark)
+
+
+def test_files_with_other_types_and_columns(spark, sf_small, tmp_path):
+    """Integer codes, an absent column of the null block, an extra column, no key:
+    the same rows are kept as by cleaning the frame itself."""
+    import pytest
+    trips = views.trips(spark, sf_small)
+    wanted = clean.clean_trips(trips.drop("congestion_surcharge")).count()
+    odd = trips.drop("congestion_surcharge", "trip_id").withColumns(
+        {"passenger_count": F.col("passenger_count").cast("bigint"), "payment_type": F.col("payment_type").cast("int"), "weather": F.lit("dry")})
+    path = str(tmp_path / "trips")
+    odd.write.parquet(path)
+    read = load_trips(spark, path)
+    assert dict(read.dtypes)["passenger_count"] == "double" and "weather" in read.columns and "congestion_surcharge" not in read.columns
+    assert read.select("trip_id").distinct().count() == trips.count() and 0 < clean.clean_trips(read).count() == wanted
+    odd.drop("lpep_pickup_datetime").write.parquet(str(tmp_path / "no-times"))
+    with pytest.raises(ValueError, match="lpep_pickup_datetime"):
+        load_trips(spark, str(tmp_path / "no-times"))
+
+
+def test_density_agrees_with_an_exact_kernel_estimate(spark):
+    import numpy as np
+    from sparktrips.operators import profile
+    for n in (500, 8000):
+        x = np.random.default_rng(n).gamma(3.0, 4.0, n)
+        curve = profile.density_curve(spark.createDataFrame([(float(v),) for v in x], "x double"), "x").orderBy("grid_index").collect()
+        h = x.std(ddof=1) * n ** -0.2
+        exact = [np.exp(-0.5 * ((r["x"] - x) / h) ** 2).mean() / (h * np.sqrt(2 * np.pi)) for r in curve]
+        assert len(curve) == 200 and max(abs(e - r["density"]) for e, r in zip(exact, curve)) < 1e-4
 
 
 def test_nan_becomes_null(spark):

@@ -95,3 +95,24 @@ def test_vocabulary_unseen_category_keeps_width(spark):
     assert list(v.toArray()) == [0.0, 0.0, 1.0, 5.0]
     seen = model.transform(train).orderBy("trip_distance").first()["features"]
     assert list(seen.toArray()) == [1.0, 0.0, 10.0, 100.0]
+
+
+def test_vocabulary_of_numbers_only_and_unseen_numbers(spark):
+    train = spark.createDataFrame([(1.0, 2.0, None), (3.0, 4.0, None)], "b double, a double, c double")
+    model = features.fit_dict_vectorizer(train, ["a", "b", "c"], [])
+    assert model.vocabulary == ["a", "b"]
+    assert [list(r["features"].toArray()) for r in model.transform(train).collect()] == [[2.0, 1.0], [4.0, 3.0]]
+
+
+def test_vocabulary_has_a_limit(spark):
+    import pytest
+    df = spark.range(20).selectExpr("cast(id as string) as c")
+    with pytest.raises(ValueError):
+        features.fit_vocabulary(df, [], ["c"], most=10)
+
+
+def test_flag_ignores_all_white_space(spark):
+    from sparktrips.functions.columns import encode_flag_string
+    rows = [("Y\t", 1), ("\n y ", 1), ("N", 0), ("Y Y", 0), (None, 0)]
+    df = spark.createDataFrame(rows, "f string, e int")
+    assert df.where(encode_flag_string("f") != F.col("e")).count() == 0

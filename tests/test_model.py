@@ -120,5 +120,62 @@ def test_training_job(spark, sf_small):
     fitted, metrics = run_training(spark, views.trips(spark, sf_small), s, scratch_path(spark, "job-model"))
     r = metrics.first()
     assert r["rows"] > 0 and r["r2"] is not None
+    assert model.fit_partitions(1, DEFAULT_SETTINGS) == 1 and model.fit_partitions(10**9, DEFAULT_SETTINGS) == 20_000
     a = parse_args(["--data-path", "x", "--model-path", "y", "--model-type", "linear_regression"])
     assert a.model_type == "linear_regression" and a.n_estimators == 100
+
+
+def test_training_command_on_a_file(spark, sf_small, tmp_path):
+    from sparktrips.sources import views
+    from sparktrips.train_job import main
+    trips = views.trips(spark, sf_small).drop("trip_id", "congestion_surcharge").withColumns(
+        {"passenger_count": F.col("passenger_count").cast("bigint"), "weather": F.lit("dry")})
+    trips.write.parquet(str(tmp_path / "trips"))
+    row = main(["--data-path", str(tmp_path / "trips"), "--model-path", str(tmp_path / "model"), "--model-type", "linear_regression"])
+    assert row["rows"] > 0 and row["r2"] is not None
+    model.load_model(str(tmp_path / "model"))
+
+
+def test_keys_for_rows_without_one(spark):
+    from sparktrips.sources.tables import with_row_key
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x int, y string")
+    keys = [r["k"] for r in with_row_key(df, "k").collect()]
+    assert len(set(keys)) == 3 and sorted(keys) == sorted(r["k"] for r in with_row_key(df.repartition(3), "k").collect())
+
+
+def test_raw_tables_are_encoded_and_others_refused(spark, training_records):
+    t = _train(training_records)
+    m = model.train_pipeline(t, model.create_model("linear_regression", SMALL), SMALL)
+    raw = spark.createDataFrame([(1, 2.0, "Y"), (2, 2.0, "N")], "trip_id int, trip_distance double, store_and_fwd_flag string")
+    encoded = raw.withColumn("store_and_fwd_flag_encoded", (F.col("store_and_fwd_flag") == "Y").cast("int")).drop("store_and_fwd_flag")
+    by = lambda df: [r["prediction"] for r in model.score(m, df).orderBy("trip_id").collect()]
+    assert by(raw) == by(encoded)
+    with pytest.raises(ValueError):
+        model.score(m, raw.select("trip_id"))
+    # the saved pipeline itself treats missing values as 0.0
+    missing = t.limit(1).withColumn("tip_amount", F.lit(None).cast("double"))
+    assert m.transform(missing).first()["prediction"] == model.score(m, missing).first()["prediction"]
+
+
+def test_content_digest_and_registry(spark, training_records):
+    m = model.train_pipeline(_train(training_records), model.create_model("random_forest", SMALL), SMALL)
+    a, b = (model.save_model(m, scratch_path(spark, f"digest {i}")) for i in "ab")
+    of = lambda p: model.artifact_digest(model.artifact_manifest(spark, p), data_only=True).first()["artifact_hash"]
+    assert of(a) == of(b)
+    paths = [r["relative_path"] for r in model.artifact_manifest(spark, a).collect()]
+    assert all(p.split("/")[0] in ("metadata", "stages") for p in paths)
+    table = scratch_path(spark, "registry")
+    for p in (a, b):
+        rows = model.append_registry(model.model_registry_row(spark, p, SMALL), table)
+    assert rows.count() == 2 and '"max_depth": 6' in rows.first()["settings"]
+
+
+@pytest.mark.parametrize("record", [{"fare_amount": "abc"}, {"fare_amount": None}, {"trip_distance": [1]}, {"store_and_fwd_flag_encoded": "x"}])
+def test_unusable_values_are_refused(spark, training_records, record):
+    m = model.train_pipeline(_train(training_records), model.create_model("linear_regression", SMALL), SMALL)
+    with pytest.raises(ValueError):
+        model.score_one(m, spark, record)
+    from sparktrips.operators import features
+    import json
+    df = spark.createDataFrame([(json.dumps(record),), ('{"fare_amount": true}',)], "payload string")
+    assert features.prepare_features(df).count() == 1
