@@ -34,16 +34,21 @@ HEADLINE = [
     "regression_metrics",
     "fit_linear",
     "score_batch",
-    "model_comparison",
+    "model_comparison_5_trees_depth_8",
 ]
 
+#: The published batch throughput is that of a forest of 100 trees. Fitting one on all
+#: trips takes far longer than scoring them, so the forest that is scored here is fitted
+#: on a sample of the trips, to this depth.
+FOREST_TREES, FOREST_DEPTH, FOREST_ROWS = 100, 8, 3_000
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:]
     from sparktrips.session import build_session
-    from sparktrips.plans import catalog
+    from sparktrips.plans import catalog, q_model
 
     spark = build_session(f"local[{cpus}]", app="sparktrips-bench", shuffle_partitions=int(cpus) * 2,
                           extra={"spark.driver.memory": "16g"})
@@ -54,21 +59,30 @@ def main() -> None:
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for n in names:
+        q_model._FITTED.clear()  # each query pays for its own fit, in whatever order they run
         t0 = time.perf_counter()
         df = catalog.QUERIES[n](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
-    # Scoring throughput (comparable to the published batch rows/s): a full
-    # pass scoring every cleaned trip with the fitted linear pipeline.
+    # Scoring throughput, fits apart: a full pass that scores every cleaned trip with
+    # the linear pipeline and with a forest of 100 trees (comparable to the published
+    # batch rows/s).
+    from sparktrips.config import DEFAULT_SETTINGS
     from sparktrips.operators import clean, model
-    from sparktrips.plans.q_model import _fit
     from sparktrips.sources import views
-    m = _fit(spark, sf_dir, "linear_regression")
     trips = model.training_frame(clean.clean_trips(views.trips(spark, sf_dir))).cache()
     n_rows = trips.count()
-    t0 = time.perf_counter()
-    model.score(m, trips).write.format("noop").mode("overwrite").save()
-    score_s = time.perf_counter() - t0
+    settings = DEFAULT_SETTINGS.with_(n_estimators=FOREST_TREES, max_depth=FOREST_DEPTH, max_bins=64)
+    sample = trips.sample(min(1.0, FOREST_ROWS / max(1, n_rows)), seed=1)
+    fit_s, score_s = {}, {}
+    for kind, rows in (("linear_regression", trips), ("random_forest", sample)):
+        t0 = time.perf_counter()
+        fitted = model.train_pipeline(rows, model.create_model(kind, settings), settings)
+        fit_s[kind] = round(time.perf_counter() - t0, 3)
+        for _ in range(2):  # the first pass compiles code
+            t0 = time.perf_counter()
+            model.score(fitted, trips).write.format("noop").mode("overwrite").save()
+            score_s[kind] = time.perf_counter() - t0
     trips.unpersist()
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -79,7 +93,9 @@ def main() -> None:
         "sf": float(sf.group(1)) if sf else sf_dir,
         "cpus": int(cpus),
         "score_rows": n_rows,
-        "score_rows_per_sec": round(n_rows / score_s, 1) if score_s > 0 else None,
+        "fit_seconds": fit_s,
+        "score_rows_per_sec": round(n_rows / score_s["linear_regression"], 1),
+        "forest_100_trees_depth_8_rows_per_sec": round(n_rows / score_s["random_forest"], 1),
     }))
     spark.stop()
 

@@ -231,8 +231,9 @@ def model_registry_row(spark: SparkSession, path: str, s: TripSettings = DEFAULT
     import pyspark
     dig = artifact_digest(artifact_manifest(spark, path))
     utc = F.convert_timezone(None, F.lit("UTC"), F.col("newest_file_time").cast("timestamp_ntz"))
-    settings = {"n_estimators": s.n_estimators, "max_depth": s.max_depth, "max_bins": s.max_bins,
-                "rows_per_fit_partition": s.rows_per_fit_partition, "random_state": s.random_state}
+    forest = {"n_estimators": s.n_estimators, "max_depth": s.max_depth, "max_bins": s.max_bins, "random_state": s.random_state}
+    settings = {"model_type": s.model_type, "rows_per_fit_partition": s.rows_per_fit_partition} | (
+        forest if s.model_type == "random_forest" else {})
     return dig.select(F.lit(s.model_version).alias("model_version"),
                       F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("training_date"),
                       F.array(*[F.lit(n) for n in names]).alias("feature_names"),
