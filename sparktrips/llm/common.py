@@ -29,10 +29,18 @@ _U = np.uint64
 _SHIPPED: set[str] = set()
 
 
+#: Rows of an Arrow batch, unless the session sets its own number: texts are long, and
+#: a batch is held by the JVM and by the Python worker.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors, once per application, so that their
     Python workers can import it wherever they were started."""
     sc = spark.sparkContext
+    name, default, ours = BATCH_ROWS
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, ours)
     if sc.applicationId in _SHIPPED:
         return
     root = Path(sparktrips.__file__).parent

@@ -9,11 +9,11 @@ and line breaks do not hide a copy. Per repetition:
   the word under it and moves on if a random bit of (step, word) says so. Walks
   over texts at a small edit distance soon meet again, so their outputs differ in
   few places: edit distance becomes Hamming distance.
-* Bit sampling: three places of the embedding are compared. The first two are the
-  same for all items, so one pass over all word positions serves all of them; the
-  third is drawn over the item's length. As many repetitions run as the target
-  recall needs. An item is also embedded from each quarter on, so that an edit near
-  its beginning does not hide it.
+* Bit sampling: three places of the embedding are compared. They are the same for
+  all items, so one pass over all word positions serves all of them, and few
+  positions are left after each place. As many repetitions run as the target
+  recall needs. An item is also embedded from each quarter on, so that the places
+  are spread over its length and an edit near its beginning does not hide it.
 
 Every window start of every text is walked. Windows whose samples agree are
 verified exactly: the least word edit distance between the item and a window
@@ -42,10 +42,10 @@ from sparktrips.llm.common import _IS_SEPARATOR, map_arrow, mix, slices, text_by
 #: A window counts as a copy up to this word edit distance, as a share of the item.
 MAX_EDIT_SHARE = 0.2
 #: Recall aimed at for copies of which a sampled place agrees with this chance.
-TARGET_RECALL, AGREEMENT = 0.98, 0.75
+TARGET_RECALL, AGREEMENT = 0.95, 0.75
 SAMPLES = 3
-#: The shared places are among the first steps; items below need none beyond.
-SHARED_STEPS = 8
+#: The places are among these first steps, one in each third.
+STEPS = 12
 #: Parts of an item that begin an embedding of their own, if long enough.
 PARTS = 4
 #: Most benchmark words that a task holds at a time.
@@ -70,41 +70,42 @@ class Items:
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
         self.tables = [self._table(r) for r in range(repetitions())] if kept else []
 
-    def _table(self, repetition: int) -> list[tuple[int, int, dict[int, list[tuple[int, int, int, int]]], np.ndarray]]:
-        """Per pair of shared places: them, by the hash of what is there the items as
-        (item, where in it the walk began, third place, its word), and a bitmap of
-        the words at the first place."""
+    def _table(self, repetition: int) -> list["Samples"]:
         rng = np.random.default_rng([SEED, repetition])
-        one = int(rng.integers(0, SHARED_STEPS // 2))
-        two = int(rng.integers(one + 1, SHARED_STEPS))
-        draw = rng.random()
-        groups: dict[tuple[int, int], list[tuple[int, int, tuple[int, int, int, int]]]] = {}
+        third = STEPS // SAMPLES
+        drawn = [int(rng.integers(third * i, third * (i + 1))) for i in range(SAMPLES)]
+        groups: dict[tuple[int, ...], list[tuple[int, int, int, int, int]]] = {}
         for k, whole in enumerate(self.words):
             for begin in sorted({len(whole) * part // PARTS for part in range(PARTS)}):
                 words = whole[begin:]
-                last = len(words) - 1
-                if begin and last < SHARED_STEPS:
+                if begin and len(words) < STEPS:
                     break
-                places = min(one, last), min(two, last), min(last, two + 1 + int(draw * max(0, last - two)))
-                at = walk(words, np.zeros(1, np.int64), repetition, places)
-                first, second, third = (int(words[x[0]]) for x in at)
-                groups.setdefault(places[:2], []).append((first, pair(first, second), (k, begin, places[2], third)))
-        out = []
-        for (a, b), members in groups.items():
+                places = tuple(min(p, len(words) - 1) for p in drawn)
+                found = [words[at] for at in walk(words, np.zeros(1, np.int64), repetition, places)]
+                two = chained(found[0], found[1])
+                groups.setdefault(places, []).append((k, begin, int(found[0][0]), int(two[0]), int(chained(two, found[2])[0])))
+        return [Samples(places, members) for places, members in groups.items()]
+
+
+class Samples:
+    """Of the items that share the places of a repetition: bitmaps of the words at
+    the first and of the hashes of the first two places, and the hashes of all
+    three, sorted, with the item and where in it the walk began."""
+
+    def __init__(self, places: tuple[int, ...], members: list[tuple[int, int, int, int, int]]):
+        item, begin, one, two, three = (np.array(x) for x in zip(*[(k, b, np.uint64(x), np.uint64(y), np.uint64(z)) for k, b, x, y, z in members]))
+        by = np.argsort(three)
+        self.places, self.item, self.begin, self.keys = places, item[by], begin[by], three[by]
+        self.bitmaps = []
+        for values in (one, two):
             bitmap = np.zeros(1 << 16, bool)
-            bitmap[[first & 0xFFFF for first, _, _ in members]] = True
-            by_pair: dict[int, list[tuple[int, int, int, int]]] = {}
-            for _, key, entry in members:
-                by_pair.setdefault(key, []).append(entry)
-            out.append((a, b, by_pair, bitmap))
-        return out
+            bitmap[values & np.uint64(0xFFFF)] = True
+            self.bitmaps.append(bitmap)
 
 
-def pair(first, second):
-    """Hash of two words, of integers or arrays."""
-    both = np.asarray([first], np.uint64).ravel() * np.uint64(3) + np.asarray([second], np.uint64).ravel()
-    out = mix(both)
-    return int(out[0]) if np.ndim(first) == 0 else out
+def chained(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of what was read so far, with one more word."""
+    return mix(hashes * np.uint64(3) + words)
 
 
 def move(words: np.ndarray, repetition: int) -> np.ndarray:
@@ -130,52 +131,46 @@ def walk(words: np.ndarray, at: np.ndarray, repetition: int, places: tuple[int,
     return out
 
 
-def candidate_windows(words: Words, items: Items) -> set[tuple[int, int, int]]:
-    """(position where the item would begin, item, where in it the walk began) of
-    the windows whose samples agree in some repetition."""
-    found: set[tuple[int, int, int]] = set()
-    hashes = words.hashes
-    if not len(hashes):
-        return found
+def candidate_windows(words: Words, items: Items) -> np.ndarray:
+    """Rows (position where the item would begin, item, a position in its text) of the
+    windows whose samples agree in some repetition."""
+    hashes, found = words.hashes, [np.zeros((0, 3), np.int64)]
     everywhere = np.arange(len(hashes), dtype=np.int32 if len(hashes) < 2**31 - 2 else np.int64)
-    for repetition, groups in enumerate(items.tables):
+    for repetition, groups in enumerate(items.tables if len(hashes) else []):
         bits = move(hashes, repetition)
-        for one, two, by_pair, bitmap in groups:
+        for samples in groups:
+            one, two, three = samples.places
             at = steps(bits, everywhere, 0, one)
-            start = np.flatnonzero(bitmap[hashes[at] & np.uint64(0xFFFF)])
-            first = hashes[at[start]]
+            start = np.flatnonzero(samples.bitmaps[0][hashes[at] & np.uint64(0xFFFF)])
+            read = hashes[at[start]]
             at = steps(bits, at[start], one, two)
-            keys = pair(first, hashes[at])
-            hit = np.flatnonzero(np.isin(keys, np.fromiter(by_pair, np.uint64, len(by_pair))))
-            wanted: dict[int, list[tuple[int, int, int, int]]] = {}
-            for n in hit.tolist():
-                for k, begin, place, third in by_pair[int(keys[n])]:
-                    wanted.setdefault(place, []).append((n, k, begin, third))
-            for place, rows in wanted.items():
-                then = steps(bits, at[np.array([r[0] for r in rows])], two, place)
-                agree = hashes[then] == np.array([r[3] for r in rows], np.uint64)
-                found.update((int(start[rows[i][0]]) - rows[i][2], rows[i][1], rows[i][2]) for i in np.flatnonzero(agree))
-    return found
-    everywhere = np.arange(len(hashes), dtype=np.int32 if len(hashes) < 2**31 - 2 else np.int64)
-    for repetition, groups in enumerate(items.tables):
-        bits = move(hashes, repetition)
-        for one, two, by_pair, bitmap in groups:
-            at = steps(bits, everywhere, 0, one)
-            start = np.flatnonzero(bitmap[hashes[at] & np.uint64(0xFFFF)])
-            first = hashes[at[start]]
-            at = steps(bits, at[start], one, two)
-            keys = pair(first, hashes[at])
-            hit = np.flatnonzero(np.isin(keys, np.fromiter(by_pair, np.uint64, len(by_pair))))
-            wanted: dict[int, list[tuple[int, int, int]]] = {}
-            for n in hit.tolist():
-                for k, place, third in by_pair[int(keys[n])]:
-                    wanted.setdefault(place, []).append((n, k, third))
-            for place, rows in wanted.items():
-                n = np.array([r[0] for r in rows])
-                then = steps(bits, at[n], two, place)
-                agree = hashes[then] == np.array([r[2] for r in rows], np.uint64)
-                found.update((int(start[rows[i][0]]), rows[i][1]) for i in np.flatnonzero(agree))
-    return found
+            read = chained(read, hashes[at])
+            left = np.flatnonzero(samples.bitmaps[1][read & np.uint64(0xFFFF)])
+            start, at = start[left], steps(bits, at[left], two, three)
+            read = chained(read[left], hashes[at])
+            low, high = (np.searchsorted(samples.keys, read, side) for side in ("left", "right"))
+            n = high - low
+            entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+            inside = np.repeat(start, n)
+            found.append(np.stack([inside - samples.begin[entry], samples.item[entry], inside], axis=1))
+    rows = np.concatenate(found)
+    # one row per place and item
+    return rows[np.unique(rows[:, 0] * (len(items.ids) + 1) + rows[:, 1], return_index=True)[1]]
+
+
+def with_enough_words(rows: np.ndarray, words: Words, items: Items, share: float) -> list[tuple[int, int, int]]:
+    """The candidates around whose place enough words are words of the item: all but
+    the edits must be. Common words alone bring most candidates about."""
+    kept = []
+    for k in np.unique(rows[:, 1]).tolist():
+        own, item = rows[rows[:, 1] == k], items.words[k]
+        most = int(share * len(item))
+        bitmap = np.zeros(1 << 16, bool)
+        bitmap[item & np.uint64(0xFFFF)] = True
+        around = np.clip(own[:, :1] + np.arange(-most, len(item) + most), 0, len(words) - 1)
+        enough = bitmap[words.hashes[around] & np.uint64(0xFFFF)].sum(axis=1) >= len(item) - most
+        kept += [tuple(r) for r in own[enough].tolist()]
+    return sorted(kept)
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray, most: int, anywhere: bool) -> int:
@@ -196,11 +191,11 @@ def edit_distance(item: np.ndarray, text: np.ndarray, most: int, anywhere: bool)
     return int(row.min())
 
 
-def verified(words: Words, items: Items, found: set[tuple[int, int, int]], share: float) -> dict[tuple[int, int], tuple[int, int]]:
+def verified(words: Words, items: Items, found: list[tuple[int, int, int]], share: float) -> dict[tuple[int, int], tuple[int, int]]:
     """Per (text, item): the least distance and the first position that has it."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for start, k, begin in sorted(found):
-        text = int(np.searchsorted(words.first, start + begin, side="right")) - 1
+    for start, k, inside in found:
+        text = int(np.searchsorted(words.first, inside, side="right")) - 1
         low, high = int(words.first[text]), int(words.first[text + 1])
         item, most = items.words[k], int(share * len(items.words[k]))
         known = best.get((text, k), (most + 1, 0))[0]
@@ -243,7 +238,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             items = Items(*shared.value)
             for part in slices(batches, text_col):
                 words = Words(text_bytes(part.column(text_col)), separator=SEPARATOR)
-                best = verified(words, items, candidate_windows(words, items), share)
+                found = with_enough_words(candidate_windows(words, items), words, items, share)
+                best = verified(words, items, found, share)
                 if not best:
                     continue
                 order = sorted(best)

@@ -301,11 +301,26 @@ def _unpacked(data) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+#: Bits of the filter that texts pass before they are joined with the wanted ids: a
+#: megabyte, whatever the table. Full of ids it lets all pass; the join then decides.
+FILTER_BITS = 1 << 23
+
+
+def _may_be_in(ids: DataFrame, name: str) -> Column:
+    """Whether the column ``id`` may be among ``ids``' column, by one hash."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(c) % 64).cast("int"))
+    words = ids.groupBy(F.floor(place(name) / 64).alias("word")).agg(F.bit_or(bit(name)).alias("bits"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.collect():  # at most FILTER_BITS / 64 rows
+        table[row.word] = row.bits
+    return F.get(F.lit(table), F.floor(place("id") / 64).cast("int")).bitwiseAND(bit("id")) != 0
+
+
 def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(class, set)`` of the texts with the wanted ids; the set as sorted 48-bit
-    elements. The ids are written first, so that the planner knows their size: it
-    broadcasts them where they are small, and the texts are then not shuffled."""
-    ids = shared_table(wanted.select(F.col("id").alias("wanted_id")).distinct(), "wanted-ids")
+    elements. A filter of fixed size keeps the other texts out of the shuffle."""
+    ids = cut(wanted.select(F.col("id").alias("wanted_id")).distinct())
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -313,7 +328,7 @@ def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             data = [_packed(sets.hashes[a:b]) for a, b in zip(sets.first, sets.first[1:])]
             yield pa.RecordBatch.from_arrays([_long(sets.classes()), pa.array(data, pa.binary())], ["class", "set"])
 
-    chosen = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    chosen = rows.where(_may_be_in(ids, "wanted_id")).join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     return map_arrow(chosen, build, "class bigint, set binary")
 
 
