@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -57,7 +58,7 @@ class _Uneven(Exception):
 
 
 class TextEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers, word by word
+    """Ids of whole texts as (the machine's) unsigned 32-bit integers, word by word
     through bounded caches. Texts with a special token's string or with runs of
     white space go to the tokenizer as they are."""
 
@@ -71,7 +72,7 @@ class TextEncoder:
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.split = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.chars = byte_level()
-        self.parts = Memo(self._part, cached)
+        self.parts = Memo(self._part, 2 * cached)
         self.first = Memo(lambda w: self._word(w, ""), cached)
         self.later = Memo(lambda w: self._word(w, " "), cached)
         self.newline = self._whole("\n")
@@ -80,15 +81,21 @@ class TextEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize("".join([self.chars[b] for b in part.encode()]))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        if part.isascii() and part.isprintable():  # such bytes stand for themselves, but for the blank
+            shown = part.replace(" ", self.chars[32])
+        else:
+            shown = "".join([self.chars[b] for b in part.encode()])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _word(self, word: bytes, before: str) -> bytes:
         text = word.decode()
-        plain = word.isascii() or max(text) < "ɐ"
+        core = text.rstrip(".,")
+        if core.isalpha() and (word.isascii() or max(core) < "ɐ"):  # letters, then perhaps points and commas
+            head = self.parts[before + core]
+            return head + self.parts[text[len(core):]] if len(core) < len(text) else head
         if not text or not text[0].isprintable() or not text[-1].isprintable():
             raise _Uneven
-        if not plain or not text.isprintable():
+        if not (word.isascii() or max(text) < "ɐ") or not text.isprintable():
             return self._whole(before + text)
         return b"".join([self.parts[p] for p in self.split(before + text)])
 
