@@ -12,8 +12,8 @@ The languages are the declared ones that at least ``MIN_SHARE`` of all rows
 declare, so there are at most 1 / ``MIN_SHARE`` of them, and the tables that the
 driver gets (languages x buckets, languages x declared) have a proven bound.
 
-Defined results: null or empty text, or text of under three bytes, has no text
-evidence and is judged by the rest, but never accepted; null declared language,
+Defined results: text without a trigram of letters has no text evidence and is
+judged by the rest; text without letters (null and empty too) is never accepted; null declared language,
 suffix or host carry no evidence; repeated rows and equal ids give one row each;
 an empty table gives an empty result; other columns are ignored, whatever their
 names. Without any declared language every row is ``und``.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import _LOWER, lower_ascii, map_arrow, mix, shared_table, slices, text_bytes
+from sparktrips.llm.common import _IS_SEPARATOR, _LOWER, lower_ascii, map_arrow, mix, shared_table, slices, text_bytes
 
 MIN_SHARE = 0.01
 BUCKETS = 1 << 13
@@ -41,16 +41,28 @@ UND, UND_PRIOR = "und", 1e-3
 MIN_CONFIDENCE = 0.5
 
 
-def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each byte trigram (A-Z lower-cased) and the text that it is in."""
+#: Bytes that trigrams are made of: letters, bytes of characters beyond ASCII, and the
+#: blank, which white space counts as. Digits and symbols say nothing of a language.
+_TEXT = _LOWER.copy()
+_TEXT[_IS_SEPARATOR] = 32
+_SPEAKS = np.zeros(256, bool)
+_SPEAKS[97:123] = _SPEAKS[128:] = True
+
+
+def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each byte trigram (A-Z lower-cased), the text that it is in, and the
+    letters of each text."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)].astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    data = _TEXT[np.frombuffer(b"".join(texts), np.uint8)]
+    owner, letter = np.repeat(np.arange(len(texts)), sizes), _SPEAKS[data]
+    letters = np.bincount(owner[letter], minlength=len(texts))
     if len(data) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code = mix(data[:-2] << np.uint64(16) | data[1:-1] << np.uint64(8) | data[2:]) % np.uint64(BUCKETS)
-    whole = owner[:-2] == owner[2:]
-    return code[whole].astype(np.int64), owner[:-2][whole]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), letters
+    usable = letter | (data == 32)
+    whole = (owner[:-2] == owner[2:]) & usable[:-2] & usable[1:-1] & usable[2:] & (letter[:-2] | letter[1:-1] | letter[2:])
+    wide = data.astype(np.uint64)
+    code = mix((wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:])[whole]) % np.uint64(BUCKETS)
+    return code.astype(np.int64), owner[:-2][whole], letters
 
 
 def declared_languages(rows: DataFrame, min_share: float = MIN_SHARE) -> list[str]:
@@ -67,7 +79,7 @@ def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
         total = np.zeros(len(languages) * BUCKETS, np.int64)
         for part in slices(batches, "text"):
             of = np.array([place.get(x, -1) for x in part.column("declared").to_pylist()], np.int64)
-            code, owner = _trigrams(text_bytes(part.column("text")))
+            code, owner, _ = _trigrams(text_bytes(part.column("text")))
             known = of[owner] >= 0
             total += np.bincount(of[owner][known] * BUCKETS + code[known], minlength=len(total))
         cell = np.flatnonzero(total)
@@ -82,21 +94,21 @@ def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
 
 
 def with_text_likelihood(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """Adds ``n_trigrams`` and ``likelihood``: mean log-likelihood per class."""
+    """Adds ``n_letters``, ``n_trigrams`` and ``likelihood``: mean log-likelihood per class."""
     kept = [f for f in rows.schema if f.name != "text"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_trigrams bigint, likelihood array<double>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_letters bigint, n_trigrams bigint, likelihood array<double>"])
     shared = rows.sparkSession.sparkContext.broadcast(table.astype(np.float32))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = shared.value
         for part in slices(batches, "text"):
-            code, owner = _trigrams(text_bytes(part.column("text")))
+            code, owner, letters = _trigrams(text_bytes(part.column("text")))
             n = np.bincount(owner, minlength=part.num_rows)
             sums = np.stack([np.bincount(owner, weights=row[code], minlength=part.num_rows) for row in logs], axis=1)
             means = sums / np.maximum(n, 1)[:, None]
             values = pa.FixedSizeListArray.from_arrays(pa.array(means.ravel()), len(logs)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(n, pa.int64()), values],
-                                             [*(f.name for f in kept), "n_trigrams", "likelihood"])
+            yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(letters, pa.int64()), pa.array(n, pa.int64()), values],
+                                             [*(f.name for f in kept), "n_letters", "n_trigrams", "likelihood"])
 
     return map_arrow(rows, score, schema)
 
@@ -127,8 +139,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
              host_col: str | None = "source", suffix_col: str | None = None,
              min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Per row: id, ``language``, ``confidence`` (its posterior), ``text_language``
-    (by the text alone, null without text), ``declared`` and ``accepted``: a
-    language, with at least ``min_confidence``, of a text that has evidence."""
+    (by the text alone, null without trigrams), ``declared`` and ``accepted``: a
+    language, with at least ``min_confidence``, of a text that has letters."""
     optional = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lower_ascii(optional(declared_col)).alias("declared"),
                        lower_ascii(optional(host_col)).alias("host"), lower_ascii(optional(suffix_col)).alias("suffix"))
@@ -165,8 +177,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     confidence = 1.0 / F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("logs")))
     name = lambda c: F.get(F.array(*map(F.lit, names)), c)
     result = fused.select("id", name(F.col("best")).alias("language"), confidence.alias("confidence"),
-                          F.when(F.col("n_trigrams") > 0, name(F.col("text_class"))).alias("text_language"), "declared", "n_trigrams")
-    accepted = (F.col("language") != UND) & (F.col("confidence") >= min_confidence) & (F.col("n_trigrams") > 0)
+                          F.when(F.col("n_trigrams") > 0, name(F.col("text_class"))).alias("text_language"), "declared", "n_letters")
+    accepted = (F.col("language") != UND) & (F.col("confidence") >= min_confidence) & (F.col("n_letters") > 0)
     return result.select(F.col("id").alias(id_col), "language", "confidence", "text_language", "declared", accepted.alias("accepted"))
 
 
