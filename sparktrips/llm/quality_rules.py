@@ -2,8 +2,9 @@
 
 Words and pairs of words are hashed into ``BUCKETS`` buckets. Two multinomials
 over the buckets are counted: of trusted texts (labelled quality 1) and of all
-texts. A text's score is the mean, over its n-grams, of the logarithm of the
-ratio of the two probabilities, so length does not matter. Half of the trusted
+texts. A text's score is the mean, over its n-grams and ``NEUTRAL`` more that say
+nothing, of the logarithm of the ratio of the two probabilities: length does not
+matter, but for short texts, whose means vary by chance. Half of the trusted
 texts, by a hash of their id, give the target counts; the scores of the others
 and of the texts labelled bad set the threshold, where the share of bad texts
 kept plus ``LOSS`` times the share of good ones lost is least. Without labels of
@@ -36,7 +37,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SMOOTHING, SPREADS = 0.5, 3.0
 #: What losing a good text weighs against keeping a bad one; bins of scores from
 #: -RANGE to RANGE, per unit.
-LOSS, RANGE, BINS = 4.0, 8, 512
+LOSS, RANGE, BINS = 10.0, 8, 512
+NEUTRAL = 20
 _BLANKS = SEPARATORS.decode()
 
 
@@ -115,7 +117,7 @@ def log_ratios(everything: DataFrame, trusted: DataFrame) -> np.ndarray:
 def _mean_ratio(ratios: np.ndarray) -> Column:
     table = F.lit(ratios)
     total = lambda kind: F.aggregate(buckets(kind), F.lit(0.0), lambda s, b: s + F.get(table, b))
-    grams = F.greatest(F.lit(1), F.col("n") + F.greatest(F.lit(0), F.col("n") - 1))
+    grams = F.col("n") + F.greatest(F.lit(0), F.col("n") - 1) + NEUTRAL
     return (total("word") + total("pair")) / grams
 
 
