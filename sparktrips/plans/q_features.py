@@ -3,6 +3,7 @@ splits (P7-P11, F1, F8, D1-D3, D5)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES, RECORD_NUMERIC_KEYS
 from sparktrips.functions.columns import pu_do
@@ -71,10 +72,11 @@ _REC_PUDO_SQL = """case
 
 @register("normalize_record", with_requests(f"""
 select request_id, pos, l_partkey, l_suppkey, payload, {", ".join(_num(k) for k in RECORD_NUMERIC_KEYS)},
-  {_REC_FLAG_SQL} as store_and_fwd_flag_encoded, {_REC_PUDO_SQL} as PU_DO, {_ERRORS_SQL} as errors
+  {_REC_FLAG_SQL} as store_and_fwd_flag_encoded, {_REC_PUDO_SQL} as PU_DO, array_to_string({_ERRORS_SQL}, ',') as errors
 from requests"""))
 def normalize_record(spark, sf_dir):
-    return features.normalize_records(features.parse_records(views.requests(spark, sf_dir)))
+    records = features.normalize_records(features.parse_records(views.requests(spark, sf_dir)))
+    return records.withColumn("errors", F.array_join("errors", ","))
 
 
 @register("pu_do_pair", with_trips("""
