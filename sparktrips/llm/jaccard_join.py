@@ -407,14 +407,18 @@ def still_open(crowded: DataFrame, classes: DataFrame, found: DataFrame) -> Data
     many = crowded.groupBy("class").agg(F.count("*").alias("n_crowded"))
     placed = many.join(classes.select("class", "size", "short", "sure"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
-    met = crowded.join(placed, "class")
-    mixed = met.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    met = met.join(mixed, "key")
-    a, b = (met.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("class", "size", "short", "component", "n_crowded", "sure")]) for x in "ab")
+    met = crowded.join(placed, "class").withColumn("needs", F.col("n_crowded") >= F.col("sure"))
+    # of a pair in different components, one at least is not in the key's largest component
+    groups = met.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("components"))
+    met = met.join(groups.where("components > 1"), "key")
+    columns = ("class", "size", "short", "component", "n_crowded", "sure", "needs", "main")
+    a, b = (met.select("key", *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in "ab")
+    a = a.where("a_component <> a_main")
     # similar classes share at least the lesser ``sure`` of keys; with fewer crowded ones they met
-    # elsewhere. One of an open pair thus has as many crowded keys as sure ones.
-    a = a.where("a_n_crowded >= a_sure")
+    # elsewhere. One of an open pair thus needs crowded keys.
     fits = (F.col("a_component") != F.col("b_component")) & _similar_sizes(F.col("a_size"), F.col("b_size")) & \
         (F.least("a_n_crowded", "b_n_crowded") >= F.least("a_sure", "b_sure")) & \
         (_short_hamming(F.col("a_short"), F.col("b_short")) * 7 <= F.col("a_size") + F.col("b_size"))
-    return a.join(b, "key").where(fits).select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
+    open_pairs = a.where("a_needs").join(b, "key").where(fits).unionByName(a.where("not a_needs").join(b.where("b_needs"), "key").where(fits))
+    return open_pairs.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
