@@ -1,22 +1,24 @@
 """Language-model scores by a weighted backoff automaton.
 
 The model is an n-gram model with absolute discounting and backoff, learned from
-the training rows only. Words that hold at least ``WORD_SHARE`` of all training
-tokens are *hot*: there are at most 1 / ``WORD_SHARE`` of them, whatever the
-corpus, so their counts may be broadcast. N-grams of two words and more are kept
-from ``GRAM_SHARE`` of the tokens on, again a proven bound. Kept n-grams become
-states with weighted arcs; a state without an arc for the next word fails, at
-the cost of its backoff weight, to the state of its longest shorter suffix. One
-traversal from left to right carries the state and adds up the log probability.
-
-All other words, the bulk of the vocabulary, never meet an arc: the automaton
-falls to its root, and what is missing is a function of the word's count alone.
-Their counts stay distributed: rows (word, text, times) are joined with the
-counts by word, where by definition no word is hot, and summed per text.
-
-Counts are exact and cover every training row. Words are told apart by 64-bit
-hashes. An unknown word has the probability that discounting took from all known
-ones.
+the training rows only. An n-gram of two words and more is kept if the training
+rows hold it ``LEAST`` times, however large the corpus is. Kept n-grams are the
+states and arcs of the automaton; a state without an arc for the next word fails,
+at the cost of its backoff weight, to the state of its longest shorter suffix.
+
+The costs of a path telescope: each n-gram has one weight, its arc's log
+probability less what failing to the shorter arc would have cost, plus its own
+backoff weight as a state. The score of a text is the sum of the weights of all
+its kept n-grams of all orders, in whatever order they are added. So the model
+stays distributed: rows (n-gram, text, times) are joined with the weights.
+Words that hold at least ``WORD_SHARE`` of all training tokens and n-grams that
+hold ``GRAM_SHARE`` are *hot*: there are at most 1 / share of them, whatever the
+corpus, so their weights are broadcast and by definition no joined key is hot.
+The shares decide only where a weight is looked up, never whether it counts.
+
+Counts are exact and cover every training row. Words and n-grams are told apart
+by 64-bit hashes. An unknown word has the probability that discounting took from
+all known ones.
 
 Defined results: null or empty text is the end token alone; a null id counts as
 an empty one in the split; repeated rows and equal ids give one row each;
@@ -27,16 +29,18 @@ table gives an empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import crc_mod, map_arrow, shared_table, slices, text_bytes, Words
+from sparktrips.llm.common import crc_mod, map_arrow, mix, shared_table, slices, text_bytes, Words
 
 WORD_SHARE, GRAM_SHARE, ORDER = 1e-6, 2e-5, 3
+#: Training count from which an n-gram of two words and more is kept.
+LEAST = 2
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 7, 2
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -70,73 +74,49 @@ def word_counts(train: DataFrame) -> DataFrame:
     return map_arrow(train.select("text"), count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Grams:
-    """Kept n-grams by order: ``codes[k]`` are sorted (place of the first k - 1
-    words) * len(hot) + (place of the last), ``counts[k]`` their counts. Order 1
-    are the hot words, of which those from ``frequent`` on may be in n-grams."""
-
-    hot: np.ndarray
-    counts: dict[int, np.ndarray]
-    frequent: np.ndarray
-    codes: dict[int, np.ndarray] = field(default_factory=dict)
-
-    def words(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each hash among the hot words, or -1."""
-        return _places(self.hot, hashes)
-
-    def extend(self, words: np.ndarray, ends: np.ndarray) -> dict[int, np.ndarray]:
-        """Place of the kept n-gram of each order that ends at each token, or -1."""
-        found = {1: np.where((words >= 0) & self.frequent[words], words, -1) if len(self.hot) else words}
-        begins = np.zeros(len(words), bool)
-        begins[0:1] = True
-        begins[ends[:-1]] = True
-        for k in sorted(self.codes):
-            code = self.candidates(found[k - 1], words, begins)
-            found[k] = _places(self.codes[k], code)
-        return found
-
-    def candidates(self, shorter: np.ndarray, words: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Codes of the n-grams one word longer whose two parts are kept, else -1."""
-        code = np.full(len(words), -1, np.int64)
-        whole = (shorter[:-1] >= 0) & (shorter[1:] >= 0) & ~begins[1:]
-        code[1:][whole] = shorter[:-1][whole] * len(self.hot) + words[1:][whole]
-        return code
-
-
-def _places(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.full(len(values), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
-    return np.where(sorted_values[at] == values, at, -1)
-
-
-def gram_counts(train: DataFrame, grams: Grams, order: int) -> DataFrame:
-    """``(code, n)``: exact counts of the n-grams of ``order`` words whose shorter
-    parts are kept."""
-    shared = train.sparkSession.sparkContext.broadcast(grams)
+def grams(hashes: np.ndarray, ends: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order from 2 on the n-grams inside the texts: keys of their first
+    and of their last words (all but one), and where in ``hashes`` they end."""
+    last = np.arange(len(hashes))
+    place = last - np.repeat(np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0))
+    keys = hashes
+    for k in range(2, order + 1):
+        whole = place[1:] >= 1
+        first, second, last, place = keys[:-1][whole], keys[1:][whole], last[1:][whole], place[1:][whole] - 1
+        yield first, second, last
+        keys = gram_keys(first, second)
+
+
+def gram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * np.uint64(3) + second)
+
+
+def gram_counts(train: DataFrame, order: int) -> DataFrame:
+    """``(k, first, second, n)``: exact counts of the n-grams of 2 to ``order`` words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for part in slices(batches, "text", SLICE_BYTES):
-            hashes, ends = tokens(text_bytes(part.column("text")))
-            words = known.words(hashes)
-            begins = np.zeros(len(words), bool)
-            begins[0:1] = True
-            begins[ends[:-1]] = True
-            code = known.candidates(known.extend(words, ends)[order - 1], words, begins)
-            code, n = np.unique(code[code >= 0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
+            for k, (first, second, _) in enumerate(grams(*tokens(text_bytes(part.column("text"))), order), 2):
+                _, one, n = np.unique(gram_keys(first, second), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), k, np.int8)), signed(first[one]), signed(second[one]), pa.array(n, pa.int64())],
+                                                 ["k", "first", "second", "n"])
+
+    counted = map_arrow(train.select("text"), count, "k tinyint, first bigint, second bigint, n bigint")
+    return counted.groupBy("k", "first", "second").agg(F.sum("n").alias("n"))
+
 
-    return map_arrow(train.select("text"), count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+def with_keys(kept: DataFrame) -> DataFrame:
+    """Adds ``key``, under which longer n-grams and texts know the n-gram."""
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            first, second = (part.column(c).to_numpy().view(np.uint64) for c in ("first", "second"))
+            yield pa.RecordBatch.from_arrays([*part.columns, signed(gram_keys(first, second))], [*part.schema.names, "key"])
 
-def _columns(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    table = df.select(key, "n").toArrow()
-    return tuple(table.column(c).to_numpy() for c in (key, "n"))
+    return map_arrow(kept, add, "k tinyint, first bigint, second bigint, n bigint, key bigint")
 
 
-# --- the automaton ----------------------------------------------------------
+# --- weights ----------------------------------------------------------------
 
 @dataclass
 class Totals:
@@ -150,103 +130,44 @@ class Totals:
         return float(np.log10(self.discount * self.vocabulary / self.tokens)) if self.tokens else 0.0
 
 
-class Automaton:
-    """States are the root (0) and the kept n-grams that have arcs. ``arcs`` gives,
-    for state * words + word, the log probability and the next state; ``backoff``
-    and ``fail`` what a missing arc costs and where it leads; ``down`` the cost of
-    failing all the way to the root."""
-
-    def __init__(self, grams: Grams, totals: Totals):
-        self.grams, self.width = grams, max(1, len(grams.hot))
-        d, longest = totals.discount, max([1, *grams.codes])
-        log1 = (grams.counts[1] - d) / max(1, totals.tokens)
-        # probability of the last word of each kept n-gram after its first words, by order
-        prob = {1: log1}
-        for k in range(2, longest + 1):
-            before, _ = np.divmod(grams.codes[k], self.width)
-            prob[k] = (grams.counts[k] - d) / grams.counts[k - 1][before]
-        state: dict[tuple[int, int], int] = {}  # (order, place) of a context
-        for k in range(2, longest + 1):
-            for p in np.unique(grams.codes[k] // self.width).tolist():
-                state[k - 1, p] = len(state) + 1
-        self.fail, self.backoff = np.zeros(len(state) + 1, np.int64), np.zeros(len(state) + 1)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.root_log = np.log10(log1).tolist()
-        self.root_next = [state.get((1, w), 0) for w in range(len(grams.hot))]
-
-        def suffix(k: int, place: int) -> tuple[int, int]:
-            """The n-gram without its first word."""
-            before, last = divmod(int(grams.codes[k][place]), self.width)
-            if k == 2:
-                return 1, last
-            shorter = suffix(k - 1, before)
-            return k - 1, int(_places(grams.codes[k - 1], np.array([shorter[1] * self.width + last]))[0])
-
-        def state_of(k: int, place: int) -> int:
-            while k >= 1 and (k, place) not in state:
-                if k == 1:
-                    return 0
-                k, place = suffix(k, place)
-            return state.get((k, place), 0)
-
-        for k in range(2, longest + 1):
-            mass: dict[int, list[float]] = {}
-            for place, (code, p) in enumerate(zip(grams.codes[k].tolist(), prob[k].tolist())):
-                before, word = divmod(code, self.width)
-                here = state[k - 1, before]
-                self.arcs[here * self.width + word] = (float(np.log10(p)), state_of(k, place))
-                low = prob[1][word] if k == 2 else prob[k - 1][suffix(k, place)[1]]
-                own = mass.setdefault(here, [0.0, 0.0])
-                own[0] += p
-                own[1] += float(low)
-            for (order, place), here in state.items():
-                if order == k - 1:
-                    seen, below = mass[here]
-                    self.backoff[here] = np.log10(max(1 - seen, 1e-12) / max(1 - below, 1e-12))
-                    self.fail[here] = 0 if order == 1 else state_of(*suffix(order, place))
-        self.down = np.zeros(len(self.backoff))
-        for s in range(1, len(self.down)):  # shorter contexts have lower numbers
-            self.down[s] = self.backoff[s] + self.down[self.fail[s]]
-        self.fail, self.backoff, self.down = self.fail.tolist(), self.backoff.tolist(), self.down.tolist()
-
-    def score(self, words: list[int]) -> float:
-        """log10 probability of the hot words among ``words`` and of all failures; -1
-        stands for any other word, whose own probability is added elsewhere."""
-        arcs, backoff, fail, down, width = self.arcs.get, self.backoff, self.fail, self.down, self.width
-        root_log, root_next = self.root_log, self.root_next
-        state, total = 0, 0.0
-        for w in words:
-            if w < 0:
-                total += down[state]
-                state = 0
-                continue
-            hit = None
-            while state:
-                hit = arcs(state * width + w)
-                if hit is not None:
-                    break
-                total += backoff[state]
-                state = fail[state]
-            if hit is not None:
-                total += hit[0]
-                state = hit[1]
-            else:
-                total += root_log[w]
-                state = root_next[w]
-        return total
+def looked_up(rows: DataFrame, key: str, table: DataFrame, hot: float) -> DataFrame:
+    """``rows`` with the columns of ``table`` for ``key``, which it holds for every
+    row. Entries with a count ``n`` of at least ``hot`` are broadcast: many n-grams
+    share a part that is frequent."""
+    table = table.withColumnRenamed("key", key)
+    frequent = F.broadcast(table.where(F.col("n") >= hot).drop("n"))
+    others = rows.join(F.broadcast(table.where(F.col("n") >= hot).select(key)), key, "left_anti")
+    return rows.join(frequent, key).unionByName(others.join(table.where(F.col("n") < hot).drop("n"), key))
 
 
-# --- the job ----------------------------------------------------------------
-
 @dataclass
 class Model:
-    """The distributed counts, the bounded tables and what is known of the whole."""
+    """``weights``: (key, n, weight) of all words and kept n-grams, distributed, and
+    what is known of the whole. ``n`` is null for n-grams that are no words."""
 
-    counts: DataFrame
-    grams: Grams
+    weights: DataFrame
+    hot_words: "Hot"
+    hot_grams: "Hot"
     totals: Totals
 
 
+class Hot:
+    """The weights and counts of some keys, sorted by key."""
+
+    def __init__(self, rows: DataFrame):
+        table = rows.select("key", "n", "weight").toArrow()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        by = np.argsort(keys)
+        self.keys, self.counts, self.weights = keys[by], table.column("n").to_numpy()[by], table.column("weight").to_numpy()[by]
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
 def learn(train: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> Model:
     """The model of ``train``'s column ``text``."""
     counts = shared_table(word_counts(train), "word-counts")
@@ -254,20 +175,37 @@ def learn(train: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE,
                       F.sum((F.col("n") == 2).cast("long")).alias("n2")).first()
     n1, n2 = sums.n1 or 0, sums.n2 or 0
     totals = Totals(sums.n or 0, sums.v, min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5)
-    least = lambda share: max(2, int(np.ceil(share * totals.tokens)))
-    word, n = _columns(counts.where(F.col("n") >= least(word_share)), "word")
-    hashes = word.view(np.uint64)
-    by = np.argsort(hashes)
-    grams = Grams(hashes[by], {1: n[by]}, n[by] >= least(gram_share))
+    d, hot = F.lit(totals.discount), max(LEAST, gram_share * totals.tokens)
+    kept = shared_table(with_keys(gram_counts(train, order).where(F.col("n") >= LEAST)), "kept-grams")
+    # per order: key, n, p (probability of the last word after the first ones), arc (log10 p
+    # less the cost of the way by the shorter n-gram)
+    p = (F.col("n") - d) / F.lit(float(max(1, totals.tokens)))
+    level = counts.select(F.col("word").alias("key"), "n", p.alias("p"), F.log10(p).alias("arc"))
+    levels = []
     for k in range(2, order + 1):
-        code, n = _columns(gram_counts(train, grams, k).where(F.col("n") >= least(gram_share)), "code")
-        if not len(code):
-            break
-        by = np.argsort(code)
-        grams.codes[k], grams.counts[k] = code[by], n[by]
-    return Model(counts, grams, totals)
+        rows = looked_up(kept.where(F.col("k") == k).drop("k"), "second", level.select("key", "n", F.col("p").alias("below")), hot)
+        rows = shared_table(rows.drop("second"), f"grams-{k}")
+        mass = rows.groupBy(F.col("first").alias("key")).agg((F.sum("n") - d * F.count("*")).alias("seen"), F.sum("below").alias("below"))
+        left = lambda share: F.greatest(1 - share, F.lit(1e-12))
+        backoff = F.coalesce(F.log10(left(F.col("seen") / F.col("n")) / left(F.col("below"))), F.lit(0.0))
+        level = shared_table(level.join(mass, "key", "left").select("key", "n", "p", "arc", backoff.alias("backoff")), f"states-{k - 1}")
+        levels.append(level.select("key", "n", (F.col("arc") + F.col("backoff")).alias("weight")))
+        rows = looked_up(rows, "first", level.select("key", "n", F.col("n").alias("whole"), "backoff"), hot)
+        p = (F.col("n") - d) / F.col("whole")
+        level = rows.select("key", "n", p.alias("p"), (F.log10(p) - F.col("backoff") - F.log10("below")).alias("arc"))
+    levels.append(level.select("key", "n", F.col("arc").alias("weight")))
+    words, *longer = levels
+    longer = [shared_table(x, "gram-weights") for x in longer]
+    frequent = lambda x, share: x.where(F.col("n") >= max(LEAST, share * totals.tokens))
+    weights, hot_grams = words, counts.where("false").select(F.col("word").alias("key"), "n", F.lit(0.0).alias("weight"))
+    for x in longer:
+        weights = weights.unionByName(x.where(F.col("n") < hot).withColumn("n", F.lit(None).cast("bigint")))
+        hot_grams = hot_grams.unionByName(frequent(x, gram_share))
+    return Model(weights, Hot(frequent(words, word_share)), Hot(hot_grams), totals)
 
 
+# --- the job ----------------------------------------------------------------
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (add-one unigrams) and ``score`` (the automaton)."""
@@ -276,50 +214,58 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     model = learn(rows.where(~F.col("held_out")), order)
     totals = model.totals
     kind = rows.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(Automaton(model.grams, totals))
+    shared = docs.sparkSession.sparkContext.broadcast((model.hot_words, model.hot_grams))
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        automaton = shared.value
-        hot_log = np.log10(automaton.grams.counts[1] + 1.0)
+        hot_words, hot_grams = shared.value
+        hot_log = np.log10(hot_words.counts + 1.0)
         row = TaskContext.get().partitionId() << 33
         for part in slices(batches, "text", SLICE_BYTES):
             hashes, ends = tokens(text_bytes(part.column("text")))
-            words = automaton.grams.words(hashes)
-            begin = np.concatenate([[0], ends[:-1]])
-            scores, base, known, rare, times = [], [], [], [], []
-            for a, b in zip(begin.tolist(), ends.tolist()):
-                own = words[a:b]
-                scores.append(automaton.score(own.tolist()))
-                at_hot = own >= 0
-                known.append(int(at_hot.sum()))
-                base.append(float(hot_log[own[at_hot]].sum()))
-                word, n = np.unique(hashes[a:b][~at_hot], return_counts=True)
-                rare.append(word.view(np.int64))
-                times.append(n.astype(np.int32))
+            owner, size = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), part.num_rows
+            at = hot_words.places(hashes)
+            found = at >= 0
+            sums = lambda values, mask, of: np.bincount(of[mask], values, size)
+            known, base = np.bincount(owner[found], minlength=size), sums(hot_log[at[found]], found, owner)
+            scores = sums(hot_words.weights[at[found]], found, owner)
+            rest = [(owner[~found], hashes[~found], 1)]
+            for first, second, last in grams(hashes, ends, order):
+                keys, of = gram_keys(first, second), owner[last]
+                at = hot_grams.places(keys)
+                found = at >= 0
+                scores += sums(hot_grams.weights[at[found]], found, of)
+                rest.append((of[~found], keys[~found], -1))
+            # what is looked up: a text's keys and how often they are in it, n-grams with a minus
+            of, keys = np.concatenate([x[0] for x in rest]), np.concatenate([x[1] for x in rest])
+            sign = np.repeat([x[2] for x in rest], [len(x[0]) for x in rest]).astype(np.int32)
+            by = np.lexsort((keys, of))
+            of, keys, sign = of[by], keys[by], sign[by]
+            new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])])) if len(of) else np.zeros(0, np.int64)
+            times = np.diff(np.append(new, len(of))).astype(np.int32) * sign[new]
+            offsets = pa.array(np.searchsorted(of[new], np.arange(size + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + part.num_rows), pa.int64()), part.column("id"), part.column("held_out"),
-                 pa.array(ends - begin, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                ["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "hot_score", "rare", "times"])
-            row += part.num_rows
+                [pa.array(np.arange(row, row + size), pa.int64()), part.column("id"), part.column("held_out"),
+                 pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                 pa.array(scores, pa.float64()), pa.ListArray.from_arrays(offsets, signed(keys[new])),
+                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
+                ["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "hot_score", "rest", "times"])
+            row += size
 
     texts = shared_table(map_arrow(rows,
         traverse, f"row bigint, id {kind}, held_out boolean, n_tokens bigint, hot_known bigint, hot_base double, "
-                  "hot_score double, rare array<bigint>, times array<int>"), "traversed")
-    each = (texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
-            .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")))
-    n = F.coalesce("n", F.lit(0))
-    per_token = max(1, totals.tokens)
-    rare_sums = (each.join(model.counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * F.log10(n + F.lit(1.0))).alias("base"),
-        F.sum(F.col("times") * F.when(n > 0, F.log10((n - F.lit(totals.discount)) / F.lit(float(per_token))))
-              .otherwise(F.lit(totals.unknown))).alias("score")))
+                  "hot_score double, rest array<bigint>, times array<int>"), "traversed")
+    each = (texts.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x"))
+            .select("row", F.col("x.rest").alias("key"), F.col("x.times").alias("times")))
+    n, word, times = F.coalesce("n", F.lit(0)), F.col("times") > 0, F.abs("times")
+    sums = (each.join(model.weights, "key", "left").where(word | F.col("weight").isNotNull()).groupBy("row").agg(
+        F.sum(F.when(word & (n > 0), times).otherwise(0)).alias("known"),
+        F.sum(F.when(word, times * F.log10(n + F.lit(1.0))).otherwise(0.0)).alias("base"),
+        F.sum(times * F.coalesce("weight", F.lit(totals.unknown))).alias("score")))
     zero = lambda c: F.coalesce(c, F.lit(0))
     log_all = float(np.log10(totals.tokens + totals.vocabulary + 1))
-    return texts.drop("rare", "times").join(rare_sums, "row", "left").select(
+    return texts.drop("rest", "times").join(sums, "row", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("hot_known") + zero("known")).alias("n_known"),
         F.lit(totals.tokens).cast("bigint").alias("train_tokens"),
         (F.col("hot_base") + zero("base") - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),

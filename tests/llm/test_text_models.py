@@ -223,6 +223,28 @@ def test_automaton_equals_backoff_by_recursion(spark):
         assert got[i] == pytest.approx(reference_score([*t.split(), None], counts, kept, set(), n, v, d), abs=1e-6)
 
 
+def test_repeated_ngrams_count_however_large_the_corpus(spark):
+    """N-grams that are there a few times, far below ``GRAM_SHARE`` of all tokens."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(400)], k=80)) + f" seldom{i // 3} seen{i // 3} phrase{i // 3}" for i in range(4000)]
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts: list[Counter] = [Counter() for _ in range(4)]
+    for t in train:
+        own = [*t.split(), None]
+        for k in (1, 2, 3):
+            counts[k].update(zip(*[own[j:] for j in range(k)]))
+    n, v = sum(counts[1].values()), len(counts[1])
+    assert lm_scoring.GRAM_SHARE * n > 4
+    n1, n2 = (sum(c == k for c in counts[1].values()) for k in (1, 2))
+    d = min(0.95, max(0.05, n1 / (n1 + 2 * n2)))
+    kept = [set(), *[{g for g, c in counts[k].items() if c >= 2} for k in (1, 2, 3)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs).collect()}
+    for i in range(0, 4000, 250):
+        assert got[i] == pytest.approx(reference_score([*texts[i].split(), None], counts, kept, set(), n, v, d), abs=1e-6)
+
+
 def test_model_beats_unigrams_on_held_out_text(spark):
     rows = lm_scoring.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
