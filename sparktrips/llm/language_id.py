@@ -8,9 +8,12 @@
   smoothed hierarchically: all rows, then the suffix, then the host. A row's own
   text is taken out of its host's count.
 
-The languages are the declared ones that at least ``MIN_SHARE`` of all rows
-declare, so there are at most 1 / ``MIN_SHARE`` of them, and the tables that the
-driver gets (languages x buckets, languages x declared) have a proven bound.
+The languages are the declared codes of two or three letters that at least
+``MIN_ROWS`` rows declare, however many rows declare others, and whatever else
+(names, codes with a region, codes of small tables) ``MIN_SHARE`` of all rows
+declare. So there are no more than the codes of ISO 639 that are in use and
+1 / ``MIN_SHARE``, and the tables that the driver gets (languages x buckets,
+languages x declared) are bounded by that, not by the rows.
 
 Defined results: text without a trigram of letters has no text evidence and is
 judged by the rest; text without letters (null and empty too) is never accepted; null declared language,
@@ -22,7 +25,6 @@ names. Without any declared language every row is ``und``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from sparktrips.llm.common import _IS_SEPARATOR, _LOWER, lower_ascii, map_arrow, mix, shared_table, slices, text_bytes
 
-MIN_SHARE = 0.01
+MIN_ROWS, MIN_SHARE = 20, 0.01
+LANGUAGE_CODE = "^[a-z]{2,3}$"
 BUCKETS = 1 << 13
 #: A text's likelihood counts as that of at most so many independent trigrams.
 EFFECTIVE_TRIGRAMS = 64.0
@@ -65,10 +68,12 @@ def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code.astype(np.int64), owner[:-2][whole], letters
 
 
-def declared_languages(rows: DataFrame, min_share: float = MIN_SHARE) -> list[str]:
+def declared_languages(rows: DataFrame, min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> list[str]:
     counts = rows.where("declared is not null").groupBy("declared").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
-    return sorted(r.declared for r in counts.where(F.col("count") >= F.lit(min_share * total)).collect()) if total else []
+    code = F.col("declared").rlike(LANGUAGE_CODE) & (F.col("declared") != UND)
+    enough = (F.col("count") >= F.lit(min_share * total)) | (code & (F.col("count") >= min_rows))
+    return sorted(r.declared for r in counts.where(enough).collect()) if total else []
 
 
 def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
@@ -76,19 +81,21 @@ def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(languages) * BUCKETS, np.int64)
+        total: dict[int, np.ndarray] = {}  # of the languages that the task meets
         for part in slices(batches, "text"):
             of = np.array([place.get(x, -1) for x in part.column("declared").to_pylist()], np.int64)
             code, owner, _ = _trigrams(text_bytes(part.column("text")))
-            known = of[owner] >= 0
-            total += np.bincount(of[owner][known] * BUCKETS + code[known], minlength=len(total))
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(total[cell], pa.int64())], ["cell", "n"])
+            language = of[owner]
+            for i in np.unique(of[of >= 0]).tolist():
+                total[i] = total.get(i, 0) + np.bincount(code[language == i], minlength=BUCKETS)
+        for i, n in total.items():
+            bucket = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(i * BUCKETS + bucket, pa.int64()), pa.array(n[bucket], pa.int64())], ["cell", "n"])
 
     counted = map_arrow(rows.select("declared", "text"), count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     n = np.zeros((len(languages), BUCKETS))
-    for cell, k in counted.collect():  # at most languages x buckets
-        n[divmod(cell, BUCKETS)] = k
+    cells = counted.toArrow()  # at most languages x buckets
+    n.ravel()[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
     table = np.log((n + 0.5) / (n.sum(axis=1, keepdims=True) + 0.5 * BUCKETS))
     return np.vstack([table, np.full(BUCKETS, -np.log(BUCKETS))])
 
@@ -120,19 +127,66 @@ def _argmax(values: Column) -> Column:
 def _group_priors(rows: DataFrame, classes: int) -> tuple[DataFrame, list[float]]:
     """Per host: counts of the text's class and the prior of its suffix; and the
     prior over all rows. Partial sums are taken before the shuffle."""
-    tally = [F.sum((F.col("text_class") == i).cast("long")).alias(f"n{i}") for i in range(classes)]
     evident = rows.where("n_trigrams > 0")
-    hosts = evident.where("host is not null").groupBy("host", "suffix").agg(*tally)
-    total = evident.agg(*tally).first()
-    known = [float(x or 0) for x in total[:-1]]
+    cells = evident.where("host is not null").groupBy("host", "suffix", "text_class").agg(F.count("*").cast("double").alias("n"))
+    known = [0.0] * classes
+    for r in evident.groupBy("text_class").count().collect():
+        known[r.text_class] = float(r["count"])
+    known = known[:-1]
     overall = [(n + 1.0) / (sum(known) + len(known)) * (1 - UND_PRIOR) for n in known] + [UND_PRIOR]
-    suffixes = hosts.where("suffix is not null").groupBy("suffix").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(classes)])
-    size = reduce(lambda a, b: a + b, [F.col(f"n{i}") for i in range(classes)])
-    prior = F.array(*[(F.col(f"n{i}") + F.lit(PRIOR_ROWS * overall[i])) / (size + PRIOR_ROWS) for i in range(classes)])
+    # a group's counts of all classes, from one row for each class that it has
+    by_class = F.map_from_entries(F.collect_list(F.struct("text_class", "n")))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: F.coalesce(F.try_element_at("by_class", i), F.lit(0.0)))
+    suffixes = (cells.where("suffix is not null").groupBy("suffix", "text_class").agg(F.sum("n").alias("n"))
+                .groupBy("suffix").agg(by_class.alias("by_class"), F.sum("n").alias("size")))
+    prior = F.zip_with(counts, _literals(overall), lambda n, p: (n + p * PRIOR_ROWS) / (F.col("size") + PRIOR_ROWS))
+    hosts = cells.groupBy("host", "suffix").agg(by_class.alias("by_class")).select("host", "suffix", counts.alias("host_counts"))
     hosts = hosts.join(suffixes.select("suffix", prior.alias("suffix_prior")), "suffix", "left")
-    counts = F.array(*[F.col(f"n{i}").cast("double") for i in range(classes)])
-    return hosts.select("host", "suffix", counts.alias("host_counts"),
-                        F.coalesce("suffix_prior", F.array(*map(F.lit, overall))).alias("suffix_prior")), overall
+    return hosts.select("host", "suffix", "host_counts", F.coalesce("suffix_prior", _literals(overall)).alias("suffix_prior")), overall
+
+
+def _literals(values: list) -> Column:
+    return F.array(*map(F.lit, values))
+
+
+def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a column of lists of ``width`` numbers (0 where null), and where it is not null."""
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), width))
+    out[there] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return out, there
+
+
+def _fused(joined: DataFrame, names: list[str], confusion: np.ndarray, overall: list[float]) -> DataFrame:
+    """Adds up all evidence of each row: ``(id, language, confidence, text_language,
+    declared, n_letters)``. ``confusion`` has the log probability of each declared slot
+    (columns) under each class."""
+    kind = joined.schema["id"].dataType.simpleString()
+    shared = joined.sparkSession.sparkContext.broadcast((names, confusion, np.array(overall)))
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, confusion, overall = shared.value
+        width, label = len(names), np.array(names, object)
+        for part in batches:
+            rows = np.arange(part.num_rows)
+            n, of = part.column("n_trigrams").to_numpy(), part.column("text_class").to_numpy()
+            likelihood, _ = _matrix(part.column("likelihood"), width)
+            others, in_group = _matrix(part.column("host_counts"), width)
+            above, has_suffix = _matrix(part.column("suffix_prior"), width)
+            above[~has_suffix] = overall
+            others[rows, of] -= n > 0
+            prior = np.where(in_group[:, None], (others + above * PRIOR_ROWS) / (others.sum(axis=1, keepdims=True) + PRIOR_ROWS), above) if in_group.any() else above
+            logs = np.minimum(n, EFFECTIVE_TRIGRAMS)[:, None] * likelihood + np.log(np.maximum(prior, 1e-12))
+            declares = part.column("declared").is_valid().to_numpy(zero_copy_only=False)
+            logs[declares] += confusion.T[part.column("slot").to_numpy()[declares]]
+            best = logs.argmax(axis=1)
+            confidence = 1.0 / np.exp(logs - logs[rows, best][:, None]).sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(label[best], pa.string()), pa.array(confidence, pa.float64()), pa.array(label[of], pa.string(), mask=n == 0),
+                 part.column("declared"), part.column("n_letters")], ["id", "language", "confidence", "text_language", "declared", "n_letters"])
+
+    return map_arrow(joined.select("id", "declared", "n_letters", "n_trigrams", "likelihood", "text_class", "slot", "host_counts", "suffix_prior"), fuse,
+                     f"id {kind}, language string, confidence double, text_language string, declared string, n_letters bigint")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang",
@@ -150,12 +204,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     scored = shared_table(scored.withColumn("text_class", _argmax(F.col("likelihood"))), "language-evidence")
 
     # declared language: P(declared | language) from texts whose language is evident
-    slot = F.coalesce(*[F.when(F.col("declared") == x, i) for i, x in enumerate(languages)], F.lit(len(languages)))
+    at = F.array_position(_literals(languages).cast("array<string>"), F.col("declared"))
+    slot = F.coalesce(F.when(at > 0, at - 1), F.lit(len(languages))).cast("int")
     confusion = np.full((len(names), len(names)), 0.5)
     for c, d, n in scored.where("n_trigrams > 0 and declared is not null").groupBy("text_class", slot.alias("d")).count().collect():
         confusion[c, d] += n  # at most languages x languages cells
     confusion = np.log(confusion / confusion.sum(axis=1, keepdims=True))
-    said = F.array(*[F.array(*map(F.lit, confusion[:, d].tolist())) for d in range(len(names))])
 
     hosts, overall = _group_priors(scored, len(names))
     # rows without a host match nothing; their keys are spread so that they do not meet in one task
@@ -164,20 +218,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     joined = scored.withColumn("key", F.concat_ws("|", F.coalesce(named, spread), "suffix")).join(
         hosts.select(F.concat_ws("|", named, "suffix").alias("key"), "host_counts", "suffix_prior"), "key", "left")
 
-    flat = F.array(*map(F.lit, overall))
-    own = lambda i: F.when((F.col("text_class") == i) & (F.col("n_trigrams") > 0), 1.0).otherwise(0.0)
-    others = [F.get("host_counts", F.lit(i)) - own(i) for i in range(len(names))]
-    size = reduce(lambda a, b: a + b, others)
-    above = F.coalesce("suffix_prior", flat)
-    prior = [F.coalesce((others[i] + F.get(above, F.lit(i)) * PRIOR_ROWS) / (size + PRIOR_ROWS), F.get(above, F.lit(i))) for i in range(len(names))]
-    weight = F.least(F.col("n_trigrams").cast("double"), F.lit(EFFECTIVE_TRIGRAMS))
-    logs = F.array(*[weight * F.get("likelihood", F.lit(i)) + F.log(F.greatest(prior[i], F.lit(1e-12)))
-                     + F.when(F.col("declared").isNotNull(), F.get(F.get(said, slot), F.lit(i))).otherwise(0.0) for i in range(len(names))])
-    fused = joined.withColumn("logs", logs).withColumn("best", _argmax(F.col("logs")))
-    confidence = 1.0 / F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("logs")))
-    name = lambda c: F.get(F.array(*map(F.lit, names)), c)
-    result = fused.select("id", name(F.col("best")).alias("language"), confidence.alias("confidence"),
-                          F.when(F.col("n_trigrams") > 0, name(F.col("text_class"))).alias("text_language"), "declared", "n_letters")
+    result = _fused(joined.withColumn("slot", slot), names, confusion, overall)
     accepted = (F.col("language") != UND) & (F.col("confidence") >= min_confidence) & (F.col("n_letters") > 0)
     return result.select(F.col("id").alias(id_col), "language", "confidence", "text_language", "declared", accepted.alias("accepted"))
 
