@@ -206,6 +206,19 @@ def learn(train: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE,
 
 # --- the job ----------------------------------------------------------------
 
+def by_text(rest: list[tuple[np.ndarray, np.ndarray, int]], size: int) -> tuple[pa.Array, pa.Array]:
+    """What is looked up: per text the keys of ``rest`` (owners, keys, sign) and how
+    often they are in it, times their sign."""
+    of, keys = np.concatenate([x[0] for x in rest]), np.concatenate([x[1] for x in rest])
+    sign = np.repeat([x[2] for x in rest], [len(x[0]) for x in rest]).astype(np.int32)
+    by = np.lexsort((keys, of))
+    of, keys, sign = of[by], keys[by], sign[by]
+    new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])])) if len(of) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(of))).astype(np.int32) * sign[new]
+    offsets = pa.array(np.searchsorted(of[new], np.arange(size + 1)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, signed(keys[new])), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (add-one unigrams) and ``score`` (the automaton)."""
@@ -237,19 +250,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                 found = at >= 0
                 scores += sums(hot_grams.weights[at[found]], found, of)
                 rest.append((of[~found], keys[~found], -1))
-            # what is looked up: a text's keys and how often they are in it, n-grams with a minus
-            of, keys = np.concatenate([x[0] for x in rest]), np.concatenate([x[1] for x in rest])
-            sign = np.repeat([x[2] for x in rest], [len(x[0]) for x in rest]).astype(np.int32)
-            by = np.lexsort((keys, of))
-            of, keys, sign = of[by], keys[by], sign[by]
-            new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])])) if len(of) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(of))).astype(np.int32) * sign[new]
-            offsets = pa.array(np.searchsorted(of[new], np.arange(size + 1)), pa.int32())
+            keys, times = by_text(rest, size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size), pa.int64()), part.column("id"), part.column("held_out"),
                  pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(scores, pa.float64()), pa.ListArray.from_arrays(offsets, signed(keys[new])),
-                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
+                 pa.array(scores, pa.float64()), keys, times],
                 ["row", "id", "held_out", "n_tokens", "hot_known", "hot_base", "hot_score", "rest", "times"])
             row += size
 

@@ -172,6 +172,57 @@ def test_kneser_ney_is_a_distribution_and_matches_the_formula(spark, documents,
     assert np.allclose(quality_classifier.conditional_table(nothing.select("text")), -quality_classifier.BITS)
 
 
+def test_classifier_tells_shuffled_text_beyond_latin(spark):
+    """Cyrillic and CJK texts of words, and the same characters in any order."""
+    import random
+    rng = random.Random(6)
+    rows, labels = [], []
+    for lang, low, high, longest in (("ru", 0x430, 0x450, 8), ("zh", 0x4E00, 0x5200, 3)):
+        words = ["".join(chr(rng.randrange(low, high)) for _ in range(rng.randint(2, longest))) for _ in range(300)]
+        for n in range(500):
+            text = " ".join(rng.choices(words, k=60))
+            if n >= 400:
+                text = " ".join("".join(rng.sample(text.replace(" ", ""), len(w))) for w in text.split(" "))
+            rows.append((len(rows), lang, text))
+            labels += [(len(rows) - 1, 1)] if n < 300 else []
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    kept = {r.doc_id: r.kept for r in quality_classifier.classify(docs, labels).collect()}
+    assert np.mean([kept[b + n] for b in (0, 500) for n in range(400)]) > 0.95 and not any(kept[b + n] for b in (0, 500) for n in range(400, 500))
+
+
+def test_character_weights_add_up_to_kneser_ney(spark):
+    """Against interpolated modified Kneser-Ney by recursion; all contexts sum to 1."""
+    from collections import Counter
+    train, texts = ["abab ab ба", "abba", "ба аб cab", "x", "abab ab ба"], ["abab", "бабa z", "cabба q", "x", ""]
+    order, pad = quality_classifier.CHAR_ORDER, lambda t: ["<", *t, ">"]
+    raw = {k: Counter(tuple(pad(t)[i:i + k]) for t in train for i in range(len(pad(t)) - k + 1)) for k in range(1, order + 1)}
+    c = {order: raw[order]}
+    for k in range(1, order):
+        c[k] = Counter(g[1:] for g in raw[k + 1]) + Counter({g: n for g, n in raw[k].items() if g[0] == "<" and k > 1})
+    cuts = {k: quality_classifier.discounts(spark.createDataFrame([(n,) for n in v.values()], "c int")) for k, v in c.items()}
+
+    def p(context: tuple, x: str) -> float:
+        k = len(context) + 1
+        rows = {g[-1]: n for g, n in c[k].items() if g[:-1] == context}
+        below = p(context[1:], x) if context else 1 / (len(c[1]) + 1)
+        if not rows:
+            return below
+        off = {y: cuts[k][min(n, 3) - 1] for y, n in rows.items()}
+        return (rows.get(x, 0) - off.get(x, 0) + sum(off.values()) * below) / sum(rows.values())
+
+    assert sum(p(("a",), x) for x in "abcx ба>?") == pytest.approx(1)
+    learned = spark.createDataFrame([(t,) for t in train], "text string")
+    rows = spark.createDataFrame(list(enumerate(texts)), "row bigint, text string")
+    for hot in (1, 3, 1000):  # wherever a weight is looked up
+        weights, _, unknown = quality_classifier.character_weights(learned)
+        got = {r.row: r.char_bits for r in quality_classifier.with_character_bits(rows, weights, hot, unknown).collect()}
+        for i, t in enumerate(texts[:-1]):
+            own = pad(t)
+            bits = -sum(np.log2(p(tuple(own[max(0, j - order + 1):j]), own[j])) for j in range(1, len(own))) / (len(t) + 1)
+            assert got[i] == pytest.approx(bits, abs=1e-9)
+        assert 4 not in got
+
+
 def test_classifier_perplexity_and_quantiles(spark, documents, nothing, awkward):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     good = {r.doc_id for r in labels.where("quality = 1").collect()}
