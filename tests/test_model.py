@@ -179,3 +179,19 @@ def test_unusable_values_are_refused(spark, training_records, record):
     import json
     df = spark.createDataFrame([(json.dumps(record),), ('{"fare_amount": true}',)], "payload string")
     assert features.prepare_features(df).count() == 1
+
+
+def test_training_query_fits_the_default_once_and_it_is_reloaded(spark, monkeypatch):
+    from sparktrips import train_job
+    from sparktrips.plans import q_model
+    job, seen = train_job.run_training, []
+
+    def smaller(spark, trips, s, path):
+        seen.append(s)
+        return job(spark, trips, s.with_(n_estimators=2, max_depth=3, max_bins=16), path)
+
+    monkeypatch.setattr(train_job, "run_training", smaller)
+    monkeypatch.setattr(q_model, "_FITTED", {})
+    sf = "/root/testdata/sf0.001"
+    assert q_model.run_training(spark, sf).count() == 1 and q_model.load_model(spark, sf).count() > 0
+    assert seen == [DEFAULT_SETTINGS] and seen[0].model_type == "random_forest"
