@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, \
-    token_counts, url_filters
+    token_counts, url_filters, whitening
 from sparktrips.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +68,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_token_counts, op3_quality_classifier, op4_packing, op5_quality_rules, op6_lm_scoring,
-        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, pipeline)}
+        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
