@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, \
-    token_counts, url_filters, whitening
+from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_classifier, quality_rules, ranked_search, \
+    secret_scan, token_counts, url_filters, whitening
 from sparktrips.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -68,8 +72,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_token_counts, op3_quality_classifier, op4_packing, op5_quality_rules, op6_lm_scoring,
-        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op13_embedding_whitening, pipeline)}
+        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op12_ranked_search, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secret_scan.oracle()}
+    return {"op1_secret_scan": secret_scan.oracle(), "op12_ranked_search": ranked_search.oracle()}
