@@ -40,11 +40,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktrips.llm.common import cut, map_arrow, mix, shared_table, slices, text_bytes, Words
+from sparktrips.llm.common import map_arrow, mix, shared_table, slices, text_bytes, Words
 
 SHINGLE = 5
 #: Similarity of at least 3/4. With it, |a| and |b| differ by at most 4/3, and the
@@ -182,7 +182,7 @@ def block_keys(sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
 
 
-def _long(values: np.ndarray) -> pa.Array:
+def as_longs(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())
 
 
@@ -197,9 +197,9 @@ def signatures(rows: DataFrame) -> DataFrame:
             sets = Sets(text_bytes(part.column("text")))
             least = np.maximum(SHORT_WORDS, sets.sizes / ELEMENTS_PER_WORD)
             bits, ends = sets.bit_sketches(1 << np.ceil(np.log2(least)).astype(np.int64))
-            columns = [part.column("id"), pa.array(sets.sizes, pa.int64()), _long(sets.classes())]
+            columns = [part.column("id"), pa.array(sets.sizes, pa.int64()), as_longs(sets.classes())]
             for values, to in ((folded(bits, ends, SHORT_WORDS), np.arange(1, len(ends) + 1) * SHORT_WORDS), (bits, ends)):
-                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]), pa.int32()), _long(values)))
+                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]), pa.int32()), as_longs(values)))
             columns.append(pa.array(sure_keys(sets.sizes), pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, ["id", "size", "class", "short", "sketch", "sure"])
 
@@ -221,7 +221,7 @@ def keys(rows: DataFrame) -> DataFrame:
             chosen = chosen[~np.isin(name[chosen], seen)]
             seen = np.concatenate([seen, name[chosen]])
             key, owner = block_keys(sets, chosen)
-            yield pa.RecordBatch.from_arrays([_long(key), _long(name[owner])], ["key", "class"])
+            yield pa.RecordBatch.from_arrays([as_longs(key), as_longs(name[owner])], ["key", "class"])
 
     return map_arrow(rows.select("text"), emit, "key bigint, class bigint")
 
@@ -282,7 +282,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("a_set"), batch.column("b_set")):
-                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
+                x, y = unpacked(x.as_buffer()), unpacked(y.as_buffer())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
@@ -291,56 +291,49 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), compare, "a bigint, b bigint").distinct()
 
 
-def _packed(elements: np.ndarray) -> bytes:
+def packed(elements: np.ndarray) -> bytes:
     return elements.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT].tobytes()
 
 
-def _unpacked(data) -> np.ndarray:
+def unpacked(data) -> np.ndarray:
     out = np.zeros((len(data) // ELEMENT, 8), np.uint8)
     out[:, :ELEMENT] = np.frombuffer(data, np.uint8).reshape(-1, ELEMENT)
     return out.view("<u8").ravel()
 
 
-#: Bits of the filter that texts pass before they are joined with the wanted ids: a
-#: megabyte, whatever the table. Full of ids it lets all pass; the join then decides.
-FILTER_BITS = 1 << 23
-
-
-def _may_be_in(ids: DataFrame, name: str) -> Column:
-    """Whether the column ``id`` may be among ``ids``' column, by one hash."""
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(c) % 64).cast("int"))
-    words = ids.groupBy(F.floor(place(name) / 64).alias("word")).agg(F.bit_or(bit(name)).alias("bits"))
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.collect():  # at most FILTER_BITS / 64 rows
-        table[row.word] = row.bits
-    return F.get(F.lit(table), F.floor(place("id") / 64).cast("int")).bitwiseAND(bit("id")) != 0
-
-
 def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(class, set)`` of the texts with the wanted ids; the set as sorted 48-bit
-    elements. A filter of fixed size keeps the other texts out of the shuffle."""
-    ids = cut(wanted.select(F.col("id").alias("wanted_id")).distinct())
+    elements. The ids are written first, so that the planner knows their size and
+    broadcasts them where they are few; else it shuffles, through a filter of its own."""
+    ids = shared_table(wanted.select(F.col("id").alias("wanted_id")).distinct(), "wanted-ids")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = Sets(text_bytes(part.column("text")))
-            data = [_packed(sets.hashes[a:b]) for a, b in zip(sets.first, sets.first[1:])]
-            yield pa.RecordBatch.from_arrays([_long(sets.classes()), pa.array(data, pa.binary())], ["class", "set"])
+            data = [packed(sets.hashes[a:b]) for a, b in zip(sets.first, sets.first[1:])]
+            yield pa.RecordBatch.from_arrays([as_longs(sets.classes()), pa.array(data, pa.binary())], ["class", "set"])
 
-    chosen = rows.where(_may_be_in(ids, "wanted_id")).join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    chosen = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     return map_arrow(chosen, build, "class bigint, set binary")
 
 
 # --- components -------------------------------------------------------------
 
+def marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written as a shared table, and their number and the XOR of their
+    hashes, observed while they are written."""
+    seen = Observation()
+    mark = F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("mark")
+    table = shared_table(edges.observe(seen, *mark), "edges")
+    return table, (seen.get["n"], seen.get["mark"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of the nodes of ``(a, b)``: the smallest node that links
     reach. Alternates the large-star and small-star steps, each one grouped minimum
     and one join; rounds grow with the logarithm of the path lengths."""
-    state = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    seen, before = mark(state), None
+    state, seen = marked(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    before = None
     while seen != before:
         before = seen
         both = state.unionAll(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -349,8 +342,7 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: every node and its smaller neighbours point to the least of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("l"), F.explode(F.array("a", "b")).alias("b"))
-        state = cut(small.where("l <> b").select(F.col("l").alias("a"), "b").distinct())
-        seen = mark(state)
+        state, seen = marked(small.where("l <> b").select(F.col("l").alias("a"), "b").distinct())
     return state.select(F.col("b").alias("node"), F.col("a").alias("component")).unionAll(
         state.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
@@ -367,11 +359,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = shared_table(classes, "classes")
 
     shared = shared_table(shared_keys(keys(rows)), "shared-keys")
-    pairs = cut(plausible(shared.where(~F.col("crowded")).select("a", "b", "n"), classes))
+    pairs = shared_table(plausible(shared.where(~F.col("crowded")).select("a", "b", "n"), classes), "pairs")
     links = linked(pairs, rows, classes)
     found = components(links)
     crowded = shared.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("class"))
-    open_pairs = cut(plausible(still_open(crowded, classes, found).withColumn("n", F.lit(1)), classes))
+    open_pairs = shared_table(plausible(still_open(crowded, classes, found).withColumn("n", F.lit(1)), classes), "open-pairs")
     if open_pairs.limit(1).count():
         found = components(links.unionAll(linked(open_pairs, rows, classes)))
 
@@ -392,13 +384,13 @@ def linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     sets = lambda p: sets_of(rows, classes.join(p.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class", "left_semi"))
     both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     best = both.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = cut(verified(best, sets(best)))
+    best = shared_table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best")
+    first = shared_table(verified(best, sets(best)), "links")
     place = components(first)
     at = lambda x: place.select(F.col("node").alias(x), F.col("component").alias(f"{x}_component"))
     placed = pairs.join(best, ["a", "b"], "left_anti").join(at("a"), "a", "left").join(at("b"), "b", "left")
-    apart = cut(placed.where(F.coalesce("a_component", "a") != F.coalesce("b_component", "b")).select("a", "b"))
-    return cut(first.unionAll(verified(apart, sets(apart)))) if apart.limit(1).count() else first
+    apart = shared_table(placed.where(F.coalesce("a_component", "a") != F.coalesce("b_component", "b")).select("a", "b"), "apart")
+    return shared_table(first.unionAll(verified(apart, sets(apart))), "links") if apart.limit(1).count() else first
 
 
 def still_open(crowded: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
