@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_classifier, quality_rules, ranked_search, \
+from sparktrips.llm import decontaminate, jaccard_join, language_id, lm_scoring, minhash_dedup, packing, quality_classifier, quality_rules, ranked_search, \
     secret_scan, token_counts, url_filters, whitening
 from sparktrips.llm.common import read_table
 
@@ -55,6 +55,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -72,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_token_counts, op3_quality_classifier, op4_packing, op5_quality_rules, op6_lm_scoring,
-        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op12_ranked_search, op13_embedding_whitening, pipeline)}
+        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op11_minhash_dedup, op12_ranked_search, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
