@@ -41,8 +41,7 @@ def drop_null_block(df: DataFrame, columns: list[str] = NULL_BLOCK_COLUMNS) -> D
 def quantile_scalar(df: DataFrame, column: str, q: float, accuracy: int | None = None) -> Column:
     """Quantile as a scalar-subquery column.
 
-    Default: exact and linearly interpolated, from counts of distinct values
-    (``quantiles``). With ``accuracy``: ``percentile_approx`` (bounded sketch,
+    Default: exact and linearly interpolated, by selection (``quantiles``). With ``accuracy``: ``percentile_approx`` (bounded sketch,
     relative rank error 1/accuracy) for columns with unbounded distinct values.
     """
     if accuracy:

@@ -63,8 +63,7 @@ def latency_summary(lat: DataFrame, keys: list[str] = ("kind", "path")) -> DataF
     """L3: mean and P95 (linear interpolation) latency per group, and each
     group's mean relative to the fastest group's mean (null where that is 0; a
     window over the small grouped result)."""
-    counts = quantiles.value_counts(lat, F.col("latency_ms"), {k: F.col(k) for k in keys})
-    g = quantiles.statistics(counts, [0.95], list(keys))
+    g = quantiles.grouped_statistics(lat, F.col("latency_ms"), [0.95], {k: F.col(k) for k in keys})
     return g.select(*keys, F.col("count").cast("bigint").alias("calls"), F.round("mean", 6).alias("mean_ms"),
                     F.round(F.col("q")[0], 6).alias("p95_ms"),
                     F.round(F.try_divide(F.col("mean"), F.min("mean").over(Window.partitionBy())), 6).alias("ratio_to_fastest"))

@@ -5,7 +5,7 @@ Design rules used throughout:
 
 * one pass per study: several statistics for several columns are computed in
   a single ``agg`` (conditional aggregates instead of one job per column);
-* exact quantiles come from counts of distinct values (``quantiles``);
+* exact quantiles by selection (``quantiles``);
 * wide -> long with ``inline(array(struct...))`` on the one-row result, never
   on the input;
 * grouped statistics use ``groupBy`` (map-side partial aggregation, so a hot
@@ -16,7 +16,10 @@ Design rules used throughout:
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,7 @@ from pyspark.sql import types as T
 from sparktrips.config import CORRELATION_EXCLUDED, FARE_COMPONENTS, MONETARY_COLUMNS
 from sparktrips.functions.columns import row_sum_skip_null
 from sparktrips.operators import quantiles
+from sparktrips.session import ship_package
 
 DESCRIBE_PCTS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -79,14 +83,11 @@ def describe_many(df: DataFrame, items: list[tuple[str, Column]], pcts: list[flo
     """count, mean, std (sample), min, percentiles (exact, linear), max for each
     labelled expression; one output row per label.
 
-    Each row becomes one (item, value) entry per item, counted per distinct value
-    before the shuffle; everything follows from the counts. Conditional inputs
+    Exact quantiles by selection (``quantiles``). Conditional inputs
     (``when(cond, x)``) give per-stage statistics from the same pass, since null
     values are left out.
     """
-    entries = F.array(*[F.struct(F.lit(i).alias("ordinal"), x.cast("double").alias("x")) for i, (_, x) in enumerate(items)])
-    long = df.select(F.explode(entries).alias("e")).select("e.ordinal", "e.x")
-    found = quantiles.statistics(quantiles.value_counts(long, F.col("x"), {"ordinal": F.col("ordinal")}), pcts, ["ordinal"])
+    found = quantiles.statistics(df, [x for _, x in items], pcts)
     names = df.sparkSession.createDataFrame([(i, name) for i, (name, _) in enumerate(items)], f"ordinal int, {label} string")
     return names.join(found, "ordinal", "left").select(
         "ordinal", label, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), F.round("mean", 6).alias("mean"),
@@ -96,7 +97,7 @@ def describe_many(df: DataFrame, items: list[tuple[str, Column]], pcts: list[flo
 
 def iqr_bounds(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
     """Q1, Q3, IQR and the 1.5*IQR fences."""
-    q = quantiles.statistics(quantiles.value_counts(df, F.col(column)), [0.25, 0.75])
+    q = quantiles.statistics(df, [F.col(column)], [0.25, 0.75]).where("count > 0")
     return q.select(
         F.round(F.col("q")[0], 6).alias("q1"), F.round(F.col("q")[1], 6).alias("q3"),
         F.round(F.col("q")[1] - F.col("q")[0], 6).alias("iqr"),
@@ -169,12 +170,10 @@ def fare_discrepancies(df: DataFrame, tolerance: float = 0.01, n: int = 5, key:
 
 def discrepancy_rate(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Count and share of discrepant rows with a describe of the
-    difference, all from the counts of distinct differences."""
+    difference."""
     rows = fare_consistency(df)
-    counts = quantiles.value_counts(rows, F.col("total_amount_difference"))
-    far = F.coalesce(F.sum(F.when(F.abs(F.col("v")) > tolerance, F.col("n"))), F.lit(0))
-    discrepant, total = counts.agg(far).scalar(), rows.agg(F.count(F.lit(1))).scalar()
-    one = quantiles.statistics(counts, [0.25, 0.5, 0.75]).select("*", discrepant.alias("discrepant"), total.alias("rows"))
+    shares = rows.agg(F.struct(F.count_if(F.abs(F.col("total_amount_difference")) > tolerance).alias("discrepant"), F.count(F.lit(1)).alias("rows"))).scalar()
+    one = quantiles.statistics(rows, [F.col("total_amount_difference")], [0.25, 0.5, 0.75]).where("count > 0").select("*", shares.alias("s")).select("*", "s.*")
     return one.select(F.col("count").cast("bigint").alias("count"), F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
                       *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
                       "max", F.col("discrepant").cast("bigint").alias("discrepant"),
@@ -193,32 +192,64 @@ def numeric_columns(df: DataFrame, exclude: list[str] = CORRELATION_EXCLUDED,
     return cols
 
 
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Co-moments of two sets of rows from those of each: counts, means and sums of
+    centred products, all as matrices over pairs of columns."""
+    (n, x, y, xx, yy, xy), (m, u, v, uu, vv, uv) = a, b
+    total = n + m
+    share = np.divide(m, total, out=np.zeros_like(total), where=total > 0)
+    dx, dy = u - x, v - y
+    w = n * share
+    return total, x + dx * share, y + dy * share, xx + uu + dx * dx * w, yy + vv + dy * dy * w, xy + uv + dx * dy * w
+
+
+def _co_moments(values: np.ndarray) -> tuple:
+    """Of the rows of a matrix (NaN: missing), over the rows where both columns of a pair are there."""
+    there = ~np.isnan(values)
+    t = there.astype(float)
+    centre = np.divide(np.where(there, values, 0).sum(axis=0), t.sum(axis=0), out=np.zeros(values.shape[1]), where=t.sum(axis=0) > 0)
+    c = np.where(there, values - centre, 0.0)  # near the means, so that products lose no digits
+    n = t.T @ t
+    of = np.maximum(n, 1)
+    sx, sxx, sxy = c.T @ t, (c * c).T @ t, c.T @ c
+    mx, my = sx / of, sx.T / of
+    return n, mx + centre[:, None], my + centre[None, :], sxx - sx * mx, sxx.T - sx.T * my, sxy - sx * my
+
+
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pearson correlation per pair over rows where both are present.
 
-    Each row builds one array of its column values and expands into
-    ``len(pairs)`` (pair id, x, y) entries by index lookup, so the generated
-    code has constant size in the number of pairs (a wide struct array or a
-    single aggregate with hundreds of buffers produces methods too long for
-    the JIT). ``groupBy(pair)`` then runs covar_samp / stddev_samp with
-    map-side partial aggregation: at most len(pairs) groups.
+    A task adds its batches up to one block of co-moments, as matrix products: no row is
+    expanded. The blocks, one row per pair and task, are merged around the common means.
     """
     cols = list(dict.fromkeys([c for p in pairs for c in p]))
-    pos = {c: i + 1 for i, c in enumerate(cols)}
-    ia = F.array(*[F.lit(pos[a]) for a, _ in pairs])
-    ib = F.array(*[F.lit(pos[b]) for _, b in pairs])
-    vals = F.array(*[F.col(c).cast("double") for c in cols])
-    k = F.col("k")
-    long = (df.select(vals.alias("_v"), F.explode(F.sequence(F.lit(1), F.lit(len(pairs)))).alias("k"))
-              .select(k, F.element_at("_v", F.element_at(ia, k)).alias("x"),
-                      F.element_at("_v", F.element_at(ib, k)).alias("y"))
-              .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    g = long.groupBy("k").agg(F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"),
-                              F.stddev_samp("y").alias("sy"))
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    return g.select(F.element_at(names_a, k).alias("column_a"), F.element_at(names_b, k).alias("column_b"),
-                    F.round(F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")), 6).alias("corr"))
+    ia, ib = (np.array([cols.index(p[k]) for p in pairs]) for k in (0, 1))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+        for batch in batches:
+            if batch.num_rows:
+                values = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+                block = _co_moments(values) if block is None else _merged(block, _co_moments(values))
+        if block is not None:
+            columns = [pa.array(np.arange(len(pairs), dtype=np.int32)), *[pa.array(m[ia, ib]) for m in block]]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "n", "mx", "my", "xx", "yy", "xy"])
+
+    ship_package(df.sparkSession)
+    inputs = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = inputs.mapInArrow(add_up, "k int, n double, mx double, my double, xx double, yy double, xy double").where("n > 0")
+    whole = Window.partitionBy("k")  # a row per task
+    total = F.sum("n").over(whole)
+    placed = parts.select("*", *[(F.col(m) - F.sum(F.col("n") * F.col(m)).over(whole) / total).alias(f"d{m}") for m in ("mx", "my")])
+    moved = lambda c, a, b: F.sum(F.col(c) + F.col("n") * F.col(a) * F.col(b)).alias(c)
+    mean = lambda c: (F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c)
+    g = placed.groupBy("k").agg(F.sum("n").alias("n"), mean("mx"), mean("my"), moved("xx", "dmx", "dmx"), moved("yy", "dmy", "dmy"), moved("xy", "dmx", "dmy"))
+    names_a, names_b = (F.array(*[F.lit(p[k]) for p in pairs]) for k in (0, 1))
+    k = F.col("k") + 1
+    # a spread that is rounding of the mean is none
+    varies = lambda c, m: F.col(c) > F.col("n") * F.pow(F.col(m) * 1e-13, 2)
+    corr = F.when((F.col("n") > 1) & varies("xx", "mx") & varies("yy", "my"), F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))))
+    return g.select(F.element_at(names_a, k).alias("column_a"), F.element_at(names_b, k).alias("column_b"), F.round(corr, 6).alias("corr"))
 
 
 def corr_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -284,17 +315,22 @@ def box_stats(df: DataFrame, value: str, group: str | Column | None = None, grou
     """Quartiles, whiskers (furthest points inside the 1.5*IQR fences)
     and outlier counts, overall or per group.
 
-    One pass counts the rows per (group, value); quartiles, fences, whiskers and
-    outliers follow from the counts, so no row is joined with its group.
+    Whiskers and outliers of groups follow from the rows counted per (group, value), so no row
+    is joined with its group.
     """
     keys = {} if group is None else {group_name: F.col(group) if isinstance(group, str) else group}
-    rows = df.where(keys[group_name].isNotNull()) if keys else df
-    key = F.col(group_name) if keys else F.lit(0)
-    counts = quantiles.value_counts(rows, F.col(value), keys)
-    quartiles = quantiles.statistics(counts, [0.25, 0.5, 0.75], list(keys)).select(key.alias("_k"), "count", "q")
-    iqr = F.col("q")[2] - F.col("q")[0]
-    lo_f, hi_f, v = F.col("q")[0] - whisker * iqr, F.col("q")[2] + whisker * iqr, F.col("v")
-    agg = counts.withColumn("_k", key).join(quartiles, "_k").groupBy(*keys, "count", "q").agg(
+    pcts, low, high = [0.25, 0.5, 0.75], F.col("q")[0], F.col("q")[2]
+    iqr = high - low
+    lo_f, hi_f, v = low - whisker * iqr, high + whisker * iqr, F.col("v")
+    if keys:
+        rows = df.where(keys[group_name].isNotNull())
+        counts = quantiles.value_counts(rows, F.col(value), keys)
+        quartiles = quantiles.grouped_statistics(rows, F.col(value), pcts, keys).select(group_name, "count", "q")
+        placed = counts.join(quartiles, group_name)
+    else:
+        quartiles = quantiles.statistics(df, [F.col(value)], pcts).where("count > 0").select(F.struct("count", "q")).scalar()
+        placed = df.select(F.col(value).cast("double").alias("v"), F.lit(1).alias("n"), quartiles.alias("s")).select("v", "n", "s.*").where("v is not null")
+    agg = placed.groupBy(*keys, "count", "q").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"), F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
         F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), F.col("n"))), F.lit(0)).cast("bigint").alias("outliers"))
     return agg.select(*keys, F.col("count").cast("bigint").alias("count"),
@@ -307,12 +343,11 @@ def box_stats(df: DataFrame, value: str, group: str | Column | None = None, grou
 
 def _flag_counts(df: DataFrame, column: str, flags: dict[str, Column]) -> DataFrame:
     """Rows in all, rows per flag (a condition on ``v`` and ``quantile``, the 99th
-    percentile) and that percentile, from the counts of distinct values."""
-    counted = quantiles.with_quantile(quantiles.value_counts(df, F.col(column)), 0.99)
-    total = df.agg(F.count(F.lit(1)).cast("bigint")).scalar()
-    rows = counted.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("bigint").alias(k) for k, c in flags.items()],
-                       F.round(F.max("quantile"), 6).alias("p99"))
-    return rows.select(total.alias("rows"), *flags, "p99")
+    percentile) and that percentile, in one pass after the percentile."""
+    p99 = quantiles.quantile(df, F.col(column), 0.99).scalar()
+    rows = df.select(F.col(column).alias("v"), p99.alias("quantile"))
+    return rows.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), *[F.count_if(c).cast("bigint").alias(k) for k, c in flags.items()],
+                    F.round(F.max("quantile"), 6).alias("p99"))
 
 
 def duration_flags(df: DataFrame, column: str = "trip_duration") -> DataFrame:

@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -76,6 +77,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that their Python
+    workers can import it wherever they were started. Local workers find it by path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED or sc.master.startswith("local"):
+        return
+    root = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="sparktrips-package-")  # the driver serves the archive from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{folder}/sparktrips", "zip", root.parent, root.name))
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
