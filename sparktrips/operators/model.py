@@ -19,11 +19,12 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, MODEL_TYPES, ORDERED_FEATURE_NAMES, TripSettings
+from sparktrips.operators.forest import ForestRegressor
 from sparktrips.operators.features import FLAG, FLAG_ENC, assembler, encode_features, encode_flag_column, feature_columns
 
 LABEL = "trip_duration"
@@ -37,11 +38,9 @@ def create_model(model_type: str = "random_forest", s: TripSettings = DEFAULT_SE
         return LinearRegression(featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION,
                                 regParam=0.0, elasticNetParam=0.0, **kw)
     if model_type == "random_forest":
-        params = dict(numTrees=s.n_estimators, maxDepth=s.max_depth, maxBins=s.max_bins,
-                      featureSubsetStrategy="all", subsamplingRate=1.0, bootstrap=True,
-                      minInstancesPerNode=1, seed=s.random_state)
+        params = dict(numTrees=s.n_estimators, maxDepth=s.max_depth, maxBins=s.max_bins, minInstancesPerNode=1, bootstrap=True, seed=s.random_state)
         params.update(kw)
-        return RandomForestRegressor(featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, **params)
+        return ForestRegressor(featureCols=[_input(n) for n in s.feature_names], labelCol=LABEL, predictionCol=PREDICTION, keyCol=s.key_col, **params)
     raise ValueError(f"Unsupported model_type '{model_type}'. Expected one of: {', '.join(MODEL_TYPES)}")
 
 
@@ -50,10 +49,10 @@ def _input(name: str) -> str:
 
 
 def build_pipeline(estimator, names: list[str] = ORDERED_FEATURE_NAMES) -> Pipeline:
-    """F2: missing values as 0.0, feature vector, estimator."""
+    """F2: missing values as 0.0, estimator; a Spark ML estimator gets the features as one vector."""
     filled = ", ".join(f"coalesce(cast(`{n}` as double), 0.0D) as `{_input(n)}`" for n in names)
-    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-                            assembler([_input(n) for n in names]), estimator])
+    vector = [] if isinstance(estimator, ForestRegressor) else [assembler([_input(n) for n in names])]
+    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"), *vector, estimator])
 
 
 def _predicted(model: PipelineModel, df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
@@ -79,14 +78,16 @@ def training_frame(df: DataFrame, key: str = "trip_id", names: list[str] = ORDER
 
 def train_pipeline(train: DataFrame, estimator=None, s: TripSettings = DEFAULT_SETTINGS,
                    key: str = "trip_id") -> PipelineModel:
-    """default estimator is the forest; rows canonicalised before the fit.
+    """default estimator is the forest, which does not depend on the order of rows.
 
-    Estimators make several passes over their input (summary statistics, then
-    the solver / split search), so the training rows are persisted (memory,
-    spilling to disk) for the fit and released afterwards.
+    Spark ML estimators do, and make several passes over their input (summary
+    statistics, then the solver), so the training rows are canonicalised and
+    persisted (memory, spilling to disk) for the fit and released afterwards.
     """
     from pyspark import StorageLevel
     est = estimator if estimator is not None else create_model("random_forest", s)
+    if isinstance(est, ForestRegressor):
+        return build_pipeline(est, s.feature_names).fit(train)
     rows = train.persist(StorageLevel.MEMORY_AND_DISK)
     data = canonical(rows, key, fit_partitions(rows.count(), s)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
