@@ -11,14 +11,22 @@ Tables and records are two shapes of the same data:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sparktrips.config import EXCLUDED_COLUMNS, ORDERED_FEATURE_NAMES, RECORD_NUMERIC_KEYS
 from sparktrips.functions.columns import encode_flag, encode_flag_string
+from sparktrips.operators.split import global_rank
 from sparktrips.operators.validate import ERRORS, number_of
+from sparktrips.session import scratch_path, ship_package
 
 FLAG = "store_and_fwd_flag"
 FLAG_ENC = "store_and_fwd_flag_encoded"
@@ -167,14 +175,23 @@ def vocabulary_frame(df: DataFrame, numeric: list[str], categorical: list[str])
     return tokens.unionByName(names)
 
 
+def vocabulary_index(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """The vocabulary as a written table ``(name, index)``: names in sorted order, dense
+    from 0. The names are sorted by range and numbered from the partitions' offsets, so
+    there may be any number of them."""
+    path = scratch_path(df.sparkSession, "vocabulary")
+    ranked = global_rank(vocabulary_frame(df, numeric, categorical), ["name"], "index")
+    ranked.select("name", F.col("index").cast("bigint").alias("index")).write.parquet(path)
+    return df.sparkSession.read.schema("name string, index bigint").parquet(path)
+
+
 def fit_vocabulary(df: DataFrame, numeric: list[str], categorical: list[str], most: int | None = 1 << 20) -> list[str]:
-    """Sorted feature names seen in ``df``. The vocabulary is a parameter of the
-    model, so the driver holds it; more than ``most`` names are refused (a column
-    of free text is no category), before any of them are brought to the driver."""
+    """Sorted feature names seen in ``df``, brought to the driver; more than ``most``
+    are refused before any are (``fit_dict_vectorizer`` takes any number)."""
     names = vocabulary_frame(df, numeric, categorical).persist()
     try:
         if most is not None and (n := names.count()) > most:
-            raise ValueError(f"{n} feature names; at most {most} make a vocabulary")
+            raise ValueError(f"{n} feature names; at most {most} make a vocabulary on the driver")
         return sorted(r["name"] for r in names.collect())
     finally:
         names.unpersist()
@@ -206,8 +223,56 @@ class DictVectorizerModel:
         return self.pipeline.transform(d).drop("_tokens", "_cat", "_raw")
 
 
-def fit_dict_vectorizer(df: DataFrame, numeric: list[str], categorical: list[str]) -> DictVectorizerModel:
-    return DictVectorizerModel(fit_vocabulary(df, numeric, categorical), numeric, categorical)
+class DictVectorizerTable:
+    """Vectorises records with a vocabulary of any size, a table ``(name, index)``: tokens
+    meet their indices in a join (a frequent token is split over tasks), come back per
+    record by its unique ``key``, and become one sparse vector. The driver learns only
+    how many names there are and the indices of the numeric columns."""
+
+    def __init__(self, vocabulary: DataFrame, numeric: list[str], categorical: list[str], key: str, output: str = "features"):
+        self.vocabulary, self.categorical, self.key, self.output = vocabulary, list(categorical), key, output
+        self.size = vocabulary.count()
+        if self.size >= 1 << 31:
+            raise ValueError(f"{self.size} feature names; a vector has fewer than 2^31 entries")
+        found = vocabulary.where(F.col("name").isin(list(numeric))).collect() if numeric else []
+        self.numeric = {r["name"]: r["index"] for r in found}
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
+        tokens = record_tokens(df, self.categorical).select(self.key, F.explode("_tokens").alias("name"))
+        met = tokens.join(self.vocabulary, "name").groupBy(self.key).agg(
+            F.collect_list(F.struct(F.col("index").cast("int").alias("index"), F.lit(1.0).alias("value"))).alias("_met"))  # one per categorical column at most
+        entry = "array<struct<index:int,value:double>>"
+        numbers = F.array(*[F.struct(F.lit(i).cast("int").alias("index"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"))
+                            for n, i in self.numeric.items()]).cast(entry)
+        nonzero = F.filter(numbers, lambda e: e["value"] != 0)
+        entries = F.sort_array(F.concat(nonzero, F.coalesce(F.col("_met"), F.array().cast(entry))))
+        kept = [c for c in df.columns if c != self.output]
+        rows = df.join(met, self.key, "left").select(*kept, entries.alias("_e")).select(
+            *kept, F.col("_e.index").alias("_indices"), F.col("_e.value").alias("_values"))
+        schema = StructType([*df.select(*kept).schema.fields, StructField(self.output, VectorUDT())])
+        size, names = self.size, [*kept, self.output]
+
+        def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.num_rows
+                parts = [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), batch.column("_indices"), batch.column("_values")]
+                vector = pa.StructArray.from_arrays(parts, names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], vector], names)
+
+        return rows.mapInArrow(assemble, schema)
+
+
+def fit_dict_vectorizer(df: DataFrame, numeric: list[str], categorical: list[str], key: str | None = None,
+                        most: int = 1 << 20) -> DictVectorizerModel | DictVectorizerTable:
+    """A vectorizer for the names in ``df``. Up to ``most`` names are a parameter of the model;
+    more stay in a table, and the records need a unique ``key``. The vectors are the same."""
+    index = vocabulary_index(df, numeric, categorical)
+    if index.count() <= most:
+        return DictVectorizerModel([r["name"] for r in index.orderBy("index").collect()], numeric, categorical)
+    if key is None:
+        raise ValueError(f"more than {most} feature names: name the records' key column")
+    return DictVectorizerTable(index, numeric, categorical, key)
 
 
 def vectorize_long(df: DataFrame, key: str, numeric: list[str], categorical: list[str],

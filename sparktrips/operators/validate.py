@@ -10,7 +10,7 @@ per task rather than one oversized task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparktrips.config import (BATCH_MAX_TRIPS, BATCH_MIN_TRIPS, FLAG_PATTERN, MSG_GE, MSG_GT, MSG_LIST_MAX,
@@ -287,16 +287,31 @@ def correlation_id(request_col: str | None, payload: str = "payload", pos: str |
 TRIPS = "trips"
 
 
+def numbered_lines(spark, path: str, value: str = "payload") -> DataFrame:
+    """Lines of text files with ``source_file`` and ``position``, the line's number in
+    its file, from 0, the same however the files are split.
+
+    A split's lines are consecutive in one task, so a line's place in its split is its
+    row id less the split's first one; the lines of the splits before it come from one
+    count per split. Lines are joined with that small table, not shuffled in order."""
+    lines = spark.read.text(path).select(
+        F.col("value").alias(value), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_begin"), F.monotonically_increasing_id().alias("_row"))
+    splits = lines.groupBy("_path", "_begin").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_begin")) - F.col("_n")  # a row per split of the file
+    starts = splits.select("_path", "_begin", (before - F.col("_first")).alias("_shift"))
+    return lines.join(starts, ["_path", "_begin"]).select(value, "source_file", (F.col("_row") + F.col("_shift")).alias("position"))
+
+
 def read_trip_requests(spark, path: str, batch: bool = False) -> DataFrame:
     """JSON-lines requests. One trip object per line, or (``batch``) one
     ``{"trips": [...]}`` object per line, exploded with its position kept; the
     field names of batch errors become ``trips.<i>.<field>``.
 
-    ``request_id`` is derived from file, position and body (one for all trips of
-    a line). A body without trips is one row with a null ``trip_index``."""
-    lines = spark.read.text(path).withColumnRenamed("value", "payload")
-    lines = lines.select("payload", F.col("_metadata.file_name").alias("source_file"),
-                         F.monotonically_increasing_id().alias("position"))
+    ``request_id`` is derived from file, position (the line's number) and body, one for
+    all trips of a line, and does not depend on how files are split. A body
+    without trips is one row with a null ``trip_index``."""
+    lines = numbered_lines(spark, path)
     lines = lines.withColumn("request_id", correlation_id(None, "payload", "position", "source_file"))
     if not batch:
         return lines

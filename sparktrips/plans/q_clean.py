@@ -8,7 +8,9 @@ from sparktrips.functions.columns import day_name, day_of_week, pickup_hour
 from sparktrips.operators import clean
 from sparktrips.plans.catalog import register
 from sparktrips.plans.sqlviews import DURATION_SQL, with_clean, with_trips
+from sparktrips.session import scratch_path
 from sparktrips.sources import views
+from sparktrips.sources.tables import load_trips as load_files
 
 
 @register("load_trips", with_trips("select * from trips"))
@@ -16,6 +18,14 @@ def load_trips(spark, sf_dir):
     return views.trips(spark, sf_dir)
 
 
+@register("load_trip_files", with_trips("select * from trips"))
+def load_trip_files(spark, sf_dir):
+    """S1 through the reader: the trips written as files and loaded again."""
+    path = scratch_path(spark, "trip-files")
+    views.trips(spark, sf_dir).write.parquet(path)
+    return load_files(spark, path)
+
+
 @register("trip_duration", with_trips(f"select trip_id, {DURATION_SQL} as trip_duration from trips"))
 def trip_duration(spark, sf_dir):
     return clean.with_trip_duration(views.trips(spark, sf_dir)).select("trip_id", "trip_duration")

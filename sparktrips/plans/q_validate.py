@@ -9,6 +9,7 @@ from sparktrips.config import (FLAG_PATTERN, MSG_GE, MSG_GT, MSG_LT, MSG_NUMBER,
 from sparktrips.operators import validate as V
 from sparktrips.plans.catalog import register
 from sparktrips.plans.sqlviews import with_requests
+from sparktrips.session import scratch_path
 from sparktrips.sources import views
 
 KEYS = ["request_id", "pos", "l_partkey", "l_suppkey"]
@@ -102,6 +103,20 @@ def read_trip_requests(spark, sf_dir):
     return d.select(*KEYS, F.col("_is_object").alias("is_object"), *[part(n) for n, *_ in REQUEST_FIELDS])
 
 
+@register("read_request_files", with_requests(f"""
+select payload, {_IS_OBJ} as is_object, {", ".join(_field_value_sql(n, d, False) for n, d, *_ in REQUEST_FIELDS)}, count(*) over () as requests
+from requests"""))
+def read_request_files(spark, sf_dir):
+    """S2 through the reader: the records written as JSON lines, read again and parsed;
+    every line has an id of its own."""
+    path = scratch_path(spark, "request-files")
+    _requests(spark, sf_dir).select("payload").write.text(path)
+    lines = V.read_trip_requests(spark, path)
+    ids = lines.agg(F.countDistinct("request_id")).scalar()
+    part = lambda n: F.col(V._parts_col(n))["txt" if n == "store_and_fwd_flag" else "num"].alias(n)
+    return V.with_field_parts(lines).select("payload", F.col("_is_object").alias("is_object"), *[part(n) for n, *_ in REQUEST_FIELDS], ids.alias("requests"))
+
+
 @register("validate_ranges", with_requests(f"""
 select {_K}, n_errors = 0 as accepted, n_errors from validated""", _VALIDATED_CTE))
 def validate_ranges(spark, sf_dir):
