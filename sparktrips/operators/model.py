@@ -1,9 +1,9 @@
 """Models: build, fit, evaluate, score, persist and verify trip-duration
 regressors with Spark ML.
 
-* The fitted object is a ``PipelineModel`` [SQLTransformer (missing -> 0.0),
-  VectorAssembler (fixed order), regressor], so a loaded model treats missing
-  values like the one that was fitted.
+* The fitted object is a ``PipelineModel`` [RecordFeatures (raw trips or JSON records ->
+  inputs, missing -> 0.0), VectorAssembler (fixed order; not for the forest),
+  regressor], so a loaded model treats raw data like the one that was fitted.
 * A fit depends on row order and partitioning, so training rows are
   canonicalised first (partition count by the row count, hash of a unique key,
   sorted within partitions): the same data and seed give the same model.
@@ -18,14 +18,16 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, MODEL_TYPES, ORDERED_FEATURE_NAMES, TripSettings
+from sparktrips.operators.epochs import append_version, read_versions
 from sparktrips.operators.forest import ForestRegressor
-from sparktrips.operators.features import FLAG, FLAG_ENC, assembler, encode_features, encode_flag_column, feature_columns
+from sparktrips.operators.features import FLAG, FLAG_ENC, assembler, encode_features, feature_columns
+from sparktrips.operators.stages import RecordFeatures
+from sparktrips.operators.validate import numbered_lines
 
 LABEL = "trip_duration"
 PREDICTION = "prediction"
@@ -49,10 +51,10 @@ def _input(name: str) -> str:
 
 
 def build_pipeline(estimator, names: list[str] = ORDERED_FEATURE_NAMES) -> Pipeline:
-    """F2: missing values as 0.0, estimator; a Spark ML estimator gets the features as one vector."""
-    filled = ", ".join(f"coalesce(cast(`{n}` as double), 0.0D) as `{_input(n)}`" for n in names)
+    """F2: raw trips or JSON records to inputs (missing values as 0.0), estimator; a Spark ML
+    estimator gets the inputs as one vector."""
     vector = [] if isinstance(estimator, ForestRegressor) else [assembler([_input(n) for n in names])]
-    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"), *vector, estimator])
+    return Pipeline(stages=[RecordFeatures(featureCols=list(names), prefix=_input("")), *vector, estimator])
 
 
 def _predicted(model: PipelineModel, df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
@@ -113,14 +115,13 @@ def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PR
 
 
 def score(model: PipelineModel, df: DataFrame, names: list[str] = ORDERED_FEATURE_NAMES) -> DataFrame:
-    """predictions for a trip table or normalised records (order kept by keys).
-    A raw trip table's flag is encoded first; a frame without any of the features
-    is refused."""
-    if FLAG in df.columns and FLAG_ENC not in df.columns:
-        df = encode_flag_column(df)
-    if not any(n in df.columns for n in names):
+    """predictions for a trip table, for JSON records (``payload``; unusable ones are left
+    out) or for normalised records (order kept by keys). A frame without any of the
+    features is refused."""
+    known = [*names, *([FLAG] if FLAG_ENC in names else []), "payload"]
+    if not any(n in df.columns for n in known):
         raise ValueError(f"none of the features {', '.join(names)} is a column")
-    return _predicted(model, feature_columns(df, names), names)
+    return _predicted(model, df, names)
 
 
 def score_one(model: PipelineModel, spark: SparkSession, record: dict) -> float:
@@ -195,21 +196,52 @@ def load_model(path: str) -> PipelineModel:
         raise
 
 
+#: Files up to this size are hashed whole, as one value; longer ones as a tree.
+WHOLE_FILE_BYTES = 1 << 28
+#: Lines whose digests make one node of a tree.
+TREE_LINES = 1 << 14
+
+
+def tree_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, length, sha256)`` of files of any size, read in parts: a file is cut at its
+    line feeds, each piece is hashed where it is read, and the pieces' digests are hashed in
+    order, ``TREE_LINES`` at a time, until one is left. The length goes into it, so a
+    line feed at the end counts. The digest does not depend on how the file is split."""
+    lines = numbered_lines(spark, paths, "piece", separator="\n", columns={"path": "_metadata.file_path", "length": "_metadata.file_size"})
+    level = lines.select("path", "length", "position", F.sha2(F.col("piece").cast("binary"), 256).alias("digest"))
+    longest = lines.agg(F.max("position")).first()[0] or 0  # one number
+    while True:
+        group = F.floor(F.col("position") / TREE_LINES)
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("position", "digest"))), lambda x: x["digest"])  # TREE_LINES at most
+        level = level.groupBy("path", "length", group.alias("position")).agg(F.sha2(F.concat_ws(",", F.lit("node"), ordered), 256).alias("digest"))
+        longest //= TREE_LINES
+        if not longest:
+            break
+    return level.select("path", "length", F.sha2(F.concat_ws(":", F.lit("tree"), F.col("length").cast("string"), "digest"), 256).alias("sha256"))
+
+
 def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file of a saved model, by path below ``path`` (whatever
-    the file system or location). Files are hashed in parallel by the executors
-    (``binaryFile``); the file list of a model is small. One row that says so
-    where there is nothing at that path."""
+    """SHA-256 of every file of a saved model, by path below ``path`` (whatever the file system or
+    location). Files are hashed in parallel by the executors, those of more than
+    ``WHOLE_FILE_BYTES`` as a tree over their parts (``tree_digests``), so no file must fit
+    into one value; the file list of a model is small. One row that says so where
+    there is nothing at that path."""
     try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-                 .select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256")))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([("artifact-not-found", None, None, "artifact-not-found")],
                                      "relative_path string, length bigint, modificationTime timestamp, sha256 string")
+    # the length is pushed down, so longer files are not read here
+    out = files.where(F.col("length") <= WHOLE_FILE_BYTES).select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
+    long = files.where(F.col("length") > WHOLE_FILE_BYTES).select("path", "modificationTime")
+    if names := [r["path"] for r in long.collect()]:
+        plain = lambda c: F.regexp_replace(c, "^[a-zA-Z0-9+.-]+:/*", "/")  # noqa: E731  (one reader writes file:/x, the other file:///x)
+        trees = tree_digests(spark, names).withColumn("_plain", plain("path")).drop("path")
+        out = out.unionByName(long.withColumn("_plain", plain("path")).join(trees, "_plain").select("path", "length", "modificationTime", "sha256"))
     below = F.substring_index("path", path.rstrip("/").split("://")[-1].strip("/") + "/", -1)
-    return files.select(below.alias("relative_path"), "length", "modificationTime", "sha256")
+    return out.select(below.alias("relative_path"), "length", "modificationTime", "sha256")
 
 
 def artifact_digest(manifest: DataFrame, data_only: bool = False) -> DataFrame:
@@ -243,6 +275,7 @@ def model_registry_row(spark: SparkSession, path: str, s: TripSettings = DEFAULT
 
 
 def append_registry(row: DataFrame, path: str) -> DataFrame:
-    """Appends the row to the registry table and returns the table."""
-    row.write.mode("append").parquet(path)
-    return row.sparkSession.read.parquet(path)
+    """Adds the row to the registry as its next version and returns the table, with
+    ``version_number``. Of two writers at once each gets a number of its own."""
+    append_version(row, path)
+    return read_versions(row.sparkSession, path)

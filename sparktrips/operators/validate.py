@@ -287,20 +287,23 @@ def correlation_id(request_col: str | None, payload: str = "payload", pos: str |
 TRIPS = "trips"
 
 
-def numbered_lines(spark, path: str, value: str = "payload") -> DataFrame:
-    """Lines of text files with ``source_file`` and ``position``, the line's number in
-    its file, from 0, the same however the files are split.
+def numbered_lines(spark, path: str | list[str], value: str = "payload", separator: str | None = None,
+                   columns: dict[str, str] | None = None) -> DataFrame:
+    """Lines of text files with ``position``, the line's number in its file, from 0, the
+    same however the files are split, and ``columns`` of the files' metadata.
 
     A split's lines are consecutive in one task, so a line's place in its split is its
     row id less the split's first one; the lines of the splits before it come from one
     count per split. Lines are joined with that small table, not shuffled in order."""
-    lines = spark.read.text(path).select(
-        F.col("value").alias(value), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("_path"),
+    columns = {"source_file": "_metadata.file_name"} if columns is None else columns
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    lines = reader.text(path).select(
+        F.col("value").alias(value), *[F.col(c).alias(n) for n, c in columns.items()], F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_begin"), F.monotonically_increasing_id().alias("_row"))
     splits = lines.groupBy("_path", "_begin").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_begin")) - F.col("_n")  # a row per split of the file
     starts = splits.select("_path", "_begin", (before - F.col("_first")).alias("_shift"))
-    return lines.join(starts, ["_path", "_begin"]).select(value, "source_file", (F.col("_row") + F.col("_shift")).alias("position"))
+    return lines.join(starts, ["_path", "_begin"]).select(value, *columns, (F.col("_row") + F.col("_shift")).alias("position"))
 
 
 def read_trip_requests(spark, path: str, batch: bool = False) -> DataFrame:
@@ -354,11 +357,22 @@ def batch_verdicts(validated: DataFrame) -> DataFrame:
     return g.withColumn("accepted", F.col("size_ok") & (F.col("n_bad") == 0))
 
 
-def batch_responses(scored: DataFrame, model_version: str) -> DataFrame:
+def with_latency(scored: DataFrame, received: str) -> DataFrame:
+    """Adds ``latency_ms``, from the time in ``received`` to the scoring, and drops that column."""
+    ms = lambda t: F.unix_micros(t.cast("timestamp")) / 1000.0
+    taken = F.greatest(F.lit(0.0), F.round(ms(F.current_timestamp()) - ms(F.col(received)), 3))
+    return scored.withColumn("latency_ms", taken).drop(received)
+
+
+def batch_responses(scored: DataFrame, model_version: str, received: str | None = None) -> DataFrame:
     """S3: per accepted request its predictions in the order of its trips, their
-    ``count``, the model's version and the correlation id. A request has at most
-    ``BATCH_MAX_TRIPS`` trips, so its list is bounded."""
+    ``count``, the model's version and the correlation id; with ``received`` (when its rows
+    arrived) also ``latency_ms``. A request has at most ``BATCH_MAX_TRIPS`` trips, so its
+    list is bounded."""
     ordered = F.sort_array(F.collect_list(F.struct("trip_index", "prediction")))
+    arrival = [F.min(received).alias("_received")] if received else []
     g = scored.groupBy("request_id").agg(F.transform(ordered, lambda x: x["prediction"]).alias("predictions"),
-                                         F.count(F.lit(1)).cast("bigint").alias("count"))
-    return g.select("predictions", "count", F.lit(model_version).alias("model_version"), F.col("request_id").alias("correlation_id"))
+                                         F.count(F.lit(1)).cast("bigint").alias("count"), *arrival)
+    out = g.select("predictions", "count", F.lit(model_version).alias("model_version"), F.col("request_id").alias("correlation_id"),
+                   *(["_received"] if received else []))
+    return with_latency(out, "_received") if received else out

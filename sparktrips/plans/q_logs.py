@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparktrips.operators import logs
+from sparktrips.operators.epochs import read_epochs
 from sparktrips.plans.catalog import register
 from sparktrips.plans.q_validate import _K, _VALIDATED_CTE, _num as _number_sql
 from sparktrips.plans.sqlviews import with_log, with_requests
@@ -97,7 +98,29 @@ def latency_windows(spark, sf_dir):
 @register("stream_latency_windows", _WINDOWS_SQL)
 def stream_latency_windows(spark, sf_dir):
     """The same windows from a Structured Streaming query with a watermark."""
-    return jobs.stream_latency_windows(spark, sf_dir)
+    return jobs.stream_latency_windows(spark, sf_dir).drop("p95_ms", "late")
+
+
+@register("stream_latency_p95", with_log("""
+select date_trunc('hour', ts) as window_start, count(*) as calls, true as within_rank_error
+from lat where latency_ms is not null group by 1""", _PARSED_CTE + ",\n" + _LAT_CTE))
+def stream_latency_p95(spark, sf_dir):
+    """Each window's streamed P95 has a rank of 95 % of the window's lines, but for the sketch's error."""
+    windows = jobs.stream_latency_windows(spark, sf_dir).select("window_start", "calls", "p95_ms")
+    lines = _lat(spark, sf_dir).where("latency_ms is not null").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start"), "latency_ms")
+    ranks = lines.join(windows, "window_start").groupBy("window_start", "calls").agg(
+        F.count_if(F.col("latency_ms") < F.col("p95_ms")).alias("below"), F.count_if(F.col("latency_ms") <= F.col("p95_ms")).alias("upto"))
+    slack = jobs.P95_RANK_ERROR * F.col("calls") + 1
+    within = (F.col("below") <= 0.95 * F.col("calls") + slack) & (F.col("upto") >= 0.95 * F.col("calls") - slack)
+    return ranks.select("window_start", "calls", within.alias("within_rank_error"))
+
+
+@register("stream_late_lines", with_log("""
+select date_trunc('hour', ts) as window_start, count(*) as lines from lat where latency_ms is not null group by 1""", _PARSED_CTE + ",\n" + _LAT_CTE))
+def stream_late_lines(spark, sf_dir):
+    """L5 on lines that come out of order: those kept and those counted as late are all."""
+    found = jobs.stream_out_of_order(spark, sf_dir)
+    return found.select("window_start", (F.col("calls") + F.col("late")).alias("lines"))
 
 
 _SCORED = ["request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", "prediction", "out_of_training_range"]
@@ -110,15 +133,27 @@ def stream_score(spark, sf_dir):
     from sparktrips.plans.q_model import _fit
     fitted = _fit(spark, sf_dir, "linear_regression")
     scorer = lambda df: fitted.transform(df).drop("features")
-    return spark.read.parquet(jobs.stream_score(spark, sf_dir, scorer)["predictions"]).select(*_SCORED)
+    return read_epochs(spark, jobs.stream_score(spark, sf_dir, scorer)["root"], "predictions").select(*_SCORED)
 
 
-@register("stream_score_known_weights", with_requests(f"""
+_WHOLE_SQL = with_requests(f"""
 , judged as (select *, coalesce(request_id, sha256(concat_ws('|', cast(pos as varchar), payload))) as correlation_id from validated),
 whole as (select correlation_id from judged group by 1 having count(*) filter (where n_errors > 0) = 0 and count(*) between 1 and 1000)
 select {_K}, correlation_id, 3.0 * d + 5.0 as prediction, d > 100 as out_of_training_range
-from (select *, {_number_sql('trip_distance')} as d from judged where correlation_id in (select correlation_id from whole)) t""", _VALIDATED_CTE))
+from (select *, {_number_sql('trip_distance')} as d from judged where correlation_id in (select correlation_id from whole)) t""", _VALIDATED_CTE)
+
+
+def _known_weights(df):
+    return df.withColumn("prediction", F.lit(3.0) * F.col("trip_distance") + F.lit(5.0))
+
+
+@register("stream_score_known_weights", _WHOLE_SQL)
 def stream_score_known_weights(spark, sf_dir):
     """T1 with the weights of ``score_linear_sql``: whole requests only."""
-    scorer = lambda df: df.withColumn("prediction", F.lit(3.0) * F.col("trip_distance") + F.lit(5.0))
-    return spark.read.parquet(jobs.stream_score(spark, sf_dir, scorer)["predictions"]).select(*_SCORED)
+    return read_epochs(spark, jobs.stream_score(spark, sf_dir, _known_weights)["root"], "predictions").select(*_SCORED)
+
+
+@register("stream_score_parts", _WHOLE_SQL)
+def stream_score_parts(spark, sf_dir):
+    """T1 where the trips of a request come in several micro-batches: the same result."""
+    return read_epochs(spark, jobs.stream_score_parts(spark, views.requests(spark, sf_dir), _known_weights)["root"], "predictions").select(*_SCORED)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparktrips.config import DEFAULT_SETTINGS, ORDERED_FEATURE_NAMES, REQUEST_FIELDS
 from sparktrips.operators import clean, model, split, validate as V
+from sparktrips.operators.epochs import read_epochs, write_epoch
 from sparktrips.plans.catalog import register
 from sparktrips.plans.q_features import _HASH_SPLIT_SQL
 from sparktrips.plans.q_validate import KEYS, _K, _VALIDATED_CTE, _field_value_sql
@@ -98,9 +99,9 @@ def score_sink(spark, sf_dir):
                                V.correlation_id("request_id").alias("correlation_id")])
 
 
-def write_scores(scored, path: str, mode: str = "append"):
-    """S3 sink: parquet partitioned by model version."""
-    scored.write.mode(mode).partitionBy("model_version").parquet(path)
+def write_scores(scored, path: str, epoch: int) -> None:
+    """S3 sink: the scores of an epoch, replaced as a whole when it is written again."""
+    write_epoch(scored.sparkSession, path, epoch, {"scores": scored})
 
 
 # --------------------------------------------------------- Spark ML models
@@ -205,6 +206,29 @@ def load_model(spark, sf_dir):
     return model.score(m, _part(spark, sf_dir, "val")).select("trip_id", "prediction")
 
 
+@register("default_forest_parity", _VAL_ROWS)
+def default_forest_parity(spark, sf_dir):
+    """The default forest as the training job fitted it and as it is reloaded."""
+    path, _, fitted = _trained(spark, sf_dir)
+    return model.parity(_part(spark, sf_dir, "val"), fitted, model.load_model(path))
+
+
+@register("default_forest_facts", with_clean(f"""
+select count(*) as train_rows, 100 as trees, true as every_weight_near_the_rows, true as deep, true as children_add_up from cleaned where {_HASH_SPLIT_SQL} = 'train'"""))
+def default_forest_facts(spark, sf_dir):
+    """what the nodes of the default forest must satisfy: 100 trees whose bags weigh about
+    as much as the training rows, nodes beyond the depth of a light forest, and
+    children that weigh as much as their parent."""
+    nodes = _trained(spark, sf_dir)[2].stages[-1].nodes
+    rows = _part(spark, sf_dir, "train").count()
+    roots = nodes.where("node = 1").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("weight") - rows)).alias("off")).first()
+    depth = nodes.agg(F.max(F.floor(F.log2("node")))).first()[0]
+    below = nodes.where("node > 1").groupBy("tree", F.expr("node div 2").alias("node")).agg(F.sum("weight").alias("children"), F.count(F.lit(1)).alias("n"))
+    odd = nodes.where("feature >= 0").join(below, ["tree", "node"], "left").where("n is null or n <> 2 or children <> weight").count()
+    row = rows, roots["n"], roots["off"] < 6 * rows ** 0.5, depth > 8, odd == 0
+    return spark.createDataFrame([row], "train_rows bigint, trees int, every_weight_near_the_rows boolean, deep boolean, children_add_up boolean")
+
+
 @register("reload_parity", _VAL_ROWS)
 def reload_parity(spark, sf_dir):
     """in-memory vs reloaded model on the validation rows; max |diff|."""
@@ -227,6 +251,40 @@ def artifact_manifest(spark, sf_dir):
     return model.artifact_manifest(spark, _saved(spark, sf_dir))
 
 
+@register("score_sink_written", with_requests(f"""
+select count(*) as rows, count(*) as with_latency, count(distinct correlation_id) as ids
+from (select coalesce(request_id, sha256(concat_ws('|', cast(pos as varchar), payload))) as correlation_id from validated where n_errors = 0) t""", _VALIDATED_CTE))
+def score_sink_written(spark, sf_dir):
+    """S3: the responses of ``score_sink`` with their latency, written twice as one epoch and read: no row twice."""
+    path = scratch_path(spark, "scores")
+    for _ in range(2):
+        write_scores(V.with_latency(score_sink(spark, sf_dir).withColumn("received_at", F.current_timestamp()), "received_at"), path, 0)
+    rows = read_epochs(spark, path, "scores")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("latency_ms") >= 0).alias("with_latency"), F.countDistinct("correlation_id").alias("ids"))
+
+
+@register("saved_model_facts", "select true as has_files, true as digests_equal, true as one_version_each, 9 as coefficients, true as one_is_batch")
+def saved_model_facts(spark, sf_dir):
+    """S4, S6, S7, D4, F9, F11 as equalities: two saves of one model have the same data
+    digest; two registrations are versions 1 and 2; a record scored alone gets the
+    prediction that it gets in a batch."""
+    m = _fit(spark, sf_dir, "linear_regression")
+    paths = [model.save_model(m, scratch_path(spark, "facts")) for _ in range(2)]
+    files = [model.artifact_manifest(spark, p) for p in paths]
+    digests = {model.artifact_digest(f, data_only=True).first()["artifact_hash"] for f in files}
+    registry = scratch_path(spark, "facts-registry")
+    for p in paths:
+        rows = model.append_registry(model.model_registry_row(spark, p, DEFAULT_SETTINGS.with_(model_type="linear_regression")), registry)
+    versions = sorted(r["version_number"] for r in rows.collect())
+    some = _part(spark, sf_dir, "val").orderBy("trip_id").limit(3).collect()
+    batch = {r["trip_id"]: r["prediction"] for r in model.score(m, _part(spark, sf_dir, "val")).select("trip_id", "prediction").where(
+        F.col("trip_id").isin([r["trip_id"] for r in some])).collect()}
+    alone = [model.score_one(m, spark, {n: r[n] for n in ORDERED_FEATURE_NAMES}) == batch[r["trip_id"]] for r in some]
+    n = model.coefficients_frame(spark, m).count()
+    row = (files[0].where("length(sha256) = 64").count() == files[0].count() > 0, len(digests) == 1, versions == [1, 2], n, all(alone))
+    return spark.createDataFrame([row], "has_files boolean, digests_equal boolean, one_version_each boolean, coefficients int, one_is_batch boolean")
+
+
 @register("model_registry")
 def model_registry(spark, sf_dir):
     """One registry row for the saved model."""
@@ -236,13 +294,13 @@ def model_registry(spark, sf_dir):
 
 def _trained(spark, sf_dir):
     """The training job with its default settings, once per table: where the model is
-    saved, and its metrics."""
+    saved, its metrics, and the model."""
     from sparktrips import train_job
     key = (spark.sparkContext.applicationId, sf_dir, "trained")
     if key not in _FITTED:
         path = scratch_path(spark, "run-training-model")
-        _, metrics = train_job.run_training(spark, views.trips(spark, sf_dir), DEFAULT_SETTINGS, path)
-        _FITTED[key] = path, metrics
+        fitted, metrics = train_job.run_training(spark, views.trips(spark, sf_dir), DEFAULT_SETTINGS, path)
+        _FITTED[key] = path, metrics, fitted
     return _FITTED[key]
 
 

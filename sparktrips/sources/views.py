@@ -65,7 +65,7 @@ def trips_from_lineitem(li: DataFrame) -> DataFrame:
     )
 
 
-def requests_from_lineitem(li: DataFrame) -> DataFrame:
+def requests_from_lineitem(li: DataFrame, *kept: str) -> DataFrame:
     """One JSON request record per lineitem row. An order is a request of a few
     trips; of each 5,000 orders, 400 make one request of over 1,000 trips, and
     one order in 97 gives no request id. The records hold every kind of value
@@ -93,7 +93,7 @@ def requests_from_lineitem(li: DataFrame) -> DataFrame:
     request = (F.when(ok % 97 == 0, F.lit(None).cast("string"))
                 .when(ok % 5000 < 400, F.concat(F.lit("b"), F.floor(ok / 5000).cast("string")))
                 .otherwise(F.concat(F.lit("r"), ok.cast("string"))))
-    return li.select(request.alias("request_id"), F.col("l_linenumber").alias("pos"), "l_partkey", "l_suppkey", payload.alias("payload"))
+    return li.select(request.alias("request_id"), F.col("l_linenumber").alias("pos"), "l_partkey", "l_suppkey", payload.alias("payload"), *kept)
 
 
 def service_log_from_events(ev: DataFrame) -> DataFrame:

@@ -1,31 +1,39 @@
 """Structured Streaming jobs.
 
-* ``stream_score`` (T1): request records arrive as files -> validate -> score ->
-  ``foreachBatch`` writes predictions and rejects as two parquet tables. A
-  request is scored whole or rejected whole; its rows come in one file, so in
-  one micro-batch.
-* ``stream_latency_windows`` (L5): service-log lines -> parse -> latency ->
-  event-time tumbling windows with a watermark (late lines dropped, state of
-  closed windows freed) -> the windows that each micro-batch changed, also the
-  last ones, which no later line closes.
-
-Each micro-batch overwrites the folder of its epoch, so a batch that is run
-again after a failure replaces what it wrote. Both run with
-``trigger(availableNow=True)`` here (process what exists, then stop); on a
-cluster the same query runs with a processing-time trigger. Checkpoints and
-sinks live under the shared ``spark.checkpoint.dir``.
+* ``stream_score`` (T1): request records arrive as files -> validate -> whole requests ->
+  score -> predictions and rejects, which are committed together. A request is
+  scored whole or rejected whole. Where records declare how many trips their request
+  has, a keyed state collects them over micro-batches (``whole_requests``); where they
+  do not, a request's rows must come in one file, so in one micro-batch.
+* ``stream_latency_windows`` (L5): service-log lines -> parse -> latency -> event-time
+  tumbling windows. Each micro-batch adds counts, sums and a mergeable quantile sketch per
+  window; lines that come after the watermark has passed their window are not added,
+  but counted as late for it, so no line is lost from sight. The last windows, which
+  no later line closes, are there too.
+
+Each micro-batch writes its tables and then one manifest (``operators.epochs``): readers
+see all of an epoch or nothing, and a batch that is run again after a failure replaces
+what it wrote. The queries run with ``trigger(availableNow=True)`` here (process what
+exists, then stop); on a cluster the same query runs with a processing-time trigger.
+Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sparktrips.config import DEFAULT_SETTINGS
+from sparktrips.config import BATCH_MAX_TRIPS, DEFAULT_SETTINGS
 from sparktrips.operators import logs, validate as V
 from sparktrips.functions.columns import encode_flag_string
+from sparktrips.operators.epochs import manifests, read_epochs, write_epoch
 from sparktrips.operators.features import feature_columns
-from sparktrips.session import scratch_path
+from sparktrips.session import scratch_path, ship_package
 from sparktrips.sources.views import requests_from_lineitem, service_log_from_events
 
 
@@ -44,6 +52,90 @@ def _run(query_builder, checkpoint: str):
     return q
 
 
+# ------------------------------------------------------------- requests
+
+#: State store that ``transformWithState`` needs.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ACCEPTED, BAD_TRIP, TOO_MANY, INCOMPLETE = "accepted", "request: rejected with its other trips", "request: too many trips", "request: incomplete"
+
+
+class RequestState(StatefulProcessor):
+    """Holds the trips of a request until as many as it declares are there.
+
+    Once a request is sure to be rejected (a bad trip, too many trips) its trips are let
+    go at once, and later ones pass through; so the state of a request is at most
+    ``BATCH_MAX_TRIPS`` trips. It is freed with the last trip, or by a timer that
+    starts with the first: then the trips at hand are rejected as incomplete."""
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "row string")
+        self.known = handle.getValueState("known", "seen int, declared int, verdict string")
+
+    def _rows(self, key, rows: list[str], verdict: str) -> pd.DataFrame:
+        return pd.DataFrame({"correlation_id": [key[0]] * len(rows), "row": rows, "verdict": [verdict] * len(rows)})
+
+    def _free(self) -> None:
+        self.held.clear()
+        self.known.clear()
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.known.exists():
+            seen, declared, verdict = self.known.get()
+        else:
+            seen, declared, verdict = 0, None, None
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+        for batch in rows:
+            seen += len(batch)
+            counts = [int(n) for n in batch["declared"].dropna()]
+            declared = max(counts + ([declared] if declared is not None else []), default=None)
+            trips = batch["row"].tolist()
+            if verdict is None:
+                verdict = BAD_TRIP if not batch["trip_ok"].all() else TOO_MANY if max(seen, declared or 0) > BATCH_MAX_TRIPS else None
+                if verdict is None:
+                    self.held.appendList([(t,) for t in trips])
+                    continue
+                trips = [r[0] for r in self.held.get()] + trips if self.held.exists() else trips
+                self.held.clear()
+            yield self._rows(key, trips, verdict)
+        if declared is not None and seen >= declared:
+            if verdict is None:
+                # more trips than declared are no whole request either
+                yield self._rows(key, [r[0] for r in self.held.get()], ACCEPTED if seen == declared else TOO_MANY)
+            self._free()
+        else:
+            self.known.update((seen, declared, verdict))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.held.exists():
+            yield self._rows(key, [r[0] for r in self.held.get()], INCOMPLETE)
+        self.held.clear()
+        self.known.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def whole_requests(validated: DataFrame, timeout: dt.timedelta) -> DataFrame:
+    """The rows of a stream of validated records with ``correlation_id``, ``accepted`` and
+    ``declared`` (trips of the request), each once its request is decided, with ``verdict``."""
+    spark = validated.sparkSession
+    ship_package(spark)
+    spark.conf.set(*STATE_STORE)
+    schema = validated.schema
+    rows = validated.select("correlation_id", F.col("accepted").alias("trip_ok"), F.col("declared").cast("int").alias("declared"),
+                            F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+    decided = rows.groupBy("correlation_id").transformWithStateInPandas(
+        statefulProcessor=RequestState(int(timeout.total_seconds() * 1000)), outputStructType="correlation_id string, row string, verdict string",
+        outputMode="Append", timeMode="ProcessingTime")
+    return decided.select(F.from_json("row", schema).alias("r"), "verdict").select("r.*", "verdict")
+
+
 def score_requests(accepted: DataFrame, scorer) -> DataFrame:
     """Accepted records with defaults applied, scored; keys and flags kept."""
     ok = accepted.drop("errors", "accepted")
@@ -51,57 +143,148 @@ def score_requests(accepted: DataFrame, scorer) -> DataFrame:
     return scorer(feature_columns(ok)).withColumn("out_of_training_range", V.out_of_range())
 
 
-def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = None,
-                 model_version: str = DEFAULT_SETTINGS.model_version) -> dict[str, str]:
-    """T1. ``scorer`` maps a DataFrame of ordered feature columns to one with a
-    ``prediction`` column (a PipelineModel's transform, or an expression)."""
-    out = out or scratch_path(spark, "stream-score")
-    preds_path, rejects_path = f"{out}/predictions", f"{out}/rejects"
-    requests = requests_from_lineitem(table_stream(spark, sf_dir, "lineitem"))
-    validated = V.validate_records(requests, with_values=True).withColumn(
-        "correlation_id", V.correlation_id("request_id"))
+def run_scoring(requests: DataFrame, scorer, out: str, model_version: str = DEFAULT_SETTINGS.model_version,
+                timeout: dt.timedelta = dt.timedelta(minutes=10)) -> dict[str, str]:
+    """T1 on a stream of requests ``(request_id, pos, l_partkey, l_suppkey, payload)``, with ``declared`` where
+    requests may come in parts. ``scorer`` maps a DataFrame of ordered feature columns to one with a
+    ``prediction`` column. Predictions carry ``latency_ms``, from the file's arrival to the scoring."""
+    validated = V.validate_records(requests, with_values=True).withColumn("correlation_id", V.correlation_id("request_id"))
+    stateful = "declared" in requests.columns
+    if stateful:
+        validated = whole_requests(validated, timeout)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         # One micro-batch (bounded by maxFilesPerTrigger) feeds two outputs:
         # decode it once, then route accepted and rejected rows.
         batch.persist()
         try:
-            judged = V.reject_whole_request(batch, "correlation_id")
-            scored = score_requests(judged.where("request_accepted").drop("request_accepted"), scorer)
-            (scored.drop("features").withColumn("model_version", F.lit(model_version))
-                   .write.mode("overwrite").parquet(f"{preds_path}/epoch={epoch}"))
-            message = F.when(F.size("errors") > 0, V.error_message()).otherwise("request: rejected with its other trips")
-            (judged.where(~F.col("request_accepted"))
-                   .select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", message.alias("message"))
-                   .write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch}"))
+            judged = batch if stateful else V.reject_whole_request(batch, "correlation_id").withColumn(
+                "verdict", F.when(F.col("request_accepted"), ACCEPTED).otherwise(BAD_TRIP)).drop("request_accepted")
+            scored = score_requests(judged.where(F.col("verdict") == ACCEPTED).drop("verdict"), scorer).drop("features").withColumn("model_version", F.lit(model_version))
+            if "received_at" in scored.columns:
+                scored = V.with_latency(scored, "received_at")
+            message = F.when(F.size("errors") > 0, V.error_message()).otherwise(F.col("verdict"))
+            rejects = judged.where(F.col("verdict") != ACCEPTED).select("request_id", "pos", "l_partkey", "l_suppkey", "correlation_id", message.alias("message"))
+            write_epoch(batch.sparkSession, out, epoch, {"predictions": scored, "rejects": rejects})
         finally:
             batch.unpersist()
 
     _run(validated.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint")
-    return {"predictions": preds_path, "rejects": rejects_path}
+    return {"root": out, "predictions": f"{out}/predictions", "rejects": f"{out}/rejects"}
+
+
+def stream_score(spark: SparkSession, sf_dir: str, scorer, out: str | None = None,
+                 model_version: str = DEFAULT_SETTINGS.model_version) -> dict[str, str]:
+    """T1 on the table folder; a request's rows come in one file."""
+    lines = table_stream(spark, sf_dir, "lineitem").withColumn("received_at", F.col("_metadata.file_modification_time"))
+    requests = requests_from_lineitem(lines, "received_at")
+    return run_scoring(requests, scorer, out or scratch_path(spark, "stream-score"), model_version)
+
+
+def stream_score_parts(spark: SparkSession, requests: DataFrame, scorer, parts: int = 3, out: str | None = None,
+                       timeout: dt.timedelta = dt.timedelta(minutes=10)) -> dict[str, str]:
+    """T1 on requests that come in parts: the batch ``requests`` are written as ``parts``
+    files, so that most requests are spread over several, each record declaring its request's
+    number of trips; then one file is read per micro-batch."""
+    out = out or scratch_path(spark, "stream-parts")
+    sizes = requests.where("request_id is not null").groupBy("request_id").agg(F.count(F.lit(1)).alias("declared"))
+    rows = requests.join(sizes, "request_id", "left").withColumn("declared", F.coalesce("declared", F.lit(1)))
+    part = F.pmod(F.xxhash64("pos", "l_partkey", "l_suppkey"), F.lit(parts))
+    for i in range(parts):  # in this order, whatever the writers' task order
+        rows.where(part == i).coalesce(1).write.parquet(f"{out}/input/part={i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{out}/input")
+    return run_scoring(stream.withColumn("received_at", F.col("_metadata.file_modification_time")), scorer, f"{out}/scored", timeout=timeout)
+
+
+# -------------------------------------------------------- latency windows
+
+#: Size parameter of the quantile sketches: the normalised rank error of a quantile is
+#: about 2.3 / K**0.91, so 0.2 % here.
+SKETCH_K = 2000
+P95_RANK_ERROR = 0.005
+#: Epochs after which the windows so far are added up and written as one.
+COMPACT_EVERY = 20
+
+
+def _windows(lat: DataFrame, width: str) -> DataFrame:
+    return lat.select(F.window("event_time", width).alias("w"), "latency_ms", "event_time").select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "latency_ms", "event_time")
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "window_end").agg(
+        F.sum("calls").alias("calls"), F.sum("late").alias("late"), F.sum("total_ms").alias("total_ms"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def latency_state(spark: SparkSession, out: str, before: int | None = None) -> DataFrame:
+    """The windows of all committed epochs: the last compaction and the epochs after it."""
+    known = [m for m in manifests(spark, out) if before is None or m["epoch"] < before]
+    base = max((m["epoch"] for m in known if "compacted" in m["tables"]), default=None)
+    tables = [] if base is None else [read_epochs(spark, out, "compacted", base).where(F.col("epoch") == base)]
+    later = [m["epoch"] for m in known if base is None or m["epoch"] > base]
+    if later:
+        parts = read_epochs(spark, out, "windows", min(later))
+        tables.append(parts.where(F.col("epoch") <= max(later)))
+    whole = tables[0]
+    for t in tables[1:]:
+        whole = whole.unionByName(t)
+    return _merged(whole.drop("epoch"))
+
+
+def run_latency_windows(lines: DataFrame, out: str, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """L5 on a stream of log lines ``(ts, line)``; per window ``calls``, ``mean_ms``, ``p95_ms``
+    and ``late``, the lines that came after the watermark had passed the window's end.
+
+    The watermark is the latest event time of earlier micro-batches less ``delay``; it is
+    kept in the manifests, so a batch that is run again finds the same one."""
+    spark = lines.sparkSession
+    lat = logs.extract_latency(logs.parse_log_lines(lines)).where("latency_ms is not null")
+    lat = lat.select(F.col("ts").cast("timestamp").alias("event_time"), F.col("latency_ms").cast("double").alias("latency_ms"))
+    expression = f"timestamp_micros(%d) - interval {delay}"
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        known = [m for m in manifests(spark, out) if m["epoch"] < epoch]
+        latest = known[-1]["notes"].get("latest") if known else None
+        rows = _windows(batch, width)
+        late = F.lit(False) if latest is None else F.col("window_end") <= F.expr(expression % latest)
+        in_time = F.when(~late, F.col("latency_ms"))
+        parts = rows.groupBy("window_start", "window_end").agg(
+            F.count(in_time).cast("bigint").alias("calls"), F.count_if(late).cast("bigint").alias("late"), F.coalesce(F.sum(in_time), F.lit(0.0)).alias("total_ms"),
+            F.kll_sketch_agg_double(in_time, F.lit(SKETCH_K)).alias("sketch"), F.max("event_time").alias("latest"))
+        parts.persist()
+        try:
+            newest = parts.agg(F.unix_micros(F.max("latest"))).first()[0]
+            newest = max((x for x in (newest, latest) if x is not None), default=None)
+            tables = {"windows": parts.drop("latest")}
+            if known and epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
+                tables["compacted"] = _merged(latency_state(spark, out, epoch).unionByName(tables["windows"]))
+            write_epoch(spark, out, epoch, tables, {"latest": newest})
+        finally:
+            parts.unpersist()
+
+    _run(lat.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint")
+    whole = latency_state(spark, out)
+    return whole.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "calls",
+                        F.round(F.try_divide("total_ms", "calls"), 6).alias("mean_ms"),
+                        F.when(F.col("calls") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.95))).alias("p95_ms"), "late")
 
 
 def stream_latency_windows(spark: SparkSession, sf_dir: str, width: str = "1 hour", delay: str = "10 minutes",
                            out: str | None = None) -> DataFrame:
-    """L5. Event time is ``ts`` (TIMESTAMP_NTZ in the table); watermarks need
-    TIMESTAMP, so it is cast (the session time zone should be UTC). Returns the
-    latest state of every window."""
-    out = out or scratch_path(spark, "stream-latency")
+    """L5 on the events table. Event time is ``ts`` (TIMESTAMP_NTZ in the table), taken in the
+    session's time zone (which should be UTC)."""
     lines = service_log_from_events(table_stream(spark, sf_dir, "events"))
-    lat = logs.extract_latency(logs.parse_log_lines(lines))
-    windows = (lat.filter(F.col("latency_ms").isNotNull())
-                  .withColumn("event_time", F.col("ts").cast("timestamp"))
-                  .withWatermark("event_time", delay)
-                  .groupBy(F.window("event_time", width).alias("w"))
-                  .agg(F.count(F.lit(1)).cast("bigint").alias("calls"), F.avg("latency_ms").alias("mean_ms"))
-                  .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                          F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                          "calls", F.round("mean_ms", 6).alias("mean_ms")))
+    return run_latency_windows(lines, out or scratch_path(spark, "stream-latency"), width, delay)
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/windows/epoch={epoch}")
 
-    _run(windows.writeStream.outputMode("update").foreachBatch(write_batch), f"{out}/_checkpoint")
-    states = spark.read.parquet(f"{out}/windows")
-    latest = F.max_by(F.struct("window_end", "calls", "mean_ms"), "epoch").alias("s")
-    return states.groupBy("window_start").agg(latest).select("window_start", "s.*")
+def stream_out_of_order(spark: SparkSession, sf_dir: str, parts: int = 4, width: str = "1 hour", delay: str = "10 minutes",
+                        out: str | None = None) -> DataFrame:
+    """L5 on lines that come out of order: the log is written as ``parts`` files that each span all
+    hours, and one is read per micro-batch."""
+    out = out or scratch_path(spark, "stream-disorder")
+    lines = service_log_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    part = F.pmod(F.xxhash64("line", "ts"), F.lit(parts))
+    for i in range(parts):
+        lines.where(part == i).coalesce(1).write.parquet(f"{out}/input/part={i}")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{out}/input")
+    return run_latency_windows(stream, f"{out}/windows", width, delay)
