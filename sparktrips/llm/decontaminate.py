@@ -12,8 +12,9 @@ and line breaks do not hide a copy. Per repetition:
 * Bit sampling: three places of the embedding are compared. They are the same for
   all items, so one pass over all word positions serves all of them, and few
   positions are left after each place. As many repetitions run as the target
-  recall needs. An item is also embedded from each quarter on, so that the places
-  are spread over its length and an edit near its beginning does not hide it.
+  recall needs. An item is embedded from several of its words on, spread over its
+  whole length, so that edits anywhere do not hide it; items below 15 words have
+  shorter spans of places as well.
 
 Every window start of every text is walked. Windows whose samples agree are
 verified exactly: the least word edit distance between the item and a window
@@ -23,7 +24,8 @@ nothing is shuffled whatever its size.
 Defined results: null or empty texts match nothing; an item without words
 matches nothing; an item shorter than ``1 / MAX_EDIT_SHARE`` words must be found
 word for word; repeated rows and equal ids give one row each; equal items are
-all reported; empty tables give an empty result; other columns are ignored.
+all reported, and of several equally good windows the first; very long texts and items are
+whole in one task; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,12 +44,15 @@ from sparktrips.llm.common import _IS_SEPARATOR, map_arrow, mix, slices, text_by
 #: A window counts as a copy up to this word edit distance, as a share of the item.
 MAX_EDIT_SHARE = 0.2
 #: Recall aimed at for copies of which a sampled place agrees with this chance.
-TARGET_RECALL, AGREEMENT = 0.95, 0.75
+TARGET_RECALL, AGREEMENT = 0.98, 0.75
 SAMPLES = 3
-#: The places are among these first steps, one in each third.
-STEPS = 12
-#: Parts of an item that begin an embedding of their own, if long enough.
-PARTS = 4
+#: Spans of an embedding, in steps: the places are among a span's steps, one in each third.
+SPANS = 3, 6, 12
+#: Of each span, so many walks of an item begin at words spread evenly over it, so that its
+#: whole length is sampled; items have walks of the longest spans that fit into it.
+BEGINS = {3: 6, 6: 6, 12: 4}
+#: Candidates times words around them that are looked at together.
+PLACES_AT_ONCE = 1 << 20
 #: Most benchmark words that a task holds at a time.
 BLOCK_WORDS = 1 << 20
 SEED = 20
@@ -72,19 +77,30 @@ class Items:
 
     def _table(self, repetition: int) -> list["Samples"]:
         rng = np.random.default_rng([SEED, repetition])
-        third = STEPS // SAMPLES
-        drawn = [int(rng.integers(third * i, third * (i + 1))) for i in range(SAMPLES)]
-        groups: dict[tuple[int, ...], list[tuple[int, int, int, int, int]]] = {}
-        for k, whole in enumerate(self.words):
-            for begin in sorted({len(whole) * part // PARTS for part in range(PARTS)}):
-                words = whole[begin:]
-                if begin and len(words) < STEPS:
-                    break
-                places = tuple(min(p, len(words) - 1) for p in drawn)
-                found = [words[at] for at in walk(words, np.zeros(1, np.int64), repetition, places)]
-                two = chained(found[0], found[1])
-                groups.setdefault(places, []).append((k, begin, int(found[0][0]), int(two[0]), int(chained(two, found[2])[0])))
-        return [Samples(places, members) for places, members in groups.items()]
+        groups = []
+        for span in SPANS:
+            third = span // SAMPLES
+            places = tuple(int(rng.integers(third * i, third * (i + 1))) for i in range(SAMPLES))
+            members = []
+            for k, whole in enumerate(self.words):
+                for begin in begins(len(whole), span):
+                    found = [whole[begin:][at] for at in walk(whole[begin:], np.zeros(1, np.int64), repetition, places)]
+                    two = chained(found[0], found[1])
+                    members.append((k, begin, int(found[0][0]), int(two[0]), int(chained(two, found[2])[0])))
+            if members:
+                groups.append(Samples(places, members))
+        return groups
+
+
+def begins(words: int, span: int) -> list[int]:
+    """Where walks of ``span`` steps begin in an item: evenly from its first word to the last
+    one that leaves a whole span. Short items have the shorter spans too, since few
+    of their long ones are without an edit."""
+    if span == SPANS[0]:
+        last = max(0, words - span) if words < 12 else -1
+    else:
+        last = words - span if words < (15 if span == 6 else 1 << 62) else -1
+    return sorted({round(last * i / (BEGINS[span] - 1)) for i in range(BEGINS[span])}) if last >= 0 else []
 
 
 class Samples:
@@ -167,9 +183,12 @@ def with_enough_words(rows: np.ndarray, words: Words, items: Items, share: float
         most = int(share * len(item))
         bitmap = np.zeros(1 << 16, bool)
         bitmap[item & np.uint64(0xFFFF)] = True
-        around = np.clip(own[:, :1] + np.arange(-most, len(item) + most), 0, len(words) - 1)
-        enough = bitmap[words.hashes[around] & np.uint64(0xFFFF)].sum(axis=1) >= len(item) - most
-        kept += [tuple(r) for r in own[enough].tolist()]
+        offsets = np.arange(-most, len(item) + most)
+        step = max(1, PLACES_AT_ONCE // len(offsets))
+        for i in range(0, len(own), step):
+            around = np.clip(own[i:i + step, :1] + offsets, 0, len(words) - 1)
+            enough = bitmap[words.hashes[around] & np.uint64(0xFFFF)].sum(axis=1) >= len(item) - most
+            kept += [tuple(r) for r in own[i:i + step][enough].tolist()]
     return sorted(kept)
 
 
