@@ -9,16 +9,17 @@
   text is taken out of its host's count.
 
 The languages are the declared codes of two or three letters that at least
-``MIN_ROWS`` rows declare, however many rows declare others, and whatever else
-(names, codes with a region, codes of small tables) ``MIN_SHARE`` of all rows
-declare. So there are no more than the codes of ISO 639 that are in use and
+``MIN_ROWS`` rows declare, however many rows declare others (a code with a region
+or script counts as its language), and whatever else (names, codes of small
+tables) ``MIN_SHARE`` of all rows declare. So there are no more than the codes of ISO 639 that are in use and
 1 / ``MIN_SHARE``, and the tables that the driver gets (languages x buckets,
 languages x declared) are bounded by that, not by the rows.
 
 Defined results: text without a trigram of letters has no text evidence and is
 judged by the rest; text without letters (null and empty too) is never accepted; null declared language,
-suffix or host carry no evidence; repeated rows and equal ids give one row each;
-an empty table gives an empty result; other columns are ignored, whatever their
+suffix or host carry no evidence; of languages with equal posteriors the first in
+alphabetical order is named; very long texts are read whole; repeated rows and equal ids give
+one row each; an empty table gives an empty result; other columns are ignored, whatever their
 names. Without any declared language every row is ``und``.
 """
 
@@ -35,6 +36,7 @@ from sparktrips.llm.common import _IS_SEPARATOR, _LOWER, lower_ascii, map_arrow,
 
 MIN_ROWS, MIN_SHARE = 20, 0.01
 LANGUAGE_CODE = "^[a-z]{2,3}$"
+LANGUAGE_TAG = "^([a-z]{2,3})[-_][a-z0-9_-]*$"
 BUCKETS = 1 << 13
 #: A text's likelihood counts as that of at most so many independent trigrams.
 EFFECTIVE_TRIGRAMS = 64.0
@@ -68,6 +70,12 @@ def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code.astype(np.int64), owner[:-2][whole], letters
 
 
+def base_code(declared: Column) -> Column:
+    """The language of a code with a region or script ("pt-br", "zh_hans"); other values as they are."""
+    code = F.regexp_extract(declared, LANGUAGE_TAG, 1)
+    return F.when(code != "", code).otherwise(declared)
+
+
 def declared_languages(rows: DataFrame, min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> list[str]:
     counts = rows.where("declared is not null").groupBy("declared").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
@@ -198,6 +206,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     optional = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lower_ascii(optional(declared_col)).alias("declared"),
                        lower_ascii(optional(host_col)).alias("host"), lower_ascii(optional(suffix_col)).alias("suffix"))
+    rows = rows.withColumn("declared", base_code(F.col("declared")))
     languages = declared_languages(rows)
     names = [*languages, UND]
     scored = with_text_likelihood(rows, trigram_table(rows, languages))

@@ -51,6 +51,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's operator on web pages, with all four kinds of evidence: text, markup, host and suffix."""
+    pages = language_id.page_evidence(read_table(spark, sf_dir, "pages"))
+    return language_id.identify(pages, id_col="page_id", host_col="host", suffix_col="suffix")
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf_dir, "pages"))
 
@@ -76,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_token_counts, op3_quality_classifier, op4_packing, op5_quality_rules, op6_lm_scoring,
-        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op11_minhash_dedup, op12_ranked_search, op13_embedding_whitening, pipeline)}
+        op7_jaccard_join, op8_decontaminate, op9_language_id, op10_url_filters, op11_minhash_dedup, op12_ranked_search, op13_embedding_whitening, page_language_id, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -149,6 +149,35 @@ def test_edited_copies_reach_the_target_recall(spark, documents):
     assert len(got & truth) >= 0.9 * len(truth)
 
 
+@pytest.mark.parametrize("n", [5, 6, 8, 10, 11, 12, 13, 14, 15, 16, 18, 20, 25, 30, 40, 60])
+def test_decontamination_recall_at_all_edits_allowed(n):
+    """Items of n words, each copied with the most edits that still make a copy."""
+    draw = np.random.default_rng(n)
+    word = lambda k: [f"w{j}" for j in draw.integers(0, 20_000, k)]
+    items = [word(n) for _ in range(120)]
+    texts = []
+    for item in items:
+        copy = list(item)
+        for _ in range(int(decontaminate.MAX_EDIT_SHARE * n)):
+            kind, at = draw.integers(3), int(draw.integers(len(copy)))
+            copy[at:at + (kind != 1)] = [] if kind == 2 else [f"x{draw.integers(1 << 40)}"]
+        texts.append(" ".join([*word(50), *copy, *word(50)]).encode())
+    known = decontaminate.Items(list(range(120)), [" ".join(x).encode() for x in items])
+    words = Words(texts, separator=decontaminate.SEPARATOR)
+    found = decontaminate.with_enough_words(decontaminate.candidate_windows(words, known), words, known, decontaminate.MAX_EDIT_SHARE)
+    best = decontaminate.verified(words, known, found, decontaminate.MAX_EDIT_SHARE)
+    assert sum((k, k) in best for k in range(120)) >= 0.95 * 120
+
+
+def test_a_long_item_is_found(spark):
+    draw = np.random.default_rng(1)
+    item = [f"w{j}" for j in draw.integers(0, 500, 10_000)]
+    copy = [w if i % 50 else "edit" for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(copy)), (2, " ".join(reversed(item)))], "doc_id bigint, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)] and got[0].distance <= 200
+
+
 def test_decontamination_of_awkward_tables(spark, awkward, nothing):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "word"), (4, "One id, TWO texts"), (4, "one id two texts"), (None, "a b c d")],
                                   "item_id int, text string")
@@ -264,6 +293,80 @@ def test_languages(documents, awkward, nothing):
     assert {r.language for r in none} == {"und"} and not any(r.accepted for r in none)
 
 
+def brute_posteriors(rows: list[dict]) -> dict:
+    """Language and posterior of each row, from the definition, one row after the other."""
+    declared = Counter(r["lang"] for r in rows if r["lang"])
+    languages = sorted(x for x, n in declared.items() if n >= language_id.MIN_ROWS)
+    names, buckets = [*languages, "und"], language_id.BUCKETS
+    seen = {x: Counter() for x in languages}
+    grams = []
+    for r in rows:
+        code, _, _ = language_id._trigrams([(r["text"] or "").encode()])
+        grams.append(code.tolist())
+        if r["lang"] in seen:
+            seen[r["lang"]].update(grams[-1])
+    whole = {x: sum(seen[x].values()) for x in languages}
+
+    def likelihood(x, g):
+        return -math.log(buckets) if x == "und" else math.log((seen[x][g] + 0.5) / (whole[x] + 0.5 * buckets))
+
+    means = [[sum(likelihood(x, g) for g in code) / max(1, len(code)) for x in names] for code in grams]
+    of = [max(range(len(names)), key=lambda c: (m[c], -c)) for m in means]
+    slot = [languages.index(r["lang"]) if r["lang"] in languages else len(languages) for r in rows]
+    confusion = [[0.5] * len(names) for _ in names]
+    hosts, suffixes, known = defaultdict(Counter), defaultdict(Counter), Counter()
+    for r, code, c, d in zip(rows, grams, of, slot):
+        if not code:
+            continue
+        known[c] += c < len(languages)
+        if r["lang"]:
+            confusion[c][d] += 1
+        if r["host"]:
+            hosts[r["host"], r["suffix"]][c] += 1
+            if r["suffix"]:
+                suffixes[r["suffix"]][c] += 1
+    total = sum(known[c] for c in range(len(languages)))
+    overall = [(known[c] + 1) / (total + len(languages)) * (1 - language_id.UND_PRIOR) for c in range(len(languages))] + [language_id.UND_PRIOR]
+    weight, out = language_id.PRIOR_ROWS, {}
+    for r, code, m, c, d in zip(rows, grams, means, of, slot):
+        above, group = overall, hosts.get((r["host"], r["suffix"])) if r["host"] else None
+        if group is not None and r["suffix"] in suffixes:
+            n = suffixes[r["suffix"]]
+            above = [(n[k] + p * weight) / (sum(n.values()) + weight) for k, p in enumerate(overall)]
+        prior = above
+        if group is not None:
+            own = Counter(group)
+            own[c] -= bool(code)
+            prior = [(own[k] + p * weight) / (sum(own.values()) + weight) for k, p in enumerate(above)]
+        logs = [min(len(code), language_id.EFFECTIVE_TRIGRAMS) * m[k] + math.log(max(prior[k], 1e-12)) for k in range(len(names))]
+        if r["lang"]:
+            logs = [x + math.log(confusion[k][d] / sum(confusion[k])) for k, x in enumerate(logs)]
+        best = max(range(len(names)), key=lambda k: (logs[k], -k))
+        out[r["id"]] = names[best], 1 / sum(math.exp(x - logs[best]) for x in logs)
+    return out
+
+
+def test_posteriors_equal_brute_force(spark):
+    """All four kinds of evidence, with short texts, so that priors and declarations count."""
+    rng = random.Random(11)
+    letters = {"en": "abcdeft", "fr": "aeoulqn", "de": "enrstuw", "pt": "aoesmnr"}
+    rows = []
+    for i in range(600):
+        x = rng.choice(list(letters))
+        host = f"h{rng.randrange(4)}.{x}" if rng.random() < 0.7 else f"shared{rng.randrange(3)}.com" if rng.random() < 0.8 else None
+        text = " ".join("".join(rng.choices(letters[x], k=rng.randint(1, 5))) for _ in range(rng.choice([0, 1, 2, 4, 30])))
+        lang = x if rng.random() < 0.6 else rng.choice([None, "en", "klingon"])
+        rows.append({"id": i, "text": text if i % 50 else None, "lang": lang, "host": host, "suffix": host.split(".")[1] if host else None})
+    expected = brute_posteriors(rows)
+    docs = spark.createDataFrame(rows, "id bigint, text string, lang string, host string, suffix string")
+    docs = docs.withColumn("lang", F.when((F.col("lang") == "pt") & (F.col("id") % 2 == 0), "PT-br").otherwise(F.col("lang")))
+    got = {r["id"]: r for r in language_id.identify(docs, id_col="id", host_col="host", suffix_col="suffix").collect()}
+    assert len(got) == 600
+    for i, (language, posterior) in expected.items():
+        assert got[i].confidence == pytest.approx(posterior, rel=1e-3)
+        assert got[i].language == language or posterior < 0.502
+
+
 def test_rare_declared_languages_are_languages(spark):
     """40 languages of 0.2 % of the rows each, beside one of 92 %."""
     rng = random.Random(3)
