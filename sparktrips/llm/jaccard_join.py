@@ -16,19 +16,25 @@ share a key; else each class with the first and with its neighbours, which is
 linear. A parity bit sketch of the whole set, whose Hamming distance is again a
 lower bound, and the sizes drop most pairs; the rest are verified on the sets,
 first each class with the partner that it shares most keys with, then what still
-lies in different components. Then only keys with many classes are open whose
-classes are still in different components. There, classes that must share other keys as well, since they have
-more agreeing keys than crowded ones, need no further test; among the others,
-pairs in different components that pass sizes and sketch are verified too. So no
-link that joins components is lost, no list of a group is ever built, and only
-rows that differ in their component are paired.
+lies in different components.
+
+Then only keys with many classes are open whose classes are still in different
+components, and that some class needs (one with as many crowded keys as a similar
+class must share with it; others have met elsewhere). Members of an open key are paired
+with its hub, the class under the most and largest open keys. Members that share an
+element which few of them hold are paired; any other two can share at most their
+common elements, which bounds the sizes of a member's partners. So texts that merely
+share a passage are done with one by one, and only members whose sizes and common
+elements allow a link are paired. No link that joins components is lost, no list of
+a group is ever built, and only rows that differ in their component are paired.
 
 Hashes have 48 bits within a pair of sets and 64 bits for keys and classes.
 
 Defined results: null or empty text and text without words have an empty set,
 no links and their own id as component; with fewer than ``SHINGLE`` words the
 whole sequence is the one shingle; repeated rows give equal rows; equal ids with
-different texts each belong to their own text's component; a component's id is
+different texts each belong to their own text's component; very long texts are one set in one task;
+of equally good partners any is taken first, which changes no component; a component's id is
 its smallest non-null id (null if it has none); an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
@@ -36,7 +42,6 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +49,15 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparktrips.llm.buckets import apart, as_longs, elements, hubs, member_pairs, members_of, open_members, others_of_key, packed, Similarity, star, unpacked, \
+    with_common
 from sparktrips.llm.common import map_arrow, mix, shared_table, slices, text_bytes, Words
 
 SHINGLE = 5
 #: Similarity of at least 3/4. With it, |a| and |b| differ by at most 4/3, and the
 #: symmetric difference is at most (|a| + |b|) / 7.
 NUMERATOR, DENOMINATOR = 3, 4
+LINKED = Similarity(NUMERATOR, DENOMINATOR)
 #: A band's sizes reach to this many times its first; over 4/3, so that partners
 #: are in the same or in an adjoining band.
 BAND_RATIO = 1.78
@@ -58,8 +66,8 @@ SLACK = 0.1
 #: Neighbours that a class is paired with under a key: groups of up to
 #: ``NEIGHBOURS + 2`` classes are paired completely.
 NEIGHBOURS = 4
-#: 64-bit words of the short bit sketch; the long one has 4 to 8 bits per element.
-SHORT_WORDS, ELEMENTS_PER_WORD = 16, 16
+#: 64-bit words of a bit sketch at least, and elements per word: 4 to 8 bits an element.
+LEAST_WORDS, ELEMENTS_PER_WORD = 16, 16
 _LOW = np.uint64((1 << 48) - 1)
 _U = np.uint64
 
@@ -182,28 +190,21 @@ def block_keys(sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
 
 
-def as_longs(values: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())
-
-
 def signatures(rows: DataFrame) -> DataFrame:
-    """Per ``(id, text)`` row: id, ``size`` and ``class`` of its set, the ``short`` and
-    the long bit ``sketch``, and ``sure``, how many keys a similar set must share
-    with it."""
+    """Per ``(id, text)`` row: id, ``size`` and ``class`` of its set, its bit ``sketch``, and
+    ``sure``, how many keys a similar set must share with it."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", most_rows=5_000):
             sets = Sets(text_bytes(part.column("text")))
-            least = np.maximum(SHORT_WORDS, sets.sizes / ELEMENTS_PER_WORD)
+            least = np.maximum(LEAST_WORDS, sets.sizes / ELEMENTS_PER_WORD)
             bits, ends = sets.bit_sketches(1 << np.ceil(np.log2(least)).astype(np.int64))
-            columns = [part.column("id"), pa.array(sets.sizes, pa.int64()), as_longs(sets.classes())]
-            for values, to in ((folded(bits, ends, SHORT_WORDS), np.arange(1, len(ends) + 1) * SHORT_WORDS), (bits, ends)):
-                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]), pa.int32()), as_longs(values)))
-            columns.append(pa.array(sure_keys(sets.sizes), pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, ["id", "size", "class", "short", "sketch", "sure"])
+            sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), as_longs(bits))
+            columns = [part.column("id"), pa.array(sets.sizes, pa.int64()), as_longs(sets.classes()), sketch, pa.array(sure_keys(sets.sizes), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "size", "class", "sketch", "sure"])
 
-    return map_arrow(rows, sign, f"id {kind}, size bigint, class bigint, short array<bigint>, sketch array<bigint>, sure bigint")
+    return map_arrow(rows, sign, f"id {kind}, size bigint, class bigint, sketch array<bigint>, sure bigint")
 
 
 def keys(rows: DataFrame) -> DataFrame:
@@ -245,14 +246,6 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     return entries.groupBy("crowded", "a", "b").agg(F.count("*").alias("n"))
 
 
-def _similar_sizes(a: Column, b: Column) -> Column:
-    return (a * NUMERATOR <= b * DENOMINATOR) & (b * NUMERATOR <= a * DENOMINATOR)
-
-
-def _short_hamming(a: Column, b: Column) -> Column:
-    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SHORT_WORDS)])
-
-
 def _long_hamming(a: Column, b: Column) -> Column:
     """Of sketches that differ in size by a factor of two at most: similar sizes do."""
     n = F.least(F.size(a), F.size(b))
@@ -265,15 +258,11 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``(a, b, n)`` whose sizes and bit sketches allow a link."""
     side = lambda x: classes.select(F.col("class").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
-    fits = _similar_sizes(F.col("a_size"), F.col("b_size")) & \
+    fits = LINKED.sizes(F.col("a_size"), F.col("b_size")) & \
         (_long_hamming(F.col("a_sketch"), F.col("b_sketch")) * 7 <= F.col("a_size") + F.col("b_size"))
     return sized.where(fits).select("a", "b", "n")
 
 
-#: Bytes of an element of a set.
-ELEMENT = 6
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets have a similarity of 3/4 or more."""
     side = lambda x: sets.select(F.col("class").alias(x), F.col("set").alias(f"{x}_set"))
@@ -291,16 +280,6 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), compare, "a bigint, b bigint").distinct()
 
 
-def packed(elements: np.ndarray) -> bytes:
-    return elements.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT].tobytes()
-
-
-def unpacked(data) -> np.ndarray:
-    out = np.zeros((len(data) // ELEMENT, 8), np.uint8)
-    out[:, :ELEMENT] = np.frombuffer(data, np.uint8).reshape(-1, ELEMENT)
-    return out.view("<u8").ravel()
-
-
 def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(class, set)`` of the texts with the wanted ids; the set as sorted 48-bit
     elements. The ids are written first, so that the planner knows their size and
@@ -355,17 +334,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = shared_table(signatures(rows), "signatures")
     classes = signed.where("size > 0").groupBy("class").agg(
-        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("size", "short", "sketch", "sure")])
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("size", "sketch", "sure")])
     classes = shared_table(classes, "classes")
 
     shared = shared_table(shared_keys(keys(rows)), "shared-keys")
     pairs = shared_table(plausible(shared.where(~F.col("crowded")).select("a", "b", "n"), classes), "pairs")
-    links = linked(pairs, rows, classes)
-    found = components(links)
-    crowded = shared.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("class"))
-    open_pairs = shared_table(plausible(still_open(crowded, classes, found).withColumn("n", F.lit(1)), classes), "open-pairs")
-    if open_pairs.limit(1).count():
-        found = components(links.unionAll(linked(open_pairs, rows, classes)))
+    found = components(linked(pairs, rows, classes))
+    crowded = in_need(shared.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("class")), classes)
+    rare = None
+    for step in ("hubs", "rare elements", "others"):
+        opened = shared_table(open_members(crowded, found), "open")
+        if not opened.limit(1).count():
+            break
+        if step == "hubs":
+            met = star(hubs(opened), "hub")
+        elif step == "rare elements":
+            some = opened.select("class").distinct()
+            sets = sets_of(rows, classes.join(some, "class", "left_semi")).join(some, "class", "left_semi").dropDuplicates(["class"])
+            rare = shared_table(members_of(elements(sets)).where("not crowded"), "rare-elements")
+            met = member_pairs(rare.where("n > 1"))
+        else:  # those that share a rare element have met, so the bounds hold for the others
+            met = others_of_key(shared_table(with_common(opened, classes, rare, LINKED), "still-open"), LINKED)
+        candidates = shared_table(plausible(apart(met, found).distinct().withColumn("n", F.lit(1)), classes), "open-pairs")
+        known = found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+        found = components(known.unionAll(linked(candidates, rows, classes)))
 
     # the component's id: the least id of its classes; classes without links are their own
     labelled = classes.select("class", "id").join(found.withColumnRenamed("node", "class"), "class", "left")
@@ -393,24 +385,10 @@ def linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     return shared_table(first.unionAll(verified(apart, sets(apart))), "links") if apart.limit(1).count() else first
 
 
-def still_open(crowded: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of classes in different components that meet only under crowded keys
-    and that sizes and sketches allow."""
-    many = crowded.groupBy("class").agg(F.count("*").alias("n_crowded"))
-    placed = many.join(classes.select("class", "size", "short", "sure"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    met = crowded.join(placed, "class").withColumn("needs", F.col("n_crowded") >= F.col("sure"))
-    # of a pair in different components, one at least is not in the key's largest component
-    groups = met.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("components"))
-    met = met.join(groups.where("components > 1"), "key")
-    columns = ("class", "size", "short", "component", "n_crowded", "sure", "needs", "main")
-    a, b = (met.select("key", *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in "ab")
-    a = a.where("a_component <> a_main")
-    # similar classes share at least the lesser ``sure`` of keys; with fewer crowded ones they met
-    # elsewhere. One of an open pair thus needs crowded keys.
-    fits = (F.col("a_component") != F.col("b_component")) & _similar_sizes(F.col("a_size"), F.col("b_size")) & \
-        (F.least("a_n_crowded", "b_n_crowded") >= F.least("a_sure", "b_sure")) & \
-        (_short_hamming(F.col("a_short"), F.col("b_short")) * 7 <= F.col("a_size") + F.col("b_size"))
-    open_pairs = a.where("a_needs").join(b, "key").where(fits).unionByName(a.where("not a_needs").join(b.where("b_needs"), "key").where(fits))
-    return open_pairs.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
+def in_need(crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of ``(key, class)`` under crowded keys, the keys that some class needs. Similar classes
+    share at least the lesser ``sure`` of keys; with fewer crowded ones they met elsewhere.
+    One of a pair that did not meet thus has as many crowded keys as are sure."""
+    needs = crowded.groupBy("class").agg(F.count("*").alias("n")).join(classes.select("class", "sure"), "class").where("n >= sure").select("class")
+    wanted = crowded.join(needs, "class", "left_semi").select("key").distinct()
+    return shared_table(crowded.join(wanted, "key", "left_semi"), "crowded")

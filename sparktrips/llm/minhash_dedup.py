@@ -17,14 +17,17 @@ sizes and enough agreeing coordinates (6 standard deviations below the threshold
 those that lie in different components are verified exactly on their sets, each
 class's most agreeing partner first.
 
-Crowded buckets whose members are still in different components are taken further:
-first every member is paired with the bucket's hub, the class that stands in the
-most and largest open buckets (the text that others were copied from); then, within each
-bucket that is still open, the classes are banded once more by coordinates drawn from all
-bands, so that only those meet that agree in two bands; what is crowded even then is
-paired with all members of the same two bands in other components. So the
-work is linear in a bucket unless many of its texts agree in most coordinates without
-being linked, and no pair that agrees in the bands is dropped.
+Crowded buckets whose members are still in different components are taken further, which
+holds copies of one text that differ too much from each other. First every member is
+paired with the bucket's hub, the class that stands in the most and largest open
+buckets (the text that others were copied from). Then the elements of the members are
+grouped by the same aggregation: members that share an element which few hold are
+paired, and of any other pair both can share at most their *common* elements. That
+bounds the sizes of a member's partners, so most of the members without a link are
+done with, one by one and not pair by pair. Of what is left, only members whose sizes
+and common elements allow a link are paired. So the work is linear in a bucket unless
+many of its texts could be linked by all of these and are not, and no pair that agrees
+in a band is dropped without a proof that it is no link.
 
 Defined results: null or empty text and text without words have an empty set, no
 links and their own id as component; with fewer than ``SHINGLE`` words the whole
@@ -38,24 +41,24 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktrips.llm.buckets import apart, as_longs, buckets_of, elements, hubs, member_pairs, members_of, open_members, others_of_key, placed, Similarity, star, unpacked, \
+    with_common
 from sparktrips.llm.common import map_arrow, mix, shared_table, slices, text_bytes
-from sparktrips.llm.jaccard_join import as_longs, components, Sets, sets_of, unpacked
+from sparktrips.llm.jaccard_join import components, Sets, sets_of
 
-#: Two sets are linked from this similarity on: 85 of 100.
-NUMERATOR, DENOMINATOR = 85, 100
+#: Two sets are linked from this similarity on.
+LINKED = Similarity(85, 100)
 ROWS, BANDS = 8, 48
 COORDINATES = ROWS * BANDS
 #: Agreeing coordinates of a candidate: 0.85 of them, less 6 standard deviations.
 LEAST_AGREEING = int(COORDINATES * 0.85 - 6 * (COORDINATES * 0.85 * 0.15) ** 0.5)
-#: Slices of the class names of which a bucket keeps both ends.
-SLICES = 4
 #: Elements whose coordinates are computed together, so that they stay in the cache.
 RUN = 1 << 15
 _U = np.uint64
@@ -105,7 +108,7 @@ def signed_rows(rows: DataFrame) -> DataFrame:
         for part in slices(batches, "text"):
             sets = Sets(text_bytes(part.column("text")))
             name = sets.classes()
-            able = np.flatnonzero(sets.sizes * DENOMINATOR >= NUMERATOR * (sets.sizes + 1))
+            able = np.flatnonzero(sets.sizes * LINKED.denominator >= LINKED.numerator * (sets.sizes + 1))
             _, once = np.unique(name[able], return_index=True)
             chosen = able[np.sort(once)]
             chosen = chosen[~np.isin(name[chosen], seen)]
@@ -123,55 +126,8 @@ def signed_rows(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, sign, f"id {kind}, size bigint, class bigint, bands array<bigint>")
 
 
-# --- buckets ----------------------------------------------------------------
-
-def buckets_of(keyed: DataFrame) -> DataFrame:
-    """Of ``(key, class)``, the keys of two classes or more: ``members``, all of them or the
-    least and the greatest of each slice, and ``crowded`` where there are more."""
-    inside = lambda i: F.when(F.pmod("class", F.lit(SLICES)) == i, F.col("class"))
-    ends = [f(inside(i)) for i in range(SLICES) for f in (F.min, F.max)]
-    members = F.sort_array(F.array_distinct(F.array_compact(F.array(*ends))))
-    grouped = keyed.groupBy("key").agg(F.count("*").alias("n"), members.alias("members")).where("n > 1")
-    return grouped.select("key", "n", "members", (F.col("n") > F.size("members")).alias("crowded"))
-
-
-def member_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of the members."""
-    after = lambda x, i: F.transform(F.slice("members", i + 2, 2 * SLICES), lambda y: F.struct(x.alias("a"), y.alias("b")))
-    return buckets.select(F.explode(F.flatten(F.transform("members", after))).alias("x")).select("x.*")
-
-
-def star(crowded: DataFrame, hub: str) -> DataFrame:
-    """Pairs ``(a, b)`` of each member with the column ``hub``."""
-    return crowded.where(F.col("class") != F.col(hub)).select(F.least("class", hub).alias("a"), F.greatest("class", hub).alias("b"))
-
-
-def regrouped(crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(key, class, component, main)`` once per key and band of coordinates from all bands: the key names both."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                bands = part.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
-                mixed = np.ascontiguousarray(bands).view(np.uint8).reshape(-1, ROWS, BANDS).transpose(0, 2, 1)
-                value = np.ascontiguousarray(mixed).view(_U).reshape(-1, BANDS)
-                key = part.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(_U)[:, None]
-                both = mix(mix(value + np.arange(BANDS, dtype=_U) * _U(0x9E3779B97F4A7C15)) ^ key)
-                owner = pa.array(np.repeat(np.arange(part.num_rows), BANDS))
-                yield pa.RecordBatch.from_arrays([as_longs(both.ravel()), *[part.column(c).take(owner) for c in ("class", "component", "main")]],
-                                                 ["key", "class", "component", "main"])
-
-    met = crowded.join(classes.select("class", "bands"), "class").select("key", "class", "component", "main", "bands")
-    return map_arrow(met, emit, "key bigint, class bigint, component bigint, main bigint")
-
-
 # --- candidates and links ---------------------------------------------------
 
-def similar_sizes(a: Column, b: Column) -> Column:
-    return (a * DENOMINATOR >= b * NUMERATOR) & (b * DENOMINATOR >= a * NUMERATOR)
-
-
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The distinct pairs ``(a, b)`` whose sizes and signatures allow a link, with the
     number of ``agreeing`` coordinates."""
@@ -184,7 +140,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             kept = pa.array(np.flatnonzero(agreeing >= LEAST_AGREEING))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept), pa.array(agreeing).take(kept)], ["a", "b", "agreeing"])
 
-    sized = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(similar_sizes(F.col("a_size"), F.col("b_size")))
+    sized = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(LINKED.sizes(F.col("a_size"), F.col("b_size")))
     return map_arrow(sized.select("a", "b", "a_bands", "b_bands"), compare, "a bigint, b bigint, agreeing bigint")
 
 
@@ -198,24 +154,13 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("a_set"), batch.column("b_set")):
                 x, y = unpacked(x.as_buffer()), unpacked(y.as_buffer())
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+                keep.append(LINKED.denominator * both >= LINKED.numerator * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
     return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), compare, "a bigint, b bigint")
 
 
-def placed(rows: DataFrame, found: DataFrame, column: str, name: str) -> DataFrame:
-    """``rows`` with the component ``name`` of their class in ``column`` (a class without links is its own)."""
-    at = found.select(F.col("node").alias(column), F.col("component").alias(name))
-    return rows.join(at, column, "left").withColumn(name, F.coalesce(name, column))
-
-
-def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs in different components."""
-    return placed(placed(pairs, found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in").drop("a_in", "b_in")
-
-
 def best_partners(pairs: DataFrame) -> DataFrame:
     """Of each class the pair with its most agreeing partner."""
     both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agreeing"))
@@ -223,30 +168,6 @@ def best_partners(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def open_members(crowded: DataFrame, found: DataFrame) -> DataFrame:
-    """``(key, class, component, main)`` of the keys whose classes are in several
-    components; ``main`` is the one with most classes."""
-    met = placed(crowded.select("key", "class"), found, "class", "component")
-    groups = met.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("components"))
-    return met.join(groups.where("components > 1").select("key", "main"), "key")
-
-
-def hubs(opened: DataFrame) -> DataFrame:
-    """The open members, each with its key's ``hub``."""
-    sizes = opened.groupBy("key").agg(F.count("*").alias("n"))
-    weight = opened.join(sizes, "key").groupBy("class").agg(F.sum("n").alias("weight"))
-    chosen = opened.join(weight, "class").groupBy("key").agg(F.max_by("class", F.struct("weight", "class")).alias("hub"))
-    return opened.join(chosen, "key")
-
-
-def others_of_key(opened: DataFrame) -> DataFrame:
-    """All pairs of a key in different components: of each, one is not in ``main``."""
-    a = opened.where("component <> main").select("key", F.col("class").alias("x"), F.col("component").alias("x_in"))
-    b = opened.select("key", F.col("class").alias("y"), F.col("component").alias("y_in"))
-    return a.join(b, "key").where("x_in <> y_in").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
 # --- the job ----------------------------------------------------------------
 
 class Linker:
@@ -269,6 +190,10 @@ class Linker:
         if rest.limit(1).count():
             self.verify(rest)
 
+    def link_plausible(self, pairs: DataFrame) -> None:
+        """The same for pairs ``(a, b)``, after sizes and signatures."""
+        self.link(shared_table(plausible(apart(pairs, self.found), self.classes), "candidates"))
+
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` and ``kept``."""
@@ -281,21 +206,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = shared_table(buckets_of(keyed), "buckets")
     crowds = buckets.where("crowded").select("key", F.element_at("members", 1).alias("hub"))
     crowded = shared_table(keyed.join(crowds, "key"), "crowded")
-    pairs = shared_table(member_pairs(buckets).unionAll(star(crowded, "hub")).distinct(), "pairs")
+    pairs = shared_table(member_pairs(buckets.where("not crowded")).unionAll(star(crowded, "hub")).distinct(), "pairs")
     candidates = shared_table(plausible(pairs, classes), "candidates")
     some = candidates.select(F.explode(F.array("a", "b")).alias("class")).unionAll(crowded.select("class")).distinct()
     sets = shared_table(sets_of(rows, named.join(some, "class", "left_semi")).join(some, "class", "left_semi").dropDuplicates(["class"]), "sets")
 
     linker = Linker(classes, sets)
     linker.link(candidates)
-    steps: list[Callable[[DataFrame], DataFrame]] = [
-        lambda opened: star(hubs(opened), "hub"),
-        lambda opened: _twice_banded(opened, classes)]
-    for step in steps:
-        opened = shared_table(open_members(crowded, linker.found), "open")
-        if not opened.limit(1).count():
-            break
-        linker.link(shared_table(plausible(apart(step(opened), linker.found), classes), "candidates"))
+    still_open = lambda: shared_table(open_members(crowded, linker.found), "open")
+    opened = still_open()
+    if opened.limit(1).count():
+        linker.link_plausible(star(hubs(opened), "hub"))
+        opened = still_open()
+    if opened.limit(1).count():
+        some = sets.join(opened.select("class").distinct(), "class", "left_semi")
+        rare = shared_table(members_of(elements(some)).where("not crowded"), "rare-elements")
+        linker.link_plausible(member_pairs(rare.where("n > 1")).distinct())
+        opened = shared_table(with_common(still_open(), classes, rare, LINKED), "open")
+    if opened.limit(1).count():
+        linker.link_plausible(others_of_key(opened, LINKED))
 
     found = linker.found
     labelled = placed(named, found, "class", "component")
@@ -305,11 +234,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     out = joined.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
-
-
-def _twice_banded(opened: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of the open members that agree in a second band too."""
-    again = shared_table(regrouped(opened, classes), "twice-banded")
-    buckets = shared_table(buckets_of(again.select("key", "class")), "buckets")
-    crowded = again.join(buckets.where("crowded").select("key"), "key")
-    return member_pairs(buckets).unionAll(others_of_key(crowded)).distinct()

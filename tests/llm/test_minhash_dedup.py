@@ -141,3 +141,21 @@ def test_signatures_estimate_similarity():
 def test_orders_are_permutations():
     places = np.arange(1 << 20, dtype=np.uint32) * np.uint32(4096) + np.uint32(7)
     assert len(np.unique(minhash_dedup.order(places.copy(), np.empty_like(places)))) == 1 << 20
+
+
+def test_members_without_a_link_are_closed_one_by_one(spark):
+    """Copies that agree in bands but differ by too much: each has elements of its own, so
+    no pairs of them are left to compare; a pair that shares its edits is found."""
+    draw = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(edited(draw, base, 7))) for i in range(400)]
+    twin = edited(draw, base, 7)
+    rows += [(1000, " ".join(twin)), (1001, " ".join(edited(draw, twin, 2)))]
+    assert result(minhash_dedup.near_duplicates(table(spark, rows))) == brute(rows)
+    sets = {i: shingles(t) for i, t in rows}
+    keyed = [(hash(e) & 0xFFFFFFFFFFFF, i) for i, s in sets.items() for e in s]
+    rare = minhash_dedup.members_of(spark.createDataFrame(keyed, "key bigint, class bigint")).where("not crowded")
+    opened = spark.createDataFrame([(5, i, i, 0) for i in sets], "key bigint, class bigint, component bigint, main bigint")
+    classes = spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "class bigint, size bigint")
+    left = minhash_dedup.with_common(opened, classes, rare)
+    assert left.count() < 20 and minhash_dedup.others_of_key(left).count() < 20

@@ -293,6 +293,22 @@ def test_languages(documents, awkward, nothing):
     assert {r.language for r in none} == {"und"} and not any(r.accepted for r in none)
 
 
+def test_pairs_are_few_under_a_shared_passage(spark, monkeypatch):
+    """Texts of 60 words of their own and one passage of 45: the pairs that are compared grow
+    with the texts, not with their square; a few near copies among them are found."""
+    compared = []
+    plausible = jaccard_join.plausible
+    monkeypatch.setattr(jaccard_join, "plausible", lambda pairs, classes: compared.append(pairs.count()) or plausible(pairs, classes))
+    draw = np.random.default_rng(4)
+    passage, n = " ".join(f"p{i}" for i in range(45)), 3000
+    own = [[f"x{draw.integers(1 << 40)}" for _ in range(60)] for _ in range(n)]
+    rows = [(i, " ".join(w[:30]) + " " + passage + " " + " ".join(w[30:])) for i, w in enumerate(own)]
+    rows += [(n + i, " ".join(own[i][:30]) + " " + passage + " " + " ".join([*own[i][30:58], "new", "words"])) for i in range(5)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()}
+    assert got == {i: i for i in range(n)} | {n + i: i for i in range(5)}
+    assert sum(compared) < 60 * n
+
+
 def brute_posteriors(rows: list[dict]) -> dict:
     """Language and posterior of each row, from the definition, one row after the other."""
     declared = Counter(r["lang"] for r in rows if r["lang"])
