@@ -208,15 +208,16 @@ def tree_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
     order, ``TREE_LINES`` at a time, until one is left. The length goes into it, so a
     line feed at the end counts. The digest does not depend on how the file is split."""
     lines = numbered_lines(spark, paths, "piece", separator="\n", columns={"path": "_metadata.file_path", "length": "_metadata.file_size"})
-    level = lines.select("path", "length", "position", F.sha2(F.col("piece").cast("binary"), 256).alias("digest"))
-    longest = lines.agg(F.max("position")).first()[0] or 0  # one number
-    while True:
+    counts = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
+    longest = counts.agg(F.max("n")).first()[0] or 0
+    level = lines.join(counts, "path").select("path", "length", "n", "position", F.sha2(F.col("piece").cast("binary"), 256).alias("digest"))
+    while longest > 1:
         group = F.floor(F.col("position") / TREE_LINES)
         ordered = F.transform(F.sort_array(F.collect_list(F.struct("position", "digest"))), lambda x: x["digest"])  # TREE_LINES at most
-        level = level.groupBy("path", "length", group.alias("position")).agg(F.sha2(F.concat_ws(",", F.lit("node"), ordered), 256).alias("digest"))
-        longest //= TREE_LINES
-        if not longest:
-            break
+        above = level.where("n > 1").groupBy("path", "length", F.ceil(F.col("n") / TREE_LINES).alias("n"), group.alias("position")).agg(
+            F.sha2(F.concat_ws(",", F.lit("node"), ordered), 256).alias("digest"))
+        level = above.unionByName(level.where("n = 1"))  # the height of a file's tree is its own
+        longest = -(-longest // TREE_LINES)
     return level.select("path", "length", F.sha2(F.concat_ws(":", F.lit("tree"), F.col("length").cast("string"), "digest"), 256).alias("sha256"))
 
 

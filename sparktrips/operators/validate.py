@@ -33,11 +33,6 @@ def with_variant(df: DataFrame, payload: str = "payload") -> DataFrame:
     return df.withColumn(VARIANT, F.try_parse_json(F.col(payload)))
 
 
-#: The record as a map of texts: a missing member is absent, an explicit null is
-#: present; null where the body is not an object.
-MEMBERS = "_members"
-
-
 def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
@@ -75,105 +70,88 @@ def number_of(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), F.replace(F.btrim(text, F.lit(WHITE_SPACE)), F.lit("_")).try_cast("double"))
 
 
-def with_field_parts(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One struct column per request field holding (kind, num, txt).
-
-    The record is parsed once, to a map of texts. A text that reads as a number
-    settles its field; only for the others (null, junk, Boolean, nested) is the
-    record parsed again with its JSON types to tell them apart."""
-    d = df.withColumn(MEMBERS, F.from_json(F.col(payload), "MAP<STRING,STRING>"))
-    m = F.col(MEMBERS)
-    typed = F.try_parse_json(F.col(payload))
-    cols = []
-    for name, *_ in REQUEST_FIELDS:
-        txt = m[name]
-        present = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
-        by_type = _kind(F.lit(True), F.schema_of_variant(F.try_variant_get(typed, f"$.{name}", "variant")))
-        if name == "store_and_fwd_flag":
-            kind = F.when(~present, K_MISSING).when(txt.isin("Y", "N", "y", "n"), K_STRING).otherwise(by_type)
-            num = F.lit(None).cast("double")
-        else:
-            num = number_of(txt)
-            kind = F.when(~present, K_MISSING).when(num.isNotNull(), K_NUMBER).otherwise(by_type)
-            num = F.coalesce(num, F.when(txt.isin("true", "false") & (kind == K_BOOL), (txt == "true").cast("double")))
-            txt = F.lit(None).cast("string")
-        cols.append(F.struct(kind.alias("kind"), num.alias("num"), txt.alias("txt")).alias(_parts_col(name)))
-    keep = [c for c in d.columns if c != MEMBERS]
-    return d.select(*keep, m.isNotNull().alias("_is_object"), *cols)
-
-
-def field_message(name: str, default, gt, ge, lt, parts: Column) -> Column:
-    """Message for one field, or NULL. One error per field, first failing
-    rule wins: missing/required, null, type, then bounds (lt, ge, gt)."""
-    kind, num, txt = parts["kind"], parts["num"], parts["txt"]
-    missing = F.lit(MSG_REQUIRED) if default is None else F.lit(None).cast("string")
-    if name == "store_and_fwd_flag":
-        return (F.when(kind == K_MISSING, missing)
-                 .when(kind != K_STRING, F.lit(MSG_STRING))
-                 .when(~txt.isin("Y", "N", "y", "n"), F.lit(MSG_PATTERN.format(FLAG_PATTERN))))
-    out = (F.when(kind == K_MISSING, missing)
-            .when(kind == K_NULL, F.lit(MSG_NUMBER))
-            .when((kind == K_STRING) & num.isNull(), F.lit(MSG_NUMBER_PARSE))
-            .when((kind == K_OTHER) | num.isNull(), F.lit(MSG_NUMBER)))
-    nan = F.isnan(num)
-    if lt is not None:
-        out = out.when(nan | ~(num < F.lit(lt)), F.lit(MSG_LT.format(_num_txt(lt))))
-    if ge is not None:
-        out = out.when(nan | ~(num >= F.lit(ge)), F.lit(MSG_GE.format(_num_txt(ge))))
-    if gt is not None:
-        out = out.when(nan | ~(num > F.lit(gt)), F.lit(MSG_GT.format(_num_txt(gt))))
-    return out
+#: The fields as a constant array: what one expression over all of them needs to know.
+PARTS, _RECORD = "_parts", "_record"
 
 
-def field_error(v: Column | None, name: str, default, gt, ge, lt, prefix: Column | None = None,
-                parts: Column | None = None) -> Column:
-    """Error struct ``{field, message}`` for one field, or NULL. Without
-    ``parts`` the member is decoded from the variant ``v``."""
-    if parts is None:
-        present, jtype, num = field_parts(v, name)
-        parts = F.struct(_kind(present, jtype).alias("kind"), num.alias("num"),
-                         F.try_variant_get(v, f"$.{name}", "string").alias("txt"))
-    msg = field_message(name, default, gt, ge, lt, parts)
-    fname = F.lit(name) if prefix is None else F.concat(prefix, F.lit(name))
-    return F.when(msg.isNotNull(), F.struct(fname.alias("field"), msg.alias("message")))
+def _rules() -> Column:
+    def bound(x):
+        return F.lit(None if x is None else float(x)).cast("double")
 
+    def said(message, x):
+        return F.lit(None if x is None else message.format(_num_txt(x))).cast("string")
 
-ERROR_TYPE = "array<struct<field:string,message:string>>"
+    return F.array(*[F.struct(
+        F.lit(name).alias("name"), F.lit(name == "store_and_fwd_flag").alias("is_flag"), F.lit(default is None).alias("required"),
+        bound(lt).alias("lt"), bound(ge).alias("ge"), bound(gt).alias("gt"),
+        said(MSG_LT, lt).alias("lt_message"), said(MSG_GE, ge).alias("ge_message"), said(MSG_GT, gt).alias("gt_message"))
+        for name, default, gt, ge, lt in REQUEST_FIELDS])
 
 
-def compact(items: list[Column], elem_type: str = ERROR_TYPE) -> Column:
-    """Non-null items as an array, built with ``concat`` of one-element arrays
-    (codegen-friendly; a ``filter`` lambda would run interpreted)."""
-    empty = F.array().cast(elem_type)
-    return F.concat(*[F.when(i.isNotNull(), F.array(i)).otherwise(empty) for i in items])
+def field_parts_array(record: Column) -> Column:
+    """Per field ``(name, kind, num, txt, message)`` of a record, a map of variants. One expression serves all fields, in
+    steps over arrays, so that each step's values are there for the next one and the
+    generated code stays small (nine copies of the rules are too long for the JIT)."""
+    met = F.transform(_rules(), lambda r: F.struct(
+        r.alias("rule"), F.map_contains_key(record, r["name"]).alias("present"), F.try_element_at(record, r["name"]).alias("v")))
+    typed = F.transform(met, lambda f: F.struct(
+        f["rule"].alias("rule"), F.coalesce(f["present"], F.lit(False)).alias("present"), F.schema_of_variant(f["v"]).alias("type"), f["v"].alias("v"),
+        F.try_variant_get(f["v"], "$", "string").alias("txt")))
+    kinds = F.transform(typed, lambda f: F.struct(
+        f["rule"].alias("rule"), f["txt"].alias("txt"), _kind(f["present"], f["type"]).alias("kind"), f["v"].alias("v")))
+    numbers = F.transform(kinds, lambda f: F.struct(
+        f["rule"].alias("rule"), f["txt"].alias("txt"), f["kind"].alias("kind"),
+        F.when(~f["rule"]["is_flag"], F.when(f["kind"] == K_NUMBER, F.try_variant_get(f["v"], "$", "double"))
+               .when(f["kind"] == K_STRING, number_of(f["txt"])).when(f["kind"] == K_BOOL, (f["txt"] == "true").cast("double"))).alias("num")))
+    return F.transform(numbers, lambda f: F.struct(
+        f["rule"]["name"].alias("name"), f["kind"].alias("kind"), f["num"].alias("num"), F.when(f["rule"]["is_flag"], f["txt"]).alias("txt"),
+        F.when(f["rule"]["is_flag"], _flag_message(f)).otherwise(_number_message(f)).alias("message")))
 
 
-def _msg_col(name: str) -> str:
-    return f"_m_{name}"
+def _flag_message(f: Column) -> Column:
+    return (F.when(f["kind"] == K_MISSING, F.when(f["rule"]["required"], MSG_REQUIRED)).when(f["kind"] != K_STRING, MSG_STRING)
+             .when(~f["txt"].isin("Y", "N", "y", "n"), MSG_PATTERN.format(FLAG_PATTERN)))
 
 
-def with_field_errors(d: DataFrame, prefix: Column | None = None) -> DataFrame:
-    """Per-field messages as string columns (NULL when the field is fine)."""
-    msgs = [field_message(n, dflt, gt, ge, lt, F.col(_parts_col(n))).alias(_msg_col(n))
-            for n, dflt, gt, ge, lt in REQUEST_FIELDS]
-    return d.select("*", *msgs)
+def _number_message(f: Column) -> Column:
+    """One error per field, first failing rule wins: missing, null, type, then bounds (lt, ge, gt)."""
+    kind, num, rule = f["kind"], f["num"], f["rule"]
+    nan = F.isnan(num)
+    return (F.when(kind == K_MISSING, F.when(rule["required"], MSG_REQUIRED)).when(kind == K_NULL, MSG_NUMBER)
+             .when((kind == K_STRING) & num.isNull(), MSG_NUMBER_PARSE).when((kind == K_OTHER) | num.isNull(), MSG_NUMBER)
+             .when(rule["lt"].isNotNull() & (nan | ~(num < rule["lt"])), rule["lt_message"])
+             .when(rule["ge"].isNotNull() & (nan | ~(num >= rule["ge"])), rule["ge_message"])
+             .when(rule["gt"].isNotNull() & (nan | ~(num > rule["gt"])), rule["gt_message"]))
+
+
+def with_field_parts(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """``_is_object``, ``_parts`` and one struct column per request field holding (kind, num, txt).
+    The record is parsed once, to a map of variants, which is null where the body is no object."""
+    d = df.withColumn(_RECORD, F.from_json(F.col(payload), "MAP<STRING,VARIANT>"))
+    d = d.withColumns({"_is_object": F.col(_RECORD).isNotNull(), PARTS: field_parts_array(F.col(_RECORD))}).drop(_RECORD)
+    return d.select("*", *[F.col(PARTS)[i].alias(_parts_col(name)) for i, (name, *_) in enumerate(REQUEST_FIELDS)])
+
+
+def field_error(v: Column, name: str, default, gt, ge, lt) -> Column:
+    """Error struct ``{field, message}`` for one field, decoded from the variant ``v``, or NULL."""
+    present, jtype, num = field_parts(v, name)
+    rule = [i for i, (n, *_) in enumerate(REQUEST_FIELDS) if n == name][0]
+    f = F.struct(_rules()[rule].alias("rule"), _kind(present, jtype).alias("kind"), num.alias("num"), F.try_variant_get(v, f"$.{name}", "string").alias("txt"))
+    message = _flag_message(f) if name == "store_and_fwd_flag" else _number_message(f)
+    return F.when(message.isNotNull(), F.struct(F.lit(name).alias("field"), message.alias("message")))
 
 
 def errors_from_parts(prefix: Column | None = None) -> Column:
-    """All field errors of one record, in field declaration order (built from
-    the per-field columns of ``with_field_errors``)."""
+    """All field errors of one record, in field declaration order; the error of a body that is no object."""
     root = F.lit(ROOT) if prefix is None else F.regexp_replace(prefix, r"\.$", "")
-    def err(n):
-        fname = F.lit(n) if prefix is None else F.concat(prefix, F.lit(n))
-        return F.when(F.col(_msg_col(n)).isNotNull(), F.struct(fname.alias("field"), F.col(_msg_col(n)).alias("message")))
-    per_field = compact([err(n) for n, *_ in REQUEST_FIELDS])
+    bad = F.filter(PARTS, lambda p: p["message"].isNotNull())
+    per_field = F.transform(bad, lambda p: F.struct((p["name"] if prefix is None else F.concat(prefix, p["name"])).alias("field"), p["message"].alias("message")))
     return F.when(F.col("_is_object"), per_field).otherwise(
         F.array(F.struct(root.alias("field"), F.lit(MSG_NOT_OBJECT).alias("message"))))
 
 
 def _drop_parts(df: DataFrame) -> DataFrame:
-    return df.drop(MEMBERS, "_is_object", *[_parts_col(n) for n, *_ in REQUEST_FIELDS],
-                   *[_msg_col(n) for n, *_ in REQUEST_FIELDS])
+    return df.drop(PARTS, "_is_object", *[_parts_col(n) for n, *_ in REQUEST_FIELDS])
 
 
 def typed_values(parts_of=lambda n: F.col(_parts_col(n))) -> list[Column]:
@@ -193,7 +171,7 @@ def typed_values(parts_of=lambda n: F.col(_parts_col(n))) -> list[Column]:
 def validate_records(df: DataFrame, payload: str = "payload", with_values: bool = False) -> DataFrame:
     """V1-V3, V8: adds ``errors`` and ``accepted`` (and, with ``with_values``,
     the typed fields with defaults, decoded in the same pass)."""
-    d = with_field_errors(with_field_parts(df, payload))
+    d = with_field_parts(df, payload)
     d = d.withColumn(ERRORS, errors_from_parts()).withColumn("accepted", F.size(ERRORS) == 0)
     if with_values:
         d = d.select("*", *typed_values())
@@ -221,7 +199,9 @@ def malformed(df: DataFrame, payload: str = "payload") -> DataFrame:
     distance = F.col(_parts_col("trip_distance"))
     bad = (distance["kind"] != K_MISSING) & distance["num"].isNull()
     reason = F.when(~F.col("_is_object"), "not_object").when(bad, "unparsable_trip_distance")
-    return _drop_parts(d.withColumn("reason", reason)).where(F.col("reason").isNotNull())
+    # through a generator, so that the condition is not pushed into the decoding (see ``route``)
+    picked = d.select(F.explode_outer(F.when(reason.isNotNull(), F.array(F.struct(*df.columns, reason.alias("reason"))))).alias("_r"))
+    return picked.where(F.col("_r").isNotNull()).select("_r.*")
 
 
 def error_message(errors: str = ERRORS) -> Column:
@@ -342,7 +322,7 @@ def validate_batch(df: DataFrame, with_values: bool = False) -> DataFrame:
     """Validation of exploded batch rows: field paths ``trips.<i>.<field>``; a body
     without trips has an error for the body."""
     prefix = F.concat(F.lit(f"{TRIPS}."), F.col("trip_index").cast("string"), F.lit("."))
-    d = with_field_errors(with_field_parts(df, "payload"), prefix)
+    d = with_field_parts(df, "payload")
     d = d.withColumn(ERRORS, F.coalesce(_batch_error(), errors_from_parts(prefix))).withColumn("accepted", F.size(ERRORS) == 0)
     return _drop_parts(d.select("*", *typed_values()) if with_values else d)
 

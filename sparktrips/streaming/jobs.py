@@ -21,12 +21,13 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sparktrips.config import BATCH_MAX_TRIPS, DEFAULT_SETTINGS
 from sparktrips.operators import logs, validate as V
@@ -44,8 +45,19 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                  .option("maxFilesPerTrigger", 64).parquet(sf_dir))
 
 
-def _run(query_builder, checkpoint: str):
-    q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+#: Batches without data. With a processing-time timeout Spark plans one after each batch, so
+#: a query that should stop when all data is read would never end; timeouts are looked at with
+#: the next data instead.
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _run(query_builder, checkpoint: str, spark: SparkSession):
+    before = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")  # taken over by the query when it starts
+    try:
+        q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -54,86 +66,59 @@ def _run(query_builder, checkpoint: str):
 
 # ------------------------------------------------------------- requests
 
-#: State store that ``transformWithState`` needs.
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ACCEPTED, BAD_TRIP, TOO_MANY, INCOMPLETE = "accepted", "request: rejected with its other trips", "request: too many trips", "request: incomplete"
+_DECIDED = "correlation_id string, row string, verdict string"
 
 
-class RequestState(StatefulProcessor):
+def _decide(timeout_ms: int):
     """Holds the trips of a request until as many as it declares are there.
 
     Once a request is sure to be rejected (a bad trip, too many trips) its trips are let
     go at once, and later ones pass through; so the state of a request is at most
-    ``BATCH_MAX_TRIPS`` trips. It is freed with the last trip, or by a timer that
-    starts with the first: then the trips at hand are rejected as incomplete."""
-
-    def __init__(self, timeout_ms: int):
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getListState("held", "row string")
-        self.known = handle.getValueState("known", "seen int, declared int, verdict string")
-
-    def _rows(self, key, rows: list[str], verdict: str) -> pd.DataFrame:
-        return pd.DataFrame({"correlation_id": [key[0]] * len(rows), "row": rows, "verdict": [verdict] * len(rows)})
-
-    def _free(self) -> None:
-        self.held.clear()
-        self.known.clear()
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.known.exists():
-            seen, declared, verdict = self.known.get()
-        else:
-            seen, declared, verdict = 0, None, None
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
-        for batch in rows:
+    ``BATCH_MAX_TRIPS`` trips. It is freed with the last trip, or when none has come for
+    the timeout: then the trips at hand are rejected as incomplete."""
+
+    def rows(key, trips: list[str], verdict: str) -> pd.DataFrame:
+        return pd.DataFrame({"correlation_id": [key[0]] * len(trips), "row": trips, "verdict": [verdict] * len(trips)})
+
+    def decide(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, declared, verdict, held = state.get if state.exists else (0, -1, "", "[]")
+        held = json.loads(held)
+        if state.hasTimedOut:
+            state.remove()
+            if held:
+                yield rows(key, held, INCOMPLETE)
+            return
+        for batch in batches:
             seen += len(batch)
-            counts = [int(n) for n in batch["declared"].dropna()]
-            declared = max(counts + ([declared] if declared is not None else []), default=None)
+            declared = max(declared, int(batch["declared"].fillna(-1).max()))
             trips = batch["row"].tolist()
-            if verdict is None:
-                verdict = BAD_TRIP if not batch["trip_ok"].all() else TOO_MANY if max(seen, declared or 0) > BATCH_MAX_TRIPS else None
-                if verdict is None:
-                    self.held.appendList([(t,) for t in trips])
-                    continue
-                trips = [r[0] for r in self.held.get()] + trips if self.held.exists() else trips
-                self.held.clear()
-            yield self._rows(key, trips, verdict)
-        if declared is not None and seen >= declared:
-            if verdict is None:
-                # more trips than declared are no whole request either
-                yield self._rows(key, [r[0] for r in self.held.get()], ACCEPTED if seen == declared else TOO_MANY)
-            self._free()
+            if not verdict:
+                held += trips
+                verdict = BAD_TRIP if not batch["trip_ok"].all() else TOO_MANY if max(seen, declared) > BATCH_MAX_TRIPS else ""
+                trips, held = (held, []) if verdict else ([], held)
+            if trips:
+                yield rows(key, trips, verdict)
+        if 0 <= declared <= seen:
+            state.remove()
+            if held:  # more trips than declared are no whole request either
+                yield rows(key, held, ACCEPTED if seen == declared else TOO_MANY)
         else:
-            self.known.update((seen, declared, verdict))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
-            yield self._rows(key, [r[0] for r in self.held.get()], INCOMPLETE)
-        self.held.clear()
-        self.known.clear()
+            state.update((seen, declared, verdict, json.dumps(held)))
+            state.setTimeoutDuration(timeout_ms)
 
-    def close(self) -> None:
-        pass
+    return decide
 
 
 def whole_requests(validated: DataFrame, timeout: dt.timedelta) -> DataFrame:
     """The rows of a stream of validated records with ``correlation_id``, ``accepted`` and
     ``declared`` (trips of the request), each once its request is decided, with ``verdict``."""
-    spark = validated.sparkSession
-    ship_package(spark)
-    spark.conf.set(*STATE_STORE)
-    schema = validated.schema
+    ship_package(validated.sparkSession)
     rows = validated.select("correlation_id", F.col("accepted").alias("trip_ok"), F.col("declared").cast("int").alias("declared"),
                             F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
-    decided = rows.groupBy("correlation_id").transformWithStateInPandas(
-        statefulProcessor=RequestState(int(timeout.total_seconds() * 1000)), outputStructType="correlation_id string, row string, verdict string",
-        outputMode="Append", timeMode="ProcessingTime")
-    return decided.select(F.from_json("row", schema).alias("r"), "verdict").select("r.*", "verdict")
+    decided = rows.groupBy("correlation_id").applyInPandasWithState(
+        _decide(int(timeout.total_seconds() * 1000)), _DECIDED, "seen int, declared int, verdict string, held string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return decided.select(F.from_json("row", validated.schema).alias("r"), "verdict").select("r.*", "verdict")
 
 
 def score_requests(accepted: DataFrame, scorer) -> DataFrame:
@@ -169,7 +154,7 @@ def run_scoring(requests: DataFrame, scorer, out: str, model_version: str = DEFA
         finally:
             batch.unpersist()
 
-    _run(validated.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint")
+    _run(validated.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint", requests.sparkSession)
     return {"root": out, "predictions": f"{out}/predictions", "rejects": f"{out}/rejects"}
 
 
@@ -262,7 +247,7 @@ def run_latency_windows(lines: DataFrame, out: str, width: str = "1 hour", delay
         finally:
             parts.unpersist()
 
-    _run(lat.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint")
+    _run(lat.writeStream.foreachBatch(write_batch), f"{out}/_checkpoint", spark)
     whole = latency_state(spark, out)
     return whole.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "calls",
                         F.round(F.try_divide("total_ms", "calls"), 6).alias("mean_ms"),

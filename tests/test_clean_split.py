@@ -120,3 +120,19 @@ def test_approximate_quantile_option(spark, sf_small):
     exact = clean.clean_trips(trips).count()
     approx = clean.clean_trips(trips, DEFAULT_SETTINGS.with_(quantile_accuracy=100000)).count()
     assert abs(exact - approx) <= 5
+
+
+def test_exact_split_equals_an_order_of_hashes(spark):
+    """Against md5 in Python, on unique keys, keys with copies that a cut tears, and few rows."""
+    import hashlib
+    from sparktrips.config import DEFAULT_SETTINGS as s
+    h = lambda k: int(hashlib.md5(f"{k}:{s.random_state}".encode()).hexdigest()[:8], 16)
+    for keys in ([str(i) for i in range(3001)], [str(i % 40) for i in range(1000)], ["same"] * 55, ["a"], [], [str(i) for i in range(4)]):
+        order = sorted(keys, key=lambda k: (h(k), k))
+        n_test = math.ceil(len(keys) * s.test_size)
+        n_val = math.ceil((len(keys) - n_test) * s.val_size)
+        expected = sorted(zip(order, ["test"] * n_test + ["val"] * n_val + ["train"] * len(keys)))
+        df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "trip_id string, x int").repartition(3)
+        got = split.exact_split(df)
+        assert sorted((r["trip_id"], r["split"]) for r in got.collect()) == expected
+        assert sorted(r["x"] for r in got.collect()) == list(range(len(keys)))
