@@ -356,8 +356,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         else:  # those that share a rare element have met, so the bounds hold for the others
             met = others_of_key(shared_table(with_common(opened, classes, rare, LINKED), "still-open"), LINKED)
         candidates = shared_table(plausible(apart(met, found).distinct().withColumn("n", F.lit(1)), classes), "open-pairs")
-        known = found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-        found = components(known.unionAll(linked(candidates, rows, classes)))
+        if candidates.limit(1).count() and (links := linked(candidates, rows, classes)).limit(1).count():
+            known = found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+            found = components(known.unionAll(links))
 
     # the component's id: the least id of its classes; classes without links are their own
     labelled = classes.select("class", "id").join(found.withColumnRenamed("node", "class"), "class", "left")

@@ -179,20 +179,22 @@ class Linker:
 
     def verify(self, pairs: DataFrame) -> None:
         """Takes in the links among the pairs ``(a, b)``."""
-        links = verified(apart(pairs, self.found), self.sets)
+        links = shared_table(verified(apart(pairs, self.found), self.sets), "links")
+        if not links.limit(1).count():
+            return
         known = self.found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
         self.found = components(known.unionAll(links))
 
     def link(self, candidates: DataFrame) -> None:
         """The same, each class's most agreeing partner first."""
         self.verify(best_partners(candidates))
-        rest = shared_table(apart(candidates, self.found), "apart")
-        if rest.limit(1).count():
-            self.verify(rest)
+        self.verify(shared_table(apart(candidates, self.found), "apart"))
 
     def link_plausible(self, pairs: DataFrame) -> None:
-        """The same for pairs ``(a, b)``, after sizes and signatures."""
-        self.link(shared_table(plausible(apart(pairs, self.found), self.classes), "candidates"))
+        """The same for pairs ``(a, b)``, after sizes and signatures, all at once."""
+        candidates = shared_table(plausible(apart(pairs, self.found), self.classes), "candidates")
+        if candidates.limit(1).count():
+            self.verify(candidates)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

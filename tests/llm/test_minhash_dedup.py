@@ -157,5 +157,5 @@ def test_members_without_a_link_are_closed_one_by_one(spark):
     rare = minhash_dedup.members_of(spark.createDataFrame(keyed, "key bigint, class bigint")).where("not crowded")
     opened = spark.createDataFrame([(5, i, i, 0) for i in sets], "key bigint, class bigint, component bigint, main bigint")
     classes = spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "class bigint, size bigint")
-    left = minhash_dedup.with_common(opened, classes, rare)
-    assert left.count() < 20 and minhash_dedup.others_of_key(left).count() < 20
+    left = minhash_dedup.with_common(opened, classes, rare, minhash_dedup.LINKED)
+    assert left.count() < 20 and minhash_dedup.others_of_key(left, minhash_dedup.LINKED).count() < 20
