@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -50,10 +51,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def release_memory() -> None:
+    """Gives memory that the worker no longer uses back to the system: workers live as
+    long as the application, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+    """``mapInArrow`` with this package at hand on the executors; a task's memory is
+    released at its end."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 # --- scratch data -----------------------------------------------------------
