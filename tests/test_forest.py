@@ -131,3 +131,19 @@ def test_awkward_rows(spark):
     constant = ForestRegressor(featureCols=NAMES, numTrees=2).fit(df.withColumn("label", F.lit(4.5)))
     assert constant.nodes.count() == 2 and constant.transform(df.limit(1)).first()["prediction"] == pytest.approx(4.5)
     assert model.transform(df.where("false")).count() == 0
+
+
+def test_a_large_model_is_scored_by_cells_without_the_driver(spark, monkeypatch):
+    df = table(spark, 3000, parts=5).withColumn("k", F.col("k") + 7)
+    model = ForestRegressor(featureCols=NAMES, keyCol="k", numTrees=5, subtreeRows=200).fit(df)
+    odd = df.withColumn("b", F.when(F.col("k") % 3 == 0, None).when(F.col("k") % 7 == 0, float("nan")).otherwise(F.col("b"))).unionAll(df)
+    at_once = sorted((r["k"], r["prediction"]) for r in model.transform(odd).collect())
+    monkeypatch.setattr(forest, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(forest, "PACK_NODES", 10)
+    monkeypatch.setattr(ForestModel, "_flat_blocks", lambda self: pytest.fail("the trees went through the driver"))
+    for subtree_rows in (200, 50, 1_000_000):
+        again = ForestModel(thresholds=model.thresholds, nodes=model.nodes)
+        model._copyValues(again)
+        again._set(subtreeRows=subtree_rows)
+        assert sorted((r["k"], r["prediction"]) for r in again.transform(odd).collect()) == at_once
+    assert again.transform(odd.where("false")).count() == 0
