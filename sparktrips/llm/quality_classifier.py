@@ -33,6 +33,8 @@ gives an empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,9 @@ QUANTILE, TOLERANCE = 0.99, 1.1
 MIN_TRUSTED = 50
 #: Bins per bit of entropy in which quantiles are counted.
 BINS = 512
+#: Bytes of text whose characters are counted, and that are scored, at a time: what is computed from
+#: a text takes some 60 times its bytes, and in scoring stays in the cache.
+COUNTED_BYTES, SCORED_BYTES = 1 << 20, 1 << 18
 
 _SYMBOL = np.full(256, 29, np.uint8)  # other ASCII
 _SYMBOL[128:192], _SYMBOL[192:] = 31, 30  # continuation and leading bytes
@@ -147,7 +152,7 @@ def with_entropy(rows: DataFrame, table: np.ndarray) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = shared.value
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SCORED_BYTES):
             code, sizes = codes(text_bytes(part.column("text")))
             owner = np.repeat(np.arange(len(sizes)), sizes)
             bits = -np.bincount(owner, weights=logs[code], minlength=len(sizes)) / np.maximum(sizes, 1)
@@ -163,18 +168,25 @@ def with_entropy(rows: DataFrame, table: np.ndarray) -> DataFrame:
 BEGIN, END = 0x110000, 0x110001
 
 
+@cache
+def character_hashes() -> np.ndarray:
+    """The hash of each code point, A-Z lower-cased, and of ``BEGIN`` and ``END``."""
+    points = np.arange(END + 1, dtype=np.uint64)
+    points[65:91] += np.uint64(32)
+    return mix(points + np.uint64(1))
+
+
 def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the characters of all texts, each text between ``BEGIN`` and ``END``,
     and where each text ends."""
     sizes = np.array([len(t or "") for t in texts], np.int64)
     points = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where((points >= 65) & (points <= 90), points + 32, points)
     ends = np.cumsum(sizes + 2)
-    out = np.zeros(len(points) + 2 * len(sizes), np.uint64)
+    out = np.zeros(len(points) + 2 * len(sizes), np.uint32)
     inside = np.ones(len(out), bool)
     inside[ends - 1] = inside[ends - sizes - 2] = False
     out[inside], out[ends - 1], out[ends - sizes - 2] = points, END, BEGIN
-    return mix(out + np.uint64(1)), ends
+    return character_hashes()[out], ends
 
 
 BEGIN_KEY = int(mix(np.array([BEGIN + 1], np.uint64)).view(np.int64)[0])
@@ -185,11 +197,11 @@ def character_counts(texts: DataFrame) -> DataFrame:
     ``text``: keys of their first and last characters (all but one) and their own."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", COUNTED_BYTES):
             hashes, ends = characters(part.column("text").to_pylist())
             none = np.zeros(len(hashes), np.uint64)
-            orders = [(none, none, hashes), *((a, b, gram_keys(a, b)) for a, b, _ in grams(hashes, ends, CHAR_ORDER))]
-            for k, (first, second, keys) in enumerate(orders, 1):
+            longer = ((a, b, gram_keys(a, b)) for a, b, _ in grams(hashes, ends, CHAR_ORDER))  # one order at a time
+            for k, (first, second, keys) in enumerate(chain([(none, none, hashes)], longer), 1):
                 key, one, n = np.unique(keys, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), k, np.int8)), signed(first[one]), signed(second[one]), signed(key), pa.array(n, pa.int64())],
                                                  ["k", "first", "second", "key", "n"])
@@ -262,13 +274,14 @@ class HotWeights:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weight of each key (0 where it is not hot), and whether it is hot."""
-        place = keys & self.mask
+        place = (keys & self.mask).view(np.int64)  # numpy looks up signed places faster
         found = self.keys[place] == keys
-        out = np.where(found, self.weights[place], 0.0)
+        out, miss = self.weights[place], np.flatnonzero(~found)
+        out[miss] = 0.0
         if len(self.more):
-            miss = np.flatnonzero(~found)
-            at = np.minimum(np.searchsorted(self.more, keys[miss]), len(self.more) - 1)
-            hit = self.more[at] == keys[miss]
+            keys = keys[miss]
+            at = np.minimum(np.searchsorted(self.more, keys), len(self.more) - 1)
+            hit = self.more[at] == keys
             out[miss[hit]], found[miss[hit]] = self.more_weights[at[hit]], True
         return out, found
 
@@ -280,7 +293,7 @@ def with_character_bits(rows: DataFrame, weights: DataFrame, hot: float, unknown
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_weights, begin = shared.value, np.array([BEGIN_KEY], np.int64).view(np.uint64)[0]
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SCORED_BYTES):
             hashes, ends = characters(part.column("text").to_pylist())
             size, lengths = part.num_rows, np.diff(ends, prepend=0)
             owner = np.repeat(np.arange(size), lengths)
