@@ -196,3 +196,20 @@ def test_stream_score_with_pipeline_equals_batch(spark, sf_small):
     both = stream.join(batch, keys, "full_outer")
     assert both.filter(F.col("p_stream").isNull() | F.col("p_batch").isNull()).count() == 0
     assert both.agg(F.max(F.abs(F.col("p_stream") - F.col("p_batch")))).first()[0] == 0.0
+
+
+def test_records_are_decoded_once_and_not_row_by_row_in_the_interpreter(spark):
+    df = spark.createDataFrame([(1, '{"trip_distance": 1}')], "pos int, payload string")
+    plan = V.route(V.validate_records(df, with_values=True), True, ["pos", "trip_distance", "store_and_fwd_flag"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "transform(" not in plan
+
+
+def test_null_duplicate_and_odd_members(spark):
+    base = '"fare_amount": 1, "total_amount": 1'
+    rows = _validate(spark, ['{"trip_distance": true, %s}' % base, '{"trip_distance": " 1_0 ", %s, "tip_amount": null}' % base,
+                             '{"trip_distance": [1], %s, "store_and_fwd_flag": null}' % base, '{"trip_distance": {"a": 1}, "fare_amount": "x", "total_amount": NaN}', "[1, 2]"])
+    said = [[e["field"] for e in r["errors"]] for r in rows]
+    assert said == [[], ["tip_amount"], ["trip_distance", "store_and_fwd_flag"], ["trip_distance", "fare_amount", "total_amount"], ["root"]]
+    assert [r["trip_distance"] for r in rows] == [1.0, 10.0, None, None, None]
+    null = V.validate_records(spark.createDataFrame([(None,)], "payload string")).first()
+    assert not null["accepted"] and null["errors"][0]["field"] == "root"
