@@ -116,3 +116,11 @@ def test_flag_ignores_all_white_space(spark):
     rows = [("Y\t", 1), ("\n y ", 1), ("N", 0), ("Y Y", 0), (None, 0)]
     df = spark.createDataFrame(rows, "f string, e int")
     assert df.where(encode_flag_string("f") != F.col("e")).count() == 0
+
+
+def test_records_are_decoded_once_for_all_keys(spark):
+    rows = [(1, '{"trip_distance": "1_0", "store_and_fwd_flag_encoded": 1}'), (2, '{"trip_distance": "x"}'), (3, "[1]"), (4, None), (5, '{"tip_amount": null}')]
+    df = features.prepare_features(spark.createDataFrame(rows, "pos int, payload string"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    got = {r["pos"]: r for r in df.collect()}
+    assert sorted(got) == [1, 3, 4] and got[1]["trip_distance"] == 10.0 and got[1]["store_and_fwd_flag_encoded"] == 1
