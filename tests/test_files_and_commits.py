@@ -212,3 +212,35 @@ def test_a_vocabulary_of_many_names(spark):
     assert tuple(ends) == (0, n, n + 1) and found.vocabulary.where("name = 'odd'").first()["index"] == 0
     vector = found.transform(df.where("id in (7, 8)")).orderBy("id").collect()
     assert [v["features"].numNonzeros() for v in vector] == [2, 1] and vector[0]["features"].size == n + 1
+
+
+def test_requests_share_states(spark, tmp_path, monkeypatch):
+    """Python is called per state, not per request; requests in one state are decided and timed out each on its own."""
+    monkeypatch.setattr(jobs, "STATES", 1)
+    good = '{"trip_distance": 2, "fare_amount": 5, "total_amount": 6}'
+    source, out = str(tmp_path / "in"), scratch_path(spark, "shared")
+    schema = "request_id string, pos int, l_partkey bigint, l_suppkey bigint, payload string, declared bigint"
+
+    def run(timeout):
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        jobs.run_scoring(stream, lambda df: df.withColumn("prediction", F.lit(1.0)), out, timeout=timeout)
+        rejects = epochs.read_epochs(spark, out, "rejects").select("request_id", "message").distinct().collect()
+        return {r["request_id"] for r in epochs.read_epochs(spark, out, "predictions").collect()}, {tuple(r) for r in rejects}
+
+    _write(spark, f"{source}/part=0", [(f"request-{i}", 0, 1, 1, good, 2) for i in range(40)])
+    assert run(dt.timedelta(milliseconds=1)) == (set(), set())
+    assert spark.read.format("statestore").load(f"{out}/_checkpoint").count() == 1  # was one for each request
+    _write(spark, f"{source}/part=1", [(f"request-{i}", 1, 1, 1, good, 2) for i in range(30)])
+    scored, rejected = run(dt.timedelta(hours=1))
+    assert scored == {f"request-{i}" for i in range(30)}
+    assert rejected == {(f"request-{i}", jobs.INCOMPLETE) for i in range(30, 40)}
+    assert spark.read.format("statestore").load(f"{out}/_checkpoint").count() == 0
+
+
+def test_equal_records_without_request_id_are_one_request_in_parts(spark):
+    good = '{"trip_distance": 2, "fare_amount": 5, "total_amount": 6}'
+    rows = [(None, 0, i, 1, good) for i in range(3)] + [("a", 0, 1, 1, good), ("a", 1, 1, 1, good)]
+    requests = spark.createDataFrame(rows, "request_id string, pos int, l_partkey bigint, l_suppkey bigint, payload string")
+    root = jobs.stream_score_parts(spark, requests, lambda df: df.withColumn("prediction", F.lit(1.0)))["root"]
+    scored = epochs.read_epochs(spark, root, "predictions").collect()
+    assert sorted((r["request_id"] or "", r["pos"], r["l_partkey"]) for r in scored) == [("", 0, 0), ("", 0, 1), ("", 0, 2), ("a", 0, 1), ("a", 1, 1)]
