@@ -12,15 +12,16 @@ Classes under one band value form a bucket. Buckets are found by one grouped
 aggregation of fixed size (the least and the greatest class of four slices of the
 names, and the number), so that no bucket is ever gathered in one task. Where these
 are all members, all their pairs are candidates; else the bucket is crowded, and each
-member is paired with the bucket's first, which is linear. Candidates must have fitting
+class is paired with the first of two of its crowded buckets: two rows a class, however
+many buckets of a group of copies it is in. Candidates must have fitting
 sizes and enough agreeing coordinates (6 standard deviations below the threshold's);
 those that lie in different components are verified exactly on their sets, each
 class's most agreeing partner first.
 
 Crowded buckets whose members are still in different components are taken further, which
-holds copies of one text that differ too much from each other. First every member is
-paired with the bucket's hub, the class that stands in the most and largest open
-buckets (the text that others were copied from). Then the elements of the members are
+holds copies of one text that differ too much from each other. First each class is
+paired with the hubs of two of its open buckets; a hub is the class that stands in the most
+open buckets (the text that others were copied from). Then the elements of the members are
 grouped by the same aggregation: members that share an element which few hold are
 paired, and of any other pair both can share at most their *common* elements. That
 bounds the sizes of a member's partners, so most of the members without a link are
@@ -48,8 +49,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrips.llm.buckets import apart, as_longs, buckets_of, elements, hubs, member_pairs, members_of, open_members, others_of_key, placed, Similarity, star, unpacked, \
-    with_common
+from sparktrips.llm.buckets import SLICES, apart, as_longs, buckets_of, elements, few_keys, member_pairs, members_of, open_members, others_of_key, placed, \
+    Similarity, star, unpacked, with_common  # noqa: F401 - SLICES is part of what buckets_of promises
 from sparktrips.llm.common import map_arrow, mix, shared_table, slices, text_bytes
 from sparktrips.llm.jaccard_join import components, Sets, sets_of
 
@@ -168,6 +169,12 @@ def best_partners(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def central(opened: DataFrame) -> DataFrame:
+    """Per open key its ``hub``, the class that stands in the most open buckets."""
+    weight = opened.groupBy("class").agg(F.count("*").alias("weight"))
+    return opened.join(weight, "class").groupBy("key").agg(F.max_by("class", F.struct("weight", "class")).alias("hub"))
+
+
 # --- the job ----------------------------------------------------------------
 
 class Linker:
@@ -207,8 +214,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = classes.select("class", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("key"), "class")
     buckets = shared_table(buckets_of(keyed), "buckets")
     crowds = buckets.where("crowded").select("key", F.element_at("members", 1).alias("hub"))
-    crowded = shared_table(keyed.join(crowds, "key"), "crowded")
-    pairs = shared_table(member_pairs(buckets.where("not crowded")).unionAll(star(crowded, "hub")).distinct(), "pairs")
+    crowded = shared_table(keyed.join(crowds, "key", "left_semi"), "crowded")
+    near_first = star(few_keys(crowded).join(crowds, "key"), "hub")
+    pairs = shared_table(member_pairs(buckets.where("not crowded")).unionAll(near_first).distinct(), "pairs")
     candidates = shared_table(plausible(pairs, classes), "candidates")
     some = candidates.select(F.explode(F.array("a", "b")).alias("class")).unionAll(crowded.select("class")).distinct()
     sets = shared_table(sets_of(rows, named.join(some, "class", "left_semi")).join(some, "class", "left_semi").dropDuplicates(["class"]), "sets")
@@ -218,7 +226,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     still_open = lambda: shared_table(open_members(crowded, linker.found), "open")
     opened = still_open()
     if opened.limit(1).count():
-        linker.link_plausible(star(hubs(opened), "hub"))
+        linker.link_plausible(star(few_keys(opened).join(central(opened), "key"), "hub").distinct())
         opened = still_open()
     if opened.limit(1).count():
         some = sets.join(opened.select("class").distinct(), "class", "left_semi")

@@ -159,3 +159,16 @@ def test_members_without_a_link_are_closed_one_by_one(spark):
     classes = spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "class bigint, size bigint")
     left = minhash_dedup.with_common(opened, classes, rare, minhash_dedup.LINKED)
     assert left.count() < 20 and minhash_dedup.others_of_key(left, minhash_dedup.LINKED).count() < 20
+
+
+def test_a_class_meets_few_hubs_however_many_buckets_it_is_in(spark):
+    """Members of a group of copies share most of their 48 buckets; the rows joined are two a class."""
+    crowded = spark.createDataFrame([(key, c) for key in range(48) for c in range(key % 3, 300)], "key bigint, class bigint")
+    few = minhash_dedup.few_keys(crowded).collect()
+    assert len(few) <= 2 * 300 and {r["class"] for r in few} == set(range(300))
+    hubs = {r.key: r.hub for r in minhash_dedup.central(crowded).collect()}
+    assert set(hubs) == set(range(48)) and all(h >= 2 for h in hubs.values())  # classes 0 and 1 are in fewer
+    draw = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(edited(draw, base, 2 + i % 4))) for i in range(150)]
+    assert result(minhash_dedup.near_duplicates(table(spark, rows))) == brute(rows)
