@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from sparktrips.session import scratch_path, ship_package
 
+_PACKED = "h binary, bins binary, y binary"
 NODE_SCHEMA = "tree int, node bigint, feature int, bin int, value double, gain double, weight double"
 #: Rows that the thresholds are taken from: as many as Spark ML takes, at least.
 SAMPLE_ROWS = 1 << 16
@@ -56,6 +57,8 @@ BLOCK_BYTES = 1 << 25
 CHUNK_BITS, PACK_NODES = 12, 1 << 11
 #: Rows that walk a tree together.
 WALK_ROWS = 1 << 14
+#: Binned rows in one record of the table that trees grow from, and rows that a task counts or deals together.
+PACK_ROWS, COUNT_ROWS = 1 << 8, 1 << 16
 _U = np.uint64
 
 
@@ -175,12 +178,15 @@ class Top:
         self.leaves: list[set[int]] = [set() for _ in range(trees)]
         self._sorted: dict[int, tuple] = {}
 
-    def _arrays(self, tree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, features and bins of a tree's splits, by id; splits are only ever added."""
+    def _arrays(self, tree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, features and bins of a tree's splits, by id, and the places of their children, left and right in
+        turn (-1: no split); splits are only ever added."""
         splits = self.splits[tree]
         if tree not in self._sorted or len(self._sorted[tree][0]) != len(splits):
             ids = np.array(sorted(splits), np.int64)
-            self._sorted[tree] = ids, *(np.array([splits[i][k] for i in ids.tolist()]) for k in (0, 1))
+            children = (2 * ids[:, None] + np.arange(2)).ravel()
+            place = np.minimum(np.searchsorted(ids, children), len(ids) - 1)
+            self._sorted[tree] = ids, *(np.array([splits[i][k] for i in ids.tolist()]) for k in (0, 1)), np.where(ids[place] == children, place, -1)
         return self._sorted[tree]
 
     def cell_of(self, tree: int, node: np.ndarray) -> np.ndarray:
@@ -204,13 +210,15 @@ class Top:
         at = np.ones(len(bins), np.int64)
         if not self.splits[tree]:
             return at
-        ids, feature, cut = self._arrays(tree)
-        moving = np.arange(len(bins))
+        ids, feature, cut, children = self._arrays(tree)
+        moving, place = (np.arange(len(bins)), np.zeros(len(bins), np.int64)) if ids[0] == 1 else (np.zeros(0, np.int64),) * 2
+        flat, features = bins.ravel(), bins.shape[1]
         while len(moving):
-            place = np.minimum(np.searchsorted(ids, at[moving]), len(ids) - 1)
-            inner = ids[place] == at[moving]
+            right = flat[moving * features + feature[place]] > cut[place]
+            at[moving] = 2 * ids[place] + right
+            place = children[2 * place + right]
+            inner = place >= 0
             moving, place = moving[inner], place[inner]
-            at[moving] = 2 * at[moving] + (bins[moving, feature[place]] > cut[place])
         return at
 
 
@@ -222,17 +230,21 @@ def histograms(rows: DataFrame, top: Top, active: list[tuple[int, int]], feature
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {tree: np.zeros((2, len(nodes) * features * bins)) for tree, nodes in wanted.items()}
-        for batch in batches:
-            hashes, b, y = _arrays(batch, features)
+        for hashes, b, y in _unpacked(batches, features):
             for tree, nodes in wanted.items():
                 ids = np.array(sorted(nodes), np.int64)
-                at = top.node_of(tree, b)
-                place = np.minimum(np.searchsorted(ids, at), len(ids) - 1)
                 w = bag_weights(hashes, tree, seed, bootstrap)
-                own = np.flatnonzero((ids[place] == at) & (w > 0))
-                cell = (place[own, None] * features + np.arange(features)) * bins + b[own]
-                for k, values in enumerate((w[own], w[own] * y[own])):
-                    sums[tree][k] += np.bincount(cell.ravel(), np.repeat(values, features), minlength=sums[tree].shape[1])
+                bag = np.flatnonzero(w > 0)
+                rows = b[bag]
+                at = top.node_of(tree, rows)
+                place = np.minimum(np.searchsorted(ids, at), len(ids) - 1)
+                own = ids[place] == at
+                place, rows, w, y_own = place[own], rows[own], w[bag][own], y[bag][own]
+                total = w * y_own
+                for f in range(features):
+                    cell = (place * features + f) * bins + rows[:, f]
+                    for k, values in enumerate((w, total)):
+                        sums[tree][k] += np.bincount(cell, values, minlength=sums[tree].shape[1])
         for tree, (w, s) in sums.items():
             ids, full = np.array(sorted(wanted[tree]), np.int64), np.flatnonzero(w)
             columns = [pa.array(np.full(len(full), tree, np.int32)), pa.array(ids[full // (features * bins)]), pa.array((full // bins % features).astype(np.int32)),
@@ -271,15 +283,18 @@ def _arrow_schema(left: bool = False) -> pa.Schema:
     return pa.schema(fields + [("left", pa.float64())] * left)
 
 
-def _arrays(batch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, bins and labels of binned rows."""
-    column = batch.column("bins")
-    data = b"".join(column.to_pylist()) if not isinstance(column, pa.ChunkedArray) else b"".join(column.combine_chunks().to_pylist())
-    kind = np.uint8 if len(data) == batch.num_rows * features else np.uint16
-    bins = np.frombuffer(data, kind).reshape(-1, features)
-    hashes = batch.column("h").to_numpy(zero_copy_only=False) if not isinstance(batch, pa.Table) else batch.column("h").to_numpy()
-    label = batch.column("y").to_numpy(zero_copy_only=False) if not isinstance(batch, pa.Table) else batch.column("y").to_numpy()
-    return hashes.astype(np.int64).view(_U), bins, label
+def _kind_of(size: int, values: int) -> type:
+    """The type of the bins by the bytes of so many of them."""
+    return np.uint8 if size == values else np.uint16
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes, bins and labels of packed rows, about ``COUNT_ROWS`` at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, COUNT_ROWS // PACK_ROWS):
+            h, b, y = (b"".join(batch.column(c).slice(start, COUNT_ROWS // PACK_ROWS).to_pylist()) for c in ("h", "bins", "y"))
+            label = np.frombuffer(y, float)
+            yield np.frombuffer(h, _U), np.frombuffer(b, _kind_of(len(b), len(label) * features)).reshape(-1, features), label
 
 
 # --- parameters, estimator, model -----------------------------------------------
@@ -347,15 +362,13 @@ class ForestRegressor(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
             for batch in batches:
                 if batch.num_rows:
                     bins = binned([batch.column(f"f{i}").to_numpy(zero_copy_only=False) for i in range(len(thresholds))], thresholds)
-                    data = np.ascontiguousarray(bins).view(np.uint8).reshape(batch.num_rows, -1)
-                    ends = np.arange(batch.num_rows + 1, dtype=np.int32) * data.shape[1]
-                    packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())])
                     label = np.rint(batch.column("y").to_numpy(zero_copy_only=False) * 2.0 ** shift)
-                    yield pa.RecordBatch.from_arrays([batch.column("h"), packed, pa.array(label)], ["h", "bins", "y"])
+                    ends = np.append(np.arange(0, batch.num_rows, PACK_ROWS), batch.num_rows)
+                    yield pa.RecordBatch.from_arrays([_packed(x, ends) for x in (batch.column("h").to_numpy(zero_copy_only=False), np.ascontiguousarray(bins), label)], ["h", "bins", "y"])
 
         path = scratch_path(rows.sparkSession, "forest-rows")
-        rows.mapInArrow(bin_rows, "h bigint, bins binary, y double").write.parquet(path)
-        return rows.sparkSession.read.schema("h bigint, bins binary, y double").parquet(path)
+        rows.mapInArrow(bin_rows, _PACKED).write.parquet(path)
+        return rows.sparkSession.read.schema(_PACKED).parquet(path)
 
     def _grow(self, table: DataFrame, n: int, features: int) -> DataFrame:
         get = self.getOrDefault
@@ -385,30 +398,34 @@ class ForestRegressor(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         shared = spark.sparkContext.broadcast(top)
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hashes, b, y = _arrays(batch, features)
+            for hashes, b, y in _unpacked(batches, features):
                 for tree in range(trees):
                     w = bag_weights(hashes, tree, seed, bootstrap)
-                    node = shared.value.node_of(tree, b)
-                    ended = np.array(sorted(shared.value.leaves[tree]), np.int64)
-                    own = np.flatnonzero((w > 0) & ~np.isin(node, ended))
-                    if len(own):
-                        taken = pa.array(own)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(own), tree, np.int32)), pa.array(node[own]), batch.column("bins").take(taken), batch.column("y").take(taken), pa.array(w[own])],
-                            ["tree", "node", "bins", "y", "w"])
+                    bag = np.flatnonzero(w > 0)
+                    node = shared.value.node_of(tree, b[bag])
+                    if shared.value.leaves[tree]:
+                        ended = np.array(sorted(shared.value.leaves[tree]), np.int64)
+                        goes_on = ~np.isin(node, ended)
+                        bag, node = bag[goes_on], node[goes_on]
+                    if len(bag):
+                        by = np.argsort(node, kind="stable")
+                        own, node = bag[by], node[by]
+                        ends = _starts(node)
+                        first = node[ends[:-1]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), tree, np.int32)), pa.array(first), *(_packed(x, ends) for x in (b[own], y[own], w[own]))],
+                                                         ["tree", "node", "bins", "y", "w"])
 
         def finish(group: pa.Table) -> pa.Table:
-            data = b"".join(group.column("bins").to_pylist())
-            kind = np.uint8 if len(data) == group.num_rows * features else np.uint16
-            found = grow(np.frombuffer(data, kind).reshape(-1, features), group.column("y").to_numpy(), group.column("w").to_numpy(),
+            bins, y, w = (b"".join(group.column(c).to_pylist()) for c in ("bins", "y", "w"))
+            label = np.frombuffer(y, float)
+            found = grow(np.frombuffer(bins, _kind_of(len(bins), len(label) * features)).reshape(-1, features), label, np.frombuffer(w, float),
                          group.column("node")[0].as_py(), depth, least)
             columns = {"tree": np.full(len(found["node"]), group.column("tree")[0].as_py(), np.int32), **found}
             return pa.table({f.name: pa.array(columns[f.name]).cast(f.type) for f in _arrow_schema()}, schema=_arrow_schema())
 
         # a task per few subtrees: the work is in the tasks, not in the bytes that adaptive merging goes by
         parts = max(1, min(small, max(4 * spark.sparkContext.defaultParallelism, small * get("subtreeRows") // 2_000_000)))
-        dealt = table.mapInArrow(deal, "tree int, node bigint, bins binary, y double, w double").repartition(parts, "tree", "node")
+        dealt = table.mapInArrow(deal, "tree int, node bigint, bins binary, y binary, w binary").repartition(parts, "tree", "node")
         below = dealt.groupBy("tree", "node").applyInArrow(finish, NODE_SCHEMA)
         return below.unionAll(spark.createDataFrame(done, NODE_SCHEMA)) if done else below
 

@@ -147,3 +147,11 @@ def test_a_large_model_is_scored_by_cells_without_the_driver(spark, monkeypatch)
         again._set(subtreeRows=subtree_rows)
         assert sorted((r["k"], r["prediction"]) for r in again.transform(odd).collect()) == at_once
     assert again.transform(odd.where("false")).count() == 0
+
+
+def test_trees_grow_from_records_of_many_rows(spark):
+    rows = table(spark, parts=1).selectExpr("k as h", "label as y", "a as f0", "b as f1")
+    packed = ForestRegressor._binned(rows, [[1.0, 2.0], [0.0]], 10)
+    assert packed.count() == -(-600 // forest.PACK_ROWS)
+    (h, b, y), = forest._unpacked(iter(packed.toArrow().to_batches()), 2)
+    assert sorted(h.tolist()) == list(range(600)) and b.shape == (600, 2) and len(y) == 600
