@@ -195,3 +195,13 @@ def test_training_query_fits_the_default_once_and_it_is_reloaded(spark, monkeypa
     sf = "/root/testdata/sf0.001"
     assert q_model.run_training(spark, sf).count() == 1 and q_model.load_model(spark, sf).count() > 0
     assert seen == [DEFAULT_SETTINGS] and seen[0].model_type == "random_forest"
+
+
+def test_model_queries_read_a_written_table(spark, sf_small):
+    from sparktrips.plans import q_model
+    part = q_model._part(spark, sf_small, "val")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Project" not in plan  # neither cleaned nor cut again
+    columns = ["trip_id", *ORDERED_FEATURE_NAMES, model.LABEL, "split"]
+    lazy = q_model._labelled(spark, sf_small).where("split = 'val'")
+    assert part.columns == columns and sorted(map(tuple, part.collect())) == sorted(map(tuple, lazy.collect()))
