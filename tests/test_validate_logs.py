@@ -213,3 +213,22 @@ def test_null_duplicate_and_odd_members(spark):
     assert [r["trip_distance"] for r in rows] == [1.0, 10.0, None, None, None]
     null = V.validate_records(spark.createDataFrame([(None,)], "payload string")).first()
     assert not null["accepted"] and null["errors"][0]["field"] == "root"
+
+
+def test_rows_by_the_verdict_of_their_request(spark):
+    rows = [("a", 1, True), ("a", 2, True), ("b", 3, True), ("b", 4, False), ("c", 5, False), ("d", 6, True)] + [("e", i, True) for i in range(10, 1011)]
+    df = spark.createDataFrame(rows, "r string, n int, accepted boolean")
+    accepted, rejected = V.by_request(df, "r")
+    assert sorted(x.n for x in accepted.collect()) == [1, 2, 6]
+    assert sorted(x.n for x in rejected.collect()) == [3, 4, 5, *range(10, 1011)]  # e has one trip too many
+    judged = {x.n: x.request_accepted for x in V.reject_whole_request(df, "r").collect()}
+    assert {n for n, ok in judged.items() if ok} == {1, 2, 6} and len(judged) == len(rows)
+
+
+def test_kinds_are_told_without_a_pattern(spark):
+    kind = V._kind(F.col("t").isNotNull(), F.col("t"))
+    types = [("BIGINT", V.K_NUMBER), ("DECIMAL(2,1)", V.K_NUMBER), ("DOUBLE", V.K_NUMBER), ("STRING", V.K_STRING), ("BOOLEAN", V.K_BOOL), ("VOID", V.K_NULL),
+             ("ARRAY<BIGINT>", V.K_OTHER), ("OBJECT<a: BIGINT>", V.K_OTHER), (None, V.K_MISSING)]
+    df = spark.createDataFrame(types, "t string, k int").select("k", kind.alias("found"))
+    assert all(x.k == x.found for x in df.collect())
+    assert "rlike" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
