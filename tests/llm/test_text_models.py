@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import words_of
 from pyspark.sql import functions as F
@@ -279,6 +280,37 @@ def test_model_beats_unigrams_on_held_out_text(spark):
     assert rows[0] > rows[1]
 
 
+def test_keys_and_counts_come_back_from_their_records():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**64, 200_000, dtype=np.uint64))
+    ends, got = lm_scoring.bounds(keys, 4), []
+    for part, (a, b) in enumerate(zip(ends, ends[1:])):
+        data = lm_scoring.pack(keys[a:b], lm_scoring.base_of(part, 4))
+        assert len(data) <= 1 + 7 * (b - a)
+        got.append(lm_scoring.unpack(data, lm_scoring.base_of(part, 4)))
+    assert (np.concatenate(got) == keys).all() and not len(lm_scoring.unpack(lm_scoring.pack(keys[:0], 5), 5))
+    for n in (np.array([0, 1, 254, 255, 256, 2**40]), np.zeros(0, np.int64)):
+        assert (lm_scoring.unpack_counts(lm_scoring.pack_counts(n), len(n)) == n).all()
+    one, index, place = lm_scoring.distinct(keys[rng.integers(0, 50, 400)])
+    assert (one[place][index] == one).all() and (np.diff(one.astype(float)) > 0).all()
+
+
+def test_only_ngrams_that_may_be_kept_are_asked_for():
+    """A block asks for a trigram only if both its bigrams are kept, and texts come back from their records."""
+    texts = [b"a b c", None, b"a b c", "\u00e4 \U0001f600 x".encode(), b""]
+    rows = pa.table({"block": [3] * 5, "id": [1, None, 1, 2, 5], "held_out": [False] * 4 + [True], "text": [t if t is None else t.decode() for t in texts]})
+    stored = lm_scoring._stored(rows)
+    assert stored.num_rows == 1 and lm_scoring._texts(stored) == [t or b"" for t in texts] and lm_scoring._column(stored, "id").to_pylist() == [1, None, 1, 2, 5]
+    asked = lm_scoring._ask([1, 2], 2)(stored)
+    answers = [r for p, k in {(r["part"], r["k"]) for r in asked.to_pylist()}
+               for r in lm_scoring._count(2)(pa.Table.from_pylist([r for r in asked.to_pylist() if (r["part"], r["k"]) == (p, k)], asked.schema)).to_pylist()]
+    words = sum(np.frombuffer(r["answer"], "<i8") for r in answers if r["block"] < 0)
+    assert words.tolist() == [13, 7, 3, 3]  # a, b, c twice, three words once, the end four times in training texts
+    block = lm_scoring.Block(stored, 3, 2)
+    block.answered([r for r in answers if r["block"] >= 0], 2)
+    assert sorted(block.n[2].tolist()) == [0, 0, 0, 2, 2, 2] and block.asked(3).sum() == 2 and len(block.keys[3]) == 4
+
+
 def test_languages(documents, awkward, nothing):
     rows = language_id.identify(documents).collect()
     assert len(rows) == documents.count()
