@@ -235,3 +235,20 @@ def test_requests_share_states(spark, tmp_path, monkeypatch):
     assert scored == {f"request-{i}" for i in range(30)}
     assert rejected == {(f"request-{i}", jobs.INCOMPLETE) for i in range(30, 40)}
     assert spark.read.format("statestore").load(f"{out}/_checkpoint").count() == 0
+
+
+def test_states_follow_the_number_of_trips_and_are_kept_on_disk(spark, tmp_path, monkeypatch):
+    good = '{"trip_distance": 2, "fare_amount": 5, "total_amount": 6}'
+    rows = spark.createDataFrame([(f"request-{i // 2}", i % 2, 1, i, good) for i in range(50)], "request_id string, pos int, l_partkey bigint, l_suppkey bigint, payload string")
+    monkeypatch.setattr(jobs, "STATES", 2)
+    monkeypatch.setattr(jobs, "TRIPS_PER_STATE", 5)
+    asked, scoring = {}, jobs.run_scoring
+    monkeypatch.setattr(jobs, "run_scoring", lambda *a, **kw: asked.update(kw) or scoring(*a, **kw))
+    before = {name: spark.conf.get(name, None) for name in jobs.QUERY_CONF}
+    out = str(tmp_path / "parts")
+    found = jobs.stream_score_parts(spark, rows, lambda df: df.withColumn("prediction", F.lit(1.0)), parts=2, out=out)
+    assert asked["states"] == 10
+    assert epochs.read_epochs(spark, found["root"], "predictions").count() == 50
+    kept = [p.suffix for p in (tmp_path / "parts/scored/_checkpoint/state").rglob("*") if p.is_file()]
+    assert ".changelog" in kept and ".delta" not in kept  # RocksDB's; the other store keeps all on the heap
+    assert {name: spark.conf.get(name, None) for name in jobs.QUERY_CONF} == before
