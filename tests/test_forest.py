@@ -155,3 +155,20 @@ def test_trees_grow_from_records_of_many_rows(spark):
     assert packed.count() == -(-600 // forest.PACK_ROWS)
     (h, b, y), = forest._unpacked(iter(packed.toArrow().to_batches()), 2)
     assert sorted(h.tolist()) == list(range(600)) and b.shape == (600, 2) and len(y) == 600
+
+
+def test_rows_of_one_bin_are_added_up_once(monkeypatch):
+    """Gains are worked out per run of a bin, not per row: few for features of few values."""
+    draw = np.random.default_rng(2)
+    bins, label = draw.integers(0, 3, (5000, 4)).astype(np.uint8), np.rint(draw.normal(size=5000) * 9)
+    seen, gains = [], forest._gains
+    monkeypatch.setattr(forest, "_gains", lambda w, *a: seen.append(len(w)) or gains(w, *a))
+    nodes = forest.grow(bins, label, draw.poisson(1, 5000) + 1.0, 1, 30, 1)
+    assert max(seen) < 200 and (nodes["feature"] >= 0).sum() > 40
+
+
+def test_weights_of_a_bag_are_poisson_quantiles():
+    h = forest.mixed(np.arange(50_000, dtype=np.uint64))
+    salt = forest.mixed(np.array([42 << 32 | 3], np.uint64))[0]
+    u = (forest.mixed(h ^ salt) >> np.uint64(11)).astype(float) * 2.0 ** -53
+    assert (forest.bag_weights(h, 3, 42, True) == np.searchsorted(forest._POISSON, u, side="right")).all()
